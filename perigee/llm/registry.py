@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perigee.llm import exact_dedup, sharding
+from perigee.llm import bpe, exact_dedup, sharding
 from perigee.llm.common import read_table
 
 
@@ -20,6 +20,23 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def vocabulary_path() -> str:
+    """Where the public vocabulary file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of all documents, as digests."""
+    return bpe.encode_digests(read_table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return bpe.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 OP2_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -33,7 +50,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name."""
-    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup}
+    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op9_token_counts": op9_token_counts}
 
 
 def oracles() -> dict[str, str]:
