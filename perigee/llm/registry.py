@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from perigee.llm import bpe, exact_dedup, sharding
-from perigee.llm.common import read_table
+from perigee.llm import bpe, exact_dedup, language, quality, sharding
+from perigee.llm.common import fold, read_table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,21 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labelled ones of four folds; the fold 0 is held out."""
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    at = fold(F.col("doc_id"), 5)
+    scored = quality.score_quality(documents, labels, may_learn=at != 0, calibrates=at == 1)
+    return scored.select("doc_id", (at == 0).alias("held_out"), "score", "predicted")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three folds; the fold 2 is held out."""
+    at = fold(F.col("doc_id"), 4)
+    found = language.identify_language(read_table(spark, sf_dir, "documents"), may_learn=at != 2)
+    return found.select("doc_id", (at == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return bpe.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary_path())
@@ -50,7 +66,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name."""
-    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op9_token_counts": op9_token_counts}
+    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_language": op7_language, "op9_token_counts": op9_token_counts}
 
 
 def oracles() -> dict[str, str]:
