@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, exact_dedup, language, quality, sharding
+from perigee.llm import bpe, exact_dedup, language, mixing, quality, sharding
 from perigee.llm.common import fold, read_table
 
 
@@ -48,6 +48,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (at == 2).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes from each."""
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return bpe.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary_path())
@@ -63,12 +68,63 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP8_SQL = r"""
+WITH RECURSIVE sized AS (
+    SELECT doc_id, coalesce('s' || source, 't') AS key,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           md5(coalesce(doc_id::VARCHAR, '') || '/5') AS place
+    FROM documents),
+sources AS (
+    SELECT key, sum(size)::BIGINT AS source_size FROM sized GROUP BY key),
+weighed AS (
+    SELECT *, (row_number() OVER (ORDER BY key) - 1) % 3 + 1 AS weight, 3 * source_size AS cap,
+           sum(source_size) OVER ()::BIGINT AS total
+    FROM sources),
+capped AS (
+    SELECT *, sum(weight) OVER ()::BIGINT AS weights,
+           coalesce(sum(cap) OVER before, 0)::BIGINT AS caps, coalesce(sum(weight) OVER before, 0)::BIGINT AS used
+    FROM weighed
+    WINDOW before AS (ORDER BY cap / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+    SELECT key, source_size, total,
+           least(cap::DOUBLE, max((total - caps) / (weights - used)) OVER () * weight) AS target
+    FROM capped),
+quotients AS (
+    SELECT key, target / (2 * k + 1) AS quotient, k, total
+    FROM targets, unnest(range(0, (3 * source_size // 64 + 20)::BIGINT)) AS each(k)
+    WHERE target > 0),
+seats AS (
+    SELECT key, count(*) AS seats
+    FROM (SELECT key, row_number() OVER (ORDER BY quotient DESC, key, k) AS rank, round(total / 64)::BIGINT AS n FROM quotients)
+    WHERE rank <= n GROUP BY key),
+drawn AS (
+    SELECT t.key, t.source_size, t.target, ceil(t.source_size / 64)::BIGINT AS n_blocks,
+           least(coalesce(s.seats, 0), 3 * ceil(t.source_size / 64))::BIGINT AS quota,
+           ('0x' || substr(md5(t.key || '/5'), 1, 6))::BIGINT AS shift
+    FROM targets t LEFT JOIN seats s USING (key)),
+strides AS (
+    SELECT *, CASE WHEN n_blocks % 1000003 <> 0 THEN 1000003 WHEN n_blocks % 1000033 <> 0 THEN 1000033
+                   ELSE 1000037 END AS stride
+    FROM drawn),
+placed AS (
+    SELECT doc_id, key, size, (sum(size) OVER (PARTITION BY key ORDER BY place, doc_id, size
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS start
+    FROM sized)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN size = 0 OR n_blocks = 0 THEN 0 ELSE
+           size * (quota // n_blocks) + list_sum([
+               CASE WHEN (b * stride + shift) % n_blocks < quota % n_blocks
+                    THEN least(start + size, (b + 1) * 64) - greatest(start, b * 64) ELSE 0 END
+               FOR b IN range(start // 64, (start + size - 1) // 64 + 1)]) END::BIGINT AS taken
+FROM placed JOIN strides USING (key)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name."""
-    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_language": op7_language, "op9_token_counts": op9_token_counts}
+    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts}
 
 
 def oracles() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op2_exact_dedup": OP2_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op8_mixing": OP8_SQL}
