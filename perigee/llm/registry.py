@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, exact_dedup, language, mixing, quality, sharding
+from perigee.llm import bpe, exact_dedup, language, line_dedup, mixing, quality, sharding
 from perigee.llm.common import fold, read_table
 
 
@@ -58,6 +58,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each line of all documents, the earliest line within one edit."""
+    return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"))
+
+
 OP2_SQL = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -68,6 +73,28 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP10_SQL = r"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+    FROM documents),
+different AS (
+    SELECT line, length(line) AS n, min((doc_id, line_no)) AS first FROM split WHERE line <> '' GROUP BY line),
+earliest AS (
+    SELECT a.line, min(b.first) AS earlier
+    FROM different a JOIN different b
+      ON b.n BETWEEN a.n - 1 AND a.n + 1 AND b.first < a.first AND a.n >= 20 AND b.n >= 20
+     AND (left(a.line, (least(a.n, b.n) // 2)::BIGINT) = left(b.line, (least(a.n, b.n) // 2)::BIGINT)
+          OR right(a.line, (least(a.n, b.n) // 2)::BIGINT) = right(b.line, (least(a.n, b.n) // 2)::BIGINT))
+     AND levenshtein(a.line, b.line) <= 1
+    GROUP BY a.line),
+decided AS (
+    SELECT s.doc_id, s.line_no, length(s.line) AS n_chars, coalesce(e.earlier, d.first, (s.doc_id, s.line_no)) AS keep
+    FROM split s LEFT JOIN different d USING (line) LEFT JOIN earliest e USING (line))
+SELECT doc_id, line_no::INT AS line_no, n_chars::INT AS n_chars, keep = (doc_id, line_no) AS kept,
+       struct_extract(keep, 1) AS keep_doc_id, struct_extract(keep, 2)::INT AS keep_line_no
+FROM decided
+"""
+
 OP8_SQL = r"""
 WITH RECURSIVE sized AS (
     SELECT doc_id, coalesce('s' || source, 't') AS key,
@@ -122,9 +149,9 @@ FROM placed JOIN strides USING (key)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name."""
-    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts}
+    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts, "op10_line_dedup": op10_line_dedup}
 
 
 def oracles() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op2_exact_dedup": OP2_SQL, "op8_mixing": OP8_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op8_mixing": OP8_SQL, "op10_line_dedup": OP10_SQL}
