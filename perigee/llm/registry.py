@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, exact_dedup, language, line_dedup, mixing, quality, sharding
+from perigee.llm import bpe, exact_dedup, hamming, language, line_dedup, mixing, quality, sharding
 from perigee.llm.common import fold, read_table
 
 
@@ -41,6 +41,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (at == 0).alias("held_out"), "score", "predicted")
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every 20th embedding, the 10 nearest of all by the Hamming distance of sign bits."""
+    return hamming.nearest_codes(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three folds; the fold 2 is held out."""
     at = fold(F.col("doc_id"), 4)
@@ -95,6 +100,17 @@ SELECT doc_id, line_no::INT AS line_no, n_chars::INT AS n_chars, keep = (doc_id,
 FROM decided
 """
 
+OP5_SQL = """
+WITH coded AS (
+    SELECT vec_id, [coalesce(x > 0 AND NOT isnan(x), false) FOR x IN embedding[1:64]] AS bits
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+measured AS (
+    SELECT q.vec_id AS query_id, r.vec_id, list_sum([(a[1] <> a[2])::INT FOR a IN list_zip(q.bits, r.bits)])::INT AS distance
+    FROM coded q, coded r WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank, vec_id, distance
+FROM measured QUALIFY rank <= 10
+"""
+
 OP8_SQL = r"""
 WITH RECURSIVE sized AS (
     SELECT doc_id, coalesce('s' || source, 't') AS key,
@@ -149,9 +165,9 @@ FROM placed JOIN strides USING (key)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name."""
-    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts, "op10_line_dedup": op10_line_dedup}
+    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_topk_search": op5_topk_search, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts, "op10_line_dedup": op10_line_dedup}
 
 
 def oracles() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op2_exact_dedup": OP2_SQL, "op8_mixing": OP8_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op5_topk_search": OP5_SQL, "op8_mixing": OP8_SQL, "op10_line_dedup": OP10_SQL}
