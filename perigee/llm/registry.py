@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, exact_dedup, hamming, language, line_dedup, mixing, quality, sharding
+from perigee.llm import bpe, exact_dedup, hamming, jaccard, language, line_dedup, mixing, quality, sharding
 from perigee.llm.common import fold, read_table
 
 
@@ -46,6 +46,11 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest_codes(read_table(spark, sf_dir, "embeddings"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by shingle similarity."""
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three folds; the fold 2 is held out."""
     at = fold(F.col("doc_id"), 4)
@@ -165,7 +170,7 @@ FROM placed JOIN strides USING (key)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name."""
-    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_topk_search": op5_topk_search, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts, "op10_line_dedup": op10_line_dedup}
+    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_topk_search": op5_topk_search, "op6_ngram_jaccard": op6_ngram_jaccard, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts, "op10_line_dedup": op10_line_dedup}
 
 
 def oracles() -> dict[str, str]:
