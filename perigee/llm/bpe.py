@@ -14,6 +14,7 @@ import operator
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
@@ -321,23 +322,29 @@ def encode_texts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return _texts(df, id_col, text_col).mapInArrow(run, f"doc_id {_id_type(df, id_col)}, ids array<int>, decoded string")
 
 
-def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """As encode_texts, but with digests in place of ids and decoded text, so that results stay narrow.
 
-    Returns doc_id, n_tokens, ids_sha256, decoded_sha256. The digest of a text without ids is that of the empty text.
+    Returns doc_id, n_tokens, ids_sha256, decoded_sha256, and with_ids the ids too. The digest of a text without ids
+    is that of the empty text.
     """
+    kinds = f"doc_id {_id_type(df, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker(Encoder, path)
         for batch in batches:
-            counts, ids, decoded = [], [], []
+            counts, shas, backs, lists = [], [], [], []
             for text in batch["text"].to_pylist():
                 n, shown, back = encoder.digest(text)
                 counts.append(n)
-                ids.append(hashlib.sha256(shown.encode()).hexdigest())
-                decoded.append(hashlib.sha256(back.encode()).hexdigest())
-            arrays = [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kinds = f"doc_id {_id_type(df, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _texts(df, id_col, text_col).mapInArrow(run, kinds)
+                shas.append(hashlib.sha256(shown.encode()).hexdigest())
+                backs.append(hashlib.sha256(back.encode()).hexdigest())
+                if with_ids:
+                    lists.append(np.array(shown.split(), np.int32))
+            arrays = [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(backs, pa.string())]
+            if with_ids:
+                arrays.append(pa.array(lists, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(arrays, [*columns, "ids"][: len(arrays)])
+
+    return _texts(df, id_col, text_col).mapInArrow(run, kinds + ", ids array<int>" * with_ids)

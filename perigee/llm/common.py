@@ -57,3 +57,15 @@ def word_count(text: Column) -> Column:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the decimal doc_id modulo the number of folds; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def text_key(text_col: str) -> Column:
+    """A hash of a row's text, which tells rows of one id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def without(df: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """df less the rows whose id and text_key are in gone (doc_id, text_key). Null ids are equal to each other."""
+    gone = materialize(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct(), "gone")
+    gone = small_or_shuffled(gone, gone.count(), 32)
+    return df.join(gone, df[id_col].eqNullSafe(F.col("_gone_id")) & (text_key(text_col) == F.col("_gone_key")), "left_anti")

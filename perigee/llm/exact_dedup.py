@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import materialize, small_or_shuffled
+from perigee.llm.common import materialize, small_or_shuffled, text_key, without
 
 #: The directory has at most 2 ** MAX_DEPTH cells, which bounds what the driver and a broadcast hold.
 MAX_DEPTH = 14
@@ -113,10 +113,10 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     that stays occurs several times, one of the occurrences stays. An empty table gives an empty result. Other
     columns of df are not looked at.
 
-    Returns doc_id, keep_id, group_size, kept, text_sha256 for every row.
+    Returns doc_id, keep_id, group_size, kept, text_sha256, text_key (a hash of the text) for every row.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.xxhash64(text)
+    key = text_key(text_col)
     cell = F.shiftrightunsigned("key", 64 - MAX_DEPTH).cast("int")
     entries = materialize(
         df.select(
@@ -155,4 +155,23 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("keep_tie").isNull() | (F.col("keep_tie") == F.col("tie"))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        F.col("key").alias("text_key"),
     )
+
+
+def distinct_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 512) -> DataFrame:
+    """df with the row of each group of identical texts that stays (see exact_duplicates).
+
+    If a row that stays occurs several times with the same id and text, one of the occurrences is chosen by id and
+    text alone, so extra columns of it come from any of them.
+    """
+    found = materialize(exact_duplicates(df, id_col, text_col, capacity), "dedup-found")
+    rows = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")).filter("kept")
+    again = rows.filter("rows > 1").select(F.col("doc_id").alias("_again_id"), F.col("text_key").alias("_again_key"))
+    kept = without(df, found.groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept")).filter("not kept"), id_col, text_col)
+    n = again.count()
+    if not n:
+        return kept
+    same = kept[id_col].eqNullSafe(F.col("_again_id")) & (text_key(text_col) == F.col("_again_key"))
+    held = small_or_shuffled(again, n, 32)
+    return kept.join(held, same, "left_anti").union(kept.join(held, same, "left_semi").dropDuplicates([id_col, text_col]))

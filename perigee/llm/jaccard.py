@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import materialize, small_or_shuffled
+from perigee.llm.common import materialize, small_or_shuffled, text_key, without
 from perigee.llm.components import connected
 
 #: Shingle frequencies are counted in 2 ** CELL_BITS cells, which SLICES rows carry.
@@ -145,14 +145,15 @@ def prefixes(texts: DataFrame, levels: np.ndarray, width: int, percent: int) ->
                     probes.append(None)
             arrays = [
                 batch["doc_id"],
+                batch["text_key"],
                 pa.array(sizes, pa.int64()),
                 pa.array(signatures, pa.binary()),
                 pa.array(probes, pa.list_(pa.int32())),
                 pa.array(keys, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "sign", "probes", "keys"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "n_shingles", "sign", "probes", "keys"])
 
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, sign binary, probes array<int>, keys array<long>")
+    return texts.mapInArrow(run, "doc_id long, text_key long, n_shingles long, sign binary, probes array<int>, keys array<long>")
 
 
 def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,9 +277,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are taken whole. Rows are nodes of their own, so repeated ids and null ids are fine; a component's id is its
     smallest doc_id that is not null. An empty table gives an empty result. Other columns of df are not looked at.
 
-    Returns doc_id, n_shingles, component_id for every row.
+    Returns doc_id, n_shingles, component_id, text_key (a hash of the text) for every row.
     """
-    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
+    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"), text)
     levels = frequency_levels(texts, width)
     rows = prefixes(texts, levels, width, percent).withColumn("node", F.monotonically_increasing_id())
     rows = materialize(rows, "jaccard-rows")
@@ -286,7 +288,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = rows.filter("sign is not null").groupBy("sign").agg(F.min("node").alias("first"), F.count("*").alias("rows"))
     groups = materialize(groups.filter("rows > 1").select("sign", "first"), "jaccard-copies")
     copies = small_or_shuffled(groups, groups.count(), 48)
-    nodes = rows.select("doc_id", "n_shingles", "sign", "node").join(copies, "sign", "left")
+    nodes = rows.select("doc_id", "text_key", "n_shingles", "sign", "node").join(copies, "sign", "left")
     nodes = materialize(nodes.withColumn("first", F.coalesce("first", "node")), "jaccard-nodes")
 
     postings = rows.filter("keys is not null").select("node", F.col("n_shingles").alias("n"), F.posexplode("keys").alias("pos", "key"))
@@ -311,15 +313,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     join.compare(join.all_pairs())
 
     labelled = nodes.join(join.labels.toDF("first", "label"), "first", "left")
-    labelled = materialize(labelled.select("doc_id", "n_shingles", F.coalesce("label", "first").alias("label")), "jaccard-labelled")
+    labelled = materialize(labelled.select("doc_id", "text_key", "n_shingles", F.coalesce("label", "first").alias("label")), "jaccard-labelled")
     named = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
     named = materialize(named, "jaccard-named")
     result = labelled.join(small_or_shuffled(named, named.count(), 32), "label", "left")
-    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """df with one row of each component: that of the smallest id. Rows with a null id stay."""
-    found = near_duplicates(df, id_col, text_col, width, percent)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return df.join(gone, df[id_col].cast("long") == F.col("_gone_id"), "left_anti")
+    """df with one row of each component: that of the smallest id, and of its texts that of the smallest text_key.
+
+    Rows with empty sets are alone and stay; so do rows with null ids. Rows alike in id and text stay or go together.
+    """
+    found = materialize(near_duplicates(df, id_col, text_col, width, percent), "jaccard-found")
+    keepers = found.filter("doc_id = component_id").groupBy("component_id").agg(F.min("text_key").alias("keep_key"))
+    keepers = materialize(keepers, "jaccard-keepers")
+    linked = found.filter("doc_id is not null and n_shingles > 0").join(keepers, "component_id")
+    return without(df, linked.filter("doc_id <> component_id or text_key <> keep_key"), id_col, text_col)

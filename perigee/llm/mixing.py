@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.common import materialize, word_count
+from perigee.llm.common import materialize, text_key, word_count
 
 #: No document is taken more often than this.
 MOST = 3
@@ -35,6 +35,7 @@ def word_sizes(df: DataFrame, id_col: str, text_col: str, source_col: str, seed:
             source_key(F.col(source_col)).alias("key"),
             word_count(F.col(text_col)).alias("size"),
             order.alias("place"),
+            text_key(text_col).alias("text_key"),
         ),
         "mix-sizes",
     )
@@ -185,8 +186,8 @@ def mixed_texts(
     """The mix itself: the columns of df, with the words drawn of each text, as one row for each round of draws.
 
     A row of which every block is drawn keeps its text as it is; else the words of drawn blocks stay, each with the
-    white space behind it. Rounds of which nothing is drawn give no row, so texts without words go. Other rows than
-    the text are kept as they are. Ids should be unique; rows of one id and different texts all get the draws of one.
+    white space behind it. Rounds of which nothing is drawn give no row, so texts without words go. Other columns are
+    kept as they are. Rows alike in id and text all get the draws of one of them.
     """
     sized = word_sizes(df, id_col, text_col, source_col, seed)
     targets = materialize(source_targets(sized), "mix-targets")
@@ -198,17 +199,17 @@ def mixed_texts(
     whole = F.expr(f"size(blocks) = (start + size - 1) div {block_words} - start div {block_words} + 1")
     shares = (
         drawn.filter("size > 0 and n_blocks > 0 and quota > 0")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "text_key")
         .agg(*[F.first(c).alias(c) for c in ("size", "start", "n_blocks", "stride", "shift", "quota")])
-        .select("doc_id", "size", "start", F.explode(rounds).alias("blocks"))
+        .select("doc_id", "text_key", "size", "start", F.explode(rounds).alias("blocks"))
         .withColumn("whole", whole)
-        .select(F.col("doc_id").alias("_mix_id"), F.struct("size", "start", "blocks", "whole").alias("_mix"))
+        .select(F.col("doc_id").alias("_mix_id"), F.col("text_key").alias("_mix_key"), F.struct("size", "start", "blocks", "whole").alias("_mix"))
     )
     cut = F.expr(f"""
         array_join(flatten(transform(_mix.blocks, b -> slice(_pieces,
             cast(greatest(b * {block_words}, _mix.start) - _mix.start + 1 as int),
             cast(least((b + 1) * {block_words}, _mix.start + _mix.size) - greatest(b * {block_words}, _mix.start) as int)))), '')""")
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), 1)
-    joined = df.join(shares, df[id_col] == F.col("_mix_id")).withColumn("_pieces", F.when(~F.col("_mix.whole"), pieces))
+    joined = df.join(shares, df[id_col].eqNullSafe(F.col("_mix_id")) & (text_key(text_col) == F.col("_mix_key"))).withColumn("_pieces", F.when(~F.col("_mix.whole"), pieces))
     text = F.when(F.col("_mix.whole"), F.col(text_col)).otherwise(cut)
     return joined.select(*[text.alias(c) if c == text_col else df[c] for c in df.columns])

@@ -65,15 +65,17 @@ STARTS = np.searchsorted(CLASS_OF_BYTE[ORDER], np.arange(len(CLASSES) + 2))
 
 
 def document_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and stats of every row; nothing is shuffled. Null and empty texts have zeros."""
+    """doc_id, text_key (a hash of the text) and stats of every row; nothing is shuffled. Empty texts have zeros."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stats = [statistics(text) for text in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(stats, pa.list_(pa.float64()))], ["doc_id", "stats"])
+            arrays = [batch["doc_id"], batch["text_key"], pa.array(stats, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "stats"])
 
-    texts = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return texts.mapInArrow(run, f"doc_id {df.schema[id_col].dataType.simpleString()}, stats array<double>")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
+    return texts.mapInArrow(run, f"doc_id {df.schema[id_col].dataType.simpleString()}, text_key long, stats array<double>")
 
 
 @dataclass
@@ -210,7 +212,7 @@ def score_quality(
     Null and empty texts are scored as the empty text. Without labelled rows every score is 0.5. Repeated rows are
     scored each; an empty table gives an empty result; other columns of df are not looked at.
 
-    Returns doc_id, score, predicted (1 if score >= threshold, else 0).
+    Returns doc_id, text_key (a hash of the text), score, predicted (1 if score >= threshold, else 0).
     """
     stats = materialize(document_statistics(df, id_col, text_col), "quality-stats")
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
@@ -222,8 +224,9 @@ def score_quality(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = model.score(stack(batch)) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64())], ["doc_id", "score"])
+            arrays = [batch["doc_id"], batch["text_key"], pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "score"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    scored = stats.mapInArrow(run, f"doc_id {kind}, score double")
+    scored = stats.mapInArrow(run, f"doc_id {kind}, text_key long, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -18,7 +18,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical documents."""
-    return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def vocabulary_path() -> str:
@@ -48,7 +48,7 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by shingle similarity."""
-    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +169,22 @@ FROM placed JOIN strides USING (key)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """The queries of this subpackage by name."""
-    return {"op1_sharding": op1_sharding, "op2_exact_dedup": op2_exact_dedup, "op3_bpe": op3_bpe, "op4_quality": op4_quality, "op5_topk_search": op5_topk_search, "op6_ngram_jaccard": op6_ngram_jaccard, "op7_language": op7_language, "op8_mixing": op8_mixing, "op9_token_counts": op9_token_counts, "op10_line_dedup": op10_line_dedup}
+    """The queries of this subpackage by name, and the pipeline."""
+    import corpus_pipeline
+
+    return {
+        "pipeline": corpus_pipeline.run,
+        "op1_sharding": op1_sharding,
+        "op2_exact_dedup": op2_exact_dedup,
+        "op3_bpe": op3_bpe,
+        "op4_quality": op4_quality,
+        "op5_topk_search": op5_topk_search,
+        "op6_ngram_jaccard": op6_ngram_jaccard,
+        "op7_language": op7_language,
+        "op8_mixing": op8_mixing,
+        "op9_token_counts": op9_token_counts,
+        "op10_line_dedup": op10_line_dedup,
+    }
 
 
 def oracles() -> dict[str, str]:
