@@ -1 +1 @@
-"""Functions of the telemetry engine."""
+"""Scalar functions of the telemetry engine, as Spark expressions without Python UDFs."""

@@ -1 +1 @@
-"""Operators of the telemetry engine."""
+"""Relational operators of the telemetry engine."""

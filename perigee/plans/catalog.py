@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from perigee.plans import asof_queries, packet_queries  # noqa: F401  they register themselves
+from perigee.plans.base import ORACLES, QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries() -> dict[str, Query]:
     """All registered queries by name."""
-    return {}
+    return dict(QUERIES)
 
 
 def oracles() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {}
+    return dict(ORACLES)
