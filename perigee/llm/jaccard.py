@@ -19,16 +19,19 @@ from perigee.llm.common import materialize, small_or_shuffled, text_key, without
 from perigee.llm.components import connected
 
 #: Shingle frequencies are counted in 2 ** CELL_BITS cells, which SLICES rows carry.
-CELL_BITS, SLICES = 20, 64
+CELL_BITS, SLICES = 22, 64
 
 #: Parts of the hash range in which the suffix filter compares two sets.
 PROBES = 64
 
 #: Lists are compared with one pivot in as many rounds before all pairs across components are.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 4
+
+#: Members of a component that one task compares with others.
+BLOCK_NODES = 256
 
 #: A worker forgets the words it has met when it holds as many.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 #: Multipliers of the shingle hash, one for each word.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -85,19 +88,20 @@ def frequency_levels(texts: DataFrame, width: int) -> np.ndarray:
                 np.add.at(total, cell(shingles(text.as_py(), width)), 1)
         parts = total.reshape(SLICES, -1)
         used = [i for i in range(SLICES) if parts[i].any()]
-        arrays = [pa.array(used, pa.int32()), pa.array([parts[i].tobytes() for i in used], pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, ["slice", "counts"])
+        small = [parts[i].astype(np.min_scalar_type(parts[i].max())) for i in used]
+        arrays = [pa.array(used, pa.int32()), pa.array([x.itemsize for x in small], pa.int32()), pa.array([x.tobytes() for x in small], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["slice", "width", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for number, counts in zip(batch["slice"].to_pylist(), batch["counts"], strict=True):
-                counts = np.frombuffer(counts.as_buffer(), np.int64)
+            for number, bytes_each, counts in zip(batch["slice"].to_pylist(), batch["width"].to_pylist(), batch["counts"], strict=True):
+                counts = np.frombuffer(counts.as_buffer(), f"u{bytes_each}").astype(np.int64)
                 sums[number] = sums[number] + counts if number in sums else counts
         levels = [np.minimum(255, np.round(8 * np.log2(1 + x))).astype(np.uint8).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], ["slice", "levels"])
 
-    counted = texts.select("text").mapInArrow(count, "slice int, counts binary").repartition("slice")
+    counted = texts.select("text").mapInArrow(count, "slice int, width int, counts binary").repartition("slice")
     levels = np.zeros((SLICES, (1 << CELL_BITS) // SLICES), np.uint8)
     for row in counted.mapInArrow(add, "slice int, levels binary").collect():  # SLICES rows
         levels[row["slice"]] = np.frombuffer(bytes(row["levels"]), np.uint8)
@@ -176,77 +180,129 @@ def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.filter(pa.array(more))
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets of hashes are linked; sizes are compared first."""
+    least, most = sorted((len(x), len(y)))
+    if 100 * least < percent * most:
+        return False
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def verify(percent: int):
     """A function that keeps the pairs whose sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for x, y in zip(batch["set_a"], batch["set_b"], strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                kept.append(100 * both >= percent * (len(x) + len(y) - both))
+            each = zip(batch["set_a"], batch["set_b"], strict=True)
+            kept = [similar(*[np.frombuffer(v.as_buffer(), np.uint64) for v in pair], percent) for pair in each]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     return run
 
 
 def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and set (sorted hashes) of the wanted nodes (node, doc_id, sign), whose texts are read again."""
+    """node and set (sorted hashes) of the wanted nodes (node, doc_id, sign), whose texts are read again.
+
+    Repeated rows of a table may give a node's set more than once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(node, x) for node, sign, text in zip(batch["node"].to_pylist(), batch["sign"].to_pylist(), batch["text"], strict=True) if signature(x := np.unique(shingles(text.as_py(), width))) == sign]
-            arrays = [pa.array([n for n, _ in found], pa.int64()), pa.array([x.tobytes() for _, x in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "set"])
+            nodes, sets = [], []
+            for node, sign, text in zip(batch["node"].to_pylist(), batch["sign"].to_pylist(), batch["text"], strict=True):
+                hashes = np.unique(shingles(text.as_py(), width))
+                if signature(hashes) == sign:
+                    nodes.append(node)
+                    sets.append(hashes.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "set"])
 
     ids = wanted.withColumnRenamed("doc_id", "wanted_id")
     rows = texts.join(small_or_shuffled(ids, wanted.count(), 64), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    return rows.select("node", "sign", "text").mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
+    return rows.select("node", "sign", "text").mapInArrow(run, "node long, set binary")
 
 
-class Join:
-    """The lists of nodes that share a rare shingle, their sets, and the components found so far."""
+def pivots(percent: int):
+    """A function over rows in order of (key, rank) that pairs each list's first node, its pivot, with the others.
 
-    def __init__(self, lists: DataFrame, probes: DataFrame, sets: DataFrame, percent: int):
-        self.lists, self.probes, self.sets, self.percent = lists, probes, sets, percent
-        self.labels = materialize(lists.select("node", F.col("node").alias("label")).distinct(), "jaccard-labels")
-        self.checked: DataFrame | None = None
+    Pairs of one component go, and pairs that can't be linked by their sizes and the place of the shared shingle: a
+    pair may share shingles before it (in lists with another pivot) and all that is left behind it. Holds one pivot
+    between batches.
+    """
 
-    def labelled(self) -> DataFrame:
-        """The lists with each node's component, as far as a list spans several."""
-        lists = self.lists.join(self.labels, "node")
-        open_keys = lists.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        return lists.join(open_keys.filter("least <> most").select("key"), "key", "left_semi")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch[c].to_numpy() for c in ("key", "node", "n", "pos", "label")}
+            if held is not None:
+                rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
+            first = np.r_[True, rows["key"][1:] != rows["key"][:-1]]
+            at = np.flatnonzero(first)[np.cumsum(first) - 1]
+            pivot = {c: v[at] for c, v in rows.items()}
+            held = {c: v[-1:] for c, v in pivot.items()}
+            most = np.minimum(rows["pos"], pivot["pos"]) + np.minimum(rows["n"] - rows["pos"], pivot["n"] - pivot["pos"])
+            good = (rows["label"] != pivot["label"]) & (most * (100 + percent) >= percent * (rows["n"] + pivot["n"]))
+            a, b = np.minimum(rows["node"], pivot["node"])[good], np.maximum(rows["node"], pivot["node"])[good]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array((rows["n"] + pivot["n"])[good])], ["a", "b", "both"])
 
-    def pivot_pairs(self, number: int) -> DataFrame:
-        """Each list's nodes of other components with its pivot, which a hash chooses anew in every round.
+    return run
 
-        A pair may miss lists of which another node is the pivot, so shingles before the shared one may be shared too.
-        """
-        lists = materialize(self.labelled(), "jaccard-open")
-        pivot = F.min_by(F.struct("node", "n", "pos", "label"), F.xxhash64(F.lit(number), "node")).alias("pivot")
-        pairs = lists.join(lists.groupBy("key").agg(pivot), "key").filter("label <> pivot.label")
-        bound = F.least("pos", "pivot.pos") + F.least(F.col("n") - F.col("pos"), F.col("pivot.n") - F.col("pivot.pos"))
-        pairs = pairs.filter(bound >= needed(self.percent, F.col("n"), F.col("pivot.n")))
-        a, b = F.least("node", "pivot.node"), F.greatest("node", "pivot.node")
-        return pairs.select(a.alias("a"), b.alias("b"), (F.col("n") + F.col("pivot.n")).alias("both")).distinct()
 
-    def all_pairs(self) -> DataFrame:
-        """All pairs of nodes of a list that belong to different components.
+class Join:
+    """The lists of nodes that share a rare shingle, and the components found so far.
+
+    labels has only nodes of components of more than one.
+    """
+
+    def __init__(self, texts: DataFrame, nodes: DataFrame, lists: DataFrame, probes: DataFrame, width: int, percent: int):
+        self.texts, self.nodes, self.lists, self.probes, self.width, self.percent = texts, nodes, lists, probes, width, percent
+        self.labels: DataFrame | None = None
+        self.checked: DataFrame | None = None
+        self.merged = 0
 
-        A pair meets in every list of both its nodes, so its first shared shingle bounds what it shares.
+    def labelled(self) -> DataFrame:
+        """The lists with each node's component."""
+        if self.labels is None:
+            return self.lists.withColumn("label", F.col("node"))
+        joined = self.lists.join(small_or_shuffled(self.labels, self.merged, 32), "node", "left")
+        return joined.withColumn("label", F.coalesce("label", "node"))
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """node and set of the wanted nodes, whose texts are read again."""
+        wanted = materialize(self.nodes.join(small_or_shuffled(wanted, wanted.count(), 16), "node", "left_semi"), "jaccard-wanted")
+        return materialize(sets_of(self.texts, wanted.select("node", "doc_id", "sign"), self.width), "jaccard-sets")
+
+    def pivot_round(self, number: int) -> int:
+        """Compare the nodes of each list with its pivot, which a hash chooses anew; returns the number of pairs."""
+        ranked = self.labelled().withColumn("rank", F.xxhash64(F.lit(number), "node"))
+        ranked = ranked.repartition("key").sortWithinPartitions("key", "rank", "node").select("key", "node", "n", "pos", "label")
+        return self.compare(ranked.mapInArrow(pivots(self.percent), "a long, b long, both long").distinct())
+
+    def last_round(self) -> None:
+        """Compare all that lists still have in different components.
+
+        Nodes that are alone are paired with each other: a pair meets in every list of both its nodes, so its first
+        shared shingle bounds what it shares. Components of more nodes are paired as wholes.
         """
         lists = materialize(self.labelled(), "jaccard-open")
-        pairs = lists.alias("x").join(lists.alias("y"), F.expr("x.key = y.key and x.node < y.node and x.label <> y.label"))
-        long_enough = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent
-        pairs = pairs.filter(long_enough).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
+        if self.labels is None:
+            alone, grouped = lists, None
+        else:
+            many = small_or_shuffled(self.labels.select("label").distinct(), self.merged, 16)
+            alone, grouped = lists.join(many, "label", "left_anti"), lists.join(many, "label", "left_semi")
+        pairs = alone.alias("x").join(alone.alias("y"), F.expr("x.key = y.key and x.node < y.node"))
+        pairs = pairs.filter(F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent)
+        pairs = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
         first = pairs.agg(F.min("x.pos").alias("pa"), F.min("y.pos").alias("pb"))
         near = first.filter(F.least(F.expr("na - pa"), F.expr("nb - pb")) >= needed(self.percent, F.col("na"), F.col("nb")))
-        return near.select("a", "b", F.expr("na + nb").alias("both"))
+        self.compare(near.select("a", "b", F.expr("na + nb").alias("both")))
+        if grouped is not None:
+            self.compare_components(lists, grouped)
 
     def compare(self, pairs: DataFrame) -> int:
-        """Verify pairs that have not been before, once each, and merge the components that they link."""
+        """Verify pairs (a, b, both sizes) that have not been before, once each, and merge what they link."""
         if self.checked is not None:
             pairs = pairs.join(self.checked, ["a", "b"], "left_anti")
         x, y = self.probes.toDF("a", "probes_a"), self.probes.toDF("b", "probes_b")
@@ -255,19 +311,78 @@ class Join:
         pairs = pairs.join(x, "a").join(y, "b").filter(most * (100 + self.percent) >= F.col("both") * self.percent)
         pairs = materialize(pairs.select("a", "b"), "jaccard-pairs")
         n = pairs.count()
-        if not n:
-            return 0
-        self.checked = pairs if self.checked is None else self.checked.union(pairs)
-        sets_a, sets_b = self.sets.toDF("a", "set_a"), self.sets.toDF("b", "set_b")
-        links = pairs.join(sets_a, "a").join(sets_b, "b").select("a", "b", "set_a", "set_b").mapInArrow(verify(self.percent), "a long, b long")
-        links = materialize(links, "jaccard-links")
-        of_a, of_b = self.labels.toDF("a", "label_a"), self.labels.toDF("b", "label_b")
-        between = links.join(of_a, "a").join(of_b, "b").filter("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-        merged = connected(between).toDF("label", "new")
-        labels = self.labels.join(merged, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
-        self.labels = materialize(labels, "jaccard-labels")
+        if n:
+            self.checked = pairs if self.checked is None else self.checked.union(pairs)
+            sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+            both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+            links = both.select("a", "b", "set_a", "set_b").mapInArrow(verify(self.percent), "a long, b long")
+            self.merge(materialize(links, "jaccard-links"))
         return n
 
+    def compare_components(self, lists: DataFrame, grouped: DataFrame) -> None:
+        """Pairs of components of which one at least has several nodes and which share a list.
+
+        The nodes of the smaller one go to every block of the larger one; a block's task compares them and returns one
+        link for each that has any. So neither pairs nor a whole component meet in one place.
+        """
+        sides = [x.groupBy("key", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi")) for x in (grouped, lists)]
+        close = F.expr(f"x.key = y.key and x.label <> y.label and x.hi * 100 >= y.lo * {self.percent} and y.hi * 100 >= x.lo * {self.percent}")
+        pairs = sides[0].alias("x").join(sides[1].alias("y"), close).select(F.col("x.label").alias("big"), F.col("y.label").alias("other")).distinct()
+        sizes = materialize(self.labels.groupBy("label").agg(F.count("*").alias("size")), "jaccard-sizes")
+        pairs = pairs.join(sizes.toDF("big", "size"), "big").join(sizes.toDF("other", "other_size"), "other", "left")
+        larger = F.expr("coalesce(other_size, 1) < size or (other_size = size and other < big)")  # each pair of groups once
+        pairs = materialize(pairs.filter(larger).withColumn("blocks", F.ceil(F.col("size") / BLOCK_NODES).cast("int")), "jaccard-groups")
+        members = self.labels.join(pairs.select(F.col("big").alias("label"), "blocks").distinct(), "label")
+        members = members.select("node", F.col("label").alias("big"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+        of_other = self.labels.select("node", F.col("label").alias("other"))
+        asked = pairs.join(of_other, "other", "left").select("big", "blocks", F.coalesce("node", "other").alias("node"))
+        asked = asked.select("node", "big", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        members, asked = materialize(members, "jaccard-members"), materialize(asked, "jaccard-asked")
+        if asked.limit(1).count() == 0:
+            return
+        sets = self.sets(members.select("node").union(asked.select("node")).distinct())
+        percent = self.percent
+
+        def links(block: pa.Table, queries: pa.Table) -> pa.Table:
+            if not block.num_rows or not queries.num_rows:
+                return pa.table({c: pa.array([], pa.int64()) for c in "ab"})
+            held = [np.frombuffer(s.as_buffer(), np.uint64) for s in block["set"]]
+            sizes = np.array([len(x) for x in held])
+            hashes, owners = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+            order = np.argsort(hashes, kind="stable")
+            hashes, owners, nodes = hashes[order], owners[order], block["node"].to_numpy()
+            found: list[tuple[int, int]] = []
+            for node, data in zip(queries["asked"].to_pylist(), queries["own_set"], strict=True):
+                own = np.frombuffer(data.as_buffer(), np.uint64)
+                start, stop = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+                places = np.repeat(stop - np.cumsum(stop - start), stop - start) + np.arange((stop - start).sum())
+                both = np.bincount(owners[places], minlength=len(held))  # shared with each member
+                linked = 100 * both >= percent * (sizes + len(own) - both)
+                if linked.any():
+                    found.append((node, int(nodes[np.argmax(linked)])))
+            return pa.table({c: pa.array([x[i] for x in found], pa.int64()) for i, c in enumerate("ab")})
+
+        left = members.join(sets, "node").groupBy("big", "block")
+        right = asked.toDF("asked", "of", "in").join(sets.toDF("asked", "own_set"), "asked").groupBy("of", "in")
+        self.merge(materialize(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links"))
+
+    def merge(self, links: DataFrame) -> None:
+        """Merge the components that links (a, b) join."""
+        if links.limit(1).count() == 0:
+            return
+        if self.labels is not None:
+            held = small_or_shuffled(self.labels, self.merged, 32)
+            for end in "ab":
+                links = links.join(held.toDF(end, "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+        new = connected(links.filter("a <> b")).toDF("label", "new")
+        if self.labels is None:
+            self.labels = materialize(new.toDF("node", "label"), "jaccard-labels")
+        else:
+            moved = self.labels.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+            fresh = new.join(self.labels, new.label == self.labels.node, "left_anti").toDF("node", "label")
+            self.labels = materialize(moved.union(fresh).distinct(), "jaccard-labels")
+        self.merged = self.labels.count()
+
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """Components of texts whose sets of word shingles have a Jaccard similarity of percent / 100 or more.
@@ -291,29 +406,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = rows.select("doc_id", "text_key", "n_shingles", "sign", "node").join(copies, "sign", "left")
     nodes = materialize(nodes.withColumn("first", F.coalesce("first", "node")), "jaccard-nodes")
 
-    postings = rows.filter("keys is not null").select("node", F.col("n_shingles").alias("n"), F.posexplode("keys").alias("pos", "key"))
-    postings = postings.repartition("key").sortWithinPartitions("key").mapInArrow(shared_keys, "node long, n long, pos int, key long")
-    postings = materialize(postings, "jaccard-postings")
-    moved = materialize(nodes.filter("first <> node").select("node", "first"), "jaccard-moved")
-    lists = postings.join(small_or_shuffled(moved, moved.count(), 32), "node", "left")
-    lists = lists.select("key", F.coalesce("first", "node").alias("node"), "n", "pos").dropDuplicates(["key", "node"])
-    lists = lists.repartition("key").sortWithinPartitions("key").mapInArrow(shared_keys, "key long, node long, n long, pos int")
+    moved = materialize(nodes.filter("first <> node").select("node"), "jaccard-moved")
+    first = rows.filter("keys is not null").join(small_or_shuffled(moved, moved.count(), 16), "node", "left_anti")
+    postings = first.select("node", F.col("n_shingles").alias("n"), F.posexplode("keys").alias("pos", "key"))
+    lists = postings.repartition("key").sortWithinPartitions("key").mapInArrow(shared_keys, "node long, n long, pos int, key long")
     lists = materialize(lists, "jaccard-lists")
 
-    meant = lists.select("node").distinct()
-    wanted = materialize(nodes.join(meant, "node", "left_semi").select("node", "doc_id", "sign"), "jaccard-wanted")
-    sets = materialize(sets_of(texts, wanted, width), "jaccard-sets")
-    probes = rows.filter("probes is not null").select("sign", "probes").join(wanted.select("sign", "node"), "sign")
-    probes = materialize(probes.select("node", "probes").dropDuplicates(["node"]), "jaccard-probes")
-
-    join = Join(lists, probes, sets, percent)
+    join = Join(texts, nodes, lists, first.select("node", "probes"), width, percent)
     for number in range(PIVOT_ROUNDS):
-        if not join.compare(join.pivot_pairs(number)):
+        if not join.pivot_round(number):
             break
-    join.compare(join.all_pairs())
+    join.last_round()
 
-    labelled = nodes.join(join.labels.toDF("first", "label"), "first", "left")
-    labelled = materialize(labelled.select("doc_id", "text_key", "n_shingles", F.coalesce("label", "first").alias("label")), "jaccard-labelled")
+    labelled = nodes.withColumn("label", F.col("first"))
+    if join.labels is not None:
+        labels = small_or_shuffled(join.labels.toDF("first", "merged"), join.merged, 32)
+        labelled = nodes.join(labels, "first", "left").withColumn("label", F.coalesce("merged", "first"))
+    labelled = materialize(labelled.select("doc_id", "text_key", "n_shingles", "label"), "jaccard-labelled")
     named = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
     named = materialize(named, "jaccard-named")
     result = labelled.join(small_or_shuffled(named, named.count(), 32), "label", "left")
