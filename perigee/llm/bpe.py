@@ -21,8 +21,12 @@ from tokenizers import Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A worker forgets the pieces it has met when it holds this many, and never holds longer ones.
-CACHE_ITEMS, CACHE_CHARS = 400_000, 64
+#: A worker forgets the chunks (or pre-tokens and fragments) it has met when it holds this many, and never holds
+#: longer ones.
+CACHE_ITEMS, CACHE_PIECES, CACHE_CHARS = 250_000, 40_000, 64
+
+#: Rows that a worker handles at a time.
+SLICE_ROWS = 256
 
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 
@@ -164,14 +168,14 @@ def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> tuple[list[s
 class Remembered(dict):
     """What a function gives for short pieces; emptied when full."""
 
-    def __init__(self, function: Callable):
+    def __init__(self, function: Callable, items: int):
         super().__init__()
-        self.function = function
+        self.function, self.items = function, items
 
     def __missing__(self, piece: str):
         value = self.function(piece)
         if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ITEMS:
+            if len(self) >= self.items:
                 self.clear()
             self[piece] = value
         return value
@@ -182,8 +186,8 @@ class Counter:
 
     def __init__(self, path: str):
         self.vocabulary = vocabulary(path)
-        self.pieces = Remembered(self.count_piece)
-        self.counts = Remembered(self.count_chunk)
+        self.pieces = Remembered(self.count_piece, CACHE_PIECES)
+        self.counts = Remembered(self.count_chunk, CACHE_ITEMS)
 
     def count_chunk(self, chunk: str) -> int:
         return sum(map(self.pieces.__getitem__, self.vocabulary.piece.findall(chunk)))
@@ -206,9 +210,9 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = vocabulary(path)
-        self.fragments = Remembered(self.encode_fragment)
-        self.pieces = Remembered(self.encode_piece)
-        self.shown = Remembered(self.show_chunk)
+        self.fragments = Remembered(self.encode_fragment, CACHE_PIECES)
+        self.pieces = Remembered(self.encode_piece, CACHE_PIECES)
+        self.shown = Remembered(self.show_chunk, CACHE_ITEMS)
 
     def cut(self, piece: str) -> list[str]:
         """The fragments of a pre-token, as letters; the last bears the word's end."""
@@ -276,6 +280,13 @@ def worker(kind: type, path: str) -> Counter | Encoder:
     return _WORKERS[kind, path]
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut into smaller ones, so that what a worker makes of one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
@@ -294,7 +305,7 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = worker(Counter, path)
-        for batch in batches:
+        for batch in sliced(batches):
             counts = [counter.count(text) for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["n_bytes"], pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
@@ -314,7 +325,7 @@ def encode_texts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker(Encoder, path)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [encoder.encode(text) for text in batch["text"].to_pylist()]
             arrays = [batch["doc_id"], pa.array(ids, pa.list_(pa.int32())), pa.array(map(encoder.decode, ids), pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "decoded"])
@@ -333,7 +344,7 @@ def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker(Encoder, path)
-        for batch in batches:
+        for batch in sliced(batches):
             counts, shas, backs, lists = [], [], [], []
             for text in batch["text"].to_pylist():
                 n, shown, back = encoder.digest(text)
