@@ -29,8 +29,9 @@ def bit_field(packet: Column, offset: int, width: int) -> Column:
     digits = F.conv(F.hex(F.substring(packet, first + 1, 4)), 16, 10).cast("decimal(38,0)")
     for at in range(first + 4, last + 1):
         digits = (digits * 256 + F.conv(F.hex(F.substring(packet, at + 1, 1)), 16, 10).cast("decimal(38,0)")).cast("decimal(38,0)")
-    whole = F.floor(digits / F.lit(1 << below).cast("decimal(20,0)")) if below else digits
-    return F.when(F.octet_length(packet) > last, (whole % F.lit(1 << width).cast("decimal(38,0)")).cast("decimal(20,0)"))
+    power = lambda n: F.lit(str(1 << n)).cast("decimal(38,0)")
+    whole = ((digits - digits % power(below)) / power(below)).cast("decimal(38,0)")
+    return F.when(F.octet_length(packet) > last, (whole % power(width)).cast("decimal(20,0)"))
 
 
 def header_fields(packet: Column) -> dict[str, Column]:

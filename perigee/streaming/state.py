@@ -92,12 +92,13 @@ def frame_packets(chunks: DataFrame, apids: list[int], most_bytes: int = 1 << 20
             else:
                 at, dropped = at + 1, dropped + 1
         state.update((bytes(data[at:]),))
-        yield pd.DataFrame(out, columns=["link", "apid", "packet", "dropped"])
+        if out:
+            yield pd.DataFrame(out, columns=["link", "apid", "packet", "dropped"])
 
     return chunks.groupBy("link").applyInPandasWithState(cut, "link string, apid int, packet binary, dropped int", "rest binary", "append", GroupStateTimeout.NoTimeout)
 
 
-def join_segments(segments: DataFrame, time_to_live: str = "1 hour") -> DataFrame:
+def join_segments(segments: DataFrame, time_to_live: str | None = "1 hour") -> DataFrame:
     """Payloads put together from a stream of segments (apid, sequence, segment_index, flag, payload).
 
     State of a packet: its segments so far; a start flag (1) begins anew. It is emitted when its end (flag 2) has come
@@ -122,13 +123,15 @@ def join_segments(segments: DataFrame, time_to_live: str = "1 hour") -> DataFram
                 parts, end = {}, -1
         if parts:
             state.update((json.dumps({int(k): v.hex() for k, v in parts.items()}), int(end)))
-            state.setTimeoutDuration(millis)
+            if millis:
+                state.setTimeoutDuration(millis)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(out, columns=["apid", "sequence", "packet"])
+        if out:
+            yield pd.DataFrame(out, columns=["apid", "sequence", "packet"])
 
     return segments.groupBy("apid", "sequence").applyInPandasWithState(
-        join, "apid int, sequence long, packet binary", "parts string, end int", "append", GroupStateTimeout.ProcessingTimeTimeout
+        join, "apid int, sequence long, packet binary", "parts string, end int", "append", GroupStateTimeout.ProcessingTimeTimeout if millis else GroupStateTimeout.NoTimeout
     )
 
 
