@@ -102,9 +102,10 @@ def join_segments(segments: DataFrame, time_to_live: str | None = "1 hour") -> D
     """Payloads put together from a stream of segments (apid, sequence, segment_index, flag, payload).
 
     State of a packet: its segments so far; a start flag (1) begins anew. It is emitted when its end (flag 2) has come
-    and no index is missing, and forgotten when nothing has come for time_to_live.
+    and no index is missing, and forgotten when nothing has come for time_to_live. With a time to live the
+    stream waits for the clock and doesn't end by itself; None keeps state for ever.
     """
-    millis = int(pd.Timedelta(time_to_live).total_seconds() * 1000)
+    millis = int(pd.Timedelta(time_to_live).total_seconds() * 1000) if time_to_live else None
 
     def join(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
