@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.llm import bpe, exact_dedup, jaccard, mixing, quality
-from perigee.llm.common import fold, materialize, read_table, without
+from perigee.llm.common import arrow_rows, fold, materialize, read_table, without
 from perigee.llm.registry import vocabulary_path
 
 
@@ -38,7 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, with their number and digests of the ids and of the text decoded from them."""
-    return bpe.encode_digests(docs, vocabulary_path(), with_ids=True)
+    with arrow_rows(spark, 512):  # whole texts
+        return materialize(bpe.encode_digests(docs, vocabulary_path(), with_ids=True), "encoded")
 
 
 STAGES = [

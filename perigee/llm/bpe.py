@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 #: A worker forgets the chunks (or pre-tokens and fragments) it has met when it holds this many, and never holds
 #: longer ones.
-CACHE_ITEMS, CACHE_PIECES, CACHE_CHARS = 250_000, 40_000, 64
+CACHE_ITEMS, CACHE_PIECES, CACHE_CHARS = 400_000, 150_000, 64
 
 #: Rows that a worker handles at a time.
 SLICE_ROWS = 256

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import materialize, small_or_shuffled, text_key, without
+from perigee.llm.common import arrow_rows, materialize, small_or_shuffled, text_key, without
 
 #: The directory has at most 2 ** MAX_DEPTH cells, which bounds what the driver and a broadcast hold.
 MAX_DEPTH = 14
@@ -141,7 +141,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .sortWithinPartitions("bucket", "key")
         .mapInArrow(chain, CLASSES)
     )
-    found = materialize(found, "dedup-index")
+    with arrow_rows(df.sparkSession, 512):  # whole texts
+        found = materialize(found, "dedup-index")
     groups = found.count()
     first = (
         entries.join(small_or_shuffled(found, groups, 80), ["key", "sha"])

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import materialize
+from perigee.llm.common import arrow_rows, materialize
 
 #: Partial sums of the normal equations meet in this many rows before the driver adds them up.
 SUM_ROWS = 16
@@ -214,7 +214,8 @@ def score_quality(
 
     Returns doc_id, text_key (a hash of the text), score, predicted (1 if score >= threshold, else 0).
     """
-    stats = materialize(document_statistics(df, id_col, text_col), "quality-stats")
+    with arrow_rows(df.sparkSession, 512):  # whole texts
+        stats = materialize(document_statistics(df, id_col, text_col), "quality-stats")
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     labelled = stats.filter(may_learn).join(known, "doc_id").withColumn("calibrate", calibrates)
