@@ -12,10 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.common import materialize, small_or_shuffled, text_key, without
+from perigee.llm.common import arrow_rows, materialize, small_or_shuffled, text_key, without
 from perigee.llm.components import connected
 
 #: Shingle frequencies are counted in 2 ** CELL_BITS cells, which SLICES rows carry.
@@ -30,8 +30,11 @@ PIVOT_ROUNDS = 4
 #: Members of a component that one task compares with others.
 BLOCK_NODES = 256
 
+#: Rows with texts or sets that a worker gets at a time.
+ARROW_ROWS = 512
+
 #: A worker forgets the words it has met when it holds as many.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 #: Multipliers of the shingle hash, one for each word.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -82,7 +85,7 @@ def frequency_levels(texts: DataFrame, width: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.int64)
+        total = np.zeros(1 << CELL_BITS, np.uint32)
         for batch in batches:
             for text in batch["text"]:
                 np.add.at(total, cell(shingles(text.as_py(), width)), 1)
@@ -128,7 +131,6 @@ def prefixes(texts: DataFrame, levels: np.ndarray, width: int, percent: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
-        rank = held.value.astype(np.uint64) << np.uint64(56)
         for batch in batches:
             sizes, signatures, probes, keys = [], [], [], []
             for text in batch["text"]:
@@ -141,7 +143,8 @@ def prefixes(texts: DataFrame, levels: np.ndarray, width: int, percent: int) ->
                     if len(met) >= 200_000:
                         met.clear()
                     met.add(sign)
-                    order = np.argsort(rank[cell(hashes)] | (hashes >> np.uint64(8)), kind="stable")
+                    rank = held.value[cell(hashes)].astype(np.uint64) << np.uint64(56)
+                    order = np.argsort(rank | (hashes >> np.uint64(8)), kind="stable")
                     keys.append(hashes[order[: n - -(-percent * n // 100) + 1]].view(np.int64))
                     probes.append(np.bincount((hashes & np.uint64(PROBES - 1)).astype(np.int64), minlength=PROBES).astype(np.int32))
                 else:
@@ -222,12 +225,22 @@ def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return rows.select("node", "sign", "text").mapInArrow(run, "node long, set binary")
 
 
+def with_listed_before(lists: DataFrame) -> DataFrame:
+    """lists with `before`: how many of a node's shingles before this one have a list.
+
+    A shingle that two nodes share before one of both prefixes is in both prefixes too, and so has a list. Those
+    before it without a list are not shared, which bounds what the pair has in common more closely than positions.
+    """
+    order = Window.partitionBy("node").orderBy("pos")
+    return lists.withColumn("before", F.row_number().over(order) - 1)
+
+
 def pivots(percent: int):
     """A function over rows in order of (key, rank) that pairs each list's first node, its pivot, with the others.
 
     Pairs of one component go, and pairs that can't be linked by their sizes and the place of the shared shingle: a
-    pair may share shingles before it (in lists with another pivot) and all that is left behind it. Holds one pivot
-    between batches.
+    pair shares at most the listed shingles before it (see with_listed_before) and all that is left behind it. Holds
+    one pivot between batches.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,14 +248,14 @@ def pivots(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c: batch[c].to_numpy() for c in ("key", "node", "n", "pos", "label")}
+            rows = {c: batch[c].to_numpy() for c in ("key", "node", "n", "pos", "before", "label")}
             if held is not None:
                 rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
             first = np.r_[True, rows["key"][1:] != rows["key"][:-1]]
             at = np.flatnonzero(first)[np.cumsum(first) - 1]
             pivot = {c: v[at] for c, v in rows.items()}
             held = {c: v[-1:] for c, v in pivot.items()}
-            most = np.minimum(rows["pos"], pivot["pos"]) + np.minimum(rows["n"] - rows["pos"], pivot["n"] - pivot["pos"])
+            most = np.minimum(rows["before"], pivot["before"]) + np.minimum(rows["n"] - rows["pos"], pivot["n"] - pivot["pos"])
             good = (rows["label"] != pivot["label"]) & (most * (100 + percent) >= percent * (rows["n"] + pivot["n"]))
             a, b = np.minimum(rows["node"], pivot["node"])[good], np.maximum(rows["node"], pivot["node"])[good]
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array((rows["n"] + pivot["n"])[good])], ["a", "b", "both"])
@@ -277,29 +290,33 @@ class Join:
     def pivot_round(self, number: int) -> int:
         """Compare the nodes of each list with its pivot, which a hash chooses anew; returns the number of pairs."""
         ranked = self.labelled().withColumn("rank", F.xxhash64(F.lit(number), "node"))
-        ranked = ranked.repartition("key").sortWithinPartitions("key", "rank", "node").select("key", "node", "n", "pos", "label")
+        ranked = ranked.repartition("key").sortWithinPartitions("key", "rank", "node").select("key", "node", "n", "pos", "before", "label")
         return self.compare(ranked.mapInArrow(pivots(self.percent), "a long, b long, both long").distinct())
 
-    def last_round(self) -> None:
+    def last_rounds(self) -> None:
         """Compare all that lists still have in different components.
 
-        Nodes that are alone are paired with each other: a pair meets in every list of both its nodes, so its first
-        shared shingle bounds what it shares. Components of more nodes are paired as wholes.
+        Components of several nodes are compared as wholes with all others, until that merges nothing more. What then
+        is alone is paired with what is alone: such a pair meets in every list of both its nodes, so its first shared
+        shingle bounds what it shares.
         """
         lists = materialize(self.labelled(), "jaccard-open")
-        if self.labels is None:
-            alone, grouped = lists, None
-        else:
+        while self.labels is not None:
             many = small_or_shuffled(self.labels.select("label").distinct(), self.merged, 16)
-            alone, grouped = lists.join(many, "label", "left_anti"), lists.join(many, "label", "left_semi")
+            if not self.compare_components(lists, lists.join(many, "label", "left_semi")):
+                break
+            lists = materialize(self.labelled(), "jaccard-open")
+        alone = lists
+        if self.labels is not None:
+            alone = materialize(lists.join(small_or_shuffled(self.labels.select("node"), self.merged, 16), "node", "left_anti"), "jaccard-alone")
         pairs = alone.alias("x").join(alone.alias("y"), F.expr("x.key = y.key and x.node < y.node"))
         pairs = pairs.filter(F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent)
+        most = F.least("x.before", "y.before") + F.least(F.expr("x.n - x.pos"), F.expr("y.n - y.pos"))
+        pairs = pairs.filter(most >= needed(self.percent, F.col("x.n"), F.col("y.n")))
         pairs = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
         first = pairs.agg(F.min("x.pos").alias("pa"), F.min("y.pos").alias("pb"))
         near = first.filter(F.least(F.expr("na - pa"), F.expr("nb - pb")) >= needed(self.percent, F.col("na"), F.col("nb")))
         self.compare(near.select("a", "b", F.expr("na + nb").alias("both")))
-        if grouped is not None:
-            self.compare_components(lists, grouped)
 
     def compare(self, pairs: DataFrame) -> int:
         """Verify pairs (a, b, both sizes) that have not been before, once each, and merge what they link."""
@@ -319,11 +336,11 @@ class Join:
             self.merge(materialize(links, "jaccard-links"))
         return n
 
-    def compare_components(self, lists: DataFrame, grouped: DataFrame) -> None:
-        """Pairs of components of which one at least has several nodes and which share a list.
+    def compare_components(self, lists: DataFrame, grouped: DataFrame) -> bool:
+        """Compare pairs of components of which one at least has several nodes and which share a list.
 
         The nodes of the smaller one go to every block of the larger one; a block's task compares them and returns one
-        link for each that has any. So neither pairs nor a whole component meet in one place.
+        link for each that has any. So neither pairs nor a whole component meet in one place. Returns whether any merged.
         """
         sides = [x.groupBy("key", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi")) for x in (grouped, lists)]
         close = F.expr(f"x.key = y.key and x.label <> y.label and x.hi * 100 >= y.lo * {self.percent} and y.hi * 100 >= x.lo * {self.percent}")
@@ -339,7 +356,7 @@ class Join:
         asked = asked.select("node", "big", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         members, asked = materialize(members, "jaccard-members"), materialize(asked, "jaccard-asked")
         if asked.limit(1).count() == 0:
-            return
+            return False
         sets = self.sets(members.select("node").union(asked.select("node")).distinct())
         percent = self.percent
 
@@ -364,12 +381,12 @@ class Join:
 
         left = members.join(sets, "node").groupBy("big", "block")
         right = asked.toDF("asked", "of", "in").join(sets.toDF("asked", "own_set"), "asked").groupBy("of", "in")
-        self.merge(materialize(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links"))
+        return self.merge(materialize(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links"))
 
-    def merge(self, links: DataFrame) -> None:
-        """Merge the components that links (a, b) join."""
+    def merge(self, links: DataFrame) -> bool:
+        """Merge the components that links (a, b) join; returns whether there were any links."""
         if links.limit(1).count() == 0:
-            return
+            return False
         if self.labels is not None:
             held = small_or_shuffled(self.labels, self.merged, 32)
             for end in "ab":
@@ -382,6 +399,7 @@ class Join:
             fresh = new.join(self.labels, new.label == self.labels.node, "left_anti").toDF("node", "label")
             self.labels = materialize(moved.union(fresh).distinct(), "jaccard-labels")
         self.merged = self.labels.count()
+        return True
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -394,6 +412,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Returns doc_id, n_shingles, component_id, text_key (a hash of the text) for every row.
     """
+    with arrow_rows(df.sparkSession, ARROW_ROWS):
+        return _near_duplicates(df, id_col, text_col, width, percent)
+
+
+def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"), text)
     levels = frequency_levels(texts, width)
@@ -410,13 +433,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = rows.filter("keys is not null").join(small_or_shuffled(moved, moved.count(), 16), "node", "left_anti")
     postings = first.select("node", F.col("n_shingles").alias("n"), F.posexplode("keys").alias("pos", "key"))
     lists = postings.repartition("key").sortWithinPartitions("key").mapInArrow(shared_keys, "node long, n long, pos int, key long")
-    lists = materialize(lists, "jaccard-lists")
+    lists = materialize(with_listed_before(materialize(lists, "jaccard-shared")), "jaccard-lists")
 
     join = Join(texts, nodes, lists, first.select("node", "probes"), width, percent)
     for number in range(PIVOT_ROUNDS):
         if not join.pivot_round(number):
             break
-    join.last_round()
+    join.last_rounds()
 
     labelled = nodes.withColumn("label", F.col("first"))
     if join.labels is not None:
