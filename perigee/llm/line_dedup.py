@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.common import materialize, small_or_shuffled
 
+#: Lines of fewer letters have few variants and halves that many share, so they emit variants without a look at halves.
+SHORT = 8
+
 
 def split_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, line_no (from 0) and line of every text; null texts have no lines."""
@@ -37,12 +40,20 @@ def half_keys() -> Column:
 
 
 def variants() -> Column:
-    """Hashes of the line itself and of the line less any one letter."""
+    """The line itself (place 0) and the line less the letter at each place, as pairs of hashes v1, v2.
+
+    Lines alike without the letter at the same place are one edit apart, and so are a line and every line that is
+    alike to it without one letter. There is no other way to be within one edit.
+    """
+
+    def key(text: Column, place: Column) -> Column:
+        return F.struct(F.xxhash64(text).alias("v1"), F.xxhash64(F.lit(1), text).alias("v2"), place.cast("int").alias("place"))
+
     less = F.transform(
         F.sequence(F.lit(1), F.col("n_chars")),
-        lambda i: F.xxhash64(F.concat(F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.col("n_chars")))),
+        lambda i: key(F.concat(F.substring("line", F.lit(1), i - 1), F.substring("line", i + 1, F.col("n_chars"))), i),
     )
-    return F.array_distinct(F.concat(F.array(F.xxhash64("line")), less))
+    return F.concat(F.array(key(F.col("line"), F.lit(0))), less)
 
 
 def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
@@ -50,9 +61,11 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Lines stand in order of doc_id, then line number. Equal lines are one edit class of any size: they are folded
     before they are shuffled, and come back by their hashes. Of the different lines of min_chars letters or more,
-    those that share a half key with another emit all variants with up to one letter deleted, as hashed keys; lines
-    that share a variant are verified by edit distance. Shorter lines are duplicates only of equal ones. A variant is
-    shared by few different lines (one for each letter and place), however large the table is.
+    those that share a half key with another, and all below SHORT letters, emit all variants with up to one letter
+    deleted, as hashed keys. Lines that share a variant at one place are all within one edit of each other, and those
+    of any place are within one edit of the line that is the variant; so the earliest of each is an aggregate, and
+    no pairs are made, however many lines share a variant. Lines under min_chars letters are duplicates only of equal
+    ones; with 1, no line is left out.
 
     Empty lines always stay, and null texts have no lines. Rows that are alike in id and text are told apart by
     nothing, so their lines stay or go together; null ids come first. An empty table gives an empty result. Other
@@ -62,7 +75,7 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     lines = split_lines(df, id_col, text_col)
     measured = lines.withColumn("n_chars", F.length("line"))
-    hashed = measured.select("doc_id", "line_no", "n_chars", *line_hash(), half_keys_or_none(min_chars))
+    hashed = measured.select("doc_id", "line_no", "n_chars", *line_hash(), half_keys_or_none(max(min_chars, SHORT - 1)))
     hashed = materialize(hashed, "line-hashes")
     different = materialize(
         hashed.filter("n_chars > 0")
@@ -78,7 +91,9 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     halves = different.filter("halves is not null").select("h1", "h2", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("lines")).filter("lines > 1").select("half")
     near = materialize(halves.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-near")
-    near = materialize(different.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "first"), "line-first")
+    short = F.col("n_chars") < SHORT
+    near = different.filter(~short).join(near, ["h1", "h2"], "left_semi").unionByName(different.filter(short & (F.col("n_chars") >= min_chars)))
+    near = materialize(near.select("h1", "h2", "first"), "line-first")
     found = (
         measured.select("*", *line_hash())
         .filter(F.col("n_chars") >= min_chars)
@@ -87,25 +102,16 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .dropDuplicates(["h1", "h2"])
     )
     found = materialize(found.select("h1", "h2", "first", "line", "n_chars"), "line-texts")
-    keyed = found.select("h1", "h2", "first", F.explode(variants()).alias("variant"))
-    keyed = materialize(keyed, "line-variants")
-    met = keyed.groupBy("variant").agg(F.count("*").alias("lines")).filter("lines > 1").select("variant")
-    keyed = keyed.join(met, "variant", "left_semi")
-    pairs = (
-        keyed.alias("a")
-        .join(keyed.alias("b"), (F.col("a.variant") == F.col("b.variant")) & (F.col("b.first") < F.col("a.first")))
-        .select("a.h1", "a.h2", F.col("b.h1").alias("e1"), F.col("b.h2").alias("e2"), F.col("b.first").alias("earlier"))
-        .distinct()
-    )
-    texts = found.select("h1", "h2", "line")
-    other = found.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("line").alias("earlier_line"))
-    earliest = (
-        pairs.join(texts, ["h1", "h2"])
-        .join(other, ["e1", "e2"])
-        .filter(F.levenshtein("line", "earlier_line", 1) >= 0)
-        .groupBy("h1", "h2")
-        .agg(F.min("earlier").alias("earlier"))
+    keyed = found.select("h1", "h2", "first", F.inline(variants()))
+    alike, same_place = Window.partitionBy("v1", "v2"), Window.partitionBy("v1", "v2", "place")
+    itself = F.col("place") == 0
+    met = (
+        keyed.withColumn("substituted", F.min("first").over(same_place))
+        .withColumn("shorter", F.min(F.when(itself, F.col("first"))).over(alike))
+        .withColumn("longer", F.min(F.when(~itself, F.col("first"))).over(alike))
+        .withColumn("earlier", F.when(itself, F.col("longer")).otherwise(F.least("substituted", "shorter")))
     )
+    earliest = met.filter(F.col("earlier") < F.col("first")).groupBy("h1", "h2").agg(F.min("earlier").alias("earlier"))
     decided = different.join(earliest, ["h1", "h2"], "left").filter("rows > 1 or earlier is not null")
     decided = materialize(decided.select("h1", "h2", F.coalesce("earlier", "first").alias("keep")), "line-decisions")
     own = F.struct("doc_id", "line_no")
@@ -121,7 +127,7 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def half_keys_or_none(min_chars: int) -> Column:
-    """The half keys of lines that are long enough for an edit, else null."""
+    """The half keys of lines of min_chars letters or more, else null."""
     return F.when(F.col("n_chars") >= min_chars, half_keys()).alias("halves")
 
 

@@ -69,8 +69,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each line of all documents, the earliest line within one edit."""
-    return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"))
+    """For each line of all documents, however short, the earliest line within one edit."""
+    return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"), min_chars=1)
 
 
 OP2_SQL = """

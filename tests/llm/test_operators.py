@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import tempfile
 import zlib
 
 import pytest
@@ -302,3 +303,24 @@ def test_lines(docs, rows, nothing):
     assert line_dedup.duplicate_lines(nothing).count() == 0
     unique = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
     assert line_dedup.without_duplicate_lines(unique).columns == docs.columns
+
+
+def test_short_lines(spark):
+    """Lines of every length are compared within one edit by the registered query; many share a variant."""
+    rng = random.Random(4)
+    lines = ["".join(rng.choice("abcdé") for _ in range(rng.randint(0, 9))) for _ in range(250)]
+    lines += [chr(200 + i) for i in range(150)] + ["Anth.", "Onth.", "The anhely eran.", "The, anhely eran.", "s" * 19, "s" * 20]
+    rng.shuffle(lines)
+    texts = ["\n".join(lines[i : i + 7]) for i in range(0, len(lines), 7)]
+    every = [(i, n, line) for i, t in enumerate(texts) for n, line in enumerate(t.split("\n"))]
+    first = {}
+    for i, n, line in every:
+        first.setdefault(line, (i, n))
+    expected = []
+    for i, n, line in every:
+        near = [at for other, at in first.items() if other and within_one(line, other)]
+        expected.append((i, n, *(min(near) if line else (i, n))))
+    folder = tempfile.mkdtemp(prefix="spark-lines-")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = registry.op10_line_dedup(spark, folder).collect()
+    assert sorted((r["doc_id"], r["line_no"], r["keep_doc_id"], r["keep_line_no"]) for r in found) == expected
