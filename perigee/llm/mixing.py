@@ -17,6 +17,9 @@ MOST = 3
 #: Weights by a source's place in the order of names.
 CYCLE = 3
 
+#: A source has as many blocks at least, of fewer words if it is small.
+LEAST_BLOCKS = 64
+
 #: Primes, of which the first that does not divide the number of a source's blocks strides through them.
 STRIDES = (1000003, 1000033, 1000037, 1000039, 1000081, 1000099)
 
@@ -66,18 +69,33 @@ def source_targets(sized: DataFrame) -> DataFrame:
 
 
 def block_quotas(targets: DataFrame, block_words: int, n_shards: int) -> DataFrame:
-    """Blocks that each source gives to each shard: key, n_blocks, upto (array: blocks given to the first s shards).
+    """Blocks that each source gives to each shard: key, width, n_blocks, upto (array: blocks given to the first s shards).
+
+    width is the words of a source's blocks: block_words, or less in a source that would have fewer than LEAST_BLOCKS
+    such blocks (one word at least). The blocks of such a small source are given by its own share of them: its target,
+    as a part of its size, of n_blocks, and of that the part s / n_shards, rounded.
 
-    The mix has as many blocks as fit into all words, and the first s shards have the share s / n_shards of them.
+    The other sources share what words are left. They have as many blocks as fit into these, and the first s shards
+    have the share s / n_shards of them.
     Sainte-Laguë gives the blocks of the first s shards to the highest of the quotients target / (2 k + 1). The
     quotas only grow with s, so a shard's own quota is the difference of two. A source's quota differs from its
     exact share by at most half the number of sources times its share, plus one; so only quotients in that range are
     ranked, and these are about two for each source.
     """
-    shares = (
-        targets.withColumn("sources", F.count("*").over(Window.partitionBy()))
-        .withColumn("n_blocks", F.ceil(F.col("source_size") / block_words).cast("long"))
+    least = LEAST_BLOCKS * block_words
+    width = F.when(F.col("source_size") >= least, F.lit(block_words)).otherwise(F.greatest(F.expr(f"source_size div {LEAST_BLOCKS}"), F.lit(1)))
+    cut = (
+        targets.withColumn("small", F.col("source_size") < least)
+        .withColumn("width", width.cast("long"))
+        .withColumn("n_blocks", F.ceil(F.col("source_size") / F.col("width")).cast("long"))
+        .withColumn("total", F.col("total") - F.sum(F.when(F.col("small"), F.col("target")).otherwise(0.0)).over(Window.partitionBy()))
         .withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(n_shards))))
+    )
+    part = F.col("target") / F.greatest("source_size", F.lit(1)) * F.col("n_blocks") * F.col("shard") / n_shards
+    own = cut.filter("small").withColumn("quota", F.least(F.round(part).cast("long"), MOST * F.col("n_blocks")))
+    shares = (
+        cut.filter("not small")
+        .withColumn("sources", F.count("*").over(Window.partitionBy("shard")))
         .withColumn("seats", F.expr(f"round(total / {block_words}) * shard").cast("long"))
         .withColumn("seats", F.expr(f"seats div {n_shards}"))
         .withColumn("share", F.col("seats") * F.col("target") / F.greatest("total", F.lit(1)))
@@ -91,11 +109,13 @@ def block_quotas(targets: DataFrame, block_words: int, n_shards: int) -> DataFra
     rank = F.row_number().over(Window.partitionBy("shard").orderBy(F.desc("quotient"), "key", "k"))
     won = quotients.withColumn("won", (rank <= F.col("left")) & (F.col("target") > 0))
     return (
-        won.groupBy("key", "n_blocks", "shard", "sure")
+        won.groupBy("key", "width", "n_blocks", "shard", "sure")
         .agg(F.least(F.col("sure") + F.sum(F.col("won").cast("long")), MOST * F.col("n_blocks")).alias("quota"))
-        .groupBy("key", "n_blocks")
+        .drop("sure")
+        .unionByName(own.select("key", "width", "n_blocks", "shard", "quota"))
+        .groupBy("key", "width", "n_blocks")
         .agg(F.array_sort(F.collect_list(F.struct("shard", "quota"))).alias("by_shard"))  # n_shards of each source
-        .select("key", "n_blocks", F.col("by_shard.quota").alias("upto"))
+        .select("key", "width", "n_blocks", F.col("by_shard.quota").alias("upto"))
     )
 
 
@@ -131,19 +151,19 @@ def with_draws(placed: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
     return placed.join(F.broadcast(drawn), "key")
 
 
-def taken_words(block_words: int) -> Column:
+def taken_words() -> Column:
     """Words taken from a document: over the blocks that it reaches into, its words there times the block's draws.
 
     Block b comes (stride b + shift) mod n_blocks-th in the seeded order, which is gone through again and again until
     the quota is reached; so all blocks are drawn quota div n_blocks times, and those that come first once more.
     """
-    return F.expr(f"""
+    return F.expr("""
         case when size = 0 or n_blocks = 0 then 0L else
             size * (quota div n_blocks) + aggregate(
-                sequence(start div {block_words}, (start + size - 1) div {block_words}),
+                sequence(start div width, (start + size - 1) div width),
                 0L,
                 (sum, b) -> sum + case when (b * stride + shift) % n_blocks < quota % n_blocks
-                    then least(start + size, (b + 1) * {block_words}) - greatest(start, b * {block_words}) else 0L end
+                    then least(start + size, (b + 1) * width) - greatest(start, b * width) else 0L end
             ) end""")
 
 
@@ -160,18 +180,20 @@ def mix_sources(
 
     Sources in order of code point, null last, weigh 1, 2, 3 and so on in turn, and share as many words as there are
     (see source_targets). Each source's documents stand one after another in a seeded order and are cut into blocks
-    of block_words words; quotas of blocks are given by block_quotas, and blocks are drawn as in taken_words.
+    of block_words words, or fewer in a small source; quotas of blocks are given by block_quotas, and blocks are drawn
+    as in taken_words.
 
     Null and empty texts have size 0, and nothing is taken from them. Rows that are alike in id and size may swap
     their shares; repeated rows are taken each. An empty table gives an empty result. Other columns of df are not
-    looked at. The last block of a source is short, so the words taken differ from the target by some blocks.
+    looked at. The last block of a source is short, so the words taken differ from the target by some blocks,
+    of which a source has LEAST_BLOCKS or more (or blocks of one word).
 
     Returns doc_id, size, source_size, target, taken.
     """
     sized = word_sizes(df, id_col, text_col, source_col, seed)
     targets = materialize(source_targets(sized), "mix-targets")
     drawn = with_draws(word_offsets(sized, targets), block_quotas(targets, block_words, n_shards), seed)
-    return drawn.select("doc_id", "size", "source_size", "target", taken_words(block_words).alias("taken"))
+    return drawn.select("doc_id", "size", "source_size", "target", taken_words().alias("taken"))
 
 
 def mixed_texts(
@@ -194,21 +216,21 @@ def mixed_texts(
     drawn = with_draws(word_offsets(sized, targets), block_quotas(targets, block_words, n_shards), seed)
     rounds = F.expr(f"""
         filter(transform(sequence(0L, {MOST - 1}L), round ->
-            filter(sequence(start div {block_words}, (start + size - 1) div {block_words}),
+            filter(sequence(start div width, (start + size - 1) div width),
                 b -> round * n_blocks + (b * stride + shift) % n_blocks < quota)), x -> size(x) > 0)""")
-    whole = F.expr(f"size(blocks) = (start + size - 1) div {block_words} - start div {block_words} + 1")
+    whole = F.expr("size(blocks) = (start + size - 1) div width - start div width + 1")
     shares = (
         drawn.filter("size > 0 and n_blocks > 0 and quota > 0")
         .groupBy("doc_id", "text_key")
-        .agg(*[F.first(c).alias(c) for c in ("size", "start", "n_blocks", "stride", "shift", "quota")])
-        .select("doc_id", "text_key", "size", "start", F.explode(rounds).alias("blocks"))
+        .agg(*[F.first(c).alias(c) for c in ("size", "start", "width", "n_blocks", "stride", "shift", "quota")])
+        .select("doc_id", "text_key", "size", "start", "width", F.explode(rounds).alias("blocks"))
         .withColumn("whole", whole)
-        .select(F.col("doc_id").alias("_mix_id"), F.col("text_key").alias("_mix_key"), F.struct("size", "start", "blocks", "whole").alias("_mix"))
+        .select(F.col("doc_id").alias("_mix_id"), F.col("text_key").alias("_mix_key"), F.struct("size", "start", "width", "blocks", "whole").alias("_mix"))
     )
-    cut = F.expr(f"""
+    cut = F.expr("""
         array_join(flatten(transform(_mix.blocks, b -> slice(_pieces,
-            cast(greatest(b * {block_words}, _mix.start) - _mix.start + 1 as int),
-            cast(least((b + 1) * {block_words}, _mix.start + _mix.size) - greatest(b * {block_words}, _mix.start) as int)))), '')""")
+            cast(greatest(b * _mix.width, _mix.start) - _mix.start + 1 as int),
+            cast(least((b + 1) * _mix.width, _mix.start + _mix.size) - greatest(b * _mix.width, _mix.start) as int)))), '')""")
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), 1)
     joined = df.join(shares, df[id_col].eqNullSafe(F.col("_mix_id")) & (text_key(text_col) == F.col("_mix_key"))).withColumn("_pieces", F.when(~F.col("_mix.whole"), pieces))
     text = F.when(F.col("_mix.whole"), F.col(text_col)).otherwise(cut)

@@ -324,3 +324,28 @@ def test_short_lines(spark):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
     found = registry.op10_line_dedup(spark, folder).collect()
     assert sorted((r["doc_id"], r["line_no"], r["keep_doc_id"], r["keep_line_no"]) for r in found) == expected
+
+
+def test_mixing_of_small_sources(spark):
+    """Beside a large source, sources of 10 to 300 words come to their targets in blocks of the production size."""
+    sizes = {"a": 40000} | {f"s{n:03}": n for n in (10, 20, 31, 33, 65, 100, 127, 130, 200, 299, 300)}
+    rng = random.Random(6)
+    made = []
+    for source, left in sizes.items():
+        while left:
+            n = min(left, rng.randint(1, 200))
+            made.append((len(made), " ".join(f"{source}w{i}" for i in range(n)), "en", source, 0))
+            left -= n
+    frame = spark.createDataFrame(made, SCHEMA).repartition(3)
+    source_of = {i: source for i, _, _, source, _ in made}
+    found = mixing.mix_sources(frame, block_words=64).collect()
+    target = {source_of[r["doc_id"]]: r["target"] for r in found}
+    expected = {r["doc_id"]: r["taken"] for r in found if r["taken"]}
+    taken = collections.Counter()
+    for i, n in expected.items():
+        taken[source_of[i]] += n
+    assert all(abs(taken[s] - target[s]) <= (192 if s == "a" else max(1, 0.03 * target[s])) for s in sizes)
+    words = collections.Counter()
+    for r in mixing.mixed_texts(frame, block_words=64).collect():
+        words[r["doc_id"]] += len(r["text"].split())
+    assert dict(words) == expected
