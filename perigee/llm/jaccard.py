@@ -410,7 +410,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are taken whole. Rows are nodes of their own, so repeated ids and null ids are fine; a component's id is its
     smallest doc_id that is not null. An empty table gives an empty result. Other columns of df are not looked at.
 
-    Returns doc_id, n_shingles, component_id, text_key (a hash of the text) for every row.
+    Returns doc_id, n_shingles, component_id, text_key (a hash of the text) and label for every row. label tells components
+    apart, which component_id doesn't if an id stands on unrelated texts.
     """
     with arrow_rows(df.sparkSession, ARROW_ROWS):
         return _near_duplicates(df, id_col, text_col, width, percent)
@@ -449,7 +450,7 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, perc
     named = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
     named = materialize(named, "jaccard-named")
     result = labelled.join(small_or_shuffled(named, named.count(), 32), "label", "left")
-    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key")
+    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", "label")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -458,7 +459,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     Rows with empty sets are alone and stay; so do rows with null ids. Rows alike in id and text stay or go together.
     """
     found = materialize(near_duplicates(df, id_col, text_col, width, percent), "jaccard-found")
-    keepers = found.filter("doc_id = component_id").groupBy("component_id").agg(F.min("text_key").alias("keep_key"))
-    keepers = materialize(keepers, "jaccard-keepers")
-    linked = found.filter("doc_id is not null and n_shingles > 0").join(keepers, "component_id")
-    return without(df, linked.filter("doc_id <> component_id or text_key <> keep_key"), id_col, text_col)
+    linked = found.filter("doc_id is not null and n_shingles > 0")
+    keepers = linked.groupBy("label").agg(F.min(F.struct("doc_id", "text_key")).alias("keep"), F.count("*").alias("rows"))
+    keepers = materialize(keepers.filter("rows > 1").select("label", "keep"), "jaccard-keepers")
+    return without(df, linked.join(keepers, "label").filter("doc_id <> keep.doc_id or text_key <> keep.text_key"), id_col, text_col)

@@ -48,7 +48,7 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by shingle similarity."""
-    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key")
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key", "label")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

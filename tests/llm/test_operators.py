@@ -349,3 +349,12 @@ def test_mixing_of_small_sources(spark):
     for r in mixing.mixed_texts(frame, block_words=64).collect():
         words[r["doc_id"]] += len(r["text"].split())
     assert dict(words) == expected
+
+
+def test_one_of_each_with_repeated_ids(spark):
+    """Unrelated texts under one id all stay; of near copies the one of the smallest id does."""
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    made = [(1, texts[0]), (1, texts[1]), (2, texts[1] + " more"), (3, texts[2]), (4, texts[2])]
+    frame = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    left = sorted((r["doc_id"], r["text"]) for r in jaccard.one_of_each(frame).collect())
+    assert left == [(1, texts[0]), (1, texts[1]), (3, texts[2])]
