@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_FOLDERS: dict[str, str] = {}
+from perigee.sources.scratch import delete_table, shared_folder
 
 #: A table of at most this many bytes may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
+#: A bitmap of keys has 2 ** BITMAP_BITS bits, 16 MB.
+BITMAP_BITS = 27
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -23,27 +27,56 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir of the session.
+#: Tables are written in row groups of this many bytes, which a writing task holds.
+ROW_GROUP_BYTES = 16 << 20
+
+_FORGET: dict[str, Callable[[], None]] = {}
 
-    Only a local master without that setting gets a temporary folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_FOLDERS:
-        _OWN_FOLDERS[app] = "file://" + tempfile.mkdtemp(prefix="perigee-")
-    return _OWN_FOLDERS[app]
+
+def _write(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back; this cuts the lineage."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, name)[1]
+
+
+class Tables:
+    """Tables that one call of an operator writes in the shared folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held = spark, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """As materialize."""
+        path, table = _write(df, name)
+        self.held.append((path, table))
+        return table
+
+    def drop(self, *but: DataFrame) -> None:
+        """Delete the tables, but for those that are read later on."""
+        for path, table in self.held:
+            if not any(table is x for x in but):
+                delete_table(self.spark, path)
+        self.held = [x for x in self.held if any(x[1] is y for y in but)]
+
+
+def remembers(name: str, forget: Callable[[], None]) -> None:
+    """Say how a worker forgets what the operator of this name remembers between tasks."""
+    _FORGET[name] = forget
+
+
+def begin_task(name: str) -> None:
+    """In a worker: give back the memory that other operators' tasks have left in it."""
+    for other, forget in _FORGET.items():
+        if other != name:
+            forget()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 @contextlib.contextmanager
@@ -63,6 +96,20 @@ def small_or_shuffled(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def marked(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """df with `_maybe`: whether key may be in keys (key long). No row that is in keys is missed.
+
+    A bitmap of 2 ** BITMAP_BITS places, whatever the number of keys, is broadcast in rows of 2 ** 15 places.
+    """
+    at = F.pmod(F.col("key"), F.lit(1 << BITMAP_BITS))
+    rows = keys.select(F.shiftright(at, 15).alias("_row"), F.pmod(at, F.lit(1 << 15)).alias("at"))
+    rows = rows.groupBy("_row").agg(F.bitmap_construct_agg("at").alias("_bits"))
+    held = df.withColumn("_at", F.pmod(key, F.lit(1 << BITMAP_BITS))).withColumn("_row", F.shiftright("_at", 15))
+    bit = F.expr("shiftright(cast(conv(hex(substring(_bits, cast(_at % 32768 div 8 + 1 as int), 1)), 16, 10) as int), cast(_at % 8 as int)) & 1")
+    joined = held.join(F.broadcast(rows), "_row", "left")
+    return joined.withColumn("_maybe", F.coalesce(bit == 1, F.lit(False))).drop("_row", "_at", "_bits")
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -79,7 +126,16 @@ def text_key(text_col: str) -> Column:
 
 
 def without(df: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """df less the rows whose id and text_key are in gone (doc_id, text_key). Null ids are equal to each other."""
+    """df less the rows whose id and text_key are in gone (doc_id, text_key). Null ids are equal to each other.
+
+    If gone is too large to broadcast, only rows whose text_key may be among its own are shuffled.
+    """
     gone = materialize(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct(), "gone")
-    gone = small_or_shuffled(gone, gone.count(), 32)
-    return df.join(gone, df[id_col].eqNullSafe(F.col("_gone_id")) & (text_key(text_col) == F.col("_gone_key")), "left_anti")
+    n = gone.count()
+    same = df[id_col].eqNullSafe(F.col("_gone_id")) & (text_key(text_col) == F.col("_gone_key"))
+    if n * 32 <= BROADCAST_BYTES:
+        return df.join(F.broadcast(gone), same, "left_anti")
+    seen = marked(df, text_key(text_col), gone.select(F.col("_gone_key").alias("key")))
+    rest = seen.filter("_maybe").drop("_maybe")
+    same = rest[id_col].eqNullSafe(F.col("_gone_id")) & (text_key(text_col) == F.col("_gone_key"))
+    return seen.filter("not _maybe").drop("_maybe").unionByName(rest.join(gone, same, "left_anti"))

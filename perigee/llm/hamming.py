@@ -7,88 +7,101 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.common import materialize
-
-#: Codes have SEGMENTS segments of BITS bits.
-SEGMENTS, BITS = 4, 16
-MASK = np.uint64((1 << BITS) - 1)
-
-
-def flips() -> list[np.ndarray]:
-    """For each radius, the masks that flip as many bits of a segment."""
-    out = []
-    for radius in range(BITS + 1):
-        out.append(np.array([sum(1 << b for b in bits) for bits in combinations(range(BITS), radius)], np.int64))
-    return out
-
-
-class Index:
-    """The different codes of a block, by the value of each segment; rows of one code share its list of ids."""
-
-    def __init__(self, ids: np.ndarray, codes: np.ndarray, k: int):
-        order = np.lexsort((ids, codes))
-        ids, codes = ids[order], codes[order]
-        self.codes, starts, counts = np.unique(codes, return_index=True, return_counts=True)
-        self.ids = [ids[s : s + min(n, k)] for s, n in zip(starts, counts, strict=True)]  # no answer needs more of one code
-        self.order, self.offsets = [], []
-        for segment in range(SEGMENTS):
-            values = self.segment(self.codes, segment)
-            self.order.append(np.argsort(values, kind="stable"))
-            self.offsets.append(np.searchsorted(values[self.order[-1]], np.arange((1 << BITS) + 1)))
-
-    @staticmethod
-    def segment(codes: np.ndarray, number: int) -> np.ndarray:
-        return ((codes >> np.uint64(BITS * number)) & MASK).astype(np.int64)
-
-    def candidates(self, query: np.uint64, radius_flips: np.ndarray) -> np.ndarray:
-        """Codes of which some segment differs from the query's in just the bits of one of the masks."""
-        found = []
-        for segment in range(SEGMENTS):
-            values = int(self.segment(query, segment)) ^ radius_flips
-            start, stop = self.offsets[segment][values], self.offsets[segment][values + 1]
-            held = np.flatnonzero(stop > start)
-            found += [self.order[segment][a:b] for a, b in zip(start[held], stop[held], strict=True)]
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-    def nearest(self, query: np.uint64, k: int, masks: list[np.ndarray]) -> tuple[list[int], list[int]]:
-        """The k rows of least (distance, id).
-
-        Segments are searched with radius 0, 1 and so on. A code that none of the segments has shown within radius r
-        is at least SEGMENTS * (r + 1) away, so the search ends when the k-th verified distance is below that.
-        """
-        seen = np.zeros(0, np.int64)
-        distances = np.zeros(0, np.int64)
-        for radius, radius_flips in enumerate(masks):
-            new = np.setdiff1d(self.candidates(query, radius_flips), seen, assume_unique=True)
-            seen = np.concatenate([seen, new])
-            distances = np.concatenate([distances, np.bitwise_count(self.codes[new] ^ query).astype(np.int64)])
-            covered = SEGMENTS * (radius + 1)
-            near = distances < covered
-            if sum(len(self.ids[c]) for c in seen[near]) >= k:
-                break
-            if len(seen) == len(self.codes):
-                near = np.ones(len(seen), bool)
-                break
-        rows = sorted((int(d), int(i)) for d, c in zip(distances[near], seen[near], strict=True) for i in self.ids[c])[:k]
-        return [i for _, i in rows], [d for d, _ in rows]
-
-
-def codes(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id and 64-bit code of every vector: a bit for each of the first 64 numbers, set where it is above 0.
+from perigee.llm.common import Tables
+
+#: Codes are cut into segments of 16 bits, of which the upper 8 name a cell and the lower 8 a place in it.
+SEGMENT_BITS, CELL_BITS = 16, 8
+IN_WORD = 64 // SEGMENT_BITS
+
+FOUND = "query long, query_id long, row long, vec_id long, distance int"
+
+
+def masks() -> list[np.ndarray]:
+    """For each radius, the masks that flip as many of the 8 lower bits of a segment."""
+    return [np.array([sum(1 << b for b in bits) for bits in combinations(range(CELL_BITS), radius)], np.int64) for radius in range(CELL_BITS + 1)]
+
+
+def codes(df: DataFrame, id_col: str, vector_col: str, words: int) -> DataFrame:
+    """id and code of every vector: a bit for each number, set where it is above 0, in words of 64 bits.
 
     Null numbers and those that are missing have no bit set. Rows with a null id or vector have no code.
     """
-    bits = F.transform(
-        F.slice(vector_col, 1, SEGMENTS * BITS),
-        lambda x, i: F.when((x > 0) & ~F.isnan(x), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")),
-    )
-    code = F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def word(number: Column) -> Column:
+        bits = F.transform(
+            F.slice(vector_col, number * 64 + 1, F.lit(64)),
+            lambda x, i: F.when((x > 0) & ~F.isnan(x), F.call_function("shiftleft", one, i)).otherwise(none),
+        )
+        return F.aggregate(bits, none, lambda a, b: a.bitwiseOR(b))
+
+    code = F.when(F.col(vector_col).isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(words - 1)), word))
     return df.select(F.col(id_col).cast("long").alias("id"), code.alias("code")).dropna()
 
 
+def by_segment(coded: DataFrame, segments: int) -> DataFrame:
+    """The rows once for each segment, with its cell."""
+    cell = F.expr(f"shiftrightunsigned(code[segment div {IN_WORD}], {SEGMENT_BITS} * (segment % {IN_WORD}) + {SEGMENT_BITS - CELL_BITS}) & 255")
+    return coded.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(segments - 1)))).withColumn("cell", cell.cast("int"))
+
+
+def searched(least: int, most: int, words: int, k: int):
+    """A function over rows in order of (segment, cell, part, asks) that finds codes by one segment.
+
+    The rows of a cell's part come first and are held (a bounded number), the queries follow and stream by. A query
+    meets the codes whose segment differs from its own in least to most bits, of which the cell tells the upper ones,
+    and returns those that may be among its k nearest.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flips, at, parts = masks(), None, []
+        index: tuple | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("segment", "cell", "part", "asks", "row", "id", "bound")}
+            code = batch["code"].flatten().to_numpy().reshape(-1, words).view(np.uint64)
+            place = np.stack([column[c] for c in ("segment", "cell", "part", "asks")])
+            cuts = np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for start, stop in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows], strict=True):
+                here = tuple(place[:3, start])
+                if here != at:
+                    at, parts, index = here, [], None
+                if not place[3, start]:
+                    parts.append((code[start:stop], column["row"][start:stop], column["id"][start:stop]))
+                    continue
+                shift = np.uint64(SEGMENT_BITS * (at[0] % IN_WORD))
+                word = at[0] // IN_WORD
+                if index is None:
+                    held, rows, ids = (np.concatenate([p[i] for p in parts]) for i in range(3)) if parts else (code[:0], column["row"][:0], column["id"][:0])
+                    low = ((held[:, word] >> shift) & np.uint64(255)).astype(np.int64)
+                    order = np.argsort(low, kind="stable")
+                    index = held[order], rows[order], ids[order], np.searchsorted(low[order], np.arange(257))
+                held, rows, ids, offsets = index
+                for i in range(start, stop):
+                    value = int((code[i, word] >> shift) & np.uint64(0xFFFF))
+                    upper = ((value >> 8) ^ at[1]).bit_count()
+                    found = [np.arange(offsets[v], offsets[v + 1]) for r in range(max(0, least - upper), min(CELL_BITS, most - upper) + 1) for v in (value & 255) ^ flips[r]]
+                    if not found:
+                        continue
+                    found = np.concatenate(found)
+                    distance = np.bitwise_count(held[found] ^ code[i]).sum(axis=1).astype(np.int32)
+                    near = distance <= column["bound"][i]
+                    found, distance = found[near], distance[near]
+                    best = np.lexsort((rows[found], ids[found], distance))[:k]
+                    n = len(best)
+                    for held_out, values in zip(out, (np.full(n, column["row"][i]), np.full(n, column["id"][i]), rows[found][best], ids[found][best], distance[best]), strict=True):
+                        held_out.append(values)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["query", "query_id", "row", "vec_id", "distance"])
+
+    return run
+
+
 def nearest_codes(
     df: DataFrame,
     id_col: str = "vec_id",
@@ -96,40 +109,58 @@ def nearest_codes(
     k: int = 10,
     query_every: int = 20,
     block_rows: int = 65_536,
+    first_radius: int = 2,
 ) -> DataFrame:
     """For every row whose id is divisible by query_every, the k rows of least Hamming distance among all rows.
 
-    Rows are dealt to blocks of about block_rows by a hash of the id, queries likewise; a task holds one block's index
-    and takes one block of queries at a time. Each block's k best meet in one ranking per query. Ties go to the
-    smaller id; a query finds itself. Rows with a null id or vector are left out; rows that occur several times are
-    found as often. If there are fewer than k rows, all are returned. An empty table gives an empty result. Other
-    columns of df are not looked at.
+    A code has a bit for each number of its vector. Rows are held by each of their segments of 16 bits, in cells by the
+    upper 8 bits, and cells of over block_rows rows in parts; of equal codes the k rows of the smallest ids are enough.
+    A query is sent to the cells that a radius reaches, first with all radii up to first_radius, then with one more in
+    each round. A code that none of the segments has shown within radius r is at least segments * (r + 1) away, so a
+    query is done when its k-th verified distance is below that; only the others go on. The last radius covers all.
+
+    Ties go to the smaller id; a query finds itself. Rows with a null id or vector are left out; rows that occur
+    several times are found as often. Vectors may have any length, and shorter ones have zeros at their end. If there
+    are fewer than k rows, all are returned. An empty table gives an empty result. Other columns of df are not looked at.
 
     Returns query_id, rank (from 1), vec_id, distance.
     """
-    coded = materialize(codes(df, id_col, vector_col), "hamming-codes")
-    rows = coded.count()
-    blocks = max(1, -(-rows // block_rows))
-    groups = max(8, -(-rows // query_every // 65_536))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    group = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int")
-    index = coded.select("id", "code", block.alias("block")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = coded.filter(F.col("id") % query_every == 0).distinct().select("id", "code", group.alias("group"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def search(index_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        out: list[list[int]] = [[], [], []]
-        if index_rows.num_rows and query_rows.num_rows:
-            held = Index(index_rows["id"].to_numpy(), index_rows["code"].to_numpy().view(np.uint64), k)
-            masks = flips()
-            for query_id, code in zip(query_rows["id"].to_pylist(), query_rows["code"].to_numpy().view(np.uint64), strict=True):
-                ids, distances = held.nearest(code, k, masks)
-                out[0] += [query_id] * len(ids)
-                out[1] += ids
-                out[2] += distances
-        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("query_id", "vec_id", "distance"), out, strict=True)})
-
-    found = index.groupBy("block", "group").cogroup(asked.groupBy("block", "group")).applyInArrow(search, "query_id long, vec_id long, distance long")
-    order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", F.col("distance").cast("int").alias("distance"))
+    tables = Tables(df.sparkSession)
+    words = max(1, -(-(df.agg(F.max(F.size(vector_col))).first()[0] or 0) // 64))
+    segments = words * IN_WORD
+    coded = tables.write(codes(df, id_col, vector_col, words).withColumn("row", F.monotonically_increasing_id()), "hamming-codes")
+    of_code = Window.partitionBy("code").orderBy("id", "row")
+    kept = tables.write(coded.withColumn("nth", F.row_number().over(of_code)).filter(F.col("nth") <= k).drop("nth"), "hamming-kept")
+    enough = min(k, kept.count())
+    index = tables.write(by_segment(kept, segments), "hamming-index")
+    cells = index.groupBy("segment", "cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
+    cells = F.broadcast(tables.write(cells, "hamming-cells"))  # 256 rows for each segment at most
+    part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+    held = index.join(cells, ["segment", "cell"]).select("segment", "cell", part.alias("part"), F.lit(0).alias("asks"), "row", "id", "code", F.lit(0).alias("bound"))
+    asked = coded.filter(F.col("id") % query_every == 0).groupBy("id", "code").agg(F.min("row").alias("row"))
+    waiting = tables.write(asked.withColumn("bound", F.lit(64 * words)), "hamming-asked")
+    found: DataFrame | None = None
+    least, most = 0, min(first_radius, SEGMENT_BITS)
+    while True:
+        near = F.filter(F.sequence(F.lit(0), F.lit(255)), lambda c: F.bit_count(c.bitwiseXOR(F.col("cell"))) <= most)
+        sent = by_segment(waiting, segments).withColumn("cell", F.explode(near)).join(cells, ["segment", "cell"])
+        sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        sent = sent.select("segment", "cell", "part", F.lit(1).alias("asks"), "row", "id", "code", "bound")
+        rows = held.unionByName(sent).repartition("segment", "cell", "part").sortWithinPartitions("segment", "cell", "part", "asks")
+        new = rows.mapInArrow(searched(least, most, words, k), FOUND)
+        every = new.distinct() if found is None else found.unionByName(new).distinct()
+        best = Window.partitionBy("query").orderBy("distance", "vec_id", "row")
+        found = tables.write(every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank"), "hamming-found")
+        if most == SEGMENT_BITS:
+            break
+        last = found.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("last"))
+        done = (F.col("n") >= enough) & (F.col("last") < segments * (most + 1))
+        bound = F.when(F.col("n") >= k, F.col("last")).otherwise(F.col("bound"))
+        waiting = waiting.join(last, F.col("row") == F.col("query"), "left").filter(~F.coalesce(done, F.lit(False)))
+        waiting = tables.write(waiting.select("id", "code", "row", bound.alias("bound")), "hamming-asked")
+        if not waiting.limit(1).count():
+            break
+        least = most = most + 1
+    tables.drop(found)
+    order = Window.partitionBy("query").orderBy("distance", "vec_id", "row")
+    return found.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "distance")
