@@ -56,16 +56,14 @@ def variants() -> Column:
     return F.concat(F.array(key(F.col("line"), F.lit(0))), less)
 
 
-def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
+def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every line of every text, the earliest line within one edit; the line stays if that is itself.
 
     Lines stand in order of doc_id, then line number. Equal lines are one edit class of any size: they are folded
-    before they are shuffled, and come back by their hashes. Of the different lines of min_chars letters or more,
-    those that share a half key with another, and all below SHORT letters, emit all variants with up to one letter
-    deleted, as hashed keys. Lines that share a variant at one place are all within one edit of each other, and those
+    before they are shuffled, and come back by their hashes. Of the different lines, those that share a half key with
+    another, and all below SHORT letters, emit all variants with up to one letter deleted, as hashed keys. Lines that share a variant at one place are all within one edit of each other, and those
     of any place are within one edit of the line that is the variant; so the earliest of each is an aggregate, and
-    no pairs are made, however many lines share a variant. Lines under min_chars letters are duplicates only of equal
-    ones; with 1, no line is left out.
+    no pairs are made, however many lines share a variant.
 
     Empty lines always stay, and null texts have no lines. Rows that are alike in id and text are told apart by
     nothing, so their lines stay or go together; null ids come first. An empty table gives an empty result. Other
@@ -75,7 +73,7 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     lines = split_lines(df, id_col, text_col)
     measured = lines.withColumn("n_chars", F.length("line"))
-    hashed = measured.select("doc_id", "line_no", "n_chars", *line_hash(), half_keys_or_none(max(min_chars, SHORT - 1)))
+    hashed = measured.select("doc_id", "line_no", "n_chars", *line_hash(), half_keys_or_none(SHORT))
     hashed = materialize(hashed, "line-hashes")
     different = materialize(
         hashed.filter("n_chars > 0")
@@ -92,11 +90,10 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = halves.groupBy("half").agg(F.count("*").alias("lines")).filter("lines > 1").select("half")
     near = materialize(halves.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "line-near")
     short = F.col("n_chars") < SHORT
-    near = different.filter(~short).join(near, ["h1", "h2"], "left_semi").unionByName(different.filter(short & (F.col("n_chars") >= min_chars)))
+    near = different.filter(~short).join(near, ["h1", "h2"], "left_semi").unionByName(different.filter(short))
     near = materialize(near.select("h1", "h2", "first"), "line-first")
     found = (
         measured.select("*", *line_hash())
-        .filter(F.col("n_chars") >= min_chars)
         .join(small_or_shuffled(near, near.count(), 64), ["h1", "h2"])
         .filter(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no")))
         .dropDuplicates(["h1", "h2"])
@@ -126,14 +123,14 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def half_keys_or_none(min_chars: int) -> Column:
-    """The half keys of lines of min_chars letters or more, else null."""
-    return F.when(F.col("n_chars") >= min_chars, half_keys()).alias("halves")
+def half_keys_or_none(letters: int) -> Column:
+    """The half keys of lines of so many letters or more, else null."""
+    return F.when(F.col("n_chars") >= letters, half_keys()).alias("halves")
 
 
-def without_duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20) -> DataFrame:
+def without_duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with the lines that don't stay taken out of its texts. Ids must be unique; null texts stay null."""
-    gone = duplicate_lines(df, id_col, text_col, min_chars).filter("not kept")
+    gone = duplicate_lines(df, id_col, text_col).filter("not kept")
     gone = gone.groupBy(F.col("doc_id").alias("_gone_id")).agg(F.collect_set("line_no").alias("_gone"))  # of one text
     lines = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("_gone", i))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))

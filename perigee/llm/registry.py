@@ -70,8 +70,56 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each line of all documents, however short, the earliest line within one edit."""
-    return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"), min_chars=1)
+    return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = """
+WITH RECURSIVE steps AS (  -- the table of CRC-32, by its polynomial
+    SELECT b, b::BIGINT AS c, 0 AS n FROM unnest(range(0, 256)) AS each(b)
+    UNION ALL
+    SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n + 1 FROM steps WHERE n < 8),
+crc AS (
+    SELECT list(c ORDER BY b) AS t FROM steps WHERE n = 8),
+sized AS (
+    SELECT doc_id, (strlen(coalesce(text, '')) + 1)::BIGINT AS size,
+           xor(list_reduce(
+               [4294967295::BIGINT] || [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')],
+               lambda c, x: xor(t[xor(c, x) % 256 + 1], c // 256)), 4294967295) AS text_crc32
+    FROM documents, crc),
+placed AS (
+    SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) - size AS before,
+           sum(size) OVER () AS total
+    FROM sized),
+dealt AS (
+    SELECT *, (((2 * before + size) * 16) // (2 * total))::INT AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY before) - 1 AS slot, NULL::INT AS grown_shard
+FROM dealt
+"""
 
+OP6_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+        list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 3, 2))]) END AS s
+    FROM worded),
+long AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM long a JOIN long b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+    SELECT a AS node, a AS label FROM links
+    UNION
+    SELECT l.b, r.label FROM reached r JOIN links l ON l.a = r.node)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(c.component_id, doc_id) AS component_id
+FROM sets LEFT JOIN (SELECT node, min(label) AS component_id FROM reached GROUP BY node) c ON c.node = doc_id
+"""
 
 OP2_SQL = """
 SELECT doc_id,
@@ -89,14 +137,16 @@ WITH split AS (
     FROM documents),
 different AS (
     SELECT line, length(line) AS n, min((doc_id, line_no)) AS first FROM split WHERE line <> '' GROUP BY line),
+near AS (  -- an edit of one letter is one of four bytes at most
+    SELECT a.line, b.first AS earlier, a.n AS n, string_split(a.line, '') AS x, string_split(b.line, '') AS y
+    FROM different a JOIN different b ON b.n BETWEEN a.n - 1 AND a.n + 1 AND b.first < a.first AND levenshtein(a.line, b.line) <= 4),
 earliest AS (
-    SELECT a.line, min(b.first) AS earlier
-    FROM different a JOIN different b
-      ON b.n BETWEEN a.n - 1 AND a.n + 1 AND b.first < a.first AND a.n >= 20 AND b.n >= 20
-     AND (left(a.line, (least(a.n, b.n) // 2)::BIGINT) = left(b.line, (least(a.n, b.n) // 2)::BIGINT)
-          OR right(a.line, (least(a.n, b.n) // 2)::BIGINT) = right(b.line, (least(a.n, b.n) // 2)::BIGINT))
-     AND levenshtein(a.line, b.line) <= 1
-    GROUP BY a.line),
+    SELECT line, min(earlier) AS earlier FROM near
+    WHERE CASE len(x) - len(y)
+        WHEN 0 THEN list_sum([(p[1] <> p[2])::INT FOR p IN list_zip(x, y)]) <= 1
+        WHEN 1 THEN list_contains([x[:i - 1] || x[i + 1:] FOR i IN range(1, len(x) + 1)], y)
+        ELSE list_contains([y[:i - 1] || y[i + 1:] FOR i IN range(1, len(y) + 1)], x) END
+    GROUP BY line),
 decided AS (
     SELECT s.doc_id, s.line_no, length(s.line) AS n_chars, coalesce(e.earlier, d.first, (s.doc_id, s.line_no)) AS keep
     FROM split s LEFT JOIN different d USING (line) LEFT JOIN earliest e USING (line))
@@ -107,7 +157,7 @@ FROM decided
 
 OP5_SQL = """
 WITH coded AS (
-    SELECT vec_id, [coalesce(x > 0 AND NOT isnan(x), false) FOR x IN embedding[1:64]] AS bits
+    SELECT vec_id, [coalesce(x > 0 AND NOT isnan(x), false) FOR x IN embedding] AS bits
     FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
 measured AS (
     SELECT q.vec_id AS query_id, r.vec_id, list_sum([(a[1] <> a[2])::INT FOR a IN list_zip(q.bits, r.bits)])::INT AS distance
@@ -137,33 +187,61 @@ targets AS (
     SELECT key, source_size, total,
            least(cap::DOUBLE, max((total - caps) / (weights - used)) OVER () * weight) AS target
     FROM capped),
+cut AS (
+    SELECT *, source_size < 64 * 64 AS small,
+           (CASE WHEN source_size >= 64 * 64 THEN 64 ELSE greatest(source_size // 64, 1) END)::BIGINT AS width
+    FROM targets),
+blocks AS (
+    SELECT *, ceil(source_size / width)::BIGINT AS n_blocks,
+           total - sum(CASE WHEN small THEN target ELSE 0 END) OVER () AS shared
+    FROM cut),
 quotients AS (
-    SELECT key, target / (2 * k + 1) AS quotient, k, total
-    FROM targets, unnest(range(0, (3 * source_size // 64 + 20)::BIGINT)) AS each(k)
-    WHERE target > 0),
-seats AS (
-    SELECT key, count(*) AS seats
-    FROM (SELECT key, row_number() OVER (ORDER BY quotient DESC, key, k) AS rank, round(total / 64)::BIGINT AS n FROM quotients)
-    WHERE rank <= n GROUP BY key),
-drawn AS (
-    SELECT t.key, t.source_size, t.target, ceil(t.source_size / 64)::BIGINT AS n_blocks,
-           least(coalesce(s.seats, 0), 3 * ceil(t.source_size / 64))::BIGINT AS quota,
-           ('0x' || substr(md5(t.key || '/5'), 1, 6))::BIGINT AS shift
-    FROM targets t LEFT JOIN seats s USING (key)),
+    SELECT key, target / (2 * k + 1) AS quotient, k, shared
+    FROM blocks, unnest(range(0, 3 * n_blocks + 20)) AS each(k)
+    WHERE NOT small AND target > 0),
+ranked AS (
+    SELECT key, row_number() OVER (ORDER BY quotient DESC, key, k) AS rank, round(shared / 64)::BIGINT AS n FROM quotients),
+shards AS (
+    SELECT s FROM unnest(range(0, 17)) AS each(s)),
+upto AS (  -- the first s shards have the s / 16 of all blocks that have the highest quotients
+    SELECT key, s, sum((rank <= n * s // 16)::BIGINT)::BIGINT AS quota FROM ranked, shards GROUP BY key, s
+    UNION ALL
+    SELECT key, s, round(target / greatest(source_size, 1) * ((n_blocks * s + 15) // 16))::BIGINT FROM blocks, shards WHERE small),
+dealt AS (
+    SELECT key, s - 1 AS shard, quota - lag(quota) OVER (PARTITION BY key ORDER BY s) AS asked FROM upto),
+wanted AS (
+    SELECT d.key, d.shard, d.asked, (n_blocks * shard + 15) // 16 AS first_rank,
+           (n_blocks * (shard + 1) + 15) // 16 - (n_blocks * shard + 15) // 16 AS held
+    FROM dealt d JOIN blocks USING (key) WHERE d.shard >= 0),
+given AS (  -- what a shard can't take goes to the next ones
+    SELECT key, shard, first_rank, held, least(asked, 3 * held)::BIGINT AS quota, (asked - least(asked, 3 * held))::BIGINT AS over_it
+    FROM wanted WHERE shard = 0
+    UNION ALL
+    SELECT w.key, w.shard, w.first_rank, w.held, least(w.asked + g.over_it, 3 * w.held)::BIGINT,
+           (w.asked + g.over_it - least(w.asked + g.over_it, 3 * w.held))::BIGINT
+    FROM given g JOIN wanted w ON w.key = g.key AND w.shard = g.shard + 1),
+filled AS (  -- and what the last can't take to the ones before
+    SELECT key, shard, first_rank, held, (quota + greatest(least(3 * held - quota,
+               max(CASE WHEN shard = 15 THEN over_it END) OVER (PARTITION BY key) - coalesce(sum(3 * held - quota) OVER later, 0)), 0))::BIGINT AS quota
+    FROM given WINDOW later AS (PARTITION BY key ORDER BY shard DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+quotas AS (
+    SELECT key, list(quota ORDER BY shard) AS quotas, list(first_rank ORDER BY shard) AS firsts, list(held ORDER BY shard) AS helds
+    FROM filled GROUP BY key),
 strides AS (
-    SELECT *, CASE WHEN n_blocks % 1000003 <> 0 THEN 1000003 WHEN n_blocks % 1000033 <> 0 THEN 1000033
-                   ELSE 1000037 END AS stride
-    FROM drawn),
+    SELECT b.*, q.quotas, q.firsts, q.helds, ('0x' || substr(md5(b.key || '/5'), 1, 6))::BIGINT AS shift,
+           CASE WHEN n_blocks % 1000099 <> 0 THEN 1000099 WHEN n_blocks % 1000003 <> 0 THEN 1000003 ELSE 1000033 END AS stride
+    FROM blocks b LEFT JOIN quotas q USING (key)),
 placed AS (
     SELECT doc_id, key, size, (sum(size) OVER (PARTITION BY key ORDER BY place, doc_id, size
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS start
     FROM sized)
 SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 OR n_blocks = 0 THEN 0 ELSE
-           size * (quota // n_blocks) + list_sum([
-               CASE WHEN (b * stride + shift) % n_blocks < quota % n_blocks
-                    THEN least(start + size, (b + 1) * 64) - greatest(start, b * 64) ELSE 0 END
-               FOR b IN range(start // 64, (start + size - 1) // 64 + 1)]) END::BIGINT AS taken
+           list_sum([(least(start + size, (b + 1) * width) - greatest(start, b * width)) * list_sum([
+                   list_sum([quotas[s] // helds[s] + (r - firsts[s] < quotas[s] % helds[s])::BIGINT FOR s IN [r * 16 // n_blocks + 1]])
+                   FOR r IN [(b * stride + shift) % n_blocks]])
+               FOR b IN range(start // width, (start + size - 1) // width + 1)])
+           END::BIGINT AS taken
 FROM placed JOIN strides USING (key)
 """
 
@@ -189,4 +267,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracles() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op2_exact_dedup": OP2_SQL, "op5_topk_search": OP5_SQL, "op8_mixing": OP8_SQL, "op10_line_dedup": OP10_SQL}
+    return {
+        "op1_sharding": OP1_SQL,
+        "op2_exact_dedup": OP2_SQL,
+        "op5_topk_search": OP5_SQL,
+        "op6_ngram_jaccard": OP6_SQL,
+        "op8_mixing": OP8_SQL,
+        "op10_line_dedup": OP10_SQL,
+    }

@@ -293,7 +293,7 @@ def test_lines(docs, rows, nothing):
             first[line] = min((i, n), first.get(line, (i, n)))
     keep = {}
     for line, at in first.items():
-        close = [b for other, b in first.items() if len(line) >= 20 and len(other) >= 20 and within_one(line, other)]
+        close = [b for other, b in first.items() if within_one(line, other)]
         keep[line] = min([at, *close])
     expected = sorted((i, n, len(line), *(keep[line] if line else (i, n))) for i, n, line in every)
     null = lambda x: -1 if x is None else x
