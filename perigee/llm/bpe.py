@@ -21,9 +21,11 @@ from tokenizers import Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perigee.llm.common import begin_task, remembers
+
 #: A worker forgets the chunks (or pre-tokens and fragments) it has met when it holds this many, and never holds
 #: longer ones.
-CACHE_ITEMS, CACHE_PIECES, CACHE_CHARS = 400_000, 150_000, 64
+CACHE_ITEMS, CACHE_PIECES, CACHE_CHARS = 300_000, 100_000, 64
 
 #: Rows that a worker handles at a time.
 SLICE_ROWS = 256
@@ -275,11 +277,20 @@ _WORKERS: dict[tuple[type, str], Counter | Encoder] = {}
 
 def worker(kind: type, path: str) -> Counter | Encoder:
     """A worker's own counter or encoder; it is kept between tasks, as is what it remembers."""
+    begin_task("bpe")
     if (kind, path) not in _WORKERS:
         _WORKERS[kind, path] = kind(path)
     return _WORKERS[kind, path]
 
 
+def _forget() -> None:
+    _WORKERS.clear()
+    _LOADED.clear()
+
+
+remembers("bpe", _forget)
+
+
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches cut into smaller ones, so that what a worker makes of one stays small."""
     for batch in batches:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.common import arrow_rows, materialize, small_or_shuffled, text_key, without
+from perigee.llm.common import Tables, arrow_rows, begin_task, materialize, remembers, small_or_shuffled, text_key, without
 from perigee.llm.components import connected
 
 #: Shingle frequencies are counted in 2 ** CELL_BITS cells, which SLICES rows carry.
@@ -27,8 +27,12 @@ PROBES = 64
 #: Lists are compared with one pivot in as many rounds before all pairs across components are.
 PIVOT_ROUNDS = 4
 
-#: Members of a component that one task compares with others.
-BLOCK_NODES = 256
+#: Nodes of a component, and shingles of them on average, that one task compares with as many others.
+BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 20
+
+#: Lists that a sample of one posting in SAMPLE_EVERY shows to have over HOT_NODES nodes, and over one posting in
+#: HOT_PARTS of all (so there are at most as many), are dealt to several tasks.
+SAMPLE_EVERY, HOT_NODES, HOT_PARTS = 64, 2048, 50_000
 
 #: Rows with texts or sets that a worker gets at a time.
 ARROW_ROWS = 512
@@ -51,6 +55,7 @@ class Words(dict):
 
 
 WORDS = Words()
+remembers("jaccard", WORDS.clear)
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -85,15 +90,16 @@ def frequency_levels(texts: DataFrame, width: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task("jaccard")
         total = np.zeros(1 << CELL_BITS, np.uint32)
         for batch in batches:
             for text in batch["text"]:
                 np.add.at(total, cell(shingles(text.as_py(), width)), 1)
-        parts = total.reshape(SLICES, -1)
-        used = [i for i in range(SLICES) if parts[i].any()]
-        small = [parts[i].astype(np.min_scalar_type(parts[i].max())) for i in used]
-        arrays = [pa.array(used, pa.int32()), pa.array([x.itemsize for x in small], pa.int32()), pa.array([x.tobytes() for x in small], pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, ["slice", "width", "counts"])
+        for i, part in enumerate(total.reshape(SLICES, -1)):
+            if part.any():
+                small = part.astype(np.min_scalar_type(part.max()))
+                arrays = [pa.array([i], pa.int32()), pa.array([small.itemsize], pa.int32()), pa.array([small.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["slice", "width", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -130,6 +136,7 @@ def prefixes(texts: DataFrame, levels: np.ndarray, width: int, percent: int) ->
     held = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task("jaccard")
         met: set[bytes] = set()
         for batch in batches:
             sizes, signatures, probes, keys = [], [], [], []
@@ -204,13 +211,14 @@ def verify(percent: int):
     return run
 
 
-def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and set (sorted hashes) of the wanted nodes (node, doc_id, sign), whose texts are read again.
+def sets_of(texts: DataFrame, wanted: DataFrame, rows: int, width: int) -> DataFrame:
+    """node and set (sorted hashes) of the wanted nodes (node, doc_id, text_key, sign), whose texts are read again.
 
     Repeated rows of a table may give a node's set more than once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task("jaccard")
         for batch in batches:
             nodes, sets = [], []
             for node, sign, text in zip(batch["node"].to_pylist(), batch["sign"].to_pylist(), batch["text"], strict=True):
@@ -220,9 +228,26 @@ def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     sets.append(hashes.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "set"])
 
-    ids = wanted.withColumnRenamed("doc_id", "wanted_id")
-    rows = texts.join(small_or_shuffled(ids, wanted.count(), 64), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    return rows.select("node", "sign", "text").mapInArrow(run, "node long, set binary")
+    ids = wanted.select("node", "sign", F.col("doc_id").alias("wanted_id"), F.col("text_key").alias("wanted_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_key") == F.col("wanted_key"))
+    found = texts.join(small_or_shuffled(ids, rows, 72), same)
+    return found.select("node", "sign", "text").mapInArrow(run, "node long, set binary")
+
+
+def dealt_lists(postings: DataFrame) -> DataFrame:
+    """The postings whose key another node has, with `salt`: lists of very many nodes are dealt to several parts.
+
+    A sample shows which lists are so long. They are kept unseen and dealt by node, so that no task gets a whole one;
+    the sample decides on the dealing only, not on what is compared.
+    """
+    total = postings.count()
+    sampled = postings.filter(F.pmod(F.xxhash64("node", "key"), F.lit(SAMPLE_EVERY)) == 0).groupBy("key").agg((F.count("*") * SAMPLE_EVERY).alias("size"))
+    hot = materialize(sampled.filter(F.col("size") > max(HOT_NODES, total // HOT_PARTS)), "jaccard-hot")
+    held = F.broadcast(hot)  # HOT_PARTS rows at most
+    cold = postings.join(held, "key", "left_anti").select("node", "n", "pos", "key").repartition("key").sortWithinPartitions("key")
+    cold = cold.mapInArrow(shared_keys, "node long, n long, pos int, key long").withColumn("salt", F.lit(0))
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / HOT_NODES)).cast("int")
+    return cold.unionByName(postings.join(held, "key").select("node", "n", "pos", "key", salt.alias("salt")))
 
 
 def with_listed_before(lists: DataFrame) -> DataFrame:
@@ -236,7 +261,7 @@ def with_listed_before(lists: DataFrame) -> DataFrame:
 
 
 def pivots(percent: int):
-    """A function over rows in order of (key, rank) that pairs each list's first node, its pivot, with the others.
+    """A function over rows in order of (key, salt, rank) that pairs each list's first node, its pivot, with the others.
 
     Pairs of one component go, and pairs that can't be linked by their sizes and the place of the shared shingle: a
     pair shares at most the listed shingles before it (see with_listed_before) and all that is left behind it. Holds
@@ -248,10 +273,10 @@ def pivots(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {c: batch[c].to_numpy() for c in ("key", "node", "n", "pos", "before", "label")}
+            rows = {c: batch[c].to_numpy() for c in ("key", "salt", "node", "n", "pos", "before", "label")}
             if held is not None:
                 rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
-            first = np.r_[True, rows["key"][1:] != rows["key"][:-1]]
+            first = np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["salt"][1:] != rows["salt"][:-1])]
             at = np.flatnonzero(first)[np.cumsum(first) - 1]
             pivot = {c: v[at] for c, v in rows.items()}
             held = {c: v[-1:] for c, v in pivot.items()}
@@ -269,47 +294,38 @@ class Join:
     labels has only nodes of components of more than one.
     """
 
-    def __init__(self, texts: DataFrame, nodes: DataFrame, lists: DataFrame, probes: DataFrame, width: int, percent: int):
-        self.texts, self.nodes, self.lists, self.probes, self.width, self.percent = texts, nodes, lists, probes, width, percent
+    def __init__(self, tables: Tables, lists: DataFrame, probes: DataFrame, sets: DataFrame, percent: int):
+        self.tables, self.lists, self.probes, self.sets, self.percent = tables, lists, probes, sets, percent
         self.labels: DataFrame | None = None
         self.checked: DataFrame | None = None
         self.merged = 0
 
-    def labelled(self) -> DataFrame:
-        """The lists with each node's component."""
+    def labelled(self, lists: DataFrame) -> DataFrame:
+        """The lists with each node's component, and whether it has other nodes."""
         if self.labels is None:
-            return self.lists.withColumn("label", F.col("node"))
-        joined = self.lists.join(small_or_shuffled(self.labels, self.merged, 32), "node", "left")
-        return joined.withColumn("label", F.coalesce("label", "node"))
-
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """node and set of the wanted nodes, whose texts are read again."""
-        wanted = materialize(self.nodes.join(small_or_shuffled(wanted, wanted.count(), 16), "node", "left_semi"), "jaccard-wanted")
-        return materialize(sets_of(self.texts, wanted.select("node", "doc_id", "sign"), self.width), "jaccard-sets")
+            return lists.withColumns({"label": F.col("node"), "grouped": F.lit(False)})
+        joined = lists.join(small_or_shuffled(self.labels, self.merged, 32), "node", "left")
+        return joined.withColumns({"grouped": F.col("label").isNotNull(), "label": F.coalesce("label", "node")})
 
     def pivot_round(self, number: int) -> int:
         """Compare the nodes of each list with its pivot, which a hash chooses anew; returns the number of pairs."""
-        ranked = self.labelled().withColumn("rank", F.xxhash64(F.lit(number), "node"))
-        ranked = ranked.repartition("key").sortWithinPartitions("key", "rank", "node").select("key", "node", "n", "pos", "before", "label")
+        ranked = self.labelled(self.lists).withColumn("rank", F.xxhash64(F.lit(number), "node"))
+        ranked = ranked.repartition("key", "salt").sortWithinPartitions("key", "salt", "rank", "node")
+        ranked = ranked.select("key", "salt", "node", "n", "pos", "before", "label")
         return self.compare(ranked.mapInArrow(pivots(self.percent), "a long, b long, both long").distinct())
 
     def last_rounds(self) -> None:
         """Compare all that lists still have in different components.
 
-        Components of several nodes are compared as wholes with all others, until that merges nothing more. What then
-        is alone is paired with what is alone: such a pair meets in every list of both its nodes, so its first shared
-        shingle bounds what it shares.
+        Of two linked nodes that are in different components now, one is in a component of several nodes, and the
+        components are compared as wholes; or both are alone, and they meet in every list of both, so that their
+        first shared shingle bounds what they share.
         """
-        lists = materialize(self.labelled(), "jaccard-open")
-        while self.labels is not None:
-            many = small_or_shuffled(self.labels.select("label").distinct(), self.merged, 16)
-            if not self.compare_components(lists, lists.join(many, "label", "left_semi")):
-                break
-            lists = materialize(self.labelled(), "jaccard-open")
-        alone = lists
+        lists = self.tables.write(self.labelled(self.lists), "jaccard-open")
         if self.labels is not None:
-            alone = materialize(lists.join(small_or_shuffled(self.labels.select("node"), self.merged, 16), "node", "left_anti"), "jaccard-alone")
-        pairs = alone.alias("x").join(alone.alias("y"), F.expr("x.key = y.key and x.node < y.node"))
+            self.compare_components(lists)
+        alone = self.labelled(lists.filter("not grouped").drop("label", "grouped", "salt"))
+        pairs = alone.alias("x").join(alone.alias("y"), F.expr("x.key = y.key and x.node < y.node and x.label <> y.label"))
         pairs = pairs.filter(F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * self.percent)
         most = F.least("x.before", "y.before") + F.least(F.expr("x.n - x.pos"), F.expr("y.n - y.pos"))
         pairs = pairs.filter(most >= needed(self.percent, F.col("x.n"), F.col("y.n")))
@@ -326,38 +342,54 @@ class Join:
         # Suffix filter: a part of the hash range gives no more common shingles than the smaller set has there.
         most = F.aggregate(F.zip_with("probes_a", "probes_b", lambda v, w: F.least(v, w)), F.lit(0), lambda s, v: s + v)
         pairs = pairs.join(x, "a").join(y, "b").filter(most * (100 + self.percent) >= F.col("both") * self.percent)
-        pairs = materialize(pairs.select("a", "b"), "jaccard-pairs")
+        pairs = self.tables.write(pairs.select("a", "b"), "jaccard-pairs")
         n = pairs.count()
         if n:
             self.checked = pairs if self.checked is None else self.checked.union(pairs)
-            sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+            wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            sets = self.sets.join(small_or_shuffled(wanted, 2 * n, 16), "node", "left_semi")
             both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
             links = both.select("a", "b", "set_a", "set_b").mapInArrow(verify(self.percent), "a long, b long")
-            self.merge(materialize(links, "jaccard-links"))
+            self.merge(self.tables.write(links, "jaccard-links"))
         return n
 
-    def compare_components(self, lists: DataFrame, grouped: DataFrame) -> bool:
+    def compare_components(self, lists: DataFrame) -> None:
         """Compare pairs of components of which one at least has several nodes and which share a list.
 
-        The nodes of the smaller one go to every block of the larger one; a block's task compares them and returns one
-        link for each that has any. So neither pairs nor a whole component meet in one place. Returns whether any merged.
+        The nodes of the larger one are dealt to blocks, those of all others that are to be compared with it to
+        slices, and a task compares a block with a slice: it returns one link for each node of the slice that has any.
+        So neither pairs nor a whole component meet in one place.
         """
-        sides = [x.groupBy("key", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi")) for x in (grouped, lists)]
+        sides = [x.groupBy("key", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi")) for x in (lists.filter("grouped"), lists)]
         close = F.expr(f"x.key = y.key and x.label <> y.label and x.hi * 100 >= y.lo * {self.percent} and y.hi * 100 >= x.lo * {self.percent}")
         pairs = sides[0].alias("x").join(sides[1].alias("y"), close).select(F.col("x.label").alias("big"), F.col("y.label").alias("other")).distinct()
-        sizes = materialize(self.labels.groupBy("label").agg(F.count("*").alias("size")), "jaccard-sizes")
+        sizes = self.tables.write(self.labels.groupBy("label").agg(F.count("*").alias("size")), "jaccard-sizes")
         pairs = pairs.join(sizes.toDF("big", "size"), "big").join(sizes.toDF("other", "other_size"), "other", "left")
         larger = F.expr("coalesce(other_size, 1) < size or (other_size = size and other < big)")  # each pair of groups once
-        pairs = materialize(pairs.filter(larger).withColumn("blocks", F.ceil(F.col("size") / BLOCK_NODES).cast("int")), "jaccard-groups")
-        members = self.labels.join(pairs.select(F.col("big").alias("label"), "blocks").distinct(), "label")
-        members = members.select("node", F.col("label").alias("big"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+        pairs = self.tables.write(pairs.filter(larger).select("big", "other"), "jaccard-groups")
+        if pairs.limit(1).count() == 0:
+            return
+        n_of = self.probes.select("node", F.aggregate("probes", F.lit(0), lambda s, v: s + v).cast("long").alias("n"))
+        members = self.labels.join(pairs.select(F.col("big").alias("label")).distinct(), "label", "left_semi").join(n_of, "node")
+        members = self.tables.write(members.select("node", F.col("label").alias("big"), "n"), "jaccard-members")
         of_other = self.labels.select("node", F.col("label").alias("other"))
-        asked = pairs.join(of_other, "other", "left").select("big", "blocks", F.coalesce("node", "other").alias("node"))
-        asked = asked.select("node", "big", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        members, asked = materialize(members, "jaccard-members"), materialize(asked, "jaccard-asked")
-        if asked.limit(1).count() == 0:
-            return False
-        sets = self.sets(members.select("node").union(asked.select("node")).distinct())
+        span = members.groupBy("big").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        asked = pairs.join(of_other, "other", "left").select("big", F.coalesce("node", "other").alias("node")).join(n_of, "node").join(span, "big")
+        asked = asked.filter(F.expr(f"hi * 100 >= n * {self.percent} and n * 100 >= lo * {self.percent}"))
+        asked = self.tables.write(asked.select("node", "big", "n"), "jaccard-asked")
+
+        def parts(side: DataFrame, name: str) -> DataFrame:
+            most = F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") / BLOCK_SHINGLES)
+            return side.groupBy("big").agg(F.ceil(most).cast("int").alias(name))
+
+        grid = self.tables.write(parts(members, "blocks").join(parts(asked, "slices"), "big"), "jaccard-grid")
+
+        def dealt(side: DataFrame, own: str, across: str) -> DataFrame:
+            """Each node in its own part, once for every part of the other side."""
+            at = F.pmod(F.xxhash64("node"), F.col(own)).cast("int")
+            every = F.explode(F.sequence(F.lit(0), F.col(across) - 1))
+            return side.join(grid, "big").select("node", "big", at.alias(own[:-1]), every.alias(across[:-1])).join(self.sets, "node")
+
         percent = self.percent
 
         def links(block: pa.Table, queries: pa.Table) -> pa.Table:
@@ -379,9 +411,9 @@ class Join:
                     found.append((node, int(nodes[np.argmax(linked)])))
             return pa.table({c: pa.array([x[i] for x in found], pa.int64()) for i, c in enumerate("ab")})
 
-        left = members.join(sets, "node").groupBy("big", "block")
-        right = asked.toDF("asked", "of", "in").join(sets.toDF("asked", "own_set"), "asked").groupBy("of", "in")
-        return self.merge(materialize(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links"))
+        left = dealt(members, "blocks", "slices").groupBy("big", "block", "slice")
+        right = dealt(asked, "slices", "blocks").select("big", "block", "slice", "node", "set").toDF("of", "in", "by", "asked", "own_set").groupBy("of", "in", "by")
+        self.merge(self.tables.write(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links"))
 
     def merge(self, links: DataFrame) -> bool:
         """Merge the components that links (a, b) join; returns whether there were any links."""
@@ -393,11 +425,11 @@ class Join:
                 links = links.join(held.toDF(end, "label"), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
         new = connected(links.filter("a <> b")).toDF("label", "new")
         if self.labels is None:
-            self.labels = materialize(new.toDF("node", "label"), "jaccard-labels")
+            self.labels = self.tables.write(new.toDF("node", "label"), "jaccard-labels")
         else:
             moved = self.labels.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
             fresh = new.join(self.labels, new.label == self.labels.node, "left_anti").toDF("node", "label")
-            self.labels = materialize(moved.union(fresh).distinct(), "jaccard-labels")
+            self.labels = self.tables.write(moved.union(fresh).distinct(), "jaccard-labels")
         self.merged = self.labels.count()
         return True
 
@@ -418,25 +450,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    tables = Tables(df.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"), text)
     levels = frequency_levels(texts, width)
     rows = prefixes(texts, levels, width, percent).withColumn("node", F.monotonically_increasing_id())
-    rows = materialize(rows, "jaccard-rows")
+    rows = tables.write(rows, "jaccard-rows")
 
     groups = rows.filter("sign is not null").groupBy("sign").agg(F.min("node").alias("first"), F.count("*").alias("rows"))
-    groups = materialize(groups.filter("rows > 1").select("sign", "first"), "jaccard-copies")
+    groups = tables.write(groups.filter("rows > 1").select("sign", "first"), "jaccard-copies")
     copies = small_or_shuffled(groups, groups.count(), 48)
     nodes = rows.select("doc_id", "text_key", "n_shingles", "sign", "node").join(copies, "sign", "left")
-    nodes = materialize(nodes.withColumn("first", F.coalesce("first", "node")), "jaccard-nodes")
+    nodes = tables.write(nodes.withColumn("first", F.coalesce("first", "node")), "jaccard-nodes")
 
-    moved = materialize(nodes.filter("first <> node").select("node"), "jaccard-moved")
+    moved = tables.write(nodes.filter("first <> node").select("node"), "jaccard-moved")
     first = rows.filter("keys is not null").join(small_or_shuffled(moved, moved.count(), 16), "node", "left_anti")
     postings = first.select("node", F.col("n_shingles").alias("n"), F.posexplode("keys").alias("pos", "key"))
-    lists = postings.repartition("key").sortWithinPartitions("key").mapInArrow(shared_keys, "node long, n long, pos int, key long")
-    lists = materialize(with_listed_before(materialize(lists, "jaccard-shared")), "jaccard-lists")
+    shared = tables.write(dealt_lists(postings), "jaccard-shared")
+    lists = tables.write(with_listed_before(shared), "jaccard-lists")
+
+    listed = tables.write(lists.select("node").distinct(), "jaccard-listed")
+    n = listed.count()
+    listed = small_or_shuffled(listed, n, 16)
+    wanted = tables.write(nodes.join(listed, "node", "left_semi").select("node", "doc_id", "text_key", "sign"), "jaccard-wanted")
+    sets = tables.write(sets_of(texts, wanted, n, width), "jaccard-sets")
+    probes = tables.write(first.join(listed, "node", "left_semi").select("node", "probes"), "jaccard-probes")
 
-    join = Join(texts, nodes, lists, first.select("node", "probes"), width, percent)
+    join = Join(tables, lists, probes, sets, percent)
     for number in range(PIVOT_ROUNDS):
         if not join.pivot_round(number):
             break
@@ -446,9 +486,10 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, perc
     if join.labels is not None:
         labels = small_or_shuffled(join.labels.toDF("first", "merged"), join.merged, 32)
         labelled = nodes.join(labels, "first", "left").withColumn("label", F.coalesce("merged", "first"))
-    labelled = materialize(labelled.select("doc_id", "text_key", "n_shingles", "label"), "jaccard-labelled")
+    labelled = tables.write(labelled.select("doc_id", "text_key", "n_shingles", "label"), "jaccard-labelled")
     named = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    named = materialize(named, "jaccard-named")
+    named = tables.write(named, "jaccard-named")
+    tables.drop(labelled, named)
     result = labelled.join(small_or_shuffled(named, named.count(), 32), "label", "left")
     return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_key", "label")
 
