@@ -78,11 +78,17 @@ def unit_of(name: Column) -> Column:
     return reduce(lambda c, u: c.when(F.lower(name).rlike(u[0]), u[1]), UNITS[1:], F.when(F.lower(name).rlike(UNITS[0][0]), UNITS[0][1]))
 
 
+def general_format(number: Column) -> Column:
+    """A number with six significant digits at most and no zeros at the end, as in `1`, `0.5` or `1e+06`."""
+    digits = F.regexp_replace(F.format_string("%.6g", number), r"(\.\d*?)0+(e|$)", "$1$2")
+    return F.regexp_replace(digits, r"\.(e|$)", "$1")
+
+
 def band_state(value: Column, rl: Column, yl: Column, yh: Column, rh: Column) -> Column:
     """STRUCT(state, reason) of red and yellow limits; red counts before yellow, and limits that are null don't."""
 
     def says(state: str, text: str, limit: Column) -> Column:
-        return F.struct(F.lit(state).alias("state"), F.concat(F.lit(f"value {text} ("), F.format_string("%s", limit), F.lit(")")).alias("reason"))
+        return F.struct(F.lit(state).alias("state"), F.concat(F.lit(f"value {text} ("), general_format(limit), F.lit(")")).alias("reason"))
 
     green = F.struct(F.lit("green").alias("state"), F.lit("within green range").alias("reason"))
     return (
@@ -124,7 +130,7 @@ def power_state(value: Column) -> Column:
 
 def file_stem(name: Column) -> Column:
     """A name that is safe in file names: runs of other letters become _, and none is left at the ends."""
-    clean = F.regexp_replace(F.regexp_replace(F.trim(name), r"[^A-Za-z0-9_.-]+", "_"), r"^[_.]+|[_.]+$", "")
+    clean = F.regexp_replace(F.regexp_replace(F.trim(name), r"[^A-Za-z0-9_.-]+", "_"), r"^_+|_+$", "")
     return F.when(F.coalesce(clean, F.lit("")) == "", "unknown").otherwise(clean)
 
 
@@ -152,3 +158,23 @@ def status_label(text: Column, raw: Column) -> Column:
 def flux(raw: Column) -> Column:
     """Flux of a magnitude in tenths of a decade."""
     return F.pow(F.lit(10.0), raw / 10)
+
+
+# Phases of a flare by their flags.
+FLARE_PHASES = {0: "not in Sun", 1: "filling history", 2: "not in flare", 4: "flare likely", 24: "in-flare decreasing", 40: "in-flare rising"}
+
+
+def flare_phase(raw: Column) -> Column:
+    """Text of a flare phase, null for flags that are none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in FLARE_PHASES.items() for x in kv]), raw.cast("int"))
+
+
+def cell_text(value: Column, kind: str) -> Column:
+    """A value as it stands in a text table: bytes in hexadecimal, times in ISO form, nested values as JSON."""
+    if kind == "binary":
+        return F.lower(F.hex(value))
+    if kind.startswith("timestamp"):
+        return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    if kind.startswith(("array", "map", "struct")):
+        return F.to_json(value)
+    return value.cast("string")

@@ -199,11 +199,13 @@ def rebin(images: DataFrame, height: int, width: int, new_height: int, new_width
     return mixed.select("image_id", F.col("ny").alias("y"), F.transform(F.sequence(F.lit(0), F.lit(new_width - 1)), value).alias("pixels"))
 
 
-def preview(images: DataFrame) -> DataFrame:
-    """Each image scaled to 0 to 1; a constant image is 0."""
+def preview(images: DataFrame, height: int, width: int) -> DataFrame:
+    """Pixels (image_id, y, x, v) of each image turned by 90 degrees and scaled to 0 to 1; a constant image is 0."""
     bounds = images.groupBy("image_id").agg(F.min(F.array_min("pixels")).alias("lo"), F.max(F.array_max("pixels")).alias("hi"))
-    scaled = F.transform("pixels", lambda v: F.when(F.col("hi") > F.col("lo"), (v - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0))
-    return images.join(bounds, "image_id").select("image_id", "y", scaled.alias("pixels"))
+    cells = images.select("image_id", "y", F.posexplode("pixels").alias("x", "v"))
+    turned = rotate(cells, 1, height, width).join(bounds, "image_id")
+    scaled = F.when(F.col("hi") > F.col("lo"), (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
+    return turned.select("image_id", "y", "x", scaled.alias("v"))
 
 
 def histogram(images: DataFrame, offset: int = 0, width: int = 32) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.functions.status import band_state, rule_matches
+from perigee.functions.status import band_state, general_format, number_or_null, rule_matches
 
 
 def evaluate_limits(points: DataFrame, bands: DataFrame, rules: DataFrame) -> DataFrame:
@@ -23,8 +23,44 @@ def evaluate_limits(points: DataFrame, bands: DataFrame, rules: DataFrame) -> Da
     state = F.when(F.col("has_band"), F.col("banded.state")).when(F.col("first").isNotNull(), F.col("first.state")).otherwise("unknown")
     reason = (
         F.when(F.col("has_band"), F.col("banded.reason"))
-        .when(F.col("first").isNotNull(), F.concat_ws(" ", F.lit("value"), "first.op", F.col("first.expected").cast("string")))
+        .when(F.col("first").isNotNull(), F.concat_ws(" ", F.lit("value"), "first.op", general_format(F.col("first.expected"))))
         .when(F.col("rules").isNotNull(), "no value rule matched")
         .otherwise("no color limit configured")
     )
     return joined.select(*points.columns, state.alias("limit_state"), reason.alias("limit_reason"))
+
+
+# States that a value rule may give.
+STATES = ["green", "yellow", "red", "unknown"]
+
+
+def limit_rules(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Red and yellow bands (item, rl, yl, yh, rh) and value rules (item, ordinal, op, expected, state) of XML files.
+
+    Nodes that aren't enabled or have no item are left out, limits that are no numbers are null, value rules without a
+    number are left out, and states that aren't known become unknown. Of several bands of an item the last counts.
+    Value rules keep their order in the file.
+    """
+
+    def nodes(tag: str, names: list[str]) -> DataFrame:
+        schema = ", ".join(f"_{n} string" for n in ["item", "enabled", *names])
+        rows = spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+        rows = rows.withColumn("ordinal", F.monotonically_increasing_id()).withColumn("item", F.trim("_item"))
+        on = ~F.coalesce(F.lower(F.trim("_enabled")).isin("false", "0", "no"), F.lit(False))
+        return rows.filter(on & (F.col("item") != ""))
+
+    def number(name: str) -> Column:
+        return number_or_null(F.col(f"_{name}")).alias(name)
+
+    names = ["rl", "yl", "yh", "rh"]
+    bands = nodes("monitorRedYellow", names).select("item", "ordinal", *[number(n) for n in names])
+    bands = bands.groupBy("item").agg(F.max_by(F.struct(*names), "ordinal").alias("b")).select("item", "b.*")
+    state = F.lower(F.trim(F.coalesce("_color", F.lit("unknown"))))
+    rules = nodes("monitorValue", ["operator", "value", "color"]).select(
+        "item",
+        "ordinal",
+        F.trim(F.coalesce("_operator", F.lit("=="))).alias("op"),
+        number_or_null(F.col("_value")).alias("expected"),
+        F.when(state.isin(STATES), state).otherwise("unknown").alias("state"),
+    )
+    return bands, rules.filter("expected is not null")

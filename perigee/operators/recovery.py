@@ -6,8 +6,10 @@ before (removing seams, jumping from packet to packet) walk a capture in order,
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,23 +65,33 @@ def payload_stream(frames: DataFrame, sync: bytes = SYNC, spacecraft_id: int = 6
     return frames.select("capture_id", "frame_no", "payload", "idle").groupBy("capture_id").applyInPandas(join, "capture_id long, content binary")
 
 
-def is_frame_head(data: bytes, at: int, spacecraft_id: int) -> bool:
-    """Whether the 12 bytes from a sync word are a frame's head: version 0, this spacecraft, empty padding."""
-    first = int.from_bytes(data[at + 4 : at + 6], "big")
-    return len(data) >= at + FRAME_HEAD and first >> 14 == 0 and first >> 4 & 0x3FF == spacecraft_id and data[at + 10 : at + 12] == b"\0\0"
+def seam_pattern(sync: bytes, spacecraft_id: int) -> re.Pattern:
+    """What a seam is, over bytes: a sync word; with a frame's head behind it (version 0, this spacecraft, empty
+    padding) the head too, and a filler word of 0x55 before it."""
+    low = (spacecraft_id & 15) << 4
+    head = re.escape(bytes([spacecraft_id >> 4])) + b"[" + re.escape(bytes([low])) + b"-" + re.escape(bytes([low | 15])) + b"].{4}\\0\\0"
+    return re.compile(b"(?:UUUU)?" + re.escape(sync) + head + b"|" + re.escape(sync), re.DOTALL)
 
 
 def remove_seams(data: bytes, sync: bytes = SYNC, spacecraft_id: int = 66) -> bytes:
     """data without the sync words inside it, and without the frame heads that follow them."""
-    pieces = bytearray()
-    done = 0
-    while (found := data.find(sync, done)) >= 0:
-        pieces += data[done:found]
-        head = is_frame_head(data, found, spacecraft_id)
-        if head and pieces.endswith(b"UUUU"):
-            del pieces[-4:]
-        done = found + (FRAME_HEAD if head else len(sync))
-    return bytes(pieces + data[done:])
+    return seam_pattern(sync, spacecraft_id).sub(b"", data)
+
+
+def strip_unaligned(captures: DataFrame, sync: bytes = SYNC, spacecraft_id: int = 66) -> DataFrame:
+    """capture_id and content of captures that aren't whole frames: heads and bare sync words are taken out where they
+    are found, and 32-bit words reversed as in payload_stream."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(content=[reverse_words(remove_seams(data, sync, spacecraft_id)) for data in frame["content"]])
+
+    return captures.select("capture_id", "content").mapInPandas(run, "capture_id long, content binary")
+
+
+def is_aligned(frames: DataFrame) -> DataFrame:
+    """capture_id and aligned: whether every record of a capture is a whole frame with a sync word."""
+    return frames.groupBy("capture_id").agg(F.bool_and("has_sync").alias("aligned"))
 
 
 def reverse_words(data: bytes) -> bytes:
@@ -98,51 +110,93 @@ def packet_candidates(captures: DataFrame, expected: dict[int, int] | None, apid
     parts = captures.select("capture_id", size.alias("total"), starts, "content").select(
         "capture_id", "start", F.substring(F.col("content"), F.col("start") + 1, F.lit(chunk + overlap)).alias("content")
     )
-    known = set(apids)
+    heads = possible_heads(apids, expected)
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = []
             for capture, start, data in zip(frame["capture_id"], frame["start"], frame["content"], strict=True):
-                for at in range(min(chunk, len(data) - 6)):
-                    length = possible_packet(data, at, known, expected)
-                    if length and at + length <= len(data):
-                        found.append((capture, start + at, int.from_bytes(data[at : at + 2], "big") & 0x7FF, length, bytes(data[at : at + length])))
-            yield pd.DataFrame(found, columns=["capture_id", "offset", "apid", "packet_length", "packet"])
+                for at, apid, length in heads(data, chunk):
+                    found.append((capture, start + at, apid, length, data[at : at + length], data[at + length : at + length + MOST_EXTRA]))
+            yield pd.DataFrame(found, columns=["capture_id", "offset", "apid", "packet_length", "packet", "beyond"])
+
+    return parts.mapInPandas(search, CANDIDATES)
+
 
-    return parts.mapInPandas(search, "capture_id long, offset long, apid int, packet_length int, packet binary")
+#: Bytes behind a packet that a repair may use.
+MOST_EXTRA = 64
 
+CANDIDATES = "capture_id long, offset long, apid int, packet_length int, packet binary, beyond binary"
 
-def possible_packet(data: bytes, at: int, apids: set[int], expected: dict[int, int] | None) -> int:
-    """Length of the packet that can start at a place, 0 if none can."""
-    first = int.from_bytes(data[at : at + 2], "big")
-    if first >> 11 != 1 or first & 0x7FF not in apids:  # version 0, telemetry, with a secondary header
-        return 0
-    length = int.from_bytes(data[at + 4 : at + 6], "big") + 7
-    if expected is not None and length - expected.get(first & 0x7FF, -9) not in (0, 1):
-        return 0
-    return length
 
+def possible_heads(apids: list[int], expected: dict[int, int] | None):
+    """A function that finds where packets can start in the first bytes of data: (place, APID, length) of each.
 
-def select_packets(candidates: DataFrame, need_checksum: bool = False) -> DataFrame:
+    Version 0, telemetry, with a secondary header, a known APID, and all bytes there; where lengths are expected, the
+    length is the expected one or one more. All places are looked at together.
+    """
+    known = np.zeros(2048, bool)
+    known[[*apids]] = True
+    wanted = np.full(2048, -9, np.int64)
+    for apid, length in (expected or {}).items():
+        wanted[apid] = length
+
+    def find(data: bytes, places: int) -> Iterator[tuple[int, int, int]]:
+        view = np.frombuffer(data, np.uint8).astype(np.int64)
+        n = min(places, len(view) - 6)
+        if n <= 0:
+            return
+        first = view[:n] << 8 | view[1 : n + 1]
+        length = (view[4 : n + 4] << 8 | view[5 : n + 5]) + 7
+        apid = first & 0x7FF
+        good = (first >> 11 == 1) & known[apid] & (np.arange(n) + length <= len(view))
+        if expected is not None:
+            good &= (length - wanted[apid]) >> 1 == 0
+        for at in np.flatnonzero(good):
+            yield int(at), int(apid[at]), int(length[at])
+
+    return find
+
+
+def select_packets(candidates: DataFrame, need_checksum: bool = False, repair_apid: int | None = None) -> DataFrame:
     """Candidates that a walk from the left accepts: the next one not before the end of the last, with packet_index.
 
-    A candidate that fails its checksum (if needed) hides nothing.
+    A candidate that fails its checksum (if needed) hides nothing. With repair_apid, one of that APID that fails is
+    tried again without repeated words (see without_repeats), and counts if its checksum then holds. Only the end of
+    the last packet is held while a capture's candidates stream by in order.
     """
-    checked = candidates.withColumn("algorithm", bits.checksum_algorithm(F.col("packet"), F.col("apid")))
+    algorithm = bits.checksum_algorithm(F.col("packet"), F.col("apid"))
+    checked = candidates.withColumn("algorithm", algorithm).withColumn("taken", F.col("packet_length"))
+    if repair_apid is not None and need_checksum:
+        failed = F.col("algorithm").isNull() & (F.col("apid") == repair_apid)
+        mended = checked.filter(failed).drop("algorithm").mapInPandas(mend, CANDIDATES + ", taken int").withColumn("algorithm", algorithm)
+        checked = checked.filter(~failed).unionByName(mended.select(checked.columns))
     good = checked.filter("algorithm is not null") if need_checksum else checked
 
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("offset")
-        end, kept = 0, []
-        for at, length in zip(group["offset"], group["packet_length"], strict=True):
-            kept.append(at >= end)
-            if kept[-1]:
-                end = at + length
-        group = group[kept]
-        return group.assign(packet_index=range(len(group)))
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        capture, end, index = None, 0, 0
+        for frame in frames:
+            kept, numbers = [], []
+            for own, at, length in zip(frame["capture_id"], frame["offset"], frame["taken"], strict=True):
+                if own != capture:
+                    capture, end, index = own, 0, 0
+                kept.append(at >= end)
+                if at >= end:
+                    numbers.append(index)
+                    end, index = at + length, index + 1
+            yield frame[kept].assign(packet_index=numbers)
 
-    return good.groupBy("capture_id").applyInPandas(walk, "capture_id long, offset long, apid int, packet_length int, packet binary, algorithm string, packet_index long")
+    ordered = good.select("capture_id", "offset", "apid", "packet_length", "packet", "algorithm", "taken").repartition("capture_id").sortWithinPartitions("capture_id", "offset")
+    schema = "capture_id long, offset long, apid int, packet_length int, packet binary, algorithm string, taken int, packet_index long"
+    return ordered.mapInPandas(walk, schema).drop("taken")
+
+
+def mend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Candidates with what is left of them and the bytes beyond when repeated words are taken out; others go."""
+    for frame in frames:
+        found = [without_repeats(p + more, n) for p, more, n in zip(frame["packet"], frame["beyond"], frame["packet_length"], strict=True)]
+        held = [x is not None for x in found]
+        yield frame[held].assign(packet=[x[0] for x in found if x], taken=[x[1] for x in found if x])
 
 
 def resync_gaps(packets: DataFrame) -> DataFrame:
@@ -156,19 +210,36 @@ def resync_gaps(packets: DataFrame) -> DataFrame:
 
 
 def dropped_bytes(captures: DataFrame, packets: DataFrame) -> DataFrame:
-    """Per capture, the bytes outside packets: filler (0x00, 0x55, 0xFF) and others, by counting in the gaps."""
-    before = Window.partitionBy("capture_id").orderBy("offset")
-    gaps = packets.select("capture_id", "offset", (F.col("offset") + F.col("packet_length")).alias("end"))
-    gaps = gaps.select("capture_id", F.coalesce(F.lag("end").over(before), F.lit(0)).alias("start"), F.col("offset").alias("stop"), "end")
-    tails = packets.groupBy("capture_id").agg(F.max(F.col("offset") + F.col("packet_length")).alias("start"))
-    joined = captures.join(tails, "capture_id", "left").select("capture_id", F.coalesce("start", F.lit(0)).alias("start"), F.octet_length("content").cast("long").alias("stop"))
-    all_gaps = gaps.select("capture_id", "start", "stop").union(joined).filter("stop > start")
-    held = all_gaps.join(captures, "capture_id").select(
-        "capture_id", F.hex(F.substring(F.col("content"), (F.col("start") + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))).alias("hex")
-    )
-    pairs = F.regexp_extract_all("hex", F.lit("(..)"), 1)
-    filler = F.size(F.filter(pairs, lambda b: b.isin(*[f"{x:02X}" for x in FILLERS])))
-    return held.groupBy("capture_id").agg(F.sum(filler).alias("filler_bytes"), F.sum(F.octet_length("hex") / 2 - filler).cast("long").alias("other_bytes"))
+    """Per capture, the bytes outside packets: filler (0x00, 0x55, 0xFF) and others, in one pass over its bytes."""
+    spans = packets.groupBy("capture_id").agg(F.collect_list(F.struct("offset", "packet_length")).alias("spans"))  # of one capture
+    joined = captures.select("capture_id", "content").join(spans, "capture_id", "left").select("capture_id", "content", "spans.offset", "spans.packet_length")
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for capture, data, starts, lengths in frame.itertuples(index=False):
+                view, edges = np.frombuffer(data, np.uint8), np.zeros(len(data) + 1, np.int64)
+                if starts is not None:
+                    np.add.at(edges, np.minimum(starts, len(data)), 1)
+                    np.add.at(edges, np.minimum(np.asarray(starts) + lengths, len(data)), -1)
+                outside = np.cumsum(edges)[:-1] == 0
+                filler = int((outside & np.isin(view, FILLERS)).sum())
+                out.append((capture, filler, int(outside.sum()) - filler))
+            yield pd.DataFrame(out, columns=["capture_id", "filler_bytes", "other_bytes"])
+
+    return joined.mapInPandas(count, "capture_id long, filler_bytes long, other_bytes long").filter("filler_bytes + other_bytes > 0")
+
+
+def unwrap_chains(wrappers: DataFrame, head_bytes: int = 16) -> DataFrame:
+    """Per chain of wrappers (see chains; with packet), the payloads behind their heads one after another.
+
+    Wrappers outside chains of two or more are left untouched, that is, they are not here.
+    """
+    inner = F.hex(F.substring(F.col("packet"), F.lit(head_bytes + 1), F.octet_length("packet")))
+    linked = chains(wrappers).filter("chain_length >= 2")
+    ordered = F.array_sort(F.collect_list(F.struct("offset", inner.alias("h"))))  # a chain's payload is one stream
+    grouped = linked.groupBy("capture_id", "chain").agg(F.min("offset").alias("offset"), F.count("*").alias("wrappers"), ordered.alias("parts"))
+    return grouped.select("capture_id", "offset", "wrappers", F.unhex(F.array_join(F.col("parts.h"), "")).alias("payload"))
 
 
 def chains(wrappers: DataFrame) -> DataFrame:
@@ -254,15 +325,22 @@ def reassembly_statistics(packets: DataFrame) -> DataFrame:
     )
 
 
-def repair_repeated_words(data: bytes, at: int, length: int, most_extra: int = 64) -> bytes | None:
-    """A packet of `length` bytes from a place, leaving out 4-byte words that repeat the one before.
+def without_repeats(data: bytes, length: int) -> tuple[bytes, int] | None:
+    """The first `length` bytes of data that are left when 4-byte words that repeat the one before are taken out.
 
-    None if nothing was left out or too few bytes remain. The caller takes it only if its checksum then holds.
+    Returns them with the number of bytes used, or None if nothing was taken out or too little is left. The caller
+    takes them only if their checksum then holds.
     """
-    kept, place, stop = bytearray(), at, min(len(data), at + length + most_extra)
-    while len(kept) < length and place < stop:
-        word = data[place : place + 4]
-        repeats = place + 8 <= len(data) and word == data[place + 4 : place + 8]
-        kept += word if repeats else word[:1]
-        place += 8 if repeats else 1
-    return bytes(kept) if len(kept) == length and place - at != length else None
+    view = np.frombuffer(data, np.uint8)
+    if len(view) <= max(length, 8):
+        return None
+    run = np.convolve(view[4:] == view[:-4], np.ones(4, int), "valid")  # 4 where the word at a place comes again
+    kept, free = np.ones(len(view), bool), 0
+    for at in np.flatnonzero(run == 4):
+        if at >= free:
+            kept[at + 4 : at + 8] = False
+            free = at + 8
+    places = np.flatnonzero(kept)[:length]
+    if len(places) < length or places[-1] + 1 == length:
+        return None
+    return view[places].tobytes(), int(places[-1]) + 1

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,65 +49,83 @@ def rolling_sigma(points: DataFrame, by: list[str], order: list[str], value_col:
     return points.withColumn("sigma", F.when(F.count(value_col).over(before) >= least, F.abs(F.col(value_col) - mean) / std))
 
 
-def jump_reason(state: tuple | None, time: float, source: str, received: float, max_jump: float, rate: float, minimum: float) -> str | None:
-    """Why a packet's time is rejected, given the (time, received, source) accepted before; None if it is accepted."""
-    if not math.isfinite(time):
-        return "not_finite"
-    if time < 0:
-        return "negative"
-    if source == "ccsds_secondary_header" and minimum > 0 and time < minimum:
-        return "below_minimum"
-    if max_jump > 0 and state is not None and state[2] == source:
-        allowed = max_jump + max(0.0, received - state[1]) * max(0.0, rate)
-        if abs(time - state[0]) > allowed:
-            return "jump"
-    return None
-
-
-def sigma_rejects(accepted: list[float], value: float, threshold: float, window: int, least: int, floor: float, relative_floor: float) -> bool:
-    """Whether a value is too far from the mean of the last accepted ones."""
-    recent = accepted[-max(1, window) :]
+#: The source of a packet time that a least time holds for.
+HEADER = "ccsds_secondary_header"
+
+
+def time_limits(last: tuple | None, source: str, received: float, max_jump: float, rate: float, minimum: float) -> tuple[float, float, float]:
+    """The least time of a source, and the times around the packet (time, received, source) accepted last.
+
+    Its surroundings grow with the time that has gone by since; a packet of another source has no limits of that kind.
+    """
+    least = max(minimum, 0.0) if source == HEADER else 0.0
+    if last is None or last[2] != source or max_jump <= 0:
+        return least, -math.inf, math.inf
+    reach = max_jump + max(rate, 0.0) * max(received - last[1], 0.0)
+    return least, last[0] - reach, last[0] + reach
+
+
+def jump_reason(last: tuple | None, time: float, source: str, received: float, max_jump: float, rate: float, minimum: float) -> str | None:
+    """Why a packet's time is rejected, given what was accepted last; None if it lies within its limits."""
+    least, low, high = time_limits(last, source, received, max_jump, rate, minimum)
+    if math.isfinite(time) and max(least, low) <= time <= high:
+        return None
+    broken = {"not_finite": not math.isfinite(time), "negative": time < 0, "below_minimum": time < least, "jump": True}
+    return next(name for name, holds in broken.items() if holds)
+
+
+def value_limits(accepted: list[float], threshold: float, window: int, least: int, floor: float, relative_floor: float) -> tuple[float, float]:
+    """The values that are within threshold standard deviations of the last accepted ones; all, if these are too few."""
+    recent = np.array(accepted[-max(1, window) :])
     if threshold <= 0 or len(recent) < max(1, least):
-        return False
-    mean = sum(recent) / len(recent)
-    std = math.sqrt(max(0.0, sum((x - mean) ** 2 for x in recent) / len(recent)))
-    std = max(std, 0.0, floor, abs(mean) * max(0.0, relative_floor))
-    return std > 0 and abs(value - mean) / std > threshold
+        return -math.inf, math.inf
+    spread = threshold * max(float(recent.std()), floor, abs(float(recent.mean())) * relative_floor, 0.0)
+    return (float(recent.mean()) - spread, float(recent.mean()) + spread) if spread > 0 else (-math.inf, math.inf)
+
+
+def ordered_fold(rows: DataFrame, by: str, order: list[str], judge: Callable[[object, tuple], tuple[object, object]], added: str) -> DataFrame:
+    """rows with a column `added` ("name type"): judge takes what it has made of a key's rows so far and the next row.
+
+    A key's rows are sorted in their partition and stream by in batches, so only one key's state is held, however many
+    rows it has.
+    """
+    name = added.split()[0]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state = None, None
+        for frame in frames:
+            results = []
+            for own, row in zip(frame[by], frame.itertuples(index=False), strict=True):
+                if own != key:
+                    key, state = own, None
+                state, result = judge(state, row)
+                results.append(result)
+            yield frame.assign(**{name: pd.Series(results, index=frame.index, dtype=object)})
+
+    schema = f"{rows.schema.simpleString()[7:-1]},{added.replace(' ', ':')}"
+    return rows.repartition(by).sortWithinPartitions(by, *order).mapInPandas(run, schema)
 
 
 def reject_jumps(packets: DataFrame, by: str, max_jump: float, rate: float = 1.0, minimum: float = 0.0) -> DataFrame:
     """Packets (by, packet_time, time_source, received) with reject_reason, judged in order of receipt.
 
-    What is accepted depends on what was accepted before, which no window expresses, so each key's rows are folded in
-    order by a grouped map. A group is one packet name's rows, which fit a task; the streaming twin keeps only the last
-    accepted packet.
+    What is accepted depends on what was accepted before, which no window expresses; so each key's rows are folded.
     """
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["received", "packet_time"])
-        state, reasons = None, []
-        for time, source, received in zip(group["packet_time"], group["time_source"], group["received"], strict=True):
-            reason = jump_reason(state, time, source, received, max_jump, rate, minimum)
-            if reason is None:
-                state = (time, received, source)
-            reasons.append(reason)
-        return group.assign(reject_reason=reasons)
+    def judge(last: tuple | None, row: tuple) -> tuple[tuple | None, str | None]:
+        reason = jump_reason(last, row.packet_time, row.time_source, row.received, max_jump, rate, minimum)
+        return (last if reason else (row.packet_time, row.received, row.time_source)), reason
 
-    schema = packets.schema.simpleString()[7:-1] + ",reject_reason:string"
-    return packets.groupBy(by).applyInPandas(fold, schema)
+    return ordered_fold(packets, by, ["received", "packet_time"], judge, "reject_reason string")
 
 
 def reject_outliers(points: DataFrame, by: str, order: str, value_col: str, threshold: float = 4.0, window: int = 50, least: int = 12, floor: float = 0.0, relative_floor: float = 0.0) -> DataFrame:
-    """Points with `rejected`, each judged by the accepted ones before it; a grouped map folds each field in order."""
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order)
-        accepted: list[float] = []
-        rejected = []
-        for value in group[value_col]:
-            rejected.append(sigma_rejects(accepted, value, threshold, window, least, floor, relative_floor))
-            if not rejected[-1]:
-                accepted = [*accepted[-(window - 1) :], value]
-        return group.assign(rejected=rejected)
-
-    return points.groupBy(by).applyInPandas(fold, points.schema.simpleString()[7:-1] + ",rejected:boolean")
+    """Points with `rejected`, each judged by the accepted ones before it, of which the last `window` are held."""
+
+    def judge(accepted: list[float] | None, row: tuple) -> tuple[list[float], bool]:
+        held, value = accepted or [], getattr(row, value_col)
+        low, high = value_limits(held, threshold, window, least, floor, relative_floor)
+        inside = low <= value <= high
+        return ([*held[-(window - 1) :], value] if inside else held), not inside
+
+    return ordered_fold(points, by, [order], judge, "rejected boolean")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.operators import quality, store
 from perigee.plans.base import query
 from perigee.plans.fixtures import table
+from perigee.sources.scratch import shared_folder
 
 PRIORITY_FIELDS = "SELECT DISTINCT o_orderstatus AS apid, o_orderpriority AS field FROM orders UNION SELECT DISTINCT l_linestatus, l_returnflag FROM lineitem"
 
@@ -45,9 +48,16 @@ def p1_packet_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.resolve(parts, "bRaNd#12").groupBy("packet_name").agg(F.count("*").alias("rows"))
 
 
-@query("a4_store_summary", "SELECT event_type AS packet_name, count(*) AS rows FROM events GROUP BY 1")
+@query("a4_store_summary", "SELECT CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 16 ELSE 35 END AS apid, min(event_type) AS packet_name, count(*)::BIGINT AS rows FROM events WHERE event_type IN ('view', 'click', 'signup') GROUP BY 1")
 def a4_store_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("packet_name")).agg(F.count("*").alias("rows"))
+    """A store that took in each file twice, the second time in vain."""
+    held = store.TelemetryStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    events = table(spark, sf_dir, "events")
+    for name, apid in (("view", 1), ("click", 16), ("signup", 35)):
+        for part in (0, 1, 0):
+            rows = events.filter((F.col("event_type") == name) & (F.col("event_id") % 2 == part)).select("event_id", "value")
+            held.append(apid, name, f"{name}-{part}.csv", f"{name}{part}", rows)
+    return held.summary().select("apid", "packet_name", "rows")
 
 
 @query("s10_upsert_catalog", "SELECT user_id AS apid, arg_max(event_type, event_id) AS packet_name, 'apid_' || user_id AS table_name FROM events GROUP BY user_id")
@@ -180,8 +190,9 @@ def q5_carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.carry_over(cards, spark.createDataFrame(known, "keyword string, internal_name string"), spark.createDataFrame([("5-LOW",)], "keyword string"))
 
 
-@query("f37_redaction", "SELECT event_id, '<redacted>' AS hidden, event_type AS shown FROM events")
+@query("f37_redaction", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN c_name ELSE '<redacted>' END AS shown, CASE WHEN c_custkey % 3 = 1 THEN 'note' WHEN c_custkey % 3 = 0 THEN 'API-Token' ELSE 'db_password' END AS name FROM customer")
 def f37_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = F.create_map(F.lit("API-Key"), F.col("event_type"), F.lit("kind"), F.col("event_type"))
-    clean = table(spark, sf_dir, "events").select("event_id", quality.redacted(values).alias("m"))
-    return clean.select("event_id", F.col("m")["API-Key"].alias("hidden"), F.col("m")["kind"].alias("shown"))
+    at = F.col("c_custkey") % 3
+    name = F.when(at == 0, "API-Token").when(at == 1, "note").otherwise("db_password")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", name.alias("name"), quality.redacted(F.create_map(name, F.col("c_name"))).alias("held"))
+    return rows.select("c_custkey", "name", F.element_at("held", F.col("name")).alias("shown"))

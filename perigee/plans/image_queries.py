@@ -200,9 +200,9 @@ def i6_rebin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells(ops.rebin(whole, SIDE, SIDE, 32, 32)).withColumn("v", F.round("v", 6))
 
 
-@query("i8_preview", IMAGES + " SELECT image_id, y, x, round((v - min(v) OVER i) / (max(v) OVER i - min(v) OVER i), 9) AS v FROM cells WINDOW i AS (PARTITION BY image_id)")
+@query("i8_preview", IMAGES + " SELECT image_id, 63 - x AS y, y AS x, round((v - min(v) OVER i) / (max(v) OVER i - min(v) OVER i), 9) AS v FROM cells WINDOW i AS (PARTITION BY image_id)")
 def i8_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells(ops.preview(images(spark, sf_dir))).withColumn("v", F.round("v", 9))
+    return ops.preview(images(spark, sf_dir), SIDE, SIDE).withColumn("v", F.round("v", 9))
 
 
 @query("a15_histogram", IMAGES + " SELECT image_id, (v // 32)::BIGINT AS bin, count(*) AS pixels FROM cells GROUP BY ALL")

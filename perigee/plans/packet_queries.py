@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perigee.functions import bits, clock
 from perigee.operators import packets as ops
 from perigee.plans.base import query
-from perigee.plans.fixtures import PACKETS_SQL, packets
+from perigee.plans.fixtures import PACKETS_SQL, packets, table
 
 PACKETS = "WITH " + PACKETS_SQL.strip()
 
@@ -98,10 +98,30 @@ def f8_byte_reversal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packets(spark, sf_dir).select("event_id", reversed_hex(4).alias("words32"), reversed_hex(2).alias("words16"))
 
 
-@query("w8_bit_offsets", f"WITH {LAYOUT_SQL} SELECT l.*, (SELECT count(*) FROM events)::BIGINT AS packets FROM layout l")
+#: A dictionary made of order lines: a packet for each order, a field for each line, its width from the quantity.
+LINE_FIELDS = """
+line_fields AS (
+    SELECT l_orderkey AS apid, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice)::INT AS ordinal, l_returnflag || l_linestatus AS name, (l_quantity::INT % 16 + 1) * CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 4 END AS bit_length
+    FROM lineitem)"""
+
+
+def line_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    width = (F.col("l_quantity").cast("int") % 16 + 1) * F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(4)
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("apid"), place.alias("ordinal"), F.concat("l_returnflag", "l_linestatus").alias("name"), F.concat(F.lit("U"), width).alias("data_type")
+    )
+
+
+@query(
+    "w8_bit_offsets",
+    f"""WITH {LINE_FIELDS}
+SELECT apid, ordinal, bit_length, (sum(bit_length) OVER (PARTITION BY apid ORDER BY ordinal) - bit_length)::INT AS bit_offset,
+       name || CASE WHEN row_number() OVER same > 1 THEN '_' || row_number() OVER same ELSE '' END AS field
+FROM line_fields WINDOW same AS (PARTITION BY apid, name ORDER BY ordinal)""",
+)
 def w8_bit_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = ops.field_layout(dictionary(spark)).select("apid", "ordinal", "bit_length", "bit_offset", "field")
-    return layout.crossJoin(F.broadcast(packets(spark, sf_dir).agg(F.count("*").alias("packets"))))
+    return ops.field_layout(line_fields(spark, sf_dir)).select("apid", "ordinal", "bit_length", "bit_offset", "field")
 
 
 @query(
@@ -133,10 +153,9 @@ def b7_typed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.withColumn("real", F.round("real", 12)).withColumn("head", F.col("head"))
 
 
-@query("a5_expected_bytes", f"WITH {LAYOUT_SQL} SELECT apid, (sum(bit_length) // 8)::INT AS expected_bytes, (SELECT count(*) FROM events)::BIGINT AS packets FROM fields GROUP BY apid HAVING sum(bit_length) % 8 = 0")
+@query("a5_expected_bytes", f"WITH {LINE_FIELDS} SELECT apid, (sum(bit_length) // 8)::INT AS expected_bytes FROM line_fields GROUP BY apid HAVING sum(bit_length) % 8 = 0")
 def a5_expected_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    count = packets(spark, sf_dir).agg(F.count("*").alias("packets"))
-    return ops.expected_bytes(dictionary(spark)).crossJoin(F.broadcast(count))
+    return ops.expected_bytes(line_fields(spark, sf_dir))
 
 
 @query(

@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.plans.base import query
 from perigee.plans.fixtures import table
-from perigee.sources.scratch import written
+from perigee.sources.scratch import shared_folder
 from perigee.streaming import runs, state
 
 SCHEMA = "event_id long, user_id long, event_type string, us long, value double"
 
 
+BATCHES = 4
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a stream; the table is stored in several files first, so that there are several batches."""
+    """Events as a stream of several batches in order of time: one file each, written one after another."""
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.unix_micros("ts").alias("us"), "value")
-    stored = written(rows.repartitionByRange(4, "us"), "stream-source")
-    return runs.replay(spark, stored.inputFiles()[0].rsplit("/", 1)[0], SCHEMA, files_per_batch=64)
+    span = rows.agg(F.min("us").alias("lo"), (F.max("us") - F.min("us") + 1).alias("width")).first()
+    folder = f"{shared_folder(spark)}/stream-source-{uuid.uuid4().hex}"
+    if span["width"] is not None:
+        for i in range(BATCHES):
+            part = rows.filter((F.col("us") - span["lo"]) * BATCHES >= i * span["width"]).filter((F.col("us") - span["lo"]) * BATCHES < (i + 1) * span["width"])
+            part.coalesce(1).write.mode("append").parquet(folder)
+    return runs.replay(spark, folder, SCHEMA, files_per_batch=1)
 
 
 @query("st4_jump_rejection_stream")

@@ -110,10 +110,10 @@ SELECT event_id, field, CASE
     WHEN field = 'view' THEN CASE WHEN value < 1 OR value > 90 THEN 'red' WHEN value < 5 OR value > 40 THEN 'yellow' ELSE 'green' END
     WHEN field = 'error' THEN CASE WHEN value > 60 THEN 'red' WHEN value < 10 THEN 'yellow' ELSE 'green' END
     WHEN field = 'click' AND value > 50 THEN 'red' WHEN field = 'click' AND value <= 1 THEN 'yellow' ELSE 'unknown' END AS limit_state,
-  CASE WHEN field = 'view' THEN CASE WHEN value < 1 THEN 'value < red low (1.0)' WHEN value > 90 THEN 'value > red high (90.0)'
-                WHEN value < 5 THEN 'value < yellow low (5.0)' WHEN value > 40 THEN 'value > yellow high (40.0)' ELSE 'within green range' END
-       WHEN field = 'error' THEN CASE WHEN value > 60 THEN 'value > red high (60.0)' WHEN value < 10 THEN 'value < yellow low (10.0)' ELSE 'within green range' END
-       WHEN field = 'click' AND value > 50 THEN 'value > 50.0' WHEN field = 'click' AND value <= 1 THEN 'value <= 1.0'
+  CASE WHEN field = 'view' THEN CASE WHEN value < 1 THEN 'value < red low (1)' WHEN value > 90 THEN 'value > red high (90)'
+                WHEN value < 5 THEN 'value < yellow low (5)' WHEN value > 40 THEN 'value > yellow high (40)' ELSE 'within green range' END
+       WHEN field = 'error' THEN CASE WHEN value > 60 THEN 'value > red high (60)' WHEN value < 10 THEN 'value < yellow low (10)' ELSE 'within green range' END
+       WHEN field = 'click' AND value > 50 THEN 'value > 50' WHEN field = 'click' AND value <= 1 THEN 'value <= 1'
        WHEN field IN ('click', 'signup') THEN 'no value rule matched' ELSE 'no color limit configured' END AS limit_reason
 FROM points""",
 )
@@ -208,20 +208,41 @@ def f11_polynomial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points(spark, sf_dir).select("event_id", F.round(made, 6).alias("engineering"), status.polynomial(F.lit("C0=1 C2=2"), value).alias("gap"))
 
 
-@query("f12_status_map", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'OFF' WHEN 1 THEN 'ON' ELSE '2' END AS label FROM events")
+@query(
+    "f12_status_map",
+    """
+SELECT l_orderkey, l_linenumber, CASE l_quantity::INT % 4 WHEN 0 THEN l_returnflag WHEN 2 THEN l_linestatus || '/x' ELSE (l_quantity::INT % 4)::VARCHAR END AS label
+FROM lineitem""",
+)
 def f12_status_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return points(spark, sf_dir).select("event_id", status.status_label(F.lit("0/OFF 1/ON"), F.col("event_id") % 3).alias("label"))
+    text = F.concat(F.lit("0/"), "l_returnflag", F.lit("  2/"), "l_linestatus", F.lit("/x"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", status.status_label(text, F.col("l_quantity").cast("int") % 4).alias("label"))
 
 
-@query("f21_file_stems", "SELECT event_id, 'n_' || event_id % 9 || '_x' AS stem FROM events")
+@query(
+    "f21_file_stems",
+    """
+SELECT p_partkey, coalesce(nullif(trim(regexp_replace(trim(name), '[^A-Za-z0-9_.-]+', '_', 'g'), '_'), ''), 'unknown') AS stem
+FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '._' || p_name || '.' WHEN 1 THEN ' ' || p_brand || '/' || p_type || '% ' WHEN 2 THEN '__!' ELSE p_type || '_' END AS name FROM part)""",
+)
 def f21_file_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(F.lit(" n / "), F.col("event_id") % 9, F.lit("%x! "))
-    return points(spark, sf_dir).select("event_id", status.file_stem(name).alias("stem"))
+    at = F.col("p_partkey") % 4
+    name = F.when(at == 0, F.concat(F.lit("._"), "p_name", F.lit("."))).when(at == 1, F.concat(F.lit(" "), "p_brand", F.lit("/"), "p_type", F.lit("% "))).when(at == 2, "__!")
+    return table(spark, sf_dir, "part").select("p_partkey", status.file_stem(name.otherwise(F.concat("p_type", F.lit("_")))).alias("stem"))
 
 
-@query("f36_flux", "SELECT event_id, round(pow(10, value / 10), 3) AS flux FROM events WHERE value < 60")
+@query(
+    "f36_flux",
+    """
+SELECT event_id, round(log10(pow(10, (value - 250) / 10)), 6) AS log_flux,
+       CASE event_id % 41 WHEN 0 THEN 'not in Sun' WHEN 1 THEN 'filling history' WHEN 2 THEN 'not in flare' WHEN 4 THEN 'flare likely'
+            WHEN 24 THEN 'in-flare decreasing' WHEN 40 THEN 'in-flare rising' END AS phase
+FROM events""",
+)
 def f36_flux(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return points(spark, sf_dir).filter("value < 60").select("event_id", F.round(status.flux(F.col("value")), 3).alias("flux"))
+    made = status.flux(F.col("value") - 250)
+    return points(spark, sf_dir).select("event_id", F.round(F.log10(made), 6).alias("log_flux"), status.flare_phase(F.col("event_id") % 41).alias("phase"))
+
 
 
 @query("st4_jump_rejection_batch")
