@@ -27,6 +27,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a batch of large rows for Python; a batch is held several times on its way.
+ARROW_BYTES = "4m"
+
 #: Tables are written in row groups of this many bytes, which a writing task holds.
 ROW_GROUP_BYTES = 16 << 20
 
@@ -81,14 +84,16 @@ def begin_task(name: str) -> None:
 
 @contextlib.contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Within it, jobs hand at most this many rows at a time to Python, for rows that are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    """Within it, jobs hand at most this many rows and about ARROW_BYTES at a time to Python, for rows that are large."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES}
+    before = {name: spark.conf.get(name) for name in names}
     try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def small_or_shuffled(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
