@@ -189,3 +189,24 @@ def source_of_offset(packets: DataFrame, files: DataFrame) -> DataFrame:
     based = files.withColumn("base", F.coalesce(F.sum("length").over(before), F.lit(0)))
     inside = (F.col("offset") >= F.col("base")) & (F.col("offset") < F.col("base") + F.col("length"))
     return packets.join(F.broadcast(based), inside, "left")
+
+
+def manifest(packets: DataFrame, names: DataFrame, decoders: dict[str, str]) -> DataFrame:
+    """One row for each packet (packet_index, packet) with its header, copies, decoder and the table it is decoded to.
+
+    decoders: kind of decoder by packet name; packets of other names have none and point nowhere.
+    """
+    headed = with_packet_names(mark_duplicates(with_header(packets)), names)
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for kv in decoders.items() for x in kv]), F.col("packet_name"))
+    table = F.concat(F.lit("decoded_apid_"), F.col("apid"), F.lit("_"), F.col("packet_name"), F.lit(".csv"))
+    return headed.select(
+        "packet_index",
+        "apid",
+        "packet_name",
+        F.octet_length("packet").alias("packet_len"),
+        "sequence_count",
+        F.col("group_size").alias("duplicate_group_size"),
+        F.coalesce(kind, F.lit("none")).alias("decoder_kind"),
+        F.when(kind.isNull(), "no_decoder").otherwise("decoded").alias("decode_status"),
+        F.when(kind.isNotNull(), table).alias("decoded_csv"),
+    )

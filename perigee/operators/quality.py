@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,3 +89,65 @@ def redacted(values: Column) -> Column:
     """A map without the values of sensitive keys."""
     sensitive = lambda k: F.lower(F.regexp_replace(k, "-", "_")).rlike(SENSITIVE)
     return F.transform_values(values, lambda k, v: F.when(sensitive(k), "<redacted>").otherwise(v))
+
+
+def header_rows(groups: DataFrame, values: DataFrame, start: int = 7) -> DataFrame:
+    """Rows of an image's header in order: image, position, keyword, value, comment.
+
+    groups: variable, ordinal, grp, keyword, description, units; values: image, variable, value. A group that has
+    values begins with a COMMENT of its name centred in 72 dashes; its variables follow in order of definition, with
+    their units behind the description.
+    """
+    comment = with_units(F.col("description"), F.col("units"))
+    held = values.join(F.broadcast(groups), "variable").select("image", "grp", "ordinal", "keyword", "value", comment.alias("comment"))  # a definition file
+    left = F.floor((72 - F.length("grp")) / 2)
+    title = F.rpad(F.concat(F.repeat(F.lit("-"), F.greatest(left, F.lit(0)).cast("int")), F.col("grp")), 72, "-")
+    heads = held.groupBy("image", "grp").agg((F.min("ordinal") - 0.5).alias("ordinal"))
+    heads = heads.select("image", "grp", "ordinal", F.lit("COMMENT").alias("keyword"), title.alias("value"), F.lit(None).cast("string").alias("comment"))
+    firsts = groups.groupBy("grp").agg(F.min("ordinal").alias("group_first"))
+    every = heads.unionByName(held).join(F.broadcast(firsts), "grp")
+    place = F.row_number().over(Window.partitionBy("image").orderBy("group_first", "ordinal")) - 1 + start
+    return every.select("image", place.alias("position"), "keyword", "value", "comment")
+
+
+def definition_problems(variables: DataFrame, required: DataFrame, obsolete: dict[str, str], by: str) -> DataFrame:
+    """Per definition file (by, variable): the required variables that it lacks, sorted, and obsolete ones with their successor."""
+    present = variables.select(by, F.lit(0).alias("level"), F.col("variable").alias("name"))
+    missing = missing_required(present, required.select("name", F.lit(0).alias("level")), by).drop("level")
+    old = F.create_map(*[F.lit(x) for kv in obsolete.items() for x in kv])
+    stale = variables.filter(F.col("variable").isin(list(obsolete))).select(by, F.concat("variable", F.lit(" -> "), F.element_at(old, F.col("variable"))).alias("stale"))
+    stale = stale.groupBy(by).agg(F.array_sort(F.collect_set("stale")).alias("obsolete"))  # of the obsolete names
+    return missing.join(stale, by, "full_outer")
+
+
+def run_manifest(before: DataFrame, after: DataFrame, inputs: DataFrame, settings: DataFrame, started: float, ended: float, error: str | None = None) -> DataFrame:
+    """One JSON line of a run: its inputs with size and checksum, outputs that changed, settings without secrets, status.
+
+    before and after: listings (path, size, mtime); inputs: path, size, sha256; settings: name, value. A manifest
+    names the files of one run, so they meet in one row.
+    """
+    changed = listing_changes(before, after).filter("change <> 'deleted'")
+    one = inputs.agg(F.array_sort(F.collect_list(F.struct("path", "size", "sha256"))).alias("inputs"))
+    outputs = changed.agg(F.array_sort(F.collect_list(F.struct("path", "change"))).alias("outputs"))
+    held = settings.agg(redacted(F.map_from_entries(F.collect_list(F.struct("name", "value")))).alias("settings"))
+    row = one.crossJoin(outputs).crossJoin(held)  # one row each
+    facts = {"status": F.lit("failed" if error else "completed"), "error": F.lit(error), "duration_seconds": F.lit(float(ended - started))}
+    return row.select(F.to_json(F.struct("inputs", "outputs", "settings", *[v.alias(k) for k, v in facts.items()])).alias("manifest"))
+
+
+def with_units(description: Column, units: Column) -> Column:
+    """A description with its units behind it, if it has any."""
+    return F.when(F.coalesce(units, F.lit("")) != "", F.concat(description, F.lit(" ("), units, F.lit(")"))).otherwise(description)
+
+
+def matching_fields(fields: DataFrame, keywords: list[str]) -> DataFrame:
+    """field and position of the temperature fields that a keyword names, in order of keyword and field, each once.
+
+    A field matches a keyword that it contains beside `temp`, in any case; for adcs it must have `motor` and `1` too.
+    """
+    name = F.lower("field")
+    needs = lambda word: ["adcs", "motor", "1"] if word == "adcs" else [word]
+    hits = [F.when(functools.reduce(Column.__and__, [name.contains(x) for x in [*needs(k.lower()), "temp"]]), i) for i, k in enumerate(keywords)]
+    found = fields.withColumn("_first", F.coalesce(*hits)).filter("_first is not null")
+    place = F.row_number().over(Window.orderBy("_first", "field")) - 1  # names of fields, a small table
+    return found.select("field", place.alias("position"))

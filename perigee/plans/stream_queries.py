@@ -7,8 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perigee.operators import series
 from perigee.plans.base import query
 from perigee.plans.fixtures import table
+from perigee.plans.value_queries import JUMPS, SIGMA
 from perigee.sources.scratch import shared_folder
 from perigee.streaming import runs, state
 
@@ -30,12 +32,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.replay(spark, folder, SCHEMA, files_per_batch=1)
 
 
-@query("st4_jump_rejection_stream")
+@query("st4_jump_rejection_stream", JUMPS)
 def st4_jump_rejection_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tested equal to the batch fold."""
+    """The same rule as the batch fold, with state carried from batch to batch."""
     wild = F.when(F.col("event_id") % 17 == 0, 1e6).otherwise(0.0)
     packets = events(spark, sf_dir).select("event_id", F.concat(F.lit("u"), F.col("user_id") % 7).alias("packet_name"), (F.col("us") / 1e6 - 946_684_800 + wild).alias("packet_time"), F.lit("ccsds_secondary_header").alias("time_source"), (F.col("us") / 1e6).alias("received"))
-    return runs.run_to_table(state.reject_jumps(packets, "packet_name", max_jump=600.0), "st4")
+    return runs.run_to_table(state.reject_jumps(packets, "packet_name", max_jump=600.0), "st4").select("event_id", "packet_name", "reject_reason")
 
 
 @query(
@@ -46,3 +48,25 @@ SELECT event_id, event_type AS field, false AS rejected, least(row_number() OVER
 def st3_latest_history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = events(spark, sf_dir).select("event_id", F.col("event_type").alias("field"), "us", "value")
     return runs.run_to_table(state.field_history(points), "st3").select("event_id", "field", "rejected", "n_history", "latest")
+
+
+@query("st5_sigma_filter_stream", SIGMA)
+def st5_sigma_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = events(spark, sf_dir).select("event_id", F.col("event_type").alias("field"), "us", "value")
+    return runs.run_to_table(state.field_history(points, threshold=4.0), "st5").select("event_id", "field", "us", "value", "rejected")
+
+
+@query("st8_counters_stream", "SELECT event_type AS packet_name, count(*) AS seen FROM events GROUP BY event_type")
+def st8_counters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts kept by a streaming aggregation; the last version of each is the one of the largest count."""
+    rows = events(spark, sf_dir).select(F.col("event_type").alias("packet_name"), F.lit("decoded").alias("status"), F.lit(None).cast("string").alias("checksum_status"), F.lit(None).cast("string").alias("reject_reason"))
+    return runs.run_updates(state.counters(rows), "st8", ["packet_name"]).select("packet_name", "seen")
+
+
+@query("s18_latest_snapshot", "SELECT event_type, arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value FROM events GROUP BY event_type")
+def s18_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of newest values that a stream leaves for its readers."""
+    folder = f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}"
+    stream = events(spark, sf_dir).select("event_type", "event_id", "us", "value")
+    runs.keep_latest(stream, folder, ["event_type"], ["us"], series.latest).trigger(availableNow=True).start().awaitTermination()
+    return runs.newest_version(spark, folder).select("event_type", "event_id", "value")

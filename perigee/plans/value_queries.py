@@ -245,15 +245,41 @@ def f36_flux(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-@query("st4_jump_rejection_batch")
+JUMPS = """
+WITH RECURSIVE p AS (
+    SELECT event_id, 'u' || user_id % 7 AS packet_name, epoch_us(ts) / 1e6 - 946684800 + CASE WHEN event_id % 17 = 0 THEN 1e6 ELSE 0 END AS packet_time, epoch_us(ts) / 1e6 AS received,
+           row_number() OVER (PARTITION BY user_id % 7 ORDER BY ts, event_id) AS n
+    FROM events),
+fold AS (
+    SELECT event_id, packet_name, n, packet_time AS held, received AS at, NULL::VARCHAR AS reject_reason FROM p WHERE n = 1
+    UNION ALL
+    SELECT p.event_id, p.packet_name, p.n, CASE WHEN jumps THEN f.held ELSE p.packet_time END, CASE WHEN jumps THEN f.at ELSE p.received END, CASE WHEN jumps THEN 'jump' END
+    FROM (SELECT fold.*, fold.n + 1 AS next FROM fold) f JOIN p ON p.packet_name = f.packet_name AND p.n = f.next, LATERAL (SELECT abs(p.packet_time - f.held) > 600 + p.received - f.at AS jumps))
+SELECT event_id, packet_name, reject_reason FROM fold"""
+
+
+@query("st4_jump_rejection_batch", JUMPS)
 def st4_jump_rejection_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against a plain loop: what is accepted depends on what was accepted before."""
     wild = F.when(F.col("event_id") % 17 == 0, 1e6).otherwise(0.0)
     packets = points(spark, sf_dir).select("event_id", "packet_name", (F.col("us") / 1e6 - 946_684_800 + wild).alias("packet_time"), F.lit("ccsds_secondary_header").alias("time_source"), (F.col("us") / 1e6).alias("received"))
-    return series.reject_jumps(packets, "packet_name", max_jump=600.0)
+    return series.reject_jumps(packets, "packet_name", max_jump=600.0).select("event_id", "packet_name", "reject_reason")
 
 
-@query("st5_sigma_filter_batch")
+SIGMA = """
+WITH RECURSIVE p AS (
+    SELECT event_id, event_type AS field, epoch_us(ts) AS us, value, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS n FROM events),
+fold AS (
+    SELECT event_id, field, us, value, n, [value] AS held, false AS rejected FROM p WHERE n = 1
+    UNION ALL
+    SELECT p.event_id, p.field, p.us, p.value, p.n, CASE WHEN far THEN f.held ELSE (f.held || [p.value])[-50:] END, far
+    FROM (SELECT fold.*, fold.n + 1 AS next FROM fold) f JOIN p ON p.field = f.field AND p.n = f.next,
+         LATERAL (SELECT len(f.held) >= 12 AND list_aggregate(f.held, 'stddev_pop') > 0
+                     AND abs(p.value - list_avg(f.held)) > 4 * list_aggregate(f.held, 'stddev_pop') AS far))
+SELECT event_id, field, us, value, rejected FROM fold"""
+
+
+@query("st5_sigma_filter_batch", SIGMA)
 def st5_sigma_filter_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against a plain loop."""
     return series.reject_outliers(points(spark, sf_dir).select("event_id", "field", "us", "value"), "field", "us", "value")

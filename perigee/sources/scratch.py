@@ -34,3 +34,10 @@ def delete_table(spark: SparkSession, path: str) -> None:
     """Delete a table's folder, in whatever store it lies."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in whatever store."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [x.getPath().getName() for x in found]

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from perigee.functions import bits, clock, status
 from perigee.operators import packets, recovery, series
 from perigee.operators.store import TelemetryStore
-from perigee.plans.stream_queries import st4_jump_rejection_stream
-from perigee.plans.value_queries import st4_jump_rejection_batch, st5_sigma_filter_batch
+from perigee.plans.value_queries import st5_sigma_filter_batch
 from perigee.streaming import runs, state
 
 
@@ -113,25 +112,6 @@ def test_store(spark, tmp_path):
     assert [(r["apid"], r["rows"]) for r in store.summary().collect()] == [(7, 2)]
 
 
-def loop(rows, max_jump, rate=1.0):
-    last, out = {}, {}
-    for r in sorted(rows, key=lambda r: (r["received"], r["packet_time"])):
-        previous = last.get(r["packet_name"])
-        if previous and abs(r["packet_time"] - previous[0]) > max_jump + (r["received"] - previous[1]) * rate:
-            out[r["event_id"]] = "jump"
-        else:
-            last[r["packet_name"]] = (r["packet_time"], r["received"])
-            out[r["event_id"]] = None
-    return out
-
-
-def test_jump_rejection_batch_and_stream(spark, small):
-    batch = st4_jump_rejection_batch(spark, small).collect()
-    expected = loop(batch, 600.0)
-    assert {r["event_id"]: r["reject_reason"] for r in batch} == expected
-    assert {r["event_id"]: r["reject_reason"] for r in st4_jump_rejection_stream(spark, small).collect()} == expected
-
-
 def outside(limits, value):
     return not limits[0] <= value <= limits[1]
 
