@@ -85,13 +85,16 @@ def buckets(keys: DataFrame, capacity: int, tables: Tables) -> DataFrame:
         directory = counted.groupBy("parent").applyInArrow(split, "parent long, cell int, bucket int, depth int, over boolean")
         directory = tables.write(directory, "dedup-directory")
         at = left.join(small_or_shuffled(directory, directory.count(), 48), ["parent", "cell"])
-        start = F.col("parent") * (1 << MAX_DEPTH) + F.col("bucket")
-        start = F.call_function("shiftleft", start, F.lit(spare)) if spare >= 0 else F.shiftright(start, -spare)
+        shifted = lambda name, n: F.call_function("shiftleft", F.col(name).cast("long"), F.lit(n))
+        if spare >= 0:
+            start = shifted("parent", MAX_DEPTH + spare).bitwiseOR(shifted("bucket", spare))
+        else:
+            start = shifted("parent", MAX_DEPTH + spare).bitwiseOR(F.shiftright("bucket", -spare).cast("long"))
         at = tables.write(at.select("key", "parent", "cell", "over", start.alias("bucket"), (F.col("depth") + level * MAX_DEPTH).alias("depth")), "dedup-placed")
         if not at.filter("over").limit(1).count() or spare <= 0:
             return union([*placed, at.select("key", "bucket", "depth")])
         placed.append(at.filter("not over").select("key", "bucket", "depth"))
-        left = at.filter("over").select("key", (F.col("parent") * (1 << MAX_DEPTH) + F.col("cell")).alias("parent"))
+        left = at.filter("over").select("key", shifted("parent", MAX_DEPTH).bitwiseOR(F.col("cell").cast("long")).alias("parent"))
     raise AssertionError("64 bits tell all keys apart")
 
 

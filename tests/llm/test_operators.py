@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from perigee.llm import bpe, exact_dedup, hamming, jaccard, language, line_dedup, mixing, quality, registry, sharding
+from perigee.llm import bpe, common, exact_dedup, hamming, jaccard, language, line_dedup, mixing, quality, registry, sharding
 from perigee.llm.common import fold, read_table
 
 CLASHES = {"key": 1, "size": 2, "label": "x", "part": 3, "node": 4, "sign": b"y", "bucket": 5, "rank": 6, "start": 7, "total": 8, "text_key": 9}
@@ -358,3 +358,77 @@ def test_one_of_each_with_repeated_ids(spark):
     frame = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
     left = sorted((r["doc_id"], r["text"]) for r in jaccard.one_of_each(frame).collect())
     assert left == [(1, texts[0]), (1, texts[1]), (3, texts[2])]
+
+
+def test_shards_of_the_mix_have_quotas_of_their_own(docs):
+    """The number of shards changes which blocks are drawn, while each source's words stay near its target."""
+    takes = [{(r["doc_id"], r["size"]): r["taken"] for r in mixing.mix_sources(docs, block_words=4, n_shards=n).collect()} for n in (1, 7)]
+    assert takes[0] != takes[1]
+    assert abs(sum(takes[0].values()) - sum(takes[1].values())) <= 0.05 * sum(takes[0].values())
+
+
+def test_each_shard_by_its_middle_byte(docs, rows):
+    size = lambda text: len((text or "").encode()) + 1
+    order = sorted(((-1 if i is None else i, size(t), zlib.crc32((t or "").encode())) for i, t, *_ in rows))
+    total, before, expected = sum(n for _, n, _ in order), 0, []
+    for i, n, crc in order:
+        expected.append((i, n, crc, (2 * before + n) * 5 // (2 * total)))
+        before += n
+    found = sharding.shard_by_bytes(docs, n_shards=5).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in found) == sorted(expected)
+
+
+def test_written_shards(spark, rows, tmp_path):
+    unique = {i: t for i, t, *_ in rows if i is not None}
+    frame = spark.createDataFrame(list(unique.items()), "doc_id long, text string")
+    sharding.write_shards(frame, f"file://{tmp_path}/shards", n_shards=3)
+    again = spark.read.parquet(f"file://{tmp_path}/shards")
+    assert {r["doc_id"]: r["text"] for r in again.collect()} == unique
+    assert {r["shard"] for r in again.collect()} == {0, 1, 2}
+
+
+def test_directory_of_several_levels(spark, monkeypatch):
+    """Keys that share their first bits go on to deeper levels, and buckets hold no more than their capacity."""
+    keys = [*range(40), *(5 << 60 | n for n in range(30)), *(-n for n in range(1, 30)), *(n << 50 for n in range(1, 50))]
+    frame = spark.createDataFrame([(k,) for k in keys], "key long")
+    found = exact_dedup.buckets(frame, 4, exact_dedup.Tables(spark)).collect()
+    assert sorted(r["key"] for r in found) == sorted(keys)
+    held = collections.Counter((r["bucket"], r["depth"]) for r in found)
+    assert max(held.values()) <= 4 and max(r["depth"] for r in found) > exact_dedup.MAX_DEPTH
+    assert all((r["key"] ^ r["bucket"]) % (1 << 64) >> (64 - r["depth"]) == 0 for r in found if r["depth"])
+
+
+def test_dedup_without_broadcasts(docs, rows, monkeypatch):
+    """Beyond the bound of broadcasts, a bitmap picks the texts that are shuffled; results are the same."""
+    plain = sorted(map(repr, exact_dedup.exact_duplicates(docs).collect()))
+    left = sorted(r["text"] or "" for r in exact_dedup.distinct_texts(docs).collect())
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    assert len(exact_dedup.exact_duplicates(docs).collect()) == len(plain)
+    assert sorted(r["text"] or "" for r in exact_dedup.distinct_texts(docs).collect()) == left
+    groups = collections.Counter(t or "" for _, t, *_ in rows)
+    for r in exact_dedup.exact_duplicates(docs).collect():
+        assert r["group_size"] == groups[next(t for t in groups if hashlib.sha256(t.encode()).hexdigest() == r["text_sha256"])]
+
+
+def test_long_vectors(spark):
+    """Vectors of 150 numbers make codes of three words; some are shorter."""
+    rng = random.Random(8)
+    vectors = [(i, [rng.choice((-1.0, 1.0)) for _ in range(150)]) for i in range(120)] + [(120, [1.0] * 70)]
+    code = lambda v: sum(1 << i for i, x in enumerate(v) if x > 0)
+    expected = {q: sorted(((code(v) ^ code(w)).bit_count(), j) for j, w in vectors)[:3] for q, v in vectors if q % 20 == 0}
+    found = collections.defaultdict(list)
+    for r in hamming.nearest_codes(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"), k=3).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append((r["distance"], r["vec_id"]))
+    assert dict(found) == expected
+
+
+def test_very_long_texts(spark):
+    """A word of a megabyte and a text of ten megabytes go through as others do."""
+    texts = ["x" * 1_000_000, "some words and 12 numbers é " * 370_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = registry.vocabulary_path()
+    library = Tokenizer.from_file(path)
+    expected = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["n_tokens"] for r in bpe.count_tokens(frame, path).collect()} == expected
+    assert {r["doc_id"]: r["n_tokens"] for r in bpe.encode_digests(frame, path).collect()} == expected
+    assert {r["doc_id"]: r["n_shingles"] for r in jaccard.near_duplicates(frame).collect()} == {0: 1, 1: 6}

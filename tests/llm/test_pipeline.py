@@ -44,3 +44,18 @@ def test_stages(spark, small):
     expected = collections.Counter(tuple(library.encode(r["text"], add_special_tokens=False).ids) for r in mixed)
     assert collections.Counter(tuple(r["ids"]) for r in encoded) == expected
     assert len(start) >= len(good) >= len(single) >= len(apart)
+
+
+def test_awkward_rows_and_empty_tables(spark, tmp_path):
+    """Nulls, empty and repeated rows, and no rows at all, go through every stage."""
+    texts = [None, "", " ", "a", "one two three four five six seven", "one two three four five six seven", "x " * 5000]
+    rows = [(i, t, None, ["s", None][i % 2], None) for i, t in enumerate(texts)] + [(None, "no id here at all", "en", "s", 1)] * 2
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(3, 1, 0), (4, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, held in (("some", rows), ("none", [])):
+        docs = spark.createDataFrame(held, schema)
+        for step, stage in corpus_pipeline.STAGES:
+            docs = materialize(stage(spark, docs, str(tmp_path)), f"test-{name}")
+            if step != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert bool(docs.count()) == bool(held)
