@@ -5,6 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perigee.operators.ordering import number_rows
+
+
+#: Rows that share a bucket, about, and the most buckets that are cut.
+BUCKET_ROWS, MOST_BUCKETS = 8_192, 4_096
+
+
+def axis(df: DataFrame, column: str) -> Column:
+    """What is cut into buckets: microseconds of times, or the number itself."""
+    if df.schema[column].dataType.typeName().startswith(("timestamp", "date")):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column)
+
+
+def cuts_of(sides: list[Column], frames: list[DataFrame]) -> list:
+    """Where the axis is cut, so that buckets hold about equally many rows, however these lie; from one pass over it.
+
+    At most MOST_BUCKETS - 1 values reach the driver. Cuts decide on the work of tasks only, never on results.
+    """
+    both = frames[0].select(sides[0].alias("x")).unionAll(frames[1].select(sides[1].alias("x"))).filter("x is not null")
+    shares = F.split(F.lit(" ".join(str(i / MOST_BUCKETS) for i in range(1, MOST_BUCKETS))), " ").cast("array<double>")  # one literal
+    rows, found = both.agg(F.count("*"), F.percentile_approx("x", shares, 5 * MOST_BUCKETS)).first()
+    wanted = min(rows // BUCKET_ROWS + 1, MOST_BUCKETS)
+    return sorted({found[i * MOST_BUCKETS // wanted - 1] for i in range(1, wanted)}) if rows else []
+
+
+def bucket_of(x: Column, cuts: list) -> Column:
+    """Number of cuts at or below x, by halving steps; -1 without x."""
+    steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)] if cuts else []
+    if not steps:
+        return F.when(x.isNull(), -1).otherwise(0)
+    kind = "array<bigint>" if isinstance(cuts[0], int) else "array<double>"
+    table = F.split(F.lit(" ".join(repr(c) for c in cuts)), " ").cast(kind)  # one literal
+    found = F.aggregate(F.array(*[F.lit(i) for i in steps]), F.lit(0), lambda at, step: at + F.when(F.get(table, at + step - 1) <= x, step).otherwise(0))
+    return F.when(x.isNull(), -1).otherwise(found)
+
 
 def asof_join(
     primary: DataFrame,
@@ -16,40 +52,49 @@ def asof_join(
     order: list[str] | None = None,
     tolerance: Column | None = None,
     keep_unmatched: bool = False,
-    bucket_seconds: int = 86_400,
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
-    """Each primary row with the latest secondary row at or before it.
+    """Each primary row with the latest secondary row at or before it, by times or by numbers.
 
     Keeps every primary column and adds the secondary ones as <prefix>_<name>. Secondary rows of equal time are told
     apart by `order` (the last wins). Secondary rows without a time never match; primary rows without one are kept
-    unmatched. Without a key, time is cut into buckets: a window runs inside each bucket, and the last secondary row
-    of earlier buckets comes from a table of one row per bucket. A tolerance (an interval) drops rows that are
-    unmatched or matched too far back, unless keep_unmatched, which then empties their secondary columns.
+    unmatched. Time is cut into buckets of about equally many rows (or of bucket_seconds): a window runs inside each
+    bucket, and the last secondary row of earlier buckets comes from a table of one row per bucket. A tolerance (an
+    interval) drops rows that are unmatched or matched too far back, unless keep_unmatched, which then empties their
+    secondary columns.
     """
     second_time = secondary_time_col or time_col
     keys, order = list(by or []), list(order or [])
     names = {c: f"{prefix}_{c}" for c in secondary.columns}
-    micros = F.unix_micros(F.col("_t").cast("timestamp"))
-    bucket = F.coalesce(F.floor(micros / (bucket_seconds * 1_000_000)), F.lit(-(1 << 62))).cast("long")
-    left = primary.select(F.struct(*primary.columns).alias("_p"), F.col(time_col).alias("_t"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    right = secondary.filter(F.col(second_time).isNotNull()).select(
+    secondary = secondary.filter(F.col(second_time).isNotNull())
+    sides = [axis(primary, time_col), axis(secondary, second_time)]
+    if bucket_seconds is None:
+        cuts = cuts_of(sides, [primary, secondary])
+        buckets = [bucket_of(x, cuts) for x in sides]
+    else:
+        cuts, buckets = None, [F.coalesce(F.floor(x / (bucket_seconds * 1_000_000)), F.lit(-(1 << 62))) for x in sides]
+    key_cols = [f"_k{i}" for i in range(len(keys))]
+    keyed = [F.col(k).alias(c) for k, c in zip(keys, key_cols, strict=True)]
+    left = primary.select(F.struct(*primary.columns).alias("_p"), F.col(time_col).alias("_t"), buckets[0].cast("long").alias("_b"), *keyed)
+    right = secondary.select(
         F.struct(*[F.col(c).alias(n) for c, n in names.items()]).alias("_s"),
         F.col(second_time).alias("_t"),
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        buckets[1].cast("long").alias("_b"),
+        *keyed,
         F.struct(F.col(second_time).alias("t"), *order).alias("_o"),
     )
-    key_cols = [f"_k{i}" for i in range(len(keys))]
-    right, left = right.withColumn("_b", bucket), left.withColumn("_b", bucket)
     last = right.groupBy(*key_cols, "_b").agg(F.max_by("_s", "_o").alias("_last"))
     both = left.unionByName(right, allowMissingColumns=True)
     inside = Window.partitionBy(*key_cols, "_b").orderBy("_t", F.col("_p").isNotNull(), "_o").rowsBetween(Window.unboundedPreceding, 0)
     found = both.withColumn("_m", F.last("_s", ignorenulls=True).over(inside)).filter("_p is not null")
     # One row for each bucket: the last secondary row before it.
-    buckets = left.select(*key_cols, "_b").distinct().join(last, [*key_cols, "_b"], "full_outer")
+    few = cuts is not None and not keys  # then there are MOST_BUCKETS at most
+    every = primary.sparkSession.range(len(cuts) + 1).select(F.col("id").alias("_b")) if few else left.select(*key_cols, "_b").distinct()
     earlier = Window.partitionBy(*key_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = buckets.select(*key_cols, "_b", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    carried = every.join(last, [*key_cols, "_b"], "left" if few else "full_outer")
+    carried = carried.select(*key_cols, "_b", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     match = F.when(F.col("_t").isNotNull(), F.coalesce("_m", "_carried"))
-    joined = found.join(carried, [*key_cols, "_b"], "left").withColumn("_match", match)
+    joined = found.join(F.broadcast(carried) if few else carried, [*key_cols, "_b"], "left").withColumn("_match", match)
     if tolerance is not None:
         near = F.col("_t") - F.col("_match")[names[second_time]] <= tolerance
         joined = joined.withColumn("_match", F.when(near, F.col("_match"))) if keep_unmatched else joined.filter(near)
@@ -59,14 +104,16 @@ def asof_join(
 def interpolate(points: DataFrame, curve: DataFrame, x: str, y: str) -> DataFrame:
     """points with the value of a piecewise linear curve (x, y) at their x; 0 outside the curve's range.
 
-    Curves are tables of calibration knots, so the segments between them are broadcast.
+    Knots are numbered in order and joined with the next one to segments; each point takes the segment that begins at
+    or before it. Of knots at one x the last holds from there on.
     """
-    along = Window.orderBy("x0")
-    knots = curve.select(F.col(x).cast("double").alias("x0"), F.col(y).cast("double").alias("y0"))
-    segments = knots.select("x0", "y0", F.lead("x0").over(along).alias("x1"), F.lead("y0").over(along).alias("y1"))
-    at = F.col(x).cast("double")
-    inside = (at >= F.col("x0")) & ((at < F.col("x1")) | (F.col("x1").isNull() & (at == F.col("x0"))))
-    joined = points.join(F.broadcast(segments), inside, "left")
-    slope = (F.col("y1") - F.col("y0")) / (F.col("x1") - F.col("x0"))
-    value = F.when(F.col("x0").isNull(), 0.0).otherwise(F.col("y0") + F.coalesce(slope * (at - F.col("x0")), F.lit(0.0)))
-    return joined.select(*[points[c] for c in points.columns], value.alias(f"{y}_interpolated"))
+    knots = curve.select(F.col(x).cast("double").alias("x0"), F.col(y).cast("double").alias("y0")).filter("x0 is not null")
+    knots = number_rows(knots, ["x0", "y0"], "knot")
+    after = knots.select((F.col("knot") - 1).alias("knot"), F.col("x0").alias("x1"), F.col("y0").alias("y1"))
+    segments = knots.join(after, "knot", "left")
+    held = points.withColumn("_at", F.col(x).cast("double"))
+    joined = asof_join(held, segments, "_at", "x0", prefix="_c", order=["knot"])
+    at, x0, x1, y0, y1 = (F.col(c) for c in ("_at", "_c_x0", "_c_x1", "_c_y0", "_c_y1"))
+    inside = F.coalesce((at < x1) | (x1.isNull() & (at == x0)), F.lit(False))
+    value = F.when(inside, y0 + F.coalesce((y1 - y0) / (x1 - x0) * (at - x0), F.lit(0.0))).otherwise(0.0)
+    return joined.select(*points.columns, value.alias(f"{y}_interpolated"))

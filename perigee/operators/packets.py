@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from perigee.functions import bits
-from perigee.sources.scratch import written
+from perigee.operators.asof import asof_join
+from perigee.operators.ordering import number_rows, running_sums
 
 
 def with_header(packets: DataFrame, packet_col: str = "packet") -> DataFrame:
@@ -104,6 +109,63 @@ def decode_long(packets: DataFrame, layout: DataFrame) -> DataFrame:
     return joined.withColumn("raw_value", value)
 
 
+def dictionary_fields(packet: Column, fields: Column) -> Column:
+    """Values by name of the fields (field, kind, bit_offset, bit_length: arrays of structs, up to 48 bits) of a packet."""
+
+    def value(f: Column) -> Column:
+        first, last = F.floor(f["bit_offset"] / 8), F.floor((f["bit_offset"] + f["bit_length"] - 1) / 8)
+        raw = F.conv(F.hex(F.substring(packet, (first + 1).cast("int"), (last - first + 1).cast("int"))), 16, 10).cast("double")
+        below = F.pow(F.lit(2.0), 8 * (last + 1) - f["bit_offset"] - f["bit_length"])
+        span = F.pow(F.lit(2.0), f["bit_length"])
+        unsigned = F.floor(raw / below) % span
+        return F.when((f["kind"] == "I") & (unsigned * 2 >= span), unsigned - span).otherwise(unsigned)
+
+    return F.map_from_entries(F.transform(fields, lambda f: F.struct(f["field"], value(f).cast("double"))))
+
+
+def decode_each(packets: DataFrame, layout: DataFrame, registered: dict[str, Callable[[bytes], dict[str, float]]]) -> DataFrame:
+    """packets (apid, packet_name, packet) with decoder_kind, status, error and fields (a map of numbers).
+
+    A decoder registered for the packet's name comes first, then the dictionary (see field_layout), then none. What a
+    registered decoder raises, and a packet that ends before its last field, make decode_failed with a text. Packets
+    without a decoder have no_decoder; a null packet counts as an empty one. Nothing is shuffled.
+    """
+    reach = (F.max(F.col("bit_offset") + F.col("bit_length")) + 7) / 8
+    entry = F.struct("ordinal", "field", "kind", "bit_offset", "bit_length")
+    dictionary = layout.groupBy("apid").agg(F.array_sort(F.collect_list(entry)).alias("_fields"), F.floor(reach).alias("_bytes"))  # of one packet
+    own = F.coalesce(F.col("packet_name").isin(*registered), F.lit(False))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [attempt(registered[name], bytes(data or b"")) for name, data in zip(frame["packet_name"], frame["packet"], strict=True)]
+            results = {"decoder_kind": "registered", "status": ["decode_failed" if e else "decoded" for _, e in found]}
+            yield frame.assign(**results, error=[e for _, e in found], fields=[f for f, _ in found])
+
+    added = "decoder_kind string, status string, error string, fields map<string,double>"
+    plain = packets.filter(~own).join(F.broadcast(dictionary), "apid", "left")
+    size = F.coalesce(F.octet_length("packet"), F.lit(0))
+    none, short = F.col("_fields").isNull(), size < F.col("_bytes")
+    decoded = plain.select(
+        *packets.columns,
+        F.when(none, "none").otherwise("dictionary").alias("decoder_kind"),
+        F.when(none, "no_decoder").when(short, "decode_failed").otherwise("decoded").alias("status"),
+        F.when(short, F.format_string("%d bytes, %d needed", size, "_bytes")).alias("error"),
+        F.when(~none & ~short, dictionary_fields(F.col("packet"), F.col("_fields"))).alias("fields"),
+    )
+    if not registered:
+        return decoded
+    schema = StructType([*packets.schema.fields, *StructType.fromDDL(added).fields])
+    return packets.filter(own).mapInPandas(run, schema).unionByName(decoded)
+
+
+def attempt(decoder: Callable[[bytes], dict[str, float]], data: bytes) -> tuple[dict[str, float] | None, str | None]:
+    """A decoder's fields, or what went wrong."""
+    try:
+        return {k: float(v) for k, v in decoder(data).items()}, None
+    except Exception as fault:  # noqa: BLE001  a user's function may raise anything; it is reported with its packet
+        return None, str(fault) or type(fault).__name__
+
+
 def decode_summary(decoded: DataFrame) -> DataFrame:
     """Per APID: packets by status and their sizes. Needs apid, status, packet_bytes."""
     count = lambda status: F.count_if(F.col("status") == status).alias(status)
@@ -146,21 +208,6 @@ def mark_duplicates(packets: DataFrame, packet_col: str = "packet") -> DataFrame
     return joined.withColumn("group_size", F.coalesce("group_size", F.lit(1)).cast("long")).withColumn("is_duplicate", F.col("group_size") > 1)
 
 
-def number_rows(df: DataFrame, order: list[str], name: str = "packet_index", start: int = 0) -> DataFrame:
-    """df with consecutive numbers in an order, without a global window.
-
-    Rows are range-partitioned, sorted and written, which fixes the partitions; numbers are added up from the rows of
-    earlier ones.
-    """
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    parts = written(parts.withColumn("_in_part", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.groupBy("_part").agg(F.count("*").alias("_rows"))  # one row for each partition
-    bases = bases.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
-    joined = parts.join(F.broadcast(bases), "_part")
-    return joined.withColumn(name, F.col("_base") + F.col("_in_part") + start).drop("_part", "_in_part", "_base")
-
-
 def merge_sources(packets: DataFrame, tie: list[str]) -> DataFrame:
     """All sources in time order with packet_index: timed packets by (coarse, fine, source, …), untimed ones after them.
 
@@ -181,14 +228,15 @@ def source_summary(packets: DataFrame, top: int = 12) -> DataFrame:
 
 
 def source_of_offset(packets: DataFrame, files: DataFrame) -> DataFrame:
-    """packets with the file whose bytes [base, base + length) hold their offset. The list of files is broadcast.
+    """packets with the file whose bytes [base, base + length) hold their offset, if any.
 
     Files stand one after another by `position`; their bases are running sums of lengths, so nothing is concatenated.
+    A packet takes the last file that begins at or before it, and keeps it if its bytes reach so far.
     """
-    before = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    based = files.withColumn("base", F.coalesce(F.sum("length").over(before), F.lit(0)))
-    inside = (F.col("offset") >= F.col("base")) & (F.col("offset") < F.col("base") + F.col("length"))
-    return packets.join(F.broadcast(based), inside, "left")
+    based = running_sums(files, ["position"], "length", "base")
+    joined = asof_join(packets, based, "offset", "base", prefix="_f", order=["position"])
+    inside = F.col("offset") < F.col("_f_base") + F.col("_f_length")
+    return joined.select(*packets.columns, *[F.when(inside, F.col(f"_f_{c}")).alias(c) for c in based.columns])
 
 
 def manifest(packets: DataFrame, names: DataFrame, decoders: dict[str, str]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perigee.functions import bits
@@ -191,6 +191,25 @@ def select_packets(candidates: DataFrame, need_checksum: bool = False, repair_ap
     return ordered.mapInPandas(walk, schema).drop("taken")
 
 
+def register_packetize(spark: SparkSession, name: str = "packetize") -> None:
+    """Make a table function of SQL, packetize(content, lengths): the packets of one capture, as select_packets finds them.
+
+    lengths: expected bytes by APID. Null content has no packets.
+    """
+
+    @F.udtf(returnType="offset long, apid int, packet_length int, packet binary, packet_index long")
+    class Packetize:
+        def eval(self, content: bytes | None, lengths: dict[int, int]) -> Iterator[tuple]:
+            data = bytes(content or b"")
+            end, index = 0, 0
+            for at, apid, length in possible_heads([*lengths], lengths)(data, len(data)):
+                if at >= end:
+                    yield at, apid, length, data[at : at + length], index
+                    end, index = at + length, index + 1
+
+    spark.udtf.register(name, Packetize)
+
+
 def mend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Candidates with what is left of them and the bytes beyond when repeated words are taken out; others go."""
     for frame in frames:

@@ -10,19 +10,58 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from perigee.sources.scratch import FEW_ROWS, written
+
 
 def present(points: DataFrame, time_col: str, value_col: str) -> DataFrame:
     """Rows that have a time and a value; NaN is no value."""
     return points.filter(F.col(time_col).isNotNull() & F.col(value_col).isNotNull() & ~F.isnan(value_col))
 
 
-def clip_outliers(points: DataFrame, by: str, value_col: str, low: float = 0.005, high: float = 0.995) -> tuple[DataFrame, DataFrame]:
-    """Points inside each group's percentiles (inclusive, linear between ranks), and a report of what was removed.
+#: A sketch that brackets percentiles errs by one of so many parts of the rows.
+SKETCH_PARTS = 100_000
+
+#: How far a bracket reaches to both sides, as a part of the rows: the least that is four rows or more.
+REACHES = (0.000_02, 0.000_2, 0.002, 0.02, 1.0)
+
+
+def percentiles(points: DataFrame, by: str, value_col: str, shares: list[float]) -> DataFrame:
+    """by and bounds: the exact percentiles of each group, linear between ranks, without holding a group in one task.
 
-    Percentiles are exact and merge map-side by value; groups are fields, so their table is broadcast.
+    The result has a hint to broadcast it if there are few groups. A sketch of bounded size brackets each percentile between two values. What lies below a bracket is only counted;
+    the few values inside it are counted by value and added up to the wanted ranks.
     """
-    bounds = points.groupBy(by).agg(F.percentile(value_col, [low, high]).alias("bounds"))
-    marked = points.join(F.broadcast(bounds), by).withColumn("inside", F.col(value_col).between(F.col("bounds")[0], F.col("bounds")[1]))
+    edges = [x for p in shares for r in REACHES for x in (max(p - r, 0.0), min(p + r, 1.0))]
+    sketched = points.groupBy(by).agg(F.count(value_col).alias("n"), F.percentile_approx(value_col, edges, SKETCH_PARTS).alias("e"))
+    wide = F.coalesce(*[F.when(F.col("n") * r >= 4, 2 * k) for k, r in enumerate(REACHES)], F.lit(2 * len(REACHES) - 2))
+    each = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.get("e", wide + 2 * len(REACHES) * i).alias("low"), F.get("e", wide + 2 * len(REACHES) * i + 1).alias("high"))
+            for i, p in enumerate(shares)
+        ]
+    )
+    brackets = written(sketched.filter("n > 0").select(F.col(by).alias("_by"), "n", F.inline(each)), "brackets")
+    near = points.select(F.col(by).alias("_by"), F.col(value_col).alias("v")).filter("v is not null")
+    few = brackets.count() <= FEW_ROWS
+    near = near.join(F.broadcast(brackets) if few else brackets, "_by").filter("v <= high")
+    folded = F.when(F.col("v") >= F.col("low"), F.col("v"))  # null: below the bracket
+    counted = near.groupBy("_by", "i", "p", "n", folded.alias("v")).agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("_by", "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    rank = F.col("p") * (F.col("n") - 1)
+    ranked = counted.withColumn("upto", upto).filter("v is not null").groupBy("_by", "i", rank.alias("rank"))
+    at = lambda place: F.min(F.when(F.col("upto") > place, F.col("v")))
+    found = ranked.agg(at(F.floor(rank)).alias("low"), at(F.ceil(rank)).alias("high"))
+    above = F.col("rank") - F.floor("rank")
+    value = F.when(above == 0, F.col("low")).otherwise((1 - above) * F.col("low") + above * F.col("high"))
+    bounds = F.transform(F.array_sort(F.collect_list(F.struct("i", value.alias("v")))), lambda x: x["v"])  # one for each share
+    result = found.groupBy(F.col("_by").alias(by)).agg(bounds.alias("bounds"))
+    return F.broadcast(result) if few else result
+
+
+def clip_outliers(points: DataFrame, by: str, value_col: str, low: float = 0.005, high: float = 0.995) -> tuple[DataFrame, DataFrame]:
+    """Points inside each group's percentiles (inclusive, linear between ranks), and a report of what was removed."""
+    bounds = percentiles(points, by, value_col, [low, high])
+    marked = points.join(bounds, by).withColumn("inside", F.col(value_col).between(F.col("bounds")[0], F.col("bounds")[1]))
     report = marked.groupBy(by).agg(
         F.count("*").alias("points"), F.count_if(~F.col("inside")).alias("removed"), (100 * F.count_if(~F.col("inside")) / F.count("*")).alias("removed_percent")
     )

@@ -135,7 +135,7 @@ class TelemetryStore:
             raise KeyError(packet_type)
         rows = self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/apid_{found[0]['apid']}")
         known = self.ledger.select(F.col("sha256").alias("source_sha256"))
-        return rows.join(F.broadcast(known), "source_sha256", "left_semi").drop("source_sha256")
+        return rows.join(known, "source_sha256", "left_semi").drop("source_sha256")
 
     def summary(self) -> DataFrame:
         """Rows of each table."""

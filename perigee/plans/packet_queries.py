@@ -290,3 +290,30 @@ def j11_source_of_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = found.groupBy(F.col("user_id").alias("position")).agg((F.count("*") * 20).alias("length"))
     located = ops.source_of_offset(found.select("event_id", (F.col("event_id") * 20).alias("offset")), files)
     return located.select("event_id", "offset", "position", (F.col("offset") - F.col("base")).alias("in_file"))
+
+
+def beacon_value(packet: bytes) -> dict[str, float]:
+    """A decoder of one's own: the value of a beacon; those of every 17th sequence count can't be read."""
+    if (int.from_bytes(packet[2:4], "big") & 0x3FFF) % 17 == 0:
+        raise ValueError("unreadable")
+    return {"value": int.from_bytes(packet[12:16], "big") / 100}
+
+
+@query(
+    "x1_registered_decoder",
+    PACKETS + """
+SELECT event_id, apid, CASE apid WHEN 1 THEN 'beacon' WHEN 16 THEN 'sw_stat' WHEN 536 THEN 'csie_data' ELSE 'apid_' || apid END AS packet_name,
+       CASE apid WHEN 1 THEN 'registered' WHEN 538 THEN 'none' ELSE 'dictionary' END AS decoder_kind,
+       CASE WHEN apid = 538 THEN 'no_decoder' WHEN apid = 1 AND event_id % 16384 % 17 = 0 THEN 'decode_failed' ELSE 'decoded' END AS status,
+       CASE WHEN apid = 1 AND event_id % 16384 % 17 = 0 THEN 'unreadable' END AS error,
+       CASE WHEN apid = 538 OR apid = 1 AND event_id % 16384 % 17 = 0 THEN NULL
+            WHEN apid = 1 THEN ('0x' || substr(hex, 25, 8))::BIGINT / 100.0 ELSE ('0x' || substr(hex, 25, 8))::BIGINT END::DOUBLE AS value,
+       CASE WHEN apid NOT IN (1, 538) THEN event_id % 16384 END::DOUBLE AS count
+FROM packets""",
+)
+def x1_registered_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = ops.field_layout(dictionary(spark)).filter("apid <> 538")
+    named = ops.with_packet_names(packets(spark, sf_dir).select("event_id", "apid", "packet"), spark.createDataFrame(NAMES, "apid int, packet_name string"))
+    decoded = ops.decode_each(named, layout, {"beacon": beacon_value})
+    fields = [F.try_element_at("fields", F.lit(f)).alias(f) for f in ("value", "count")]
+    return decoded.select("event_id", "apid", "packet_name", "decoder_kind", "status", "error", *fields)

@@ -20,17 +20,17 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wrappers of a stream: 20 bytes each, some with a gap before them, some with a wrong sequence count."""
+    """Wrappers of captures of 1,000 events: 20 bytes each, some with a gap before them, some with a wrong sequence count."""
     n = F.col("event_id")
     offset = n * 20 + F.expr("event_id div 9") * 3
     count = (n + F.when(n % 31 == 0, 5).otherwise(0)) % 16384
-    return packets(spark, sf_dir).select(F.expr("user_id % 1").alias("capture_id"), offset.alias("offset"), F.lit(20).alias("packet_length"), count.alias("sequence_count"))
+    return packets(spark, sf_dir).select(F.expr("event_id div 1000").alias("capture_id"), offset.alias("offset"), F.lit(20).alias("packet_length"), count.alias("sequence_count"))
 
 
-WRAPPERS = "WITH wrappers AS (SELECT event_id * 20 + event_id // 9 * 3 AS \"offset\", (event_id + CASE WHEN event_id % 31 = 0 THEN 5 ELSE 0 END) % 16384 AS sequence_count FROM events)"
+WRAPPERS = "WITH wrappers AS (SELECT event_id // 1000 AS capture_id, event_id * 20 + event_id // 9 * 3 AS \"offset\", (event_id + CASE WHEN event_id % 31 = 0 THEN 5 ELSE 0 END) % 16384 AS sequence_count FROM events)"
 
 
-@query("j10_successors", WRAPPERS + " SELECT 0::BIGINT AS capture_id, a.offset AS \"offset\", b.offset AS next_offset FROM wrappers a JOIN wrappers b ON b.offset = a.offset + 20 AND b.sequence_count = (a.sequence_count + 1) % 16384")
+@query("j10_successors", WRAPPERS + " SELECT a.capture_id, a.offset AS \"offset\", b.offset AS next_offset FROM wrappers a JOIN wrappers b ON a.capture_id = b.capture_id AND b.offset = a.offset + 20 AND b.sequence_count = (a.sequence_count + 1) % 16384")
 def j10_successors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.successors(wrappers(spark, sf_dir))
 
@@ -38,12 +38,12 @@ def j10_successors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "w7_chains",
     WRAPPERS + """,
-marked AS (SELECT *, CASE WHEN lag("offset") OVER w + 20 = "offset" AND (lag(sequence_count) OVER w + 1) % 16384 = sequence_count THEN 0 ELSE 1 END AS start FROM wrappers WINDOW w AS (ORDER BY "offset")),
-numbered AS (SELECT *, sum(start) OVER (ORDER BY "offset") AS chain FROM marked)
-SELECT "offset", chain::BIGINT AS chain, count(*) OVER (PARTITION BY chain) AS chain_length FROM numbered""",
+marked AS (SELECT *, CASE WHEN lag("offset") OVER w + 20 = "offset" AND (lag(sequence_count) OVER w + 1) % 16384 = sequence_count THEN 0 ELSE 1 END AS start FROM wrappers WINDOW w AS (PARTITION BY capture_id ORDER BY "offset")),
+numbered AS (SELECT *, sum(start) OVER (PARTITION BY capture_id ORDER BY "offset") AS chain FROM marked)
+SELECT capture_id, "offset", chain::BIGINT AS chain, count(*) OVER (PARTITION BY capture_id, chain) AS chain_length FROM numbered""",
 )
 def w7_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.chains(wrappers(spark, sf_dir)).select("offset", "chain", "chain_length")
+    return ops.chains(wrappers(spark, sf_dir)).select("capture_id", "offset", "chain", "chain_length")
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,18 +73,29 @@ PIECES = "WITH " + PACKETS_SQL.strip() + """,
 placed AS (SELECT user_id AS capture_id, event_id, apid, event_id % 4 AS fill, sum(event_id % 4 + 20) OVER (PARTITION BY user_id ORDER BY event_id) - 20 AS "offset", hex FROM packets)"""
 
 
-@query("b3_packetize", PIECES + " SELECT capture_id, \"offset\"::BIGINT AS \"offset\", apid, 20 AS packet_length, hex AS packet, row_number() OVER (PARTITION BY capture_id ORDER BY \"offset\") - 1 AS packet_index FROM placed")
+PACKETIZED = PIECES + " SELECT capture_id, \"offset\"::BIGINT AS \"offset\", apid, 20 AS packet_length, hex AS packet, row_number() OVER (PARTITION BY capture_id ORDER BY \"offset\") - 1 AS packet_index FROM placed"
+
+APIDS = {1: 20, 16: 20, 35: 20, 536: 20, 538: 20}
+
+
+@query("b3_packetize", PACKETIZED)
 def b3_packetize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apids = {1: 20, 16: 20, 35: 20, 536: 20, 538: 20}
-    found = ops.select_packets(ops.packet_candidates(captures(spark, sf_dir), apids, list(apids)))
+    found = ops.select_packets(ops.packet_candidates(captures(spark, sf_dir), APIDS, list(APIDS)))
     return found.select("capture_id", "offset", "apid", "packet_length", F.lower(F.hex("packet")).alias("packet"), "packet_index")
 
 
+@query("x2_packetize_function", PACKETIZED)
+def x2_packetize_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ops.register_packetize(spark)
+    lengths = "map(" + ", ".join(f"{k}, {v}" for k, v in APIDS.items()) + ")"
+    columns = "offset, apid, packet_length, lower(hex(packet)) AS packet, packet_index"
+    return spark.sql(f"SELECT capture_id, {columns} FROM {{captures}} c, LATERAL packetize(c.content, {lengths})", captures=captures(spark, sf_dir))
+
+
 def recovered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Captures, and the packets found in them."""
-    apids = {1: 20, 16: 20, 35: 20, 536: 20, 538: 20}
     streams = captures(spark, sf_dir)
-    return streams, ops.select_packets(ops.packet_candidates(streams, apids, list(apids)))
+    return streams, ops.select_packets(ops.packet_candidates(streams, APIDS, list(APIDS)))
 
 
 @query("a13_resync_gaps", PIECES + " SELECT capture_id, count(*) FILTER (fill > 0) AS gaps, sum(fill)::BIGINT AS gap_bytes, max(fill) AS max_gap FROM placed GROUP BY capture_id")

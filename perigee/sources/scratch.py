@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A table of at most so many counted rows may be broadcast.
+FEW_ROWS = 100_000
+
 _OWN_FOLDERS: dict[str, str] = {}
 
 
