@@ -9,10 +9,11 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import json
 import operator
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 
 from perigee.llm.common import begin_task, remembers
 
-#: A worker forgets the chunks (or pre-tokens and fragments) it has met when it holds this many, and never holds
-#: longer ones.
+#: A worker holds at most so many of the chunks (or pre-tokens and fragments) it has met, and never longer ones.
 CACHE_ITEMS, CACHE_PIECES, CACHE_CHARS = 300_000, 100_000, 64
 
+#: A byte that no UTF-8 text has.
+WORD_END = b"\xff"
+
 #: Rows that a worker handles at a time.
 SLICE_ROWS = 256
 
@@ -75,6 +78,7 @@ class Vocabulary:
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
+        self.numerals = {i: str(i) for i in self.tokens}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.piece = regex.compile(split["pattern"]["Regex"])
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
@@ -85,8 +89,13 @@ class Vocabulary:
         # Byte pairs that stand side by side inside some token. At any other pair no token can reach across.
         self.inside = set()
         for token in self.ids:
-            plain = token.removesuffix(self.end)
+            plain = [self.numbers[c] for c in token.removesuffix(self.end) if c in self.numbers]
             self.inside.update(zip(plain, plain[1:]))
+        # Ids of single bytes, inside a word and at its end, and merges as pairs of ids.
+        self.first_ids = [self.ids.get(c) for c in letters]
+        self.last_ids = [self.ids.get(c + self.end) for c in letters]
+        self.id_ranks = {self.ids[a] << 32 | self.ids[b]: rank for (a, b), rank in self.ranks.items()}
+        self.merged_ids = [self.ids[a + b] for a, b in pairs]
 
     def parts(self, text: str) -> Iterator[tuple[str, list[str]]]:
         """A text as runs of ("special", strings), ("chunks", what lies between white space) or ("pieces", pre-tokens)."""
@@ -167,17 +176,38 @@ def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> tuple[list[s
     return symbols, merges
 
 
+def merge_ids(ids: list[int], ranks: dict[int, int], merged_ids: list[int]) -> list[int]:
+    """What merge leaves of a few symbols, given and returned as ids: the lowest rank is looked for after each merge."""
+    rank, none = ranks.get, len(merged_ids)
+    pairs = [rank(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+    while pairs:
+        lowest = min(pairs)
+        if lowest == none:
+            break
+        i = pairs.index(lowest)
+        merged = ids[i] = merged_ids[lowest]
+        del ids[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank(merged << 32 | ids[i + 1], none)
+        if i:
+            pairs[i - 1] = rank(ids[i - 1] << 32 | merged, none)
+    return ids
+
+
 class Remembered(dict):
-    """What a function gives for short pieces; emptied when full."""
+    """What a function gives for short pieces. When half of the items are new, those met before them are forgotten."""
 
     def __init__(self, function: Callable, items: int):
         super().__init__()
-        self.function, self.items = function, items
+        self.function, self.items, self.older = function, items, {}
 
     def __missing__(self, piece: str):
-        value = self.function(piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.function(piece)
         if len(piece) <= CACHE_CHARS:
-            if len(self) >= self.items:
+            if len(self) >= self.items // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = value
         return value
@@ -216,33 +246,44 @@ class Encoder:
         self.pieces = Remembered(self.encode_piece, CACHE_PIECES)
         self.shown = Remembered(self.show_chunk, CACHE_ITEMS)
 
-    def cut(self, piece: str) -> list[str]:
-        """The fragments of a pre-token, as letters; the last bears the word's end."""
-        letters = "".join(map(self.vocabulary.letters.__getitem__, piece.encode()))
-        inside, start, out = self.vocabulary.inside, 0, []
-        for at, pair in enumerate(zip(letters, letters[1:]), 1):
-            if pair not in inside:
-                out.append(letters[start:at])
-                start = at
-        return [*out, letters[start:] + self.vocabulary.end]
-
-    def encode_fragment(self, fragment: str) -> tuple[int, ...]:
-        end = self.vocabulary.end
-        symbols = list(fragment.removesuffix(end))
-        if fragment.endswith(end) and len(fragment) > len(end):
-            symbols[-1] += end
-        return tuple(self.vocabulary.ids[s] for s in merge(symbols, self.vocabulary.ranks)[0] if s is not None)
-
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(i for fragment in self.cut(piece) for i in self.fragments[fragment])
-
-    def encode_chunk(self, chunk: str) -> list[int]:
-        return [i for piece in self.vocabulary.piece.findall(chunk) for i in self.pieces[piece]]
+    def cut(self, data: bytes) -> list[bytes]:
+        """The fragments of a pre-token's bytes; the last has WORD_END behind it."""
+        inside = self.vocabulary.inside
+        places = [at for at, pair in enumerate(zip(data, data[1:]), 1) if pair not in inside]
+        data += WORD_END
+        return [data[i:j] for i, j in zip([0, *places], [*places, None])]
+
+    def encode_fragment(self, fragment: bytes) -> list[int]:
+        """The ids of a fragment; one of many symbols is merged by heap, which takes less than square time."""
+        v, ends = self.vocabulary, fragment.endswith(WORD_END)
+        data = fragment.removesuffix(WORD_END)
+        if len(data) > CACHE_CHARS:
+            symbols = [v.letters[b] for b in data]
+            symbols[-1] += v.end * ends
+            return [v.ids[s] for s in merge(symbols, v.ranks)[0] if s is not None]
+        ids = [v.first_ids[b] for b in data]
+        if ends:
+            ids[-1] = v.last_ids[data[-1]]
+        return merge_ids(ids, v.id_ranks, v.merged_ids)
+
+    def encode_piece(self, piece: str) -> list[int]:
+        """The ids of a pre-token. A fragment is remembered only where there are several."""
+        fragments = self.cut(piece.encode())
+        if len(fragments) == 1:
+            return self.encode_fragment(fragments[0])
+        return list(itertools.chain.from_iterable(map(self.fragments.__getitem__, fragments)))
+
+    def encode_chunk(self, chunk: str) -> Sequence[int]:
+        """The ids of a chunk. One that is a single pre-token is remembered as a chunk only."""
+        pieces = self.vocabulary.piece.findall(chunk)
+        if len(pieces) == 1:
+            return self.encode_piece(pieces[0])
+        return list(itertools.chain.from_iterable(map(self.pieces.__getitem__, pieces)))
 
     def show_chunk(self, chunk: str) -> tuple[str, str]:
         """Of a chunk: the ids as text, and their decoded form."""
         ids = self.encode_chunk(chunk)
-        return " ".join(map(str, ids)), self.decode(ids)
+        return " ".join(map(self.vocabulary.numerals.__getitem__, ids)), self.decode(ids)
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text."""
@@ -254,7 +295,7 @@ class Encoder:
                 out += [i for x in items for i in (self.encode_chunk(x) if kind == "chunks" else self.pieces[x])]
         return out
 
-    def decode(self, ids: list[int] | tuple[int, ...]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """The text of ids. The vocabulary has no decoder of its own, so tokens are joined by single spaces."""
         return " ".join(map(self.vocabulary.tokens.__getitem__, ids))
 
