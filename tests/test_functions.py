@@ -4,10 +4,12 @@ import math
 import random
 import struct
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from perigee.functions import bits, clock, status
-from perigee.operators import packets, recovery, series
+from perigee.operators import asof, packets, recovery, series
 from perigee.operators.store import TelemetryStore
 from perigee.plans.value_queries import st5_sigma_filter_batch
 from perigee.streaming import runs, state
@@ -141,3 +143,24 @@ def test_stream_framing_and_segments(spark, tmp_path):
     spark.createDataFrame(parts, schema).coalesce(1).write.parquet(f"{tmp_path}/parts")
     joined = runs.run_to_table(state.join_segments(runs.replay(spark, f"{tmp_path}/parts", schema), time_to_live=None), "segments").collect()
     assert [(r["sequence"], bytes(r["packet"])) for r in joined] == [(5, b"abcde")]
+
+
+def test_asof_join_over_many_buckets_equals_a_plain_loop(spark, monkeypatch):
+    monkeypatch.setattr(asof, "BUCKET_ROWS", 3)
+    left = [(i, None if i % 11 == 0 else float(i * 7 % 50)) for i in range(60)]
+    right = [(i, None if i == 5 else float(i * i % 45)) for i in range(20)] + [(99, 1e12)]
+    found = asof.asof_join(spark.createDataFrame(left, "id int, x double"), spark.createDataFrame(right, "n int, x double"), "x", prefix="s", order=["n"])
+    expected = {}
+    for i, x in left:
+        before = [(y, n) for n, y in right if x is not None and y is not None and y <= x]
+        expected[i] = max(before)[1] if before else None
+    assert {r["id"]: r["s_n"] for r in found.collect()} == expected
+
+
+def test_percentiles_are_exact_with_ties_and_nulls(spark):
+    values = {"a": [float(i * 37 % 1000) for i in range(3000)], "b": [1.0] * 500 + [2.0], "c": [5.0]}
+    rows = [(k, v) for k, vs in values.items() for v in [*vs, None]] + [("d", None)]
+    found = series.percentiles(spark.createDataFrame(rows, "k string, v double"), "k", "v", [0.005, 0.5, 0.995]).collect()
+    assert {r["k"] for r in found} == set(values)
+    for r in found:
+        assert r["bounds"] == pytest.approx(list(np.percentile(values[r["k"]], [0.5, 50, 99.5])))
