@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, exact_dedup, hamming, jaccard, language, line_dedup, mixing, quality, sharding
+from perigee.llm import bpe, conversations, exact_dedup, hamming, jaccard, language, line_dedup, mixing, quality, sharding
 from perigee.llm.common import fold, read_table
 
 
@@ -73,6 +73,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.duplicate_lines(read_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of all conversations after a set damage."""
+    given = read_table(spark, sf_dir, "conversations")
+    summary, repaired = conversations.repair_conversations(conversations.damage_turns(given))
+    digests = conversations.conversation_digests(repaired).withColumnRenamed("conv_id", "_id")
+    every = given.select(F.col("conv_id").alias("_every")).distinct()
+    joined = every.join(summary, F.col("_every").eqNullSafe(F.col("conv_id")), "left").join(digests, F.col("_every").eqNullSafe(F.col("_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return joined.select(F.col("_every").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 OP1_SQL = """
 WITH RECURSIVE steps AS (  -- the table of CRC-32, by its polynomial
     SELECT b, b::BIGINT AS c, 0 AS n FROM unnest(range(0, 256)) AS each(b)
@@ -245,6 +257,73 @@ SELECT doc_id, size, source_size, target,
 FROM placed JOIN strides USING (key)
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE steps AS (  -- the table of CRC-32, by its polynomial
+    SELECT b, b::BIGINT AS c, 0 AS n FROM unnest(range(0, 256)) AS each(b)
+    UNION ALL
+    SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n + 1 FROM steps WHERE n < 8),
+crc AS (
+    SELECT list(c ORDER BY b) AS t FROM steps WHERE n = 8),
+hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+               [4294967295::BIGINT] || [('0x' || h)::BIGINT FOR h IN regexp_extract_all(
+                   hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..')],
+               lambda c, x: xor(t[xor(c, x) % 256 + 1], c // 256)), 4294967295) % 20 AS damage
+    FROM conversations, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE damage WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE damage WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE damage <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) - 1 AS i,
+           rtrim(text, E' \t\n\x0B\f\r') AS body FROM damaged),
+judged AS (
+    SELECT *, CASE WHEN body = '' THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                   WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+           substr(role, 1, 1) AS letter, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed),
+kept (letter, q, after) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+due (q, role, after) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+single AS (  -- edits of a turn in a state; a role is given, or is the turn's own
+    SELECT letter, q, after, 'K' AS edit, 0 AS cost, NULL AS role FROM kept
+    UNION ALL SELECT NULL, q, after, 'R', 1, role FROM due
+    UNION ALL SELECT NULL, q, q, 'D', 2, NULL FROM due),
+moves AS (  -- with up to two turns inserted before it
+    SELECT letter, q, after, edit, cost, role, []::VARCHAR[] AS put FROM single
+    UNION ALL SELECT s.letter, d.q, s.after, 'I' || s.edit, s.cost + 5, s.role, [d.role || ':'] FROM due d JOIN single s ON s.q = d.after
+    UNION ALL SELECT s.letter, d.q, s.after, 'II' || s.edit, s.cost + 10, s.role, [d.role || ':', e.role || ':']
+              FROM due d JOIN due e ON e.q = d.after JOIN single s ON s.q = e.after),
+ways AS (
+    SELECT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS body FROM (SELECT DISTINCT conv_id FROM judged)
+    UNION ALL
+    SELECT conv_id, i, q, cost, audit, body FROM (
+    SELECT w.conv_id, w.i + 1 AS i, m.after AS q, w.cost + m.cost + CASE WHEN j.fault = 'truncated' AND m.edit NOT LIKE '%D' THEN 5 ELSE 0 END AS cost,
+           w.audit || m.edit AS audit,
+           w.body || m.put || CASE WHEN m.edit LIKE '%D' THEN []::VARCHAR[] ELSE [coalesce(m.role, j.role) || ':' || j.text] END AS body
+    FROM ways w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i
+    JOIN moves m ON m.q = w.q AND (m.letter IS NULL OR m.letter = j.letter)
+                AND (m.edit LIKE '%D' OR j.fault IS NULL OR j.fault = 'truncated')) AS reached
+    QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before || letter NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id),
+ended AS (
+    SELECT * FROM (
+    SELECT w.conv_id, c.gaps, c.blank, c.duplicate, c.truncated, c.illegal, cost + CASE q WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END AS cost,
+           audit || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+           body || CASE q WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE []::VARCHAR[] END AS body
+    FROM ways w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i) AS complete
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1)
+SELECT v.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(body, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM v.conv_id
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name, and the pipeline."""
@@ -262,6 +341,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_token_counts": op9_token_counts,
         "op10_line_dedup": op10_line_dedup,
+        "op11_conversation_repair": op11_conversation_repair,
     }
 
 
@@ -274,4 +354,5 @@ def oracles() -> dict[str, str]:
         "op6_ngram_jaccard": OP6_SQL,
         "op8_mixing": OP8_SQL,
         "op10_line_dedup": OP10_SQL,
+        "op11_conversation_repair": OP11_SQL,
     }
