@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, conversations, exact_dedup, hamming, jaccard, language, line_dedup, mixing, quality, sharding
+from perigee.llm import bpe, conversations, exact_dedup, hamming, jaccard, language, line_dedup, mixing, phrases, quality, sharding
 from perigee.llm.common import fold, read_table
 
 
@@ -85,6 +85,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("_every").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The firmest phrases of each language of all documents."""
+    return phrases.mine_phrases(read_table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = """
 WITH RECURSIVE steps AS (  -- the table of CRC-32, by its polynomial
     SELECT b, b::BIGINT AS c, 0 AS n FROM unnest(range(0, 256)) AS each(b)
@@ -324,6 +329,37 @@ SELECT v.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM v.conv_id
 """
 
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+counted AS (
+    SELECT lang, w[i : i + k - 1] AS words, k, count(*) AS f FROM placed, unnest(range(1, 6)) AS each(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (
+    SELECT * FROM counted WHERE k > 1 AND f >= 100),
+cuts AS (
+    SELECT c.lang, c.words, c.k, c.f AS a, cut, x.f AS l, y.f AS r, n, ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c JOIN totals USING (lang)
+    JOIN counted x ON x.lang = c.lang AND x.words = c.words[1 : cut] JOIN counted y ON y.lang = c.lang AND y.words = c.words[cut + 1 : c.k]),
+lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1),
+inside AS (
+    SELECT DISTINCT s.lang, s.words FROM candidates s JOIN (
+        SELECT lang, words, f, k, unnest(range(1, k + 1)) AS i FROM candidates) g
+    ON g.lang = s.lang AND g.k > s.k AND g.i + s.k - 1 <= g.k AND g.words[g.i : g.i + s.k - 1] = s.words AND 100 * g.f >= 100 * s.f)
+SELECT lang, row_number() OVER best AS rank, array_to_string(words, ' ') AS phrase, a, l, r, n, score
+FROM lowest ANTI JOIN inside USING (lang, words)
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ') COLLATE C)
+QUALIFY rank <= 2000
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of this subpackage by name, and the pipeline."""
@@ -342,6 +378,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_counts": op9_token_counts,
         "op10_line_dedup": op10_line_dedup,
         "op11_conversation_repair": op11_conversation_repair,
+        "op13_phrases": op13_phrases,
     }
 
 
@@ -355,4 +392,5 @@ def oracles() -> dict[str, str]:
         "op8_mixing": OP8_SQL,
         "op10_line_dedup": OP10_SQL,
         "op11_conversation_repair": OP11_SQL,
+        "op13_phrases": OP13_SQL,
     }
