@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, conversations, exact_dedup, hamming, jaccard, language, line_dedup, mixing, phrases, quality, sharding
+from perigee.llm import bpe, conversations, exact_dedup, hamming, jaccard, language, licenses, line_dedup, mixing, phrases, quality, sharding
 from perigee.llm.common import fold, read_table
 
 
@@ -85,6 +85,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("_every").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The firmest phrases of each language of all documents."""
     return phrases.mine_phrases(read_table(spark, sf_dir, "documents"))
@@ -329,6 +334,39 @@ SELECT v.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM v.conv_id
 """
 
+OP12_SQL = (
+    r"""
+WITH worded AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+phrases (phrase, label) AS (VALUES """
+    + ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES.items())
+    + """),
+places AS (
+    SELECT row_no, label, pos FROM (SELECT row_no, w, unnest(range(1, len(w) + 1)) AS pos FROM worded) JOIN (
+        SELECT string_split(phrase, ' ') AS p, label FROM phrases) ON w[pos] = p[1] AND w[pos : pos + len(p) - 1] = p),
+based AS (
+    SELECT row_no, count(*) AS n_base, min(pos) - 1 AS first_word, max(pos) - 1 AS last_word, list(label) AS labels FROM places GROUP BY row_no),
+templates (template, label) AS (VALUES """
+    + ", ".join(f"('{template}', '{label}')" for template, label in licenses.TEMPLATES.items())
+    + """),
+sets AS (
+    SELECT label, list_distinct(string_split(template, ' ')) AS t FROM templates),
+blocks AS (
+    SELECT row_no, w[i + 1 : i + 64] AS b FROM (SELECT row_no, w, unnest(range(0, greatest(len(w) - 32, 1), 32)) AS i FROM worded)),
+shares AS (
+    SELECT row_no, label, len(list_intersect(t, b)) AS shared, len(t) AS n FROM blocks, sets),
+noticed AS (
+    SELECT row_no, list(label) AS labels, max(shared / n) AS share FROM shares WHERE 100 * shared >= 80 * n GROUP BY row_no)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(list_distinct(based.labels)), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(coalesce(based.labels, []) || coalesce(noticed.labels, []))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM worded LEFT JOIN based USING (row_no) LEFT JOIN noticed USING (row_no)
+"""
+)
+
 OP13_SQL = r"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
@@ -378,6 +416,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_counts": op9_token_counts,
         "op10_line_dedup": op10_line_dedup,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_license_scan": op12_license_scan,
         "op13_phrases": op13_phrases,
     }
 
@@ -392,5 +431,6 @@ def oracles() -> dict[str, str]:
         "op8_mixing": OP8_SQL,
         "op10_line_dedup": OP10_SQL,
         "op11_conversation_repair": OP11_SQL,
+        "op12_license_scan": OP12_SQL,
         "op13_phrases": OP13_SQL,
     }
