@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,6 +186,32 @@ def usable_words(words: Words, frequent: np.ndarray) -> np.ndarray:
 BLOCKS = "route int, lang string, words binary, depths binary, columns binary, weights binary"
 
 
+def packed(names: bytes, columns: np.ndarray, depths: np.ndarray, weights: np.ndarray) -> dict[str, bytes]:
+    """A block's parts in few bytes: small numbers where they do, nothing where all are usual, and compressed."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    small = np.uint16 if columns.max() < 1 << 16 else np.int32
+    return {
+        "words": squeeze(names),
+        "columns": squeeze(small().dtype.char.encode() + columns.astype(small).tobytes()),
+        "depths": b"" if (depths == 2).all() else squeeze(depths.tobytes()),
+        "weights": b"" if (weights == 1).all() else squeeze(weights.astype(np.int64).tobytes()),
+    }
+
+
+def unpacked(words: bytes, depths: bytes, columns: bytes, weights: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Words, columns, depths and weights of a block."""
+    widen = zstandard.ZstdDecompressor().decompress
+    held = widen(columns)
+    numbers = np.frombuffer(held, held[:1].decode(), offset=1).reshape(MOST_WORDS, -1)
+    n = numbers.shape[1]
+    return (
+        widen(words).split(b"\n"),
+        numbers,
+        np.frombuffer(widen(depths), np.int8) if depths else np.full(n, 2, np.int8),
+        np.frombuffer(widen(weights), np.int64) if weights else np.ones(n, np.int64),
+    )
+
+
 def routed_suffixes(rows: DataFrame, routes: int, frequent: np.ndarray, often: np.ndarray) -> DataFrame:
     """All suffixes in blocks: those that begin with the same two words go the same route, or, where very many do, those
     that begin with the same three words, and so on. A block has its words, and of each suffix the number of words that
@@ -196,34 +224,28 @@ def routed_suffixes(rows: DataFrame, routes: int, frequent: np.ndarray, often: n
         if not columns.shape[1]:
             return
         keys = list(beginnings(columns, words.hashes))
-        order = np.argsort(keys[-1], kind="stable")
-        columns = columns[:, order]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (columns[:, 1:] != columns[:, :-1]).any(axis=0)
-        first = np.flatnonzero(fresh)
-        weights = np.diff(np.append(first, len(order)))
-        columns = columns[:, first]
-        key, depth = keys[0][order][first], np.full(len(first), 2, np.int8)
-        for longer in keys[1:]:
-            more = (depth == depth.max()) & within(often_bits.value, key)
+        key, depth = keys[0], np.full(columns.shape[1], 2, np.int8)
+        for i, longer in enumerate(keys[1:], 2):
+            more = (depth == i) & within(often_bits.value, key)
             if not more.any():
                 break
             depth[more] += 1
-            key = np.where(more, longer[order][first], key)
+            key = np.where(more, longer, key)
         route = (key >> np.uint64(32)) % np.uint64(routes)
-        order = np.argsort(route, kind="stable")
-        cuts = np.flatnonzero(np.diff(route[order])) + 1
-        for at in np.split(order, cuts):
-            own = columns[:, at]
+        pair = lambda a, b: columns[a].astype(np.int64) << 32 | columns[b]
+        order = np.lexsort((columns[4], pair(2, 3), pair(0, 1), route))
+        columns, route, depth = columns[:, order], route[order], depth[order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (columns[:, 1:] != columns[:, :-1]).any(axis=0)
+        first = np.flatnonzero(fresh)
+        weights = np.diff(np.append(first, len(order)))
+        columns, route, depth = columns[:, first], route[first], depth[first]
+        edges = [0, *(np.flatnonzero(np.diff(route)) + 1), len(route)]
+        for lo, hi in pairwise(edges):
+            own = columns[:, lo:hi]
             used, local = np.unique(own, return_inverse=True)
-            yield {
-                "route": int(route[at[0]]),
-                "lang": lang,
-                "words": b"\n".join(words.words[i] for i in used if i),
-                "depths": depth[at].tobytes(),
-                "columns": (local.reshape(own.shape) + (used[0] > 0)).astype(np.int32).tobytes(),
-                "weights": weights[at].astype(np.int64).tobytes(),
-            }
+            names = b"\n".join(words.words[i] for i in used if i)
+            yield {"route": int(route[lo]), "lang": lang} | packed(names, local.reshape(own.shape) + (used[0] > 0), depth[lo:hi], weights[lo:hi])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[str, tuple[Words, list[np.ndarray]]] = {}
@@ -291,14 +313,13 @@ def counted_phrases(blocks: DataFrame, least: int, routes: int) -> DataFrame:
     def mine(lang: str, held: list[tuple]) -> Iterator[tuple]:
         ids: dict[bytes, int] = {}
         columns, depths, weights = [], [], []
-        for words, depth, column, weight in held:
-            names = words.split(b"\n")
+        for block in held:
+            names, own, depth, weight = unpacked(*block)
             table = np.zeros(len(names) + 1, np.int32)
             table[1:] = [ids.setdefault(w, len(ids) + 1) for w in names]
-            n = len(depth)
-            columns.append(table[np.frombuffer(column, np.int32).reshape(MOST_WORDS, n)])
-            depths.append(np.frombuffer(depth, np.int8))
-            weights.append(np.frombuffer(weight, np.int64))
+            columns.append(table[own])
+            depths.append(depth)
+            weights.append(weight)
         columns, depths, weights = np.concatenate(columns, axis=1), np.concatenate(depths), np.concatenate(weights)
         names = [b"", *ids]
         for depth in np.unique(depths):
