@@ -161,3 +161,58 @@ def marker_bounds(stream: Column) -> tuple[Column, Column]:
 
     first = find("FFD8", F.lit(0))
     return first, find("FFD9", first + 2) + 2
+
+
+def halves(packet: Column, offset: Column, width: Column) -> Column:
+    """hi and lo, the upper and lower 32 bits of an unsigned field of 1 to 64 bits at any bit; offset and width may be columns."""
+    shift = lambda x, n: F.call_function("shiftright", x, n)
+    ones = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
+    first, last = F.floor(offset / 8).cast("int"), F.floor((offset + width - 1) / 8).cast("int")
+    below = (8 * (last + 1) - offset - width).cast("int")
+    digits = F.lpad(F.hex(F.substring(packet, first + 1, last - first + 1)), 18, "0")  # nine bytes at most
+    high, low = (F.conv(F.substring(digits, at, n), 16, 10).cast("long") for at, n in ((1, 10), (11, 8)))
+    low = shift(low, below).bitwiseOR(F.call_function("shiftleft", high.bitwiseAND(ones(below)), 32 - below))
+    lower, upper = F.least(width, F.lit(32)).cast("int"), F.greatest(width - 32, F.lit(0)).cast("int")
+    return F.struct(shift(high, below).bitwiseAND(ones(upper)).alias("hi"), low.bitwiseAND(ones(lower)).alias("lo"))
+
+
+def ieee_of(hi: Column, lo: Column, width: Column) -> Column:
+    """The IEEE number of 32 (lo alone) or 64 bits."""
+    wide = width == 64
+    top = F.when(wide, hi).otherwise(lo)
+    sign = F.when(top >= 1 << 31, F.lit(-1.0)).otherwise(F.lit(1.0))
+    exponent = F.when(wide, F.floor(hi / (1 << 20)) % 2048).otherwise(F.floor(lo / (1 << 23)) % 256).cast("int")
+    fraction = F.when(wide, ((hi % (1 << 20)) * (1 << 32) + lo) / float(1 << 52)).otherwise((lo % (1 << 23)) / float(1 << 23))
+    largest, bias = F.when(wide, 2047).otherwise(255), F.when(wide, 1023).otherwise(127)
+    special = F.when(fraction == 0, sign * float("inf")).otherwise(float("nan"))
+    scaled = F.when(exponent == 0, fraction * F.pow(F.lit(2.0), (1 - bias).cast("double"))).otherwise((1 + fraction) * F.pow(F.lit(2.0), (exponent - bias).cast("double")))
+    return F.when(exponent == largest, special).otherwise(sign * scaled)
+
+
+def typed_value(packet: Column, kind: Column, offset: Column, width: Column, parts: Column) -> Column:
+    """A field's value as whole DECIMAL(20,0), real DOUBLE or text, of which one is set; parts are its halves.
+
+    F of 32 or 64 aligned bits is real, C of aligned whole bytes text (hexadecimal if not ASCII, without NULs at its
+    end), I a two's complement, and all others unsigned.
+    """
+    hi, lo = parts["hi"], parts["lo"]
+    aligned = offset % 8 == 0
+    is_real, is_text = (kind == "F") & aligned & width.isin(32, 64), (kind == "C") & aligned & (width % 8 == 0)
+    power = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n.cast("int"))
+    negative = (kind == "I") & F.when(width > 32, hi * 2 >= power(width - 32)).otherwise(lo * 2 >= power(width))
+    top = F.when(negative & (width > 32), hi - power(width - 32)).otherwise(hi)
+    bottom = F.when(negative & (width <= 32), lo - power(width)).otherwise(lo)
+    whole = (top.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + bottom.cast("decimal(20,0)")).cast("decimal(20,0)")
+    raw = F.substring(packet, (offset / 8).cast("int") + 1, (width / 8).cast("int"))
+    digits = F.lower(F.hex(raw))
+    text = F.when(digits.rlike("^([0-7][0-9a-f])*$"), F.regexp_replace(F.decode(raw, "US-ASCII"), "\\x00+$", "")).otherwise(digits)
+    return F.struct(
+        F.when(~is_real & ~is_text, whole).alias("whole"),
+        F.when(is_real, ieee_of(hi, lo, width)).alias("real"),
+        F.when(is_text, text).alias("text"),
+    )
+
+
+def number_of(value: Column) -> Column:
+    """A typed value as DOUBLE; null for text."""
+    return F.coalesce(value["real"], value["whole"].cast("double"))

@@ -4,31 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from perigee.operators.ordering import number_rows
+from perigee.sources.scratch import estimated_bytes
 
+#: Bytes of both sides that share a bucket, about, and the most buckets that are cut.
+BUCKET_BYTES, MOST_BUCKETS = 32 << 20, 32_768
 
-#: Rows that share a bucket, about, and the most buckets that are cut.
-BUCKET_ROWS, MOST_BUCKETS = 8_192, 4_096
+#: Rows of the axis that tell where to cut, about.
+SAMPLED_ROWS = 4_000_000
 
+DAY_MICROS = 86_400_000_000
 
-def axis(df: DataFrame, column: str) -> Column:
-    """What is cut into buckets: microseconds of times, or the number itself."""
-    if df.schema[column].dataType.typeName().startswith(("timestamp", "date")):
-        return F.unix_micros(F.col(column).cast("timestamp"))
-    return F.col(column)
 
+def axis(time: Column, kind: DataType) -> Column:
+    """What is cut into buckets: a number that never falls where the time rises, whatever the session's time zone.
 
-def cuts_of(sides: list[Column], frames: list[DataFrame]) -> list:
-    """Where the axis is cut, so that buckets hold about equally many rows, however these lie; from one pass over it.
-
-    At most MOST_BUCKETS - 1 values reach the driver. Cuts decide on the work of tasks only, never on results.
+    Times with a zone and without one become microseconds, decimals the nearest DOUBLE; other numbers are taken as they are.
+    """
+    name = kind.typeName()
+    if name == "timestamp":
+        return F.unix_micros(time)
+    if name == "date":
+        return F.datediff(time, F.lit("1970-01-01").cast("date")).cast("long") * DAY_MICROS
+    if name == "timestamp_ntz":
+        days = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+        seconds = (F.hour(time) * 3600 + F.minute(time) * 60).cast("long")
+        return days * DAY_MICROS + seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), time) * 1_000_000).cast("long")
+    return time.cast("double") if name == "decimal" else time
+
+
+def cuts_of(sides: list[DataFrame]) -> list:
+    """Where the axis x of both sides is cut, so that buckets hold about equally many rows, however these lie.
+
+    Sides that fit one bucket aren't looked at; of others a sample is read. At most MOST_BUCKETS - 1 values reach the
+    driver. Cuts decide on the work of tasks only, never on results.
     """
-    both = frames[0].select(sides[0].alias("x")).unionAll(frames[1].select(sides[1].alias("x"))).filter("x is not null")
-    shares = F.split(F.lit(" ".join(str(i / MOST_BUCKETS) for i in range(1, MOST_BUCKETS))), " ").cast("array<double>")  # one literal
-    rows, found = both.agg(F.count("*"), F.percentile_approx("x", shares, 5 * MOST_BUCKETS)).first()
-    wanted = min(rows // BUCKET_ROWS + 1, MOST_BUCKETS)
-    return sorted({found[i * MOST_BUCKETS // wanted - 1] for i in range(1, wanted)}) if rows else []
+    size = sum(16 * df.count() if (known := estimated_bytes(df)) is None else known for df in sides)
+    wanted = min(size // BUCKET_BYTES + 1, MOST_BUCKETS)
+    if wanted == 1:
+        return []
+    both = sides[0].unionAll(sides[1]).filter("x is not null")
+    share = min(1.0, SAMPLED_ROWS * 16 / size)  # a row of the axis is 16 bytes or fewer
+    shares = F.split(F.lit(" ".join(str(i / wanted) for i in range(1, wanted))), " ").cast("array<double>")  # one literal
+    found = (both.sample(share, 1) if share < 1 else both).agg(F.percentile_approx("x", shares, 5 * wanted)).first()[0]
+    return sorted(set(found)) if found else []
 
 
 def bucket_of(x: Column, cuts: list) -> Column:
@@ -37,7 +58,7 @@ def bucket_of(x: Column, cuts: list) -> Column:
     if not steps:
         return F.when(x.isNull(), -1).otherwise(0)
     kind = "array<bigint>" if isinstance(cuts[0], int) else "array<double>"
-    table = F.split(F.lit(" ".join(repr(c) for c in cuts)), " ").cast(kind)  # one literal
+    table = F.split(F.lit(" ".join(str(c) for c in cuts)), " ").cast(kind)  # one literal
     found = F.aggregate(F.array(*[F.lit(i) for i in steps]), F.lit(0), lambda at, step: at + F.when(F.get(table, at + step - 1) <= x, step).otherwise(0))
     return F.when(x.isNull(), -1).otherwise(found)
 
@@ -54,7 +75,7 @@ def asof_join(
     keep_unmatched: bool = False,
     bucket_seconds: int | None = None,
 ) -> DataFrame:
-    """Each primary row with the latest secondary row at or before it, by times or by numbers.
+    """Each primary row with the latest secondary row at or before it, by times (with or without a zone), dates or numbers.
 
     Keeps every primary column and adds the secondary ones as <prefix>_<name>. Secondary rows of equal time are told
     apart by `order` (the last wins). Secondary rows without a time never match; primary rows without one are kept
@@ -67,21 +88,23 @@ def asof_join(
     keys, order = list(by or []), list(order or [])
     names = {c: f"{prefix}_{c}" for c in secondary.columns}
     secondary = secondary.filter(F.col(second_time).isNotNull())
-    sides = [axis(primary, time_col), axis(secondary, second_time)]
+    times = [(primary, F.col(time_col)), (secondary, F.col(second_time))]
+    kind = primary.select(time_col).unionAll(secondary.select(second_time)).schema[0].dataType  # the one that both fit
+    sides = [axis(time.cast(kind), kind) for _, time in times]
     if bucket_seconds is None:
-        cuts = cuts_of(sides, [primary, secondary])
+        cuts = cuts_of([df.select(x.alias("x")) for (df, _), x in zip(times, sides, strict=True)])
         buckets = [bucket_of(x, cuts) for x in sides]
     else:
         cuts, buckets = None, [F.coalesce(F.floor(x / (bucket_seconds * 1_000_000)), F.lit(-(1 << 62))) for x in sides]
     key_cols = [f"_k{i}" for i in range(len(keys))]
     keyed = [F.col(k).alias(c) for k, c in zip(keys, key_cols, strict=True)]
-    left = primary.select(F.struct(*primary.columns).alias("_p"), F.col(time_col).alias("_t"), buckets[0].cast("long").alias("_b"), *keyed)
+    left = primary.select(F.struct(*primary.columns).alias("_p"), F.col(time_col).cast(kind).alias("_t"), buckets[0].cast("long").alias("_b"), *keyed)
     right = secondary.select(
         F.struct(*[F.col(c).alias(n) for c, n in names.items()]).alias("_s"),
-        F.col(second_time).alias("_t"),
+        F.col(second_time).cast(kind).alias("_t"),
         buckets[1].cast("long").alias("_b"),
         *keyed,
-        F.struct(F.col(second_time).alias("t"), *order).alias("_o"),
+        F.struct(F.col(second_time).cast(kind).alias("t"), *order).alias("_o"),
     )
     last = right.groupBy(*key_cols, "_b").agg(F.max_by("_s", "_o").alias("_last"))
     both = left.unionByName(right, allowMissingColumns=True)

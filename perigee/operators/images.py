@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perigee.sources.scratch import small
+
 # Ranks of a row's checksum.
 CHECKSUM_RANK = {"valid": 3, "missing": 2, "failed": 1}
 
@@ -217,7 +219,7 @@ def histogram(images: DataFrame, offset: int = 0, width: int = 32) -> DataFrame:
 def merge_planes(planes: DataFrame, weights: DataFrame) -> DataFrame:
     """Mean of planes (bin, y, pixels) weighed by their bins; the divisor is the weight of all bins, with a plane or not."""
     total = weights.agg(F.sum("weight").alias("total"))
-    cells = planes.join(F.broadcast(weights), "bin").select("y", "weight", F.posexplode("pixels").alias("x", "v"))
+    cells = planes.join(small(weights), "bin").select("y", "weight", F.posexplode("pixels").alias("x", "v"))
     merged = cells.groupBy("y", "x").agg(F.sum(F.col("weight") * F.col("v")).alias("sum"))
     return merged.crossJoin(F.broadcast(total)).select("y", "x", (F.col("sum") / F.col("total")).alias("v"))  # one row
 

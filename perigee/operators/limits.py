@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.functions.status import band_state, general_format, number_or_null, rule_matches
+from perigee.sources.scratch import small
 
 
 def evaluate_limits(points: DataFrame, bands: DataFrame, rules: DataFrame) -> DataFrame:
@@ -16,8 +17,8 @@ def evaluate_limits(points: DataFrame, bands: DataFrame, rules: DataFrame) -> Da
     """
     band = bands.select("item", F.lit(True).alias("has_band"), "rl", "yl", "yh", "rh")
     each = rules.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("ordinal", "op", "expected", "state"))).alias("rules"))  # of one item
-    joined = points.join(F.broadcast(band), points.field == F.col("item"), "left").drop("item")
-    joined = joined.join(F.broadcast(each), points.field == F.col("item"), "left").drop("item")
+    joined = points.join(small(band), points.field == F.col("item"), "left").drop("item")
+    joined = joined.join(small(each), points.field == F.col("item"), "left").drop("item")
     first = F.get(F.filter("rules", lambda r: rule_matches(F.col("value"), r["op"], r["expected"])), F.lit(0))
     joined = joined.withColumn("first", first).withColumn("banded", band_state(F.col("value"), *[F.col(c) for c in ("rl", "yl", "yh", "rh")]))
     state = F.when(F.col("has_band"), F.col("banded.state")).when(F.col("first").isNotNull(), F.col("first.state")).otherwise("unknown")

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from perigee.functions import bits
 from perigee.operators.asof import asof_join
 from perigee.operators.ordering import number_rows, running_sums
+from perigee.sources.scratch import small
 
 
 def with_header(packets: DataFrame, packet_col: str = "packet") -> DataFrame:
@@ -21,16 +22,16 @@ def with_header(packets: DataFrame, packet_col: str = "packet") -> DataFrame:
 
 def expected_bytes(fields: DataFrame) -> DataFrame:
     """apid and expected bytes of packets whose fields' bits make whole bytes."""
-    width = F.regexp_extract("data_type", r"(\d+)$", 1).cast("int")
+    width = F.regexp_extract("data_type", r"(\d+)$", 1).try_cast("int")
     total = fields.groupBy("apid").agg(F.sum(width).alias("bits"))
     return total.filter("bits % 8 = 0").select("apid", F.expr("cast(bits div 8 as int)").alias("expected_bytes"))
 
 
 def structural(packets: DataFrame, expected: DataFrame) -> DataFrame:
     """Packets that can be what they say: version 0, telemetry with a secondary header, a known APID, a length of 7
-    or more that is the expected one or one more, and no more bytes than there are. The dictionary is broadcast."""
+    or more that is the expected one or one more, and no more bytes than there are. The dictionary is broadcast if it is small."""
     headed = with_header(packets).filter("version = 0 and packet_type = 0 and secondary_header_flag = 1 and packet_length >= 7")
-    joined = headed.join(F.broadcast(expected), "apid")
+    joined = headed.join(small(expected), "apid")
     return joined.filter("packet_length in (expected_bytes, expected_bytes + 1) and octet_length(packet) >= packet_length")
 
 
@@ -51,22 +52,24 @@ def beacon_reason(packet: Column, accepted_lengths: list[int], apid: int = 1) ->
 
 
 def with_packet_names(packets: DataFrame, names: DataFrame) -> DataFrame:
-    """packets with the name of their APID, `apid_<n>` if it has none. The dictionary (apid, packet_name) is broadcast."""
-    joined = packets.join(F.broadcast(names), "apid", "left")
+    """packets with the name of their APID, `apid_<n>` if it has none. The dictionary (apid, packet_name) is broadcast if it is small."""
+    joined = packets.join(small(names), "apid", "left")
     return joined.withColumn("packet_name", F.coalesce("packet_name", F.concat(F.lit("apid_"), F.col("apid"))))
 
 
 def field_layout(fields: DataFrame) -> DataFrame:
     """fields (apid, ordinal, name, data_type) with kind, bit_length, bit_offset, and a name that is unique in its packet.
 
-    Offsets are running sums of the widths in file order; repeated names get _2, _3 and so on.
+    Offsets are running sums of the widths in file order; repeated names get _2, _3 and so on. A field whose type has no
+    width has no place in a packet and is left out.
     """
     order = Window.partitionBy("apid").orderBy("ordinal")
-    width = F.regexp_extract("data_type", r"(\d+)$", 1).cast("int")
+    width = F.regexp_extract("data_type", r"(\d+)$", 1).try_cast("int")
     copy = F.row_number().over(Window.partitionBy("apid", "name").orderBy("ordinal"))
     return (
         fields.withColumn("kind", F.upper(F.substring("data_type", 1, 1)))
         .withColumn("bit_length", width)
+        .filter("bit_length > 0")
         .withColumn("bit_offset", (F.sum("bit_length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bit_length")).cast("int"))
         .withColumn("field", F.when(copy > 1, F.concat("name", F.lit("_"), copy)).otherwise(F.col("name")))
     )
@@ -96,66 +99,80 @@ def decode(packets: DataFrame, layout: list[tuple[str, str, int, int]], keep: li
     return packets.select(*keep, status, *[field_value(packet, k, o, w).alias(n) for n, k, o, w in layout])
 
 
+#: Bits of the widest field that isn't text.
+MOST_BITS = 64
+
+TYPED = "struct<whole:decimal(20,0),real:double,text:string>"
+
+
+def field_fault(packet: Column, field: Column, kind: Column, offset: Column, width: Column) -> Column:
+    """Why a field can't be read, null if it can."""
+    size = F.coalesce(F.octet_length(packet), F.lit(0))
+    as_text = (kind == "C") & (offset % 8 == 0) & (width % 8 == 0)
+    return (
+        F.when((width > MOST_BITS) & ~as_text, F.format_string("%s has %d bits", field, width))
+        .when(size * 8 < offset + width, F.format_string("%d bytes, %d needed", size, F.floor((offset + width + 7) / 8)))
+    )
+
+
 def decode_long(packets: DataFrame, layout: DataFrame) -> DataFrame:
-    """One row for each packet and field of its APID (expanding join on a broadcast dictionary), unsigned values.
+    """One row for each packet and field of its APID (expanding join), with status, error and the typed value.
 
-    Fields of up to 48 bits; the offset and width come from the dictionary's row.
+    Offset, width and kind come from the dictionary's row. raw_value is the whole number, if the field is one. A field
+    that can't be read makes its own row decode_failed with a text; the job goes on.
     """
-    joined = packets.join(F.broadcast(layout.select("apid", "field", "bit_offset", "bit_length")), "apid")
-    first, last = F.expr("bit_offset div 8"), F.expr("(bit_offset + bit_length - 1) div 8")
-    raw = F.conv(F.hex(F.substring(F.col("packet"), (first + 1).cast("int"), (last - first + 1).cast("int"))), 16, 10).cast("long")
-    low = F.expr("cast(pow(2, 8 * ((bit_offset + bit_length - 1) div 8 + 1) - bit_offset - bit_length) as bigint)")
-    value = F.when(F.octet_length("packet") > last, F.floor(raw / low).cast("long") % F.expr("cast(pow(2, bit_length) as bigint)"))
-    return joined.withColumn("raw_value", value)
+    joined = packets.join(small(layout.select("apid", "field", "kind", "bit_offset", "bit_length")), "apid")
+    field, kind, offset, width = (F.col(c) for c in ("field", "kind", "bit_offset", "bit_length"))
+    joined = joined.withColumn("error", field_fault(F.col("packet"), field, kind, offset, width))
+    readable = F.col("error").isNull()
+    parts = F.when(readable & (width <= MOST_BITS), bits.halves(F.col("packet"), offset, width))
+    value = F.when(readable, bits.typed_value(F.col("packet"), kind, offset, width, F.col("_parts")))
+    typed = joined.withColumn("_parts", parts).withColumn("value", value).drop("_parts")
+    return typed.withColumns({"raw_value": F.col("value.whole"), "status": F.when(readable, "decoded").otherwise("decode_failed")})
 
 
 def dictionary_fields(packet: Column, fields: Column) -> Column:
-    """Values by name of the fields (field, kind, bit_offset, bit_length: arrays of structs, up to 48 bits) of a packet."""
-
-    def value(f: Column) -> Column:
-        first, last = F.floor(f["bit_offset"] / 8), F.floor((f["bit_offset"] + f["bit_length"] - 1) / 8)
-        raw = F.conv(F.hex(F.substring(packet, (first + 1).cast("int"), (last - first + 1).cast("int"))), 16, 10).cast("double")
-        below = F.pow(F.lit(2.0), 8 * (last + 1) - f["bit_offset"] - f["bit_length"])
-        span = F.pow(F.lit(2.0), f["bit_length"])
-        unsigned = F.floor(raw / below) % span
-        return F.when((f["kind"] == "I") & (unsigned * 2 >= span), unsigned - span).otherwise(unsigned)
-
-    return F.map_from_entries(F.transform(fields, lambda f: F.struct(f["field"], value(f).cast("double"))))
+    """Typed values by name of the fields (field, kind, bit_offset, bit_length: array of structs) of a packet that holds them all."""
+    cut = F.transform(fields, lambda f: F.struct(f.alias("f"), F.when(f["bit_length"] <= MOST_BITS, bits.halves(packet, f["bit_offset"], f["bit_length"])).alias("parts")))
+    value = lambda x: bits.typed_value(packet, x["f"]["kind"], x["f"]["bit_offset"], x["f"]["bit_length"], x["parts"])
+    return F.map_from_entries(F.transform(cut, lambda x: F.struct(x["f"]["field"], value(x))))
 
 
 def decode_each(packets: DataFrame, layout: DataFrame, registered: dict[str, Callable[[bytes], dict[str, float]]]) -> DataFrame:
-    """packets (apid, packet_name, packet) with decoder_kind, status, error and fields (a map of numbers).
+    """packets (apid, packet_name, packet) with decoder_kind, status, error and fields: typed values by name.
 
     A decoder registered for the packet's name comes first, then the dictionary (see field_layout), then none. What a
-    registered decoder raises, and a packet that ends before its last field, make decode_failed with a text. Packets
-    without a decoder have no_decoder; a null packet counts as an empty one. Nothing is shuffled.
+    registered decoder raises, and the first field that can't be read, make decode_failed with a text. Packets without a
+    decoder have no_decoder; a null packet counts as an empty one. Packets aren't shuffled if the dictionary is small.
     """
-    reach = (F.max(F.col("bit_offset") + F.col("bit_length")) + 7) / 8
     entry = F.struct("ordinal", "field", "kind", "bit_offset", "bit_length")
-    dictionary = layout.groupBy("apid").agg(F.array_sort(F.collect_list(entry)).alias("_fields"), F.floor(reach).alias("_bytes"))  # of one packet
+    dictionary = layout.groupBy("apid").agg(F.array_sort(F.collect_list(entry)).alias("_fields"))  # of one packet
     own = F.coalesce(F.col("packet_name").isin(*registered), F.lit(False))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [attempt(registered[name], bytes(data or b"")) for name, data in zip(frame["packet_name"], frame["packet"], strict=True)]
             results = {"decoder_kind": "registered", "status": ["decode_failed" if e else "decoded" for _, e in found]}
-            yield frame.assign(**results, error=[e for _, e in found], fields=[f for f, _ in found])
+            yield frame.assign(**results, error=[e for _, e in found], numbers=[f for f, _ in found])
 
-    added = "decoder_kind string, status string, error string, fields map<string,double>"
-    plain = packets.filter(~own).join(F.broadcast(dictionary), "apid", "left")
-    size = F.coalesce(F.octet_length("packet"), F.lit(0))
-    none, short = F.col("_fields").isNull(), size < F.col("_bytes")
+    added = "decoder_kind string, status string, error string"
+    plain = packets.filter(~own).join(small(dictionary), "apid", "left")
+    faults = F.transform("_fields", lambda f: field_fault(F.col("packet"), f["field"], f["kind"], f["bit_offset"], f["bit_length"]))
+    plain = plain.withColumn("error", F.get(F.array_compact(faults), F.lit(0)))
+    none, failed = F.col("_fields").isNull(), F.col("error").isNotNull()
     decoded = plain.select(
         *packets.columns,
         F.when(none, "none").otherwise("dictionary").alias("decoder_kind"),
-        F.when(none, "no_decoder").when(short, "decode_failed").otherwise("decoded").alias("status"),
-        F.when(short, F.format_string("%d bytes, %d needed", size, "_bytes")).alias("error"),
-        F.when(~none & ~short, dictionary_fields(F.col("packet"), F.col("_fields"))).alias("fields"),
+        F.when(none, "no_decoder").when(failed, "decode_failed").otherwise("decoded").alias("status"),
+        "error",
+        F.when(~none & ~failed, dictionary_fields(F.col("packet"), F.col("_fields"))).cast(f"map<string,{TYPED}>").alias("fields"),
     )
     if not registered:
         return decoded
-    schema = StructType([*packets.schema.fields, *StructType.fromDDL(added).fields])
-    return packets.filter(own).mapInPandas(run, schema).unionByName(decoded)
+    schema = StructType([*packets.schema.fields, *StructType.fromDDL(added + ", numbers map<string,double>").fields])
+    by_user = packets.filter(own).mapInPandas(run, schema)
+    typed = F.transform_values("numbers", lambda _, v: F.struct(F.lit(None).alias("whole"), v.alias("real"), F.lit(None).alias("text")).cast(TYPED))
+    return by_user.withColumn("fields", typed).drop("numbers").unionByName(decoded)
 
 
 def attempt(decoder: Callable[[bytes], dict[str, float]], data: bytes) -> tuple[dict[str, float] | None, str | None]:

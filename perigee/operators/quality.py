@@ -7,6 +7,8 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perigee.sources.scratch import small
+
 # Names that are kept out of the published dictionary.
 UNPUBLISHED_NAMES = ["VERSION", "TYPE", "SEC_HDR_FLAG", "PKT_APID", "SEQ_FLGS", "SEQ_CTR", "PKT_LEN"]
 UNPUBLISHED_PREFIXES = ["ccsds", "des_", "REUSABLE_", "mem_dump", "fp_test", "xband_adc", "uhf_pass_", "pl_data", "log_", "mem_", "ver_"]
@@ -33,7 +35,7 @@ def missing_required(present: DataFrame, required: DataFrame, by: str) -> DataFr
     present has (by, level, name); groups lack nothing or several names of the small required table.
     """
     groups = present.select(by, "level").distinct()
-    wanted = groups.join(F.broadcast(required.select("name", F.col("level").alias("needed_from"))), F.col("needed_from") <= F.col("level"))
+    wanted = groups.join(small(required.select("name", F.col("level").alias("needed_from"))), F.col("needed_from") <= F.col("level"))
     lacking = wanted.join(present.select(by, "name"), [by, "name"], "left_anti")
     found = lacking.groupBy(by).agg(F.array_sort(F.collect_list("name")).alias("missing"))
     return groups.join(found, by, "left").select(by, "level", F.coalesce("missing", F.array().cast("array<string>")).alias("missing"))
@@ -81,7 +83,7 @@ def schema_report(fields: DataFrame) -> DataFrame:
 
 def carry_over(cards: DataFrame, definitions: DataFrame, reserved: DataFrame) -> DataFrame:
     """Per file, known keywords that are not reserved, under their internal names; later values win."""
-    known = cards.join(F.broadcast(definitions), "keyword").join(F.broadcast(reserved), "keyword", "left_anti")
+    known = cards.join(small(definitions), "keyword").join(small(reserved), "keyword", "left_anti")
     return known.groupBy("file", "internal_name").agg(F.max_by("value", "ordinal").alias("value"))
 
 
@@ -99,13 +101,13 @@ def header_rows(groups: DataFrame, values: DataFrame, start: int = 7) -> DataFra
     their units behind the description.
     """
     comment = with_units(F.col("description"), F.col("units"))
-    held = values.join(F.broadcast(groups), "variable").select("image", "grp", "ordinal", "keyword", "value", comment.alias("comment"))  # a definition file
+    held = values.join(small(groups), "variable").select("image", "grp", "ordinal", "keyword", "value", comment.alias("comment"))  # a definition file
     left = F.floor((72 - F.length("grp")) / 2)
     title = F.rpad(F.concat(F.repeat(F.lit("-"), F.greatest(left, F.lit(0)).cast("int")), F.col("grp")), 72, "-")
     heads = held.groupBy("image", "grp").agg((F.min("ordinal") - 0.5).alias("ordinal"))
     heads = heads.select("image", "grp", "ordinal", F.lit("COMMENT").alias("keyword"), title.alias("value"), F.lit(None).cast("string").alias("comment"))
     firsts = groups.groupBy("grp").agg(F.min("ordinal").alias("group_first"))
-    every = heads.unionByName(held).join(F.broadcast(firsts), "grp")
+    every = heads.unionByName(held).join(small(firsts), "grp")
     place = F.row_number().over(Window.partitionBy("image").orderBy("group_first", "ordinal")) - 1 + start
     return every.select("image", place.alias("position"), "keyword", "value", "comment")
 

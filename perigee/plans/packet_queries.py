@@ -133,7 +133,7 @@ SELECT event_id, p.apid, field,
 FROM packets p JOIN layout l ON p.apid = l.apid""",
 )
 def j6_expanding_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.decode_long(packets(spark, sf_dir), ops.field_layout(dictionary(spark))).select("event_id", "apid", "field", "raw_value")
+    return ops.decode_long(packets(spark, sf_dir), ops.field_layout(dictionary(spark))).select("event_id", "apid", "field", F.col("raw_value").cast("long").alias("raw_value"))
 
 
 LAYOUT = [("coarse", "U", 48, 32), ("fine", "U", 80, 16), ("value", "I", 96, 32), ("nibble", "U", 98, 6), ("head", "C", 0, 16), ("real", "F", 48, 32)]
@@ -315,5 +315,49 @@ def x1_registered_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = ops.field_layout(dictionary(spark)).filter("apid <> 538")
     named = ops.with_packet_names(packets(spark, sf_dir).select("event_id", "apid", "packet"), spark.createDataFrame(NAMES, "apid int, packet_name string"))
     decoded = ops.decode_each(named, layout, {"beacon": beacon_value})
-    fields = [F.try_element_at("fields", F.lit(f)).alias(f) for f in ("value", "count")]
+    fields = [bits.number_of(F.try_element_at("fields", F.lit(f))).alias(f) for f in ("value", "count")]
     return decoded.select("event_id", "apid", "packet_name", "decoder_kind", "status", "error", *fields)
+
+
+# (apid, ordinal, name, data type): whole numbers up to 64 bits across bytes, IEEE numbers and text; packets of 35 are too short.
+WIDE_FIELDS = [
+    *[(1, i, *f) for i, f in enumerate([("head", "U13"), ("wide", "U64"), ("odd", "I61"), ("bit", "U1"), ("last", "I21")])],
+    *[(16, i, *f) for i, f in enumerate([("head", "U48"), ("real", "F32"), ("fine", "U16"), ("small", "F32"), ("tail", "C32")])],
+    *[(35, i, *f) for i, f in enumerate([("head", "U64"), ("body", "U64"), ("beyond", "U64")])],
+    *[(536, i, *f) for i, f in enumerate([("head", "C16"), ("count", "U16"), ("double", "F64"), ("long", "I64")])],
+]
+
+WIDE_BITS = """
+located AS (
+    SELECT apid, ordinal, name AS field, substr(data_type, 1, 1) AS kind, substr(data_type, 2)::INT AS width,
+           (sum(substr(data_type, 2)::INT) OVER (PARTITION BY apid ORDER BY ordinal) - substr(data_type, 2)::INT)::INT AS start
+    FROM (VALUES """ + values(WIDE_FIELDS) + """) AS f(apid, ordinal, name, data_type)),
+joined AS (
+    SELECT event_id, p.apid, field, kind, width, start, hex[start // 8 * 2 + 1 : (start + width + 7) // 8 * 2] AS h, length(hex) * 4 >= start + width AS there,
+           (8 - (start + width) % 8) % 8 AS below
+    FROM packets p JOIN located l USING (apid)),
+numbered AS (
+    SELECT *, CASE WHEN there THEN (list_sum([(('0x' || h[2 * i + 1 : 2 * i + 2])::INT::HUGEINT << (8 * (len(h) // 2 - 1 - i))) FOR i IN range(len(h) // 2)])::HUGEINT >> below) % (1::HUGEINT << width) END AS v
+    FROM joined),
+parted AS (
+    SELECT *, CASE WHEN width = 64 THEN (v >> 52) % 2048 ELSE (v >> 23) % 256 END::INT AS exponent,
+           CASE WHEN width = 64 THEN (v % (1::HUGEINT << 52))::DOUBLE / 4503599627370496 ELSE (v % (1::HUGEINT << 23))::DOUBLE / 8388608 END AS fraction
+    FROM numbered)"""
+
+
+@query(
+    "b7_dictionary_decode",
+    PACKETS + "," + WIDE_BITS + """
+SELECT event_id, apid, field, CASE WHEN there THEN 'decoded' ELSE 'decode_failed' END AS status,
+       CASE WHEN NOT there THEN '20 bytes, ' || (start + width + 7) // 8 || ' needed' END AS error,
+       CASE WHEN kind = 'U' THEN v WHEN kind = 'I' THEN CASE WHEN v >= 1::HUGEINT << (width - 1) THEN v - (1::HUGEINT << width) ELSE v END END::VARCHAR AS whole,
+       CASE WHEN kind = 'F' THEN CASE WHEN v >> (width - 1) = 1 THEN -1.0::DOUBLE ELSE 1.0 END * CASE WHEN exponent = 0 THEN fraction * pow(2::DOUBLE, CASE WHEN width = 64 THEN -1022 ELSE -126 END)
+            ELSE (1 + fraction) * pow(2::DOUBLE, exponent - CASE WHEN width = 64 THEN 1023 ELSE 127 END) END END AS real,
+       CASE WHEN kind = 'C' THEN CASE WHEN regexp_full_match(h, '([0-7][0-9a-f])*') THEN rtrim(decode(unhex(h)), chr(0)) ELSE h END END AS text
+FROM parted""",
+)
+def b7_dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of all kinds and widths read by the dictionary's rows; what reaches past a packet's end fails alone."""
+    layout = ops.field_layout(spark.createDataFrame(WIDE_FIELDS, "apid int, ordinal int, name string, data_type string"))
+    decoded = ops.decode_long(packets(spark, sf_dir).select("event_id", "apid", "packet"), layout)
+    return decoded.select("event_id", "apid", "field", "status", "error", F.col("value.whole").cast("string").alias("whole"), "value.real", "value.text")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A table of at most so many counted rows may be broadcast.
 FEW_ROWS = 100_000
@@ -44,3 +45,24 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
     return [x.getPath().getName() for x in found]
+
+
+#: A table whose size the planner bounds by so many bytes may be broadcast without counting its rows.
+FEW_BYTES = 16 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The planner's estimate of a table's size, for which no job runs; None if it knows nothing."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 62 else None
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if its size is bounded: by the planner, or by its rows, of which FEW_ROWS + 1 at most are counted.
+
+    A larger table is left to a shuffled join.
+    """
+    size = estimated_bytes(df)
+    if (size is not None and size <= FEW_BYTES) or df.limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+        return F.broadcast(df)
+    return df

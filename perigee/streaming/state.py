@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,11 +13,6 @@ from perigee.functions.clock import utc_text
 from perigee.functions.status import mode_state, power_state
 from perigee.operators.series import jump_reason, value_limits
 
-# First bytes of what a link carries, strong ones before weak ones.
-SYNC = bytes.fromhex("1acffc1d")
-SEGMENT_PAYLOAD = 244
-
-
 def reject_jumps(packets: DataFrame, by: str, max_jump: float, rate: float = 1.0, minimum: float = 0.0) -> DataFrame:
     """A stream of packets (by, packet_time, time_source, received) with reject_reason.
 
@@ -67,78 +61,6 @@ def field_history(points: DataFrame, keep: int = 300, threshold: float = 0.0, wi
     return points.groupBy("field").applyInPandasWithState(judge, schema, "accepted array<double>", "append", GroupStateTimeout.NoTimeout)
 
 
-def frame_packets(chunks: DataFrame, apids: list[int], most_bytes: int = 1 << 20) -> DataFrame:
-    """Packets from a stream of chunks (link, position, content) of bytes, with the bytes dropped before each.
-
-    State of a link: the bytes not used yet, at most most_bytes of them; the oldest go first. A sync word is skipped
-    and lets through APIDs that aren't known; without it a known APID is needed. A place that starts no packet costs
-    one byte; a packet that isn't complete waits for the next chunk.
-    """
-    known = set(apids)
-
-    def cut(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        data = state.get[0] if state.exists else b""
-        data += b"".join(pd.concat(list(frames)).sort_values("position")["content"])
-        dropped = max(0, len(data) - most_bytes)
-        at, out = dropped, []
-        while at + 6 <= len(data):
-            strong = data.startswith(SYNC, at)
-            head = at + 4 if strong else at
-            if head + 6 > len(data):
-                break
-            first, length = int.from_bytes(data[head : head + 2], "big"), int.from_bytes(data[head + 4 : head + 6], "big") + 7
-            if first >> 11 == 1 and (strong or first & 0x7FF in known):
-                if head + length > len(data):
-                    break
-                out.append((key[0], first & 0x7FF, bytes(data[head : head + length]), dropped))
-                at, dropped = head + length, 0
-            else:
-                at, dropped = at + 1, dropped + 1
-        state.update((bytes(data[at:]),))
-        if out:
-            yield pd.DataFrame(out, columns=["link", "apid", "packet", "dropped"])
-
-    return chunks.groupBy("link").applyInPandasWithState(cut, "link string, apid int, packet binary, dropped int", "rest binary", "append", GroupStateTimeout.NoTimeout)
-
-
-def join_segments(segments: DataFrame, time_to_live: str | None = "1 hour") -> DataFrame:
-    """Payloads put together from a stream of segments (apid, sequence, segment_index, flag, payload).
-
-    State of a packet: its segments so far; a start flag (1) begins anew. It is emitted when its end (flag 2) has come
-    and no index is missing, and forgotten when nothing has come for time_to_live. With a time to live the
-    stream waits for the clock and doesn't end by itself; None keeps state for ever.
-    """
-    millis = int(pd.Timedelta(time_to_live).total_seconds() * 1000) if time_to_live else None
-
-    def join(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        parts = {int(k): bytes.fromhex(v) for k, v in json.loads(state.get[0]).items()} if state.exists else {}
-        end = state.get[1] if state.exists else -1
-        out = []
-        for index, flag, payload in pd.concat(list(frames))[["segment_index", "flag", "payload"]].itertuples(index=False):
-            if flag == 1:
-                parts, end = {}, -1
-            parts[index] = payload
-            end = index if flag == 2 else end
-            if end >= 0 and all(i in parts for i in range(end + 1)):
-                out.append((*key, b"".join(parts[i] for i in range(end + 1))))
-                parts, end = {}, -1
-        if parts:
-            state.update((json.dumps({int(k): v.hex() for k, v in parts.items()}), int(end)))
-            if millis:
-                state.setTimeoutDuration(millis)
-        elif state.exists:
-            state.remove()
-        if out:
-            yield pd.DataFrame(out, columns=["apid", "sequence", "packet"])
-
-    return segments.groupBy("apid", "sequence").applyInPandasWithState(
-        join, "apid int, sequence long, packet binary", "parts string, end int", "append", GroupStateTimeout.ProcessingTimeTimeout if millis else GroupStateTimeout.NoTimeout
-    )
-
-
 def without_failed(packets: DataFrame, drop: bool = True) -> DataFrame:
     """packets without those whose checksum was looked at and failed, if these are to be dropped."""
     return packets.filter("checksum_status is null or checksum_status <> 'failed'") if drop else packets

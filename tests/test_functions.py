@@ -130,23 +130,8 @@ def test_sigma_filter(spark, small):
     assert outside(series.value_limits(values, 4.0, 50, 5, 0.0, 0.0), 50.0) and not outside(series.value_limits(values, 4.0, 50, 12, 0.0, 0.0), 10.2)
 
 
-def test_stream_framing_and_segments(spark, tmp_path):
-    packet = lambda n, body: (0x0801).to_bytes(2, "big") + b"\xc0" + bytes([n]) + (len(body) - 1).to_bytes(2, "big") + body
-    stream = b"\x55\x55" + packet(1, b"abcdef") + recovery.SYNC + bytes([0x0F, 0xFF]) + packet(2, b"xyz")[2:] + packet(3, b"12345678")
-    rows = [("up", i, stream[i : i + 7]) for i in range(0, len(stream), 7)]
-    spark.createDataFrame(rows, "link string, position long, content binary").coalesce(1).write.parquet(f"{tmp_path}/chunks")
-    chunks = runs.replay(spark, f"{tmp_path}/chunks", "link string, position long, content binary")
-    found = runs.run_to_table(state.frame_packets(chunks, [1]), "frames").collect()
-    assert [(r["apid"], bytes(r["packet"])[6:], r["dropped"]) for r in found] == [(1, b"abcdef", 2), (0x7FF, b"xyz", 0), (1, b"12345678", 0)]
-    parts = [(72, 5, 0, 1, b"ab"), (72, 5, 1, 0, b"cd"), (72, 5, 2, 2, b"e"), (72, 6, 1, 0, b"x")]
-    schema = "apid int, sequence long, segment_index int, flag int, payload binary"
-    spark.createDataFrame(parts, schema).coalesce(1).write.parquet(f"{tmp_path}/parts")
-    joined = runs.run_to_table(state.join_segments(runs.replay(spark, f"{tmp_path}/parts", schema), time_to_live=None), "segments").collect()
-    assert [(r["sequence"], bytes(r["packet"])) for r in joined] == [(5, b"abcde")]
-
-
 def test_asof_join_over_many_buckets_equals_a_plain_loop(spark, monkeypatch):
-    monkeypatch.setattr(asof, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(asof, "BUCKET_BYTES", 48)
     left = [(i, None if i % 11 == 0 else float(i * 7 % 50)) for i in range(60)]
     right = [(i, None if i == 5 else float(i * i % 45)) for i in range(20)] + [(99, 1e12)]
     found = asof.asof_join(spark.createDataFrame(left, "id int, x double"), spark.createDataFrame(right, "n int, x double"), "x", prefix="s", order=["n"])
@@ -164,3 +149,49 @@ def test_percentiles_are_exact_with_ties_and_nulls(spark):
     assert {r["k"] for r in found} == set(values)
     for r in found:
         assert r["bounds"] == pytest.approx(list(np.percentile(values[r["k"]], [0.5, 50, 99.5])))
+
+
+def test_asof_join_without_zone_where_clocks_jump(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamps = ["2024-03-10 01:00:00", "2024-03-10 02:30:00", "2024-11-03 01:30:00", "2024-11-03 00:59:59.000001"]
+        right = spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "n int, s string").select("n", F.col("s").cast("timestamp_ntz").alias("t"))
+        left = spark.createDataFrame([("a", "2024-03-10 03:00:00"), ("b", "2024-03-10 02:00:00"), ("c", "2024-11-03 01:00:00")], "id string, s string")
+        left = left.select("id", F.col("s").cast("timestamp_ntz").alias("t"))
+        for size in (32 << 20, 16):
+            asof.BUCKET_BYTES, before = size, asof.BUCKET_BYTES
+            found = {r["id"]: r["x_n"] for r in asof.asof_join(left, right, "t", prefix="x").collect()}
+            asof.BUCKET_BYTES = before
+            assert found == {"a": 1, "b": 0, "c": 3}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_asof_join_on_decimals_dates_and_infinities(spark, monkeypatch):
+    monkeypatch.setattr(asof, "BUCKET_BYTES", 16)
+    for kind, left, right, expected in (
+        ("decimal(20,10)", ["0.00000000015", "5", "-1"], ["0.0000000001", "4.9999999999", "6"], [0, 1, None]),
+        ("date", ["2024-02-29", "1969-12-31", "2025-01-01"], ["2024-02-28", "1970-01-01", "2024-03-01"], [0, None, 2]),
+        ("double", ["Infinity", "-Infinity", "1"], ["-Infinity", "0.5", "Infinity"], [2, 0, 1]),
+        ("timestamp", ["2024-01-01 00:00:01", "2023-01-01 00:00:00", "2024-01-02 00:00:00"], ["2024-01-01 00:00:00", "2024-01-01 00:00:01", "2024-01-03 00:00:00"], [1, None, 1]),
+    ):
+        make = lambda rows: spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "i int, s string").select("i", F.col("s").cast(kind).alias("t"))  # noqa: E731,B023
+        found = {r["i"]: r["x_i"] for r in asof.asof_join(make(left), make(right), "t", prefix="x").collect()}
+        assert [found[i] for i in range(len(left))] == expected, kind
+
+
+def test_typed_fields_of_all_kinds(spark):
+    data = struct.pack(">HQqdf4sB", 0xABCD, 2**64 - 3, -5, -1.5, 1.5, b"ok\0\0", 7)
+    fields = [("u16", "U16"), ("u64", "U64"), ("i64", "I64"), ("f64", "F64"), ("f32", "F32"), ("c", "C32"), ("u3", "U3"), ("i5", "I5")]
+    bad = [("wide", "U72"), ("none", "X")]
+    rows = [(1, i, *f) for i, f in enumerate(fields)] + [(2, i, *f) for i, f in enumerate(fields + bad[:1])] + [(3, 0, *bad[1])]
+    layout = packets.field_layout(spark.createDataFrame(rows, "apid int, ordinal int, name string, data_type string"))
+    given = spark.createDataFrame([(1, "a", bytearray(data)), (1, "a", bytearray(data[:9])), (1, "a", None), (2, "b", bytearray(data * 2)), (3, "c", bytearray(data))], "apid int, packet_name string, packet binary")
+    found = packets.decode_each(given, layout, {}).collect()
+    first = {k: next(x for x in v if x is not None) for k, v in found[0]["fields"].items()}
+    assert first == {"u16": 0xABCD, "u64": 2**64 - 3, "i64": -5, "f64": -1.5, "f32": 1.5, "c": "ok", "u3": 0, "i5": 7}
+    assert [r["status"] for r in found] == ["decoded", *["decode_failed"] * 3, "no_decoder"]  # 3 has only a field without a width
+    assert [r["error"] for r in found][1:] == ["9 bytes, 10 needed", "0 bytes, 2 needed", "wide has 72 bits", None]
+    long = {(r["apid"], r["field"]): r for r in packets.decode_long(given.filter("octet_length(packet) > 20"), layout).collect()}
+    assert long[1, "u64"]["raw_value"] == 2**64 - 3 and long[1, "f32"]["value"]["real"] == 1.5 and long[2, "wide"]["status"] == "decode_failed"
+    assert long[2, "i5"]["raw_value"] == 7
