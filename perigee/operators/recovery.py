@@ -1,8 +1,4 @@
-"""Packets from captured bytes: frames, packet search, chains and segments.
-
-A capture is one binary row. Frames are cut and judged in parallel; only steps whose outcome depends on the bytes
-before (removing seams, jumping from packet to packet) walk a capture in order, one capture to a task.
-"""
+"""Streams from captured frames, chains of wrappers and segments. Packets are searched in packetizer.py."""
 
 from __future__ import annotations
 
@@ -15,12 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perigee.functions import bits
+from perigee.operators.packetizer import possible_heads
 
 # Fixed values of the frame and segment formats.
 SYNC = bytes.fromhex("1acffc1d")
 FRAME_BYTES, FRAME_HEAD = 2056, 12
 SEGMENT_PAYLOAD = 244
-FILLERS = (0x00, 0x55, 0xFF)
 
 
 def cut_frames(captures: DataFrame, spacecraft_id: int = 66, sync: bytes = SYNC, frame_bytes: int = FRAME_BYTES) -> DataFrame:
@@ -100,97 +96,6 @@ def reverse_words(data: bytes) -> bytes:
     return b"".join(data[i : i + 4][::-1] for i in range(0, whole, 4)) + data[whole:]
 
 
-def packet_candidates(captures: DataFrame, expected: dict[int, int] | None, apids: list[int], chunk: int = 65_536, overlap: int = 65_542) -> DataFrame:
-    """All places (capture_id, offset, apid, packet_length) where a packet can start, searched in chunks in parallel.
-
-    A chunk's task gets the bytes that a packet may reach past its end. Candidates may overlap; select_packets decides.
-    """
-    size = F.octet_length("content")
-    starts = F.explode(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0)), F.lit(chunk))).alias("start")
-    parts = captures.select("capture_id", size.alias("total"), starts, "content").select(
-        "capture_id", "start", F.substring(F.col("content"), F.col("start") + 1, F.lit(chunk + overlap)).alias("content")
-    )
-    heads = possible_heads(apids, expected)
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = []
-            for capture, start, data in zip(frame["capture_id"], frame["start"], frame["content"], strict=True):
-                for at, apid, length in heads(data, chunk):
-                    found.append((capture, start + at, apid, length, data[at : at + length], data[at + length : at + length + MOST_EXTRA]))
-            yield pd.DataFrame(found, columns=["capture_id", "offset", "apid", "packet_length", "packet", "beyond"])
-
-    return parts.mapInPandas(search, CANDIDATES)
-
-
-#: Bytes behind a packet that a repair may use.
-MOST_EXTRA = 64
-
-CANDIDATES = "capture_id long, offset long, apid int, packet_length int, packet binary, beyond binary"
-
-
-def possible_heads(apids: list[int], expected: dict[int, int] | None):
-    """A function that finds where packets can start in the first bytes of data: (place, APID, length) of each.
-
-    Version 0, telemetry, with a secondary header, a known APID, and all bytes there; where lengths are expected, the
-    length is the expected one or one more. All places are looked at together.
-    """
-    known = np.zeros(2048, bool)
-    known[[*apids]] = True
-    wanted = np.full(2048, -9, np.int64)
-    for apid, length in (expected or {}).items():
-        wanted[apid] = length
-
-    def find(data: bytes, places: int) -> Iterator[tuple[int, int, int]]:
-        view = np.frombuffer(data, np.uint8).astype(np.int64)
-        n = min(places, len(view) - 6)
-        if n <= 0:
-            return
-        first = view[:n] << 8 | view[1 : n + 1]
-        length = (view[4 : n + 4] << 8 | view[5 : n + 5]) + 7
-        apid = first & 0x7FF
-        good = (first >> 11 == 1) & known[apid] & (np.arange(n) + length <= len(view))
-        if expected is not None:
-            good &= (length - wanted[apid]) >> 1 == 0
-        for at in np.flatnonzero(good):
-            yield int(at), int(apid[at]), int(length[at])
-
-    return find
-
-
-def select_packets(candidates: DataFrame, need_checksum: bool = False, repair_apid: int | None = None) -> DataFrame:
-    """Candidates that a walk from the left accepts: the next one not before the end of the last, with packet_index.
-
-    A candidate that fails its checksum (if needed) hides nothing. With repair_apid, one of that APID that fails is
-    tried again without repeated words (see without_repeats), and counts if its checksum then holds. Only the end of
-    the last packet is held while a capture's candidates stream by in order.
-    """
-    algorithm = bits.checksum_algorithm(F.col("packet"), F.col("apid"))
-    checked = candidates.withColumn("algorithm", algorithm).withColumn("taken", F.col("packet_length"))
-    if repair_apid is not None and need_checksum:
-        failed = F.col("algorithm").isNull() & (F.col("apid") == repair_apid)
-        mended = checked.filter(failed).drop("algorithm").mapInPandas(mend, CANDIDATES + ", taken int").withColumn("algorithm", algorithm)
-        checked = checked.filter(~failed).unionByName(mended.select(checked.columns))
-    good = checked.filter("algorithm is not null") if need_checksum else checked
-
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        capture, end, index = None, 0, 0
-        for frame in frames:
-            kept, numbers = [], []
-            for own, at, length in zip(frame["capture_id"], frame["offset"], frame["taken"], strict=True):
-                if own != capture:
-                    capture, end, index = own, 0, 0
-                kept.append(at >= end)
-                if at >= end:
-                    numbers.append(index)
-                    end, index = at + length, index + 1
-            yield frame[kept].assign(packet_index=numbers)
-
-    ordered = good.select("capture_id", "offset", "apid", "packet_length", "packet", "algorithm", "taken").repartition("capture_id").sortWithinPartitions("capture_id", "offset")
-    schema = "capture_id long, offset long, apid int, packet_length int, packet binary, algorithm string, taken int, packet_index long"
-    return ordered.mapInPandas(walk, schema).drop("taken")
-
-
 def register_packetize(spark: SparkSession, name: str = "packetize") -> None:
     """Make a table function of SQL, packetize(content, lengths): the packets of one capture, as select_packets finds them.
 
@@ -210,45 +115,6 @@ def register_packetize(spark: SparkSession, name: str = "packetize") -> None:
     spark.udtf.register(name, Packetize)
 
 
-def mend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Candidates with what is left of them and the bytes beyond when repeated words are taken out; others go."""
-    for frame in frames:
-        found = [without_repeats(p + more, n) for p, more, n in zip(frame["packet"], frame["beyond"], frame["packet_length"], strict=True)]
-        held = [x is not None for x in found]
-        yield frame[held].assign(packet=[x[0] for x in found if x], taken=[x[1] for x in found if x])
-
-
-def resync_gaps(packets: DataFrame) -> DataFrame:
-    """Per capture: gaps between packets (offset, packet_length) and before the first, their number, bytes and largest."""
-    before = Window.partitionBy("capture_id").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
-    end = F.coalesce(F.max(F.col("offset") + F.col("packet_length")).over(before), F.lit(0))
-    gap = F.greatest(F.col("offset") - end, F.lit(0))
-    return packets.select("capture_id", gap.alias("gap")).groupBy("capture_id").agg(
-        F.count_if(F.col("gap") > 0).alias("gaps"), F.sum("gap").alias("gap_bytes"), F.max("gap").alias("max_gap")
-    )
-
-
-def dropped_bytes(captures: DataFrame, packets: DataFrame) -> DataFrame:
-    """Per capture, the bytes outside packets: filler (0x00, 0x55, 0xFF) and others, in one pass over its bytes."""
-    spans = packets.groupBy("capture_id").agg(F.collect_list(F.struct("offset", "packet_length")).alias("spans"))  # of one capture
-    joined = captures.select("capture_id", "content").join(spans, "capture_id", "left").select("capture_id", "content", "spans.offset", "spans.packet_length")
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for capture, data, starts, lengths in frame.itertuples(index=False):
-                view, edges = np.frombuffer(data, np.uint8), np.zeros(len(data) + 1, np.int64)
-                if starts is not None:
-                    np.add.at(edges, np.minimum(starts, len(data)), 1)
-                    np.add.at(edges, np.minimum(np.asarray(starts) + lengths, len(data)), -1)
-                outside = np.cumsum(edges)[:-1] == 0
-                filler = int((outside & np.isin(view, FILLERS)).sum())
-                out.append((capture, filler, int(outside.sum()) - filler))
-            yield pd.DataFrame(out, columns=["capture_id", "filler_bytes", "other_bytes"])
-
-    return joined.mapInPandas(count, "capture_id long, filler_bytes long, other_bytes long").filter("filler_bytes + other_bytes > 0")
-
-
 def unwrap_chains(wrappers: DataFrame, head_bytes: int = 16) -> DataFrame:
     """Per chain of wrappers (see chains; with packet), the payloads behind their heads one after another.
 
@@ -342,24 +208,3 @@ def reassembly_statistics(packets: DataFrame) -> DataFrame:
         F.count_if(F.col("status") != "complete").alias("incomplete"),
         F.count_if(F.col("status") == "orphan").alias("orphans"),
     )
-
-
-def without_repeats(data: bytes, length: int) -> tuple[bytes, int] | None:
-    """The first `length` bytes of data that are left when 4-byte words that repeat the one before are taken out.
-
-    Returns them with the number of bytes used, or None if nothing was taken out or too little is left. The caller
-    takes them only if their checksum then holds.
-    """
-    view = np.frombuffer(data, np.uint8)
-    if len(view) <= max(length, 8):
-        return None
-    run = np.convolve(view[4:] == view[:-4], np.ones(4, int), "valid")  # 4 where the word at a place comes again
-    kept, free = np.ones(len(view), bool), 0
-    for at in np.flatnonzero(run == 4):
-        if at >= free:
-            kept[at + 4 : at + 8] = False
-            free = at + 8
-    places = np.flatnonzero(kept)[:length]
-    if len(places) < length or places[-1] + 1 == length:
-        return None
-    return view[places].tobytes(), int(places[-1]) + 1

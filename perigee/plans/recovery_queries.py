@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perigee.operators import packetizer
 from perigee.operators import recovery as ops
 from perigee.plans.base import query
 from perigee.plans.fixtures import PACKETS_SQL, packets
@@ -80,7 +81,7 @@ APIDS = {1: 20, 16: 20, 35: 20, 536: 20, 538: 20}
 
 @query("b3_packetize", PACKETIZED)
 def b3_packetize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ops.select_packets(ops.packet_candidates(captures(spark, sf_dir), APIDS, list(APIDS)))
+    found = packetizer.packetize(captures(spark, sf_dir), APIDS, list(APIDS), piece_bytes=1_000)
     return found.select("capture_id", "offset", "apid", "packet_length", F.lower(F.hex("packet")).alias("packet"), "packet_index")
 
 
@@ -92,17 +93,58 @@ def x2_packetize_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT capture_id, {columns} FROM {{captures}} c, LATERAL packetize(c.content, {lengths})", captures=captures(spark, sf_dir))
 
 
-def recovered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Captures, and the packets found in them."""
-    streams = captures(spark, sf_dir)
-    return streams, ops.select_packets(ops.packet_candidates(streams, APIDS, list(APIDS)))
+def recovered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Captures in small pieces, what the walk takes of them, and where it enters the pieces."""
+    pieces = packetizer.pieces_of(captures(spark, sf_dir), 1_000)
+    return pieces, *packetizer.walk(pieces, packetizer.packet_candidates(pieces, APIDS, list(APIDS)))
 
 
 @query("a13_resync_gaps", PIECES + " SELECT capture_id, count(*) FILTER (fill > 0) AS gaps, sum(fill)::BIGINT AS gap_bytes, max(fill) AS max_gap FROM placed GROUP BY capture_id")
 def a13_resync_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.resync_gaps(recovered(spark, sf_dir)[1])
+    return packetizer.resync_gaps(recovered(spark, sf_dir)[1])
 
 
 @query("a14_dropped_bytes", PIECES + " SELECT capture_id, sum(fill)::BIGINT AS filler_bytes, 0::BIGINT AS other_bytes FROM placed GROUP BY capture_id HAVING sum(fill) > 0")
 def a14_dropped_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.dropped_bytes(*recovered(spark, sf_dir))
+    return packetizer.dropped_bytes(*recovered(spark, sf_dir))
+
+
+def wrapped_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of 500 events in parts of 700 bytes: every third packet stands in a wrapper, every 15th of them in one that
+    is a byte too long, with other bytes before each."""
+    n = F.col("event_id")
+    packet = F.concat(F.hex("packet"), F.when(n % 15 == 0, "AA").otherwise(""))
+    wrapper = F.concat(F.format_string("0844C000%04X", (F.length(packet) / 2).cast("int") + 9), F.repeat(F.lit("11"), F.lit(10)), packet)
+    own = F.concat(F.repeat(F.lit("A7"), (n % 3).cast("int")), F.when(n % 3 == 0, wrapper).otherwise(F.hex("packet")))
+    rows = packets(spark, sf_dir).select(F.expr("event_id div 500").alias("capture_id"), F.struct("event_id", own.alias("h")).alias("r"))
+    whole = rows.groupBy("capture_id").agg(F.array_join(F.array_sort(F.collect_list("r"))["h"], "").alias("h"))  # of 500 events
+    starts = F.posexplode(F.sequence(F.lit(0), F.length("h") - 1, F.lit(1_400))).alias("piece", "start")
+    return whole.select("capture_id", "h", starts).select("capture_id", "piece", F.unhex(F.substring(F.col("h"), F.col("start") + 1, F.lit(1_400))).alias("content"))
+
+
+WRAPPED = "WITH " + PACKETS_SQL.strip() + """,
+sized AS (SELECT event_id // 500 AS capture_id, event_id, apid, hex, event_id % 3 = 0 AS wrapped, event_id % 15 = 0 AS malformed,
+                 event_id % 3 + CASE WHEN event_id % 15 = 0 THEN 37 WHEN event_id % 3 = 0 THEN 36 ELSE 20 END AS size FROM packets),
+placed AS (SELECT *, (sum(size) OVER (PARTITION BY capture_id ORDER BY event_id) - CASE WHEN malformed THEN 21 ELSE 20 END)::BIGINT AS "offset" FROM sized)"""
+
+
+def walked_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    pieces = packetizer.join_pieces(wrapped_parts(spark, sf_dir), 700)
+    return pieces, *packetizer.walk(pieces, packetizer.packet_candidates(pieces, APIDS, list(APIDS)))
+
+
+@query("b3_unwrapped_packets", WRAPPED + ' SELECT capture_id, "offset", apid, wrapped, hex AS packet, row_number() OVER (PARTITION BY capture_id ORDER BY event_id) - 1 AS packet_index FROM placed WHERE NOT malformed')
+def b3_unwrapped_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets, some inside wrappers, of captures that lie in many parts."""
+    found = packetizer.numbered_packets(walked_parts(spark, sf_dir)[1])
+    return found.select("capture_id", "offset", "apid", "wrapped", F.lower(F.hex("packet")).alias("packet"), F.col("packet_index").cast("long").alias("packet_index"))
+
+
+@query("b5_wrapper_counts", WRAPPED + " SELECT capture_id, count(*) AS wrappers, count(*) FILTER (NOT malformed) AS unwrapped, count(*) FILTER (malformed) AS malformed FROM placed WHERE wrapped GROUP BY capture_id")
+def b5_wrapper_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packetizer.wrapper_statistics(walked_parts(spark, sf_dir)[1])
+
+
+@query("a14_dropped_around_wrappers", WRAPPED + " SELECT capture_id, 0::BIGINT AS filler_bytes, sum(event_id % 3)::BIGINT AS other_bytes FROM placed GROUP BY capture_id")
+def a14_dropped_around_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packetizer.dropped_bytes(*walked_parts(spark, sf_dir))

@@ -9,10 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from perigee.functions import bits, clock, status
-from perigee.operators import asof, packets, recovery, series
+from perigee.operators import asof, packetizer, packets, recovery, series
 from perigee.operators.store import TelemetryStore
 from perigee.plans.value_queries import st5_sigma_filter_batch
-from perigee.streaming import runs, state
 
 
 def fletcher(data, order):
@@ -94,8 +93,8 @@ def test_frames(spark):
 
 def test_repair():
     packet = bytes(range(20))
-    assert recovery.without_repeats(packet[:8] + packet[4:8] + packet[8:], 20) == (packet, 24)
-    assert recovery.without_repeats(packet + bytes(range(70, 90)), 20) is None
+    assert packetizer.without_repeats(packet[:8] + packet[4:8] + packet[8:], 20) == (packet, 24)
+    assert packetizer.without_repeats(packet + bytes(range(70, 90)), 20) is None
 
 
 def test_numbering_is_gapless(spark):
