@@ -19,8 +19,8 @@ from perigee.sources.scratch import written
 
 #: Bytes of a piece. Behind it come the bytes that its last packet, and the repair of it, may reach.
 PIECE_BYTES = 1 << 20
-MOST_PACKET, MOST_EXTRA = 65_542, 64
-OVERLAP = MOST_PACKET + MOST_EXTRA
+MOST_PACKET, MOST_EXTRA = 65_542, 66
+OVERLAP = MOST_PACKET + MOST_EXTRA  # whole 32-bit words
 
 # Bytes that fill gaps; packets that carry one other packet behind their head and ten bytes.
 FILLERS = (0x00, 0x55, 0xFF)

@@ -92,18 +92,6 @@ def more_records(packets: DataFrame, scanned: DataFrame, by: str) -> DataFrame:
     return both.withColumn("use", F.when(F.col("from_stream") > F.col("from_packets"), "stream").otherwise("packets"))
 
 
-def scan_records(streams: DataFrame, apids: list[int], expected: dict[int, int] | None = None) -> DataFrame:
-    """Candidates for image records in recovered streams (capture_id, content) under two byte orders, by view.
-
-    The view is the stream as it is, or with each 32-bit word reversed; candidates may overlap.
-    """
-    from perigee.operators.recovery import packet_candidates
-
-    views = [("plain", F.col("content")), ("word32", bits.reverse_words(F.col("content"), 4))]
-    each = [packet_candidates(streams.select("capture_id", c.alias("content")), expected, apids).withColumns({"view": F.lit(n), "position": F.lit(i)}) for i, (n, c) in enumerate(views)]
-    return each[0].unionByName(each[1])
-
-
 def product_metadata(packets: DataFrame, by: str, order: str) -> DataFrame:
     """Per image the metadata packet to use: the last of the process source, else the last."""
     rest = [c for c in packets.columns if c != by]
@@ -213,27 +201,51 @@ def noise_regions(images: DataFrame, height: int, width: int, regions: int, size
     return spread.select("image_id", "i", "j", (F.col("y0") + size // 2).alias("centre_y"), (F.col("x0") + size // 2).alias("centre_x"), "std", "sigma")
 
 
-def deconvolve(images: DataFrame, psf: np.ndarray, height: int, width: int) -> DataFrame:
+#: Transforms smaller than this share of the largest are taken to be as large, so that noise there isn't blown up.
+LEAST_TRANSFORM = 1e-3
+
+# Fixed value: how much of what isn't scattered is put into the core.
+CORE_FACTOR = 0.4
+
+
+def scatter_kernel(psf: np.ndarray, factor: float = CORE_FACTOR) -> np.ndarray:
+    """A scatter function with its core set to a share of what it doesn't scatter, and its sum to 1."""
+    kernel = np.array(psf, float)
+    kernel[kernel.shape[0] // 2, kernel.shape[1] // 2] = (1 - kernel.sum()) * factor
+    return kernel / kernel.sum()
+
+
+def inverse_transform(psf: np.ndarray, shape: tuple[int, int], least: float = LEAST_TRANSFORM) -> np.ndarray:
+    """What the transform of an image of this shape is multiplied with. A transform below `least` times the largest is
+    divided by as if it were that large, in its own direction; one of 0 gives 0."""
+    padded = np.zeros(shape)
+    rows, cols = psf.shape
+    padded[:rows, :cols] = psf
+    found = np.fft.rfft2(np.roll(padded, (-(rows // 2), -(cols // 2)), (0, 1)))
+    size = np.abs(found)
+    return np.conj(found) / np.maximum(size, least * size.max()) ** 2
+
+
+def deconvolve(images: DataFrame, psf: np.ndarray, height: int, width: int, padded: bool = True, least: float = LEAST_TRANSFORM) -> DataFrame:
     """Images (image_id, y, pixels) with what a point spread function has scattered brought back, by an inverse filter.
 
     The function (of the image's size or less, its middle the core) is the same for all images, so it is the one
-    thing that every task holds. An image is padded to twice its size, divided by the function's transform, and cut
-    back. One image meets in one task; images are spread over tasks.
+    thing that every task holds; its sum is brought to 1. An image is padded to twice its size with zeros, unless it is
+    to wrap around, and cut back. Small transforms are bounded (see inverse_transform), so that a function whose
+    transform has zeros gives numbers, though what it has wiped out stays lost. Rows that aren't there count as dark.
+    One image meets in one task; images are spread over tasks.
     """
-    padded = np.zeros((2 * height, 2 * width))
-    rows, cols = psf.shape
-    padded[:rows, :cols] = psf / psf.sum()
-    padded = np.roll(padded, (-(rows // 2), -(cols // 2)), (0, 1))
-    inverse = 1 / np.fft.rfft2(padded)
+    shape = (2 * height, 2 * width) if padded else (height, width)
+    inverse = inverse_transform(psf / psf.sum(), shape, least)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for lines in frame["rows"]:
-                image = np.zeros((2 * height, 2 * width))
+                image = np.zeros(shape)
                 for line in lines:
                     image[line["y"], :width] = line["pixels"]
-                out.append(np.fft.irfft2(np.fft.rfft2(image) * inverse, image.shape)[:height, :width].tolist())
+                out.append(np.fft.irfft2(np.fft.rfft2(image) * inverse, shape)[:height, :width].tolist())
             yield pd.DataFrame({"image_id": frame["image_id"], "rows": out})
 
     whole = images.groupBy("image_id").agg(F.collect_list(F.struct("y", "pixels")).alias("rows"))  # of one image

@@ -84,8 +84,32 @@ def widen(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return stored.unionByName(incoming, allowMissingColumns=True)
 
 
+class TypeRefused(ValueError):
+    """A file whose values don't fit the types that its table has."""
+
+
+def settled(data: DataFrame, kinds: dict[str, str]) -> tuple[DataFrame, list[Column]]:
+    """data with the types that a table has already, and for each changed column a count of values that don't fit.
+
+    A value fits if it is the same when cast back; texts are compared as numbers where the column is one.
+    """
+    columns, misfits = [], []
+    for name, kind in data.dtypes:
+        wanted = kinds.get(name, kind)
+        value = F.col(f"`{name}`")
+        if wanted == kind:
+            columns.append(value)
+            continue
+        cast = value.try_cast(wanted)
+        columns.append(cast.alias(name))
+        back = cast.cast("double") == value.try_cast("double") if kind == "string" and wanted != "string" else cast.try_cast(kind) == value
+        back = F.lit(True) if kind == "string" and not wanted.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")) else back
+        misfits.append(F.count_if(value.isNotNull() & (cast.isNull() | ~F.coalesce(back, F.lit(False)))).alias(name))
+    return data.select(*columns), misfits
+
+
 class TelemetryStore:
-    """A folder with one Parquet table per APID, a catalog and a ledger of what was taken in.
+    """A folder with one Parquet table per APID, a catalog, the fields with their types, and a ledger of what was taken in.
 
     Data of a file is written under its own checksum before the ledger names it, and readers take only what the ledger
     names; so a write that broke off is invisible, and repeating it replaces its own data.
@@ -114,29 +138,66 @@ class TelemetryStore:
         newest = rows.groupBy("apid").agg(F.max_by(F.struct("packet_name", "table_name"), "at").alias("row"))
         return newest.select("apid", "row.*")
 
+    @property
+    def fields(self) -> DataFrame:
+        """apid, field, position and type of all columns, as the first file that had them settled them."""
+        rows = self._read("fields", "apid int, field string, position int, type string, at timestamp")
+        return rows.groupBy("apid", "field").agg(F.min_by(F.struct("position", "type"), F.struct("at", "position")).alias("f")).select("apid", "field", "f.*")
+
+    def _kinds(self, apid: int) -> dict[str, str]:
+        """The columns of one table in order, with their types."""
+        return {r["field"]: r["type"] for r in self.fields.filter(F.col("apid") == apid).orderBy("position", "field").collect()}  # of one table
+
     def append(self, apid: int, packet_name: str, source_path: str, sha256: str, data: DataFrame) -> bool:
-        """Take in one file's rows; False if its content is there already."""
+        """Take in one file's rows; False if its content is there already.
+
+        Types that the table has hold: the file's values are cast to them, and a file with a value that doesn't fit is
+        refused alone (TypeRefused). New columns get the file's types. So readers never meet two types.
+        """
         if self.ledger.filter(F.col("sha256") == sha256).limit(1).count():
             return False
+        kinds = self._kinds(apid)
+        fitted, misfits = settled(data, kinds)
+        wrong = {k: n for k, n in data.agg(*misfits).first().asDict().items() if n} if misfits else {}
+        if wrong:
+            raise TypeRefused(f"{source_path}: " + ", ".join(f"{n} values of {k} are no {kinds[k]}" for k, n in sorted(wrong.items())))
         target = f"{self.path}/apid_{apid}/source_sha256={sha256}"
-        data.write.mode("overwrite").parquet(target)
-        rows = self.spark.read.parquet(target).count()
+        fitted.write.mode("overwrite").parquet(target)
+        rows = self.spark.read.schema(fitted.schema).parquet(target).count()
         now = F.current_timestamp()
         one = self.spark.range(1)
+        fresh = [(name, len(kinds) + i, kind) for i, (name, kind) in enumerate(x for x in fitted.dtypes if x[0] not in kinds)]
+        if fresh:
+            each = F.array(*[F.struct(F.lit(n).alias("field"), F.lit(p).alias("position"), F.lit(k).alias("type")) for n, p, k in fresh])
+            one.select(F.lit(apid).alias("apid"), F.inline(each)).withColumn("at", now).write.mode("append").parquet(f"{self.path}/fields")
         one.select(F.lit(apid).alias("apid"), F.lit(packet_name).alias("packet_name"), F.lit(f"apid_{apid}").alias("table_name"), now.alias("at")).write.mode("append").parquet(f"{self.path}/catalog")
         done = one.select(F.lit(sha256).alias("sha256"), F.lit(source_path).alias("source_path"), F.lit(apid).alias("apid"), F.lit(rows).cast("long").alias("rows"), now.alias("ingested"))
         done.write.mode("append").parquet(f"{self.path}/ledger")
         return True
 
     def table(self, packet_type: int | str) -> DataFrame:
-        """All rows of a packet type, columns of all its files merged; unknown types are a KeyError."""
+        """All rows of a packet type, with the columns and types that the store has settled; unknown types are a KeyError."""
         found = resolve(self.catalog, packet_type).collect()
         if not found:
             raise KeyError(packet_type)
-        rows = self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/apid_{found[0]['apid']}")
+        apid = found[0]["apid"]
+        schema = ", ".join(f"`{name}` {kind}" for name, kind in self._kinds(apid).items())
+        rows = self.spark.read.schema(f"{schema}, source_sha256 string").parquet(f"{self.path}/apid_{apid}")
         known = self.ledger.select(F.col("sha256").alias("source_sha256"))
         return rows.join(known, "source_sha256", "left_semi").drop("source_sha256")
 
+    def fetch(self, field: str, packet_type: int | str | None = None, order_by: str | None = None) -> DataFrame:
+        """One field of all rows of a packet type; without one, of the only type that has the field.
+
+        A KeyError tells an unknown field, and the types to choose from if several have it.
+        """
+        if packet_type is None:
+            having = sorted(r["apid"] for r in self.fields.filter(F.col("field") == field).select("apid").collect())  # packet types
+            if len(having) != 1:
+                raise KeyError(f"{field} is in packet types {having}" if having else f"unknown field: {field}")
+            packet_type = having[0]
+        return bounded(self.table(packet_type), [field], order_by=order_by)
+
     def summary(self) -> DataFrame:
         """Rows of each table."""
         return self.ledger.groupBy("apid").agg(F.sum("rows").alias("rows")).join(self.catalog, "apid").orderBy("apid")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions import bits, clock
 from perigee.operators import packets as ops
+from perigee.operators import public
 from perigee.plans.base import query
 from perigee.plans.fixtures import PACKETS_SQL, packets, table
 
@@ -333,7 +334,7 @@ located AS (
            (sum(substr(data_type, 2)::INT) OVER (PARTITION BY apid ORDER BY ordinal) - substr(data_type, 2)::INT)::INT AS start
     FROM (VALUES """ + values(WIDE_FIELDS) + """) AS f(apid, ordinal, name, data_type)),
 joined AS (
-    SELECT event_id, p.apid, field, kind, width, start, hex[start // 8 * 2 + 1 : (start + width + 7) // 8 * 2] AS h, length(hex) * 4 >= start + width AS there,
+    SELECT event_id, p.apid, ordinal, field, kind, width, start, hex[start // 8 * 2 + 1 : (start + width + 7) // 8 * 2] AS h, length(hex) * 4 >= start + width AS there,
            (8 - (start + width) % 8) % 8 AS below
     FROM packets p JOIN located l USING (apid)),
 numbered AS (
@@ -361,3 +362,34 @@ def b7_dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = ops.field_layout(spark.createDataFrame(WIDE_FIELDS, "apid int, ordinal int, name string, data_type string"))
     decoded = ops.decode_long(packets(spark, sf_dir).select("event_id", "apid", "packet"), layout)
     return decoded.select("event_id", "apid", "field", "status", "error", F.col("value.whole").cast("string").alias("whole"), "value.real", "value.text")
+
+
+@query(
+    "p21_public_values",
+    PACKETS + "," + WIDE_BITS + """
+SELECT event_id, apid, 'public_' || field AS public_name,
+       CASE WHEN kind = 'U' THEN v WHEN kind = 'I' THEN CASE WHEN v >= 1::HUGEINT << (width - 1) THEN v - (1::HUGEINT << width) ELSE v END END::VARCHAR AS whole,
+       CASE WHEN kind = 'F' THEN CASE WHEN v >> (width - 1) = 1 THEN -1.0::DOUBLE ELSE 1.0 END * CASE WHEN exponent = 0 THEN fraction * pow(2::DOUBLE, CASE WHEN width = 64 THEN -1022 ELSE -126 END)
+            ELSE (1 + fraction) * pow(2::DOUBLE, exponent - CASE WHEN width = 64 THEN 1023 ELSE 127 END) END END AS real
+FROM parted WHERE ordinal % 2 = 1 AND apid <> 35""",
+)
+def p21_public_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second field is public; the others stay closed."""
+    layout = ops.field_layout(spark.createDataFrame(WIDE_FIELDS, "apid int, ordinal int, name string, data_type string"))
+    fields = layout.filter("ordinal % 2 = 1 and apid <> 35").withColumn("public_name", F.concat(F.lit("public_"), "field"))
+    values = public.public_values(packets(spark, sf_dir).select("event_id", "apid", "packet"), fields)
+    return values.select("event_id", "apid", "public_name", F.col("value.whole").cast("string").alias("whole"), "value.real")
+
+
+@query(
+    "p21_opaque_ranges",
+    "WITH " + LINE_FIELDS.strip() + """,
+located AS (SELECT apid, ordinal, bit_length AS n, (sum(bit_length) OVER (PARTITION BY apid ORDER BY ordinal) - bit_length)::INT AS start FROM line_fields),
+closed AS (SELECT apid, start, n, ordinal - row_number() OVER (PARTITION BY apid ORDER BY ordinal) AS run FROM located WHERE ordinal % 3 <> 1)
+SELECT apid, min(start)::INT AS start_bit, sum(n)::INT AS bit_length FROM closed GROUP BY apid, run""",
+)
+def p21_opaque_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the packets that order lines describe, every third field is public; what lies between is opaque."""
+    layout = ops.field_layout(line_fields(spark, sf_dir))
+    sizes = layout.groupBy("apid").agg(F.sum("bit_length").alias("total_bits"))
+    return public.opaque_ranges(layout.filter("ordinal % 3 = 1"), sizes)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.functions import bits, status
-from perigee.operators import quality, recovery, science, series
+from perigee.operators import image_scan, packetizer, quality, recovery, science, series
 from perigee.plans.base import query
 from perigee.plans.fixtures import PACKETS_SQL, packets, table
 from perigee.plans.image_queries import IMAGES, SIDE, images
@@ -215,6 +215,18 @@ def i7_deconvolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("image_id", "y", F.posexplode("pixels").alias("x", "v")).withColumn("v", F.abs(F.round("v", 3)))
 
 
+@query("i7_scatter_around", IMAGES + " SELECT image_id, y, x, v::DOUBLE AS v FROM cells")
+def i7_scatter_around(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images scattered around their edges by a function whose core is set, and brought back without padding."""
+    kernel = science.scatter_kernel(np.array([[0.0, 0.0, 0.0], [0.06, 0.5, 0.04], [0.0, 0.0, 0.0]]))
+    left, core, right = (float(x) for x in kernel[1])
+    at = lambda i: F.get("pixels", F.pmod(i, F.lit(SIDE)))
+    spread = F.transform(F.sequence(F.lit(0), F.lit(SIDE - 1)), lambda i: left * at(i + 1) + core * at(i) + right * at(i - 1))
+    rows = images(spark, sf_dir)
+    found = science.deconvolve(rows.withColumn("pixels", spread), kernel, SIDE, SIDE, padded=False).join(rows.select("image_id", "y"), ["image_id", "y"], "left_semi")
+    return found.select("image_id", "y", F.posexplode("pixels").alias("x", "v")).withColumn("v", F.abs(F.round("v", 3)))
+
+
 @query(
     "b11_compressed_streams",
     "WITH " + PACKETS_SQL.strip() + """,
@@ -412,3 +424,41 @@ def st6_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = series.latest(rows.select("user_id", F.expr("us div 1000000").alias("received")), ["user_id"], ["received"])
     now = rows.agg(F.max(F.expr("us div 1000000"))).first()[0]
     return state.with_staleness(newest, now, 3600).select("user_id", "age", "stale")
+
+
+def image_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams of four images each: metadata and rows; some rows of unknown images, some of a wrong length, some metadata
+    of impossible size. Every other stream has its 32-bit words reversed."""
+    payload = F.array_join(F.transform("pixels", lambda v: F.format_string("%04X", v)), "")
+    rows = images(spark, sf_dir).withColumn("h", F.when((F.col("image_id") + F.col("y")) % 13 == 0, F.substring(payload, F.lit(1), F.lit(248))).otherwise(payload))
+    named = F.col("image_id") + F.when(F.col("y") % 9 == 4, 1_000_000).otherwise(0)
+    row = F.concat(F.format_string("0A18%04X%04X%08X0000", F.lit(0xC000) + F.col("y"), (F.length("h") / 2).cast("int") + 9, named), F.col("h"), F.lit("00000000"))
+    size = F.when(F.col("image_id") % 5 == 3, 3_000).otherwise(64)
+    meta = F.format_string("0A1AC0000011%08X%04X%04X%020X", F.col("image_id"), size, F.lit(64), F.lit(0))
+    own = F.concat(F.when(F.col("y") == 0, meta).otherwise(F.lit("")), F.repeat(F.lit("55555555"), (F.col("y") % 3).cast("int")), row)
+    parts = rows.groupBy(F.expr("image_id div 4").alias("capture_id")).agg(F.array_sort(F.collect_list(F.struct("image_id", "y", own.alias("h")))).alias("p"))
+    stream = F.unhex(F.array_join(F.col("p.h"), ""))
+    return parts.select("capture_id", F.when(F.col("capture_id") % 2 == 1, bits.reverse_words(stream, 4)).otherwise(stream).alias("content"))
+
+
+def image_metadata(packet: Column) -> dict[str, Column]:
+    """The fields of those metadata packets."""
+    return {"image_id": bits.unsigned(packet, 6, 4), "roi_rows": bits.unsigned(packet, 10, 2), "roi_cols": bits.unsigned(packet, 12, 2), "n_cols": bits.unsigned(packet, 12, 2), "status": F.lit("decoded")}
+
+
+@query(
+    "b9_image_records",
+    IMAGES + """,
+sent AS (SELECT image_id // 4 AS capture_id, image_id, y, (image_id + y) % 13 = 0 AS short, CASE WHEN y = 0 THEN 24 ELSE 0 END AS meta, y % 3 * 4 AS fill FROM images),
+placed AS (SELECT *, meta + fill + CASE WHEN short THEN 140 ELSE 144 END AS size FROM sent),
+ended AS (SELECT *, sum(size) OVER (PARTITION BY capture_id ORDER BY image_id, y)::BIGINT AS stop FROM placed),
+records AS (SELECT capture_id, 'metadata' AS kind, image_id, stop - size AS "offset" FROM ended WHERE y = 0 AND image_id % 5 <> 3
+            UNION ALL SELECT capture_id, 'row', image_id, stop - CASE WHEN short THEN 140 ELSE 144 END FROM ended e
+            WHERE NOT short AND y % 9 <> 4 AND image_id % 5 <> 3 AND EXISTS (SELECT 1 FROM images i WHERE i.image_id = e.image_id AND i.y = 0))
+SELECT capture_id, CASE WHEN capture_id % 2 = 1 THEN 'word32' ELSE 'plain' END AS view, kind, image_id, "offset",
+       sum(CASE kind WHEN 'metadata' THEN 10 ELSE 1 END) OVER (PARTITION BY capture_id)::BIGINT AS score FROM records""",
+)
+def b9_image_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From bytes in pieces of 1,000 to the records of the better byte order."""
+    pieces = packetizer.pieces_of(image_streams(spark, sf_dir), 1_000)
+    return image_scan.scan_records(pieces, image_metadata, meta_bytes=24).select("capture_id", "view", "kind", "image_id", "offset", "score")

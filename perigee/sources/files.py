@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Columns that a line of an ordered CSV file may have.
-MOST_COLUMNS = 64
+#: A record of a CSV file, and a cell with the comma before it; quoted parts may hold line breaks and commas.
+RECORD = r'(?:[^"\r\n]++|"(?:[^"]|"")*+")++'
+CELL = r',("(?:[^"]|"")*+"|[^,]*+)'
 
 # How captures and decoded tables are named.
 CAPTURE_TIME = r"ccsds_(\d{4})_(\d{3})_(\d{2})_(\d{2})_(\d{2})"
@@ -56,19 +57,26 @@ def products_current(files: DataFrame, by: str) -> DataFrame:
 
 
 def ordered_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """The named columns (texts) of CSV files with a header, with file and ordinal: the place of a line in its file.
+    """The named columns (texts) of CSV files with a header, with file and ordinal: the place of a record in its file.
 
-    Each file is one row until its lines are numbered, so these are small files such as dictionaries; files are read
-    in parallel. A column that a file doesn't have is null.
+    Each file is one row until its records are numbered, so these are small files such as dictionaries; files are read
+    in parallel, and may have different columns in any number. Line breaks and commas inside quotes belong to a cell, two
+    quotes there are one. A column that a file doesn't have is null, and so is an empty cell.
     """
     whole = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
-    schema = ", ".join(f"c{i} string" for i in range(MOST_COLUMNS))
-    cells = lambda line: F.array(*[F.from_csv(line, schema)[f"c{i}"] for i in range(MOST_COLUMNS)])
-    rows = whole.select("file", lines.alias("lines")).select("file", F.get("lines", F.lit(0)).alias("head"), F.posexplode("lines").alias("ordinal", "line")).filter("ordinal > 0")
-    rows = rows.select("file", "ordinal", cells(F.col("head")).alias("_names"), cells(F.col("line")).alias("_cells"))
+    records = F.regexp_extract_all(F.regexp_replace("value", "^\uFEFF", ""), F.lit(RECORD), 0)
+    kept = F.filter(records, lambda x: F.trim(x) != "")
+    rows = whole.select("file", kept.alias("lines")).select("file", F.get("lines", F.lit(0)).alias("head"), F.posexplode("lines").alias("ordinal", "line")).filter("ordinal > 0")
+    rows = rows.select("file", "ordinal", cells_of(F.col("head")).alias("_names"), cells_of(F.col("line")).alias("_cells"))
     at = lambda c: F.array_position("_names", c).cast("int")
-    return rows.select("file", "ordinal", *[F.when(at(c) > 0, F.get("_cells", at(c) - 1)).alias(c) for c in columns])
+    value = lambda c: F.when(at(c) > 0, F.get("_cells", at(c) - 1))
+    return rows.select("file", "ordinal", *[F.when(value(c) != "", value(c)).alias(c) for c in columns])
+
+
+def cells_of(record: Column) -> Column:
+    """The cells of one CSV record as texts."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(CELL), 1)
+    return F.transform(found, lambda x: F.when(x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
 
 
 def packet_names(rows: DataFrame) -> DataFrame:
