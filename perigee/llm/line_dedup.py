@@ -10,6 +10,10 @@ from perigee.llm.common import materialize, small_or_shuffled
 #: Lines of fewer letters have few variants and halves that many share, so they emit variants without a look at halves.
 SHORT = 8
 
+#: Lines of at least so many letters get their variants' hashes from running sums over letters, in work that grows with
+#: the line; below, from the variants' texts. Lines of this length and one more get both, so that all neighbours meet.
+LONG = 512
+
 
 def split_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, line_no (from 0) and line of every text; null texts have no lines."""
@@ -56,14 +60,57 @@ def variants() -> Column:
     return F.concat(F.array(key(F.col("line"), F.lit(0))), less)
 
 
+def long_variants(lines: DataFrame) -> DataFrame:
+    """The same keys for long lines (h1, h2, first, line): v1, v2 are sums over letters of hashes of letter and place.
+
+    Less the letter at a place, those before it count at their places and those behind it one place earlier: the sum of
+    the first up to there, and what the second has from there on. Sums of 2 ** 31 letters fit 64 bits.
+    """
+    letters = lines.select("h1", "h2", "first", F.posexplode(F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))).alias("at", "letter"))
+    hashed = lambda seed, back: F.pmod(F.xxhash64(F.lit(seed), "letter", F.col("at") - back), F.lit(1 << 31))
+    own = letters.select("h1", "h2", "first", "at", *[hashed(seed, back).alias(f"{kind}{seed}") for seed in (1, 2) for back, kind in ((0, "a"), (1, "b"))])
+    line = Window.partitionBy("h1", "h2")
+    before, behind = line.orderBy("at").rowsBetween(Window.unboundedPreceding, -1), line.orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    sums = [(F.coalesce(F.sum(f"a{i}").over(before), zero) + F.coalesce(F.sum(f"b{i}").over(behind), zero)).alias(f"v{i}") for i in (1, 2)]
+    less = own.select("h1", "h2", "first", *sums, (F.col("at") + 1).cast("int").alias("place"))
+    whole = own.groupBy("h1", "h2", "first").agg(F.sum("a1").alias("v1"), F.sum("a2").alias("v2")).withColumn("place", F.lit(0))
+    return less.unionByName(whole)
+
+
+def one_edit_apart(a: Column, b: Column) -> Column:
+    """Whether two different texts are one edit apart: they are alike behind the first letter in which they differ.
+
+    How much of their beginnings is alike is found by halving, so the work is that of some 30 comparisons.
+    """
+    halving = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
+    alike = F.aggregate(halving, F.lit(0), lambda at, step: at + F.when(F.substring(a, F.lit(1), at + step) == F.substring(b, F.lit(1), at + step), step).otherwise(0))
+    behind = lambda text, more: F.substring(text, alike + 1 + more, F.length(text))
+    more = F.length(a) - F.length(b)
+    return F.when(more == 0, behind(a, 1) == behind(b, 1)).when(more == 1, behind(a, 1) == behind(b, 0)).when(more == -1, behind(a, 0) == behind(b, 1)).otherwise(False)
+
+
+def verified(earliest: DataFrame, texts: DataFrame) -> DataFrame:
+    """earliest (h1, h2, earlier) without the rows whose lines (of texts: h1, h2, first, line) aren't within one edit.
+
+    Only lines that have an earlier one are looked at, each against one other.
+    """
+    own = texts.select("h1", "h2", F.col("line").alias("_own"))
+    kept = texts.select(F.col("first").alias("earlier"), F.col("line").alias("_kept"))
+    pairs = earliest.join(own, ["h1", "h2"]).join(kept, "earlier").filter(one_edit_apart(F.col("_own"), F.col("_kept")))
+    return pairs.select("h1", "h2", "earlier").distinct()
+
+
 def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every line of every text, the earliest line within one edit; the line stays if that is itself.
 
     Lines stand in order of doc_id, then line number. Equal lines are one edit class of any size: they are folded
     before they are shuffled, and come back by their hashes. Of the different lines, those that share a half key with
-    another, and all below SHORT letters, emit all variants with up to one letter deleted, as hashed keys. Lines that share a variant at one place are all within one edit of each other, and those
-    of any place are within one edit of the line that is the variant; so the earliest of each is an aggregate, and
-    no pairs are made, however many lines share a variant.
+    another, and all below SHORT letters, emit all variants with up to one letter deleted, as hashed keys, in work that
+    grows with the line's length (see long_variants). Lines that share a variant at one place are all within one edit of
+    each other, and those of any place are within one edit of the line that is the variant; so equal variants meet in an
+    aggregate that finds the earliest of each, and no pairs are made, however many lines share a variant. The edit
+    distance of each line to its earliest one is then verified on the texts.
 
     Empty lines always stay, and null texts have no lines. Rows that are alike in id and text are told apart by
     nothing, so their lines stay or go together; null ids come first. An empty table gives an empty result. Other
@@ -99,7 +146,8 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .dropDuplicates(["h1", "h2"])
     )
     found = materialize(found.select("h1", "h2", "first", "line", "n_chars"), "line-texts")
-    keyed = found.select("h1", "h2", "first", F.inline(variants()))
+    keyed = found.filter(F.col("n_chars") <= LONG + 1).select("h1", "h2", "first", F.inline(variants()))
+    keyed = keyed.unionByName(long_variants(found.filter(F.col("n_chars") >= LONG)))
     alike, same_place = Window.partitionBy("v1", "v2"), Window.partitionBy("v1", "v2", "place")
     itself = F.col("place") == 0
     met = (
@@ -109,6 +157,7 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .withColumn("earlier", F.when(itself, F.col("longer")).otherwise(F.least("substituted", "shorter")))
     )
     earliest = met.filter(F.col("earlier") < F.col("first")).groupBy("h1", "h2").agg(F.min("earlier").alias("earlier"))
+    earliest = verified(earliest, found)
     decided = different.join(earliest, ["h1", "h2"], "left").filter("rows > 1 or earlier is not null")
     decided = materialize(decided.select("h1", "h2", F.coalesce("earlier", "first").alias("keep")), "line-decisions")
     own = F.struct("doc_id", "line_no")

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import tempfile
+import time
 import zlib
 
 import pytest
@@ -326,6 +327,33 @@ def test_short_lines(spark):
     assert sorted((r["doc_id"], r["line_no"], r["keep_doc_id"], r["keep_line_no"]) for r in found) == expected
 
 
+def test_long_lines(spark):
+    """Lines around the length from which running sums are used, and of a million letters, are compared as others are."""
+    rng = random.Random(6)
+    letters = "abcdé😀"
+    lines = []
+    for n in (line_dedup.LONG - 1, line_dedup.LONG, line_dedup.LONG + 1, line_dedup.LONG + 2, 3_000):
+        base = "".join(rng.choice(letters) for _ in range(n))
+        at = rng.randrange(n)
+        lines += [base, base[:at] + base[at + 1 :], base[:at] + "x" + base[at + 1 :], base[:at] + "yz" + base[at:], base[:at] + "z" + base[at:]]
+    rng.shuffle(lines)
+    first = {line: (i, 0) for i, line in reversed(list(enumerate(lines)))}
+    expected = {i: min([at for other, at in first.items() if within_one(line, other)])[0] for i, line in enumerate(lines)}
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r["doc_id"]: r["keep_doc_id"] for r in line_dedup.duplicate_lines(frame).collect()} == expected
+    big = "".join(rng.choices(letters, k=1_000_000))
+    frame = spark.createDataFrame([(1, big), (2, big[:400_000] + "x" + big[400_001:]), (3, big[:-1]), (4, big[::-1])], "doc_id long, text string")
+    began = time.perf_counter()
+    assert {r["doc_id"]: r["keep_doc_id"] for r in line_dedup.duplicate_lines(frame).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    assert time.perf_counter() - began < 120
+
+
+def test_verification_drops_what_is_further_apart(spark):
+    texts = spark.createDataFrame([(1, 1, (0, 0), "some line"), (2, 2, (1, 0), "some lime"), (3, 3, (2, 0), "other")], "h1 long, h2 long, first struct<d:long,n:int>, line string")
+    asked = spark.createDataFrame([(2, 2, (0, 0)), (3, 3, (0, 0))], "h1 long, h2 long, earlier struct<d:long,n:int>")
+    assert [r["h1"] for r in line_dedup.verified(asked, texts).collect()] == [2]
+
+
 def test_mixing_of_small_sources(spark):
     """Beside a large source, sources of 10 to 300 words come to their targets in blocks of the production size."""
     sizes = {"a": 40000} | {f"s{n:03}": n for n in (10, 20, 31, 33, 65, 100, 127, 130, 200, 299, 300)}
