@@ -60,22 +60,31 @@ def variants() -> Column:
     return F.concat(F.array(key(F.col("line"), F.lit(0))), less)
 
 
+#: Letters of a long line that are held in one row.
+PART = 64
+
+
 def long_variants(lines: DataFrame) -> DataFrame:
     """The same keys for long lines (h1, h2, first, line): v1, v2 are sums over letters of hashes of letter and place.
 
     Less the letter at a place, those before it count at their places and those behind it one place earlier: the sum of
-    the first up to there, and what the second has from there on. Sums of 2 ** 31 letters fit 64 bits.
+    the first up to there, and what the second has from there on. Lines are cut into parts of PART letters, whose sums
+    run along the line; inside a part they are added up. Sums of 2 ** 31 letters fit 64 bits.
     """
-    letters = lines.select("h1", "h2", "first", F.posexplode(F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0))).alias("at", "letter"))
-    hashed = lambda seed, back: F.pmod(F.xxhash64(F.lit(seed), "letter", F.col("at") - back), F.lit(1 << 31))
-    own = letters.select("h1", "h2", "first", "at", *[hashed(seed, back).alias(f"{kind}{seed}") for seed in (1, 2) for back, kind in ((0, "a"), (1, "b"))])
-    line = Window.partitionBy("h1", "h2")
-    before, behind = line.orderBy("at").rowsBetween(Window.unboundedPreceding, -1), line.orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = lines.select("h1", "h2", "first", F.posexplode(F.regexp_extract_all("line", F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))).alias("part", "text"))
+    letters = F.regexp_extract_all("text", F.lit("(?s)."), F.lit(0))
+    hashed = lambda seed, back: F.transform(letters, lambda x, i: F.pmod(F.xxhash64(F.lit(seed), x, F.col("part") * PART + i - back), F.lit(1 << 31)))
+    added = lambda values: F.aggregate(values, F.lit(0).cast("long"), lambda total, v: total + v)
     zero = F.lit(0).cast("long")
-    sums = [(F.coalesce(F.sum(f"a{i}").over(before), zero) + F.coalesce(F.sum(f"b{i}").over(behind), zero)).alias(f"v{i}") for i in (1, 2)]
-    less = own.select("h1", "h2", "first", *sums, (F.col("at") + 1).cast("int").alias("place"))
-    whole = own.groupBy("h1", "h2", "first").agg(F.sum("a1").alias("v1"), F.sum("a2").alias("v2")).withColumn("place", F.lit(0))
-    return less.unionByName(whole)
+    summed = parts.withColumns({f"{kind}{seed}": added(hashed(seed, back)) for seed in (1, 2) for back, kind in ((0, "a"), (1, "b"))})
+    line = Window.partitionBy("h1", "h2")
+    before, behind = line.orderBy("part").rowsBetween(Window.unboundedPreceding, -1), line.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    around = {f"s{i}": F.coalesce(F.sum(f"a{i}").over(before), zero) + F.coalesce(F.sum(f"b{i}").over(behind), zero) for i in (1, 2)}
+    held = summed.withColumns(around).drop("a1", "b1", "a2", "b2").withColumns({f"{kind}{seed}": hashed(seed, back) for seed in (1, 2) for back, kind in ((0, "a"), (1, "b"))})
+    less = lambda i, seed: F.col(f"s{seed}") + added(F.slice(f"a{seed}", F.lit(1), i)) + added(F.slice(f"b{seed}", i + 2, F.lit(PART)))
+    each = F.transform(F.sequence(F.lit(0), F.size("a1") - 1), lambda i: F.struct(less(i, 1).alias("v1"), less(i, 2).alias("v2"), (F.col("part") * PART + i + 1).cast("int").alias("place")))
+    whole = summed.groupBy("h1", "h2", "first").agg(F.sum("a1").alias("v1"), F.sum("a2").alias("v2")).withColumn("place", F.lit(0))
+    return held.select("h1", "h2", "first", F.inline(each)).unionByName(whole)
 
 
 def one_edit_apart(a: Column, b: Column) -> Column:
