@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perigee.operators.recovery import reverse_words
 from perigee.operators.science import best_view, plausible
 from perigee.sources.scratch import written
 
@@ -21,12 +22,6 @@ VIEWS = ("plain", "word32")
 RECORDS = "capture_id long, view string, position int, offset long, kind string, packet binary, image_id long, row_payload_bytes int"
 
 
-def reversed_words(data: bytes) -> bytes:
-    """data with each whole 32-bit word reversed."""
-    whole = len(data) - len(data) % 4
-    return np.frombuffer(data, np.uint8, whole).reshape(-1, 4)[:, ::-1].tobytes() + data[whole:]
-
-
 def record_candidates(pieces: DataFrame, meta_bytes: int | None) -> DataFrame:
     """All places of both views where a metadata packet (of meta_bytes, if given) or a row packet can stand, whole.
 
@@ -37,7 +32,7 @@ def record_candidates(pieces: DataFrame, meta_bytes: int | None) -> DataFrame:
         for frame in frames:
             found = []
             for capture, start, size, content in zip(*[frame[c] for c in ("capture_id", "start", "size", "content")], strict=True):
-                for position, data in enumerate((content, reversed_words(content))):
+                for position, data in enumerate((content, reverse_words(content))):
                     view = np.frombuffer(data, np.uint8).astype(np.int64)
                     n = max(0, min(size, len(view) - 6))
                     word, length = view[:n] << 8 | view[1 : n + 1], (view[4 : n + 4] << 8 | view[5 : n + 5]) + 7

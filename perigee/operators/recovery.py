@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions import bits
 from perigee.operators.packetizer import possible_heads
+from perigee.sources.scratch import small
 
 # Fixed values of the frame and segment formats.
 SYNC = bytes.fromhex("1acffc1d")
@@ -90,10 +91,24 @@ def is_aligned(frames: DataFrame) -> DataFrame:
     return frames.groupBy("capture_id").agg(F.bool_and("has_sync").alias("aligned"))
 
 
+def recovered_streams(captures: DataFrame, sync: bytes = SYNC, spacecraft_id: int = 66) -> DataFrame:
+    """capture_id, aligned and content of every capture (capture_id, content) that isn't empty, by the way that fits it.
+
+    A capture of whole frames, each with a sync word, gives its frames' payloads (see payload_stream); any other one is
+    searched for heads and sync words (see strip_unaligned). Which it is, is measured from its frames.
+    """
+    frames = cut_frames(captures, spacecraft_id, sync)
+    kinds = is_aligned(frames)
+    whole = frames.join(small(kinds.filter("aligned").select("capture_id")), "capture_id", "left_semi")
+    others = captures.join(small(kinds.filter("not aligned").select("capture_id")), "capture_id", "left_semi")
+    found = payload_stream(whole, sync, spacecraft_id).withColumn("aligned", F.lit(True))
+    return found.unionByName(strip_unaligned(others, sync, spacecraft_id).withColumn("aligned", F.lit(False))).select("capture_id", "aligned", "content")
+
+
 def reverse_words(data: bytes) -> bytes:
     """data with each whole 32-bit word reversed."""
     whole = len(data) - len(data) % 4
-    return b"".join(data[i : i + 4][::-1] for i in range(0, whole, 4)) + data[whole:]
+    return np.frombuffer(data, np.uint8, whole).reshape(-1, 4)[:, ::-1].tobytes() + data[whole:]
 
 
 def register_packetize(spark: SparkSession, name: str = "packetize") -> None:

@@ -148,3 +148,40 @@ def b5_wrapper_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("a14_dropped_around_wrappers", WRAPPED + " SELECT capture_id, 0::BIGINT AS filler_bytes, sum(event_id % 3)::BIGINT AS other_bytes FROM placed GROUP BY capture_id")
 def a14_dropped_around_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packetizer.dropped_bytes(*walked_parts(spark, sf_dir))
+
+
+FRAMED = "WITH " + PACKETS_SQL.strip() + """,
+frame_bodies AS (SELECT event_id // 300 AS capture_id, event_id // 100 AS frame, string_agg(hex, '' ORDER BY event_id) AS h FROM packets GROUP BY ALL),
+filled AS (SELECT capture_id, frame, rpad(h, 4080, 'a7') AS h FROM frame_bodies),
+joined AS (SELECT capture_id, string_agg(h, '' ORDER BY frame) AS h FROM filled GROUP BY capture_id)"""
+
+
+def framed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of three frames of 100 packets each; every third capture begins with three other bytes."""
+    rows = packets(spark, sf_dir).select(F.expr("event_id div 300").alias("capture_id"), F.expr("event_id div 100").alias("frame"), F.struct("event_id", F.hex("packet").alias("h")).alias("r"))
+    bodies = rows.groupBy("capture_id", "frame").agg(F.array_join(F.array_sort(F.collect_list("r"))["h"], "").alias("h"))  # of 100 packets
+    head = ops.SYNC.hex() + "0420" + "00" * 6
+    frame = F.concat(F.lit(head), F.rpad("h", 4080, "A7"), F.lit("55555555"))
+    whole = bodies.groupBy("capture_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("frame", frame.alias("h"))))["h"], "").alias("h"))  # three
+    return whole.select("capture_id", F.unhex(F.concat(F.when(F.col("capture_id") % 3 == 1, "AABBCC").otherwise(""), "h")).alias("content"))
+
+
+@query(
+    "b2_recovered_streams",
+    FRAMED + r"""
+SELECT capture_id, capture_id % 3 <> 1 AS aligned, md5(regexp_replace(CASE WHEN capture_id % 3 = 1 THEN 'aabbcc' || h || '55555555' ELSE h END, '(..)(..)(..)(..)', '\4\3\2\1', 'g')) AS digest FROM joined""",
+)
+def b2_recovered_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of both kinds in one job, each recovered in its way."""
+    found = ops.recovered_streams(framed_captures(spark, sf_dir))
+    return found.select("capture_id", "aligned", F.md5(F.lower(F.hex("content"))).alias("digest"))
+
+
+@query(
+    "a12_frame_statistics",
+    FRAMED + """
+SELECT capture_id, count(*) AS records, count(*) AS with_sync, count(*) AS expected_headers, 0::BIGINT AS trailer_fletcher32_be, 0::BIGINT AS trailer_fletcher32_le, count(*) AS trailer_filler_55, 0::BIGINT AS idle_frames
+FROM filled WHERE capture_id % 3 <> 1 GROUP BY capture_id""",
+)
+def a12_frame_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.frame_statistics(ops.cut_frames(framed_captures(spark, sf_dir).filter("capture_id % 3 <> 1")))
