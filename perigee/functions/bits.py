@@ -213,6 +213,21 @@ def typed_value(packet: Column, kind: Column, offset: Column, width: Column, par
     )
 
 
+def any_value(packet: Column, kind: Column, offset: Column, width: Column) -> Column:
+    """typed_value of a field of up to 64 bits, or of text of any width; whole numbers in up to 7 bytes are read as one."""
+    first, last = F.floor(offset / 8).cast("int"), F.floor((offset + width - 1) / 8).cast("int")
+    below = (8 * (last + 1) - offset - width).cast("int")
+    digits = F.conv(F.hex(F.substring(packet, first + 1, last - first + 1)), 16, 10).cast("long")
+    shift = lambda name, x, n: F.call_function(name, x, n)
+    plain = shift("shiftright", digits, below).bitwiseAND(shift("shiftleft", F.lit(1).cast("long"), width.cast("int")) - 1)
+    narrow = kind.isin("U", "I") & (last - first < 7)
+    sign = F.when(kind == "I", shift("shiftleft", F.lit(1).cast("long"), (width - 1).cast("int"))).otherwise(0)
+    whole = (plain.bitwiseXOR(sign) - sign).cast("decimal(20,0)")
+    parts = F.array(F.when(width <= 64, halves(packet, offset, width)))
+    wide = F.get(F.transform(parts, lambda p: typed_value(packet, kind, offset, width, p)), F.lit(0))  # halves are made once
+    return F.when(narrow, F.struct(whole.alias("whole"), F.lit(None).cast("double").alias("real"), F.lit(None).cast("string").alias("text"))).otherwise(wide)
+
+
 def number_of(value: Column) -> Column:
     """A typed value as DOUBLE; null for text."""
     return F.coalesce(value["real"], value["whole"].cast("double"))

@@ -125,17 +125,14 @@ def decode_long(packets: DataFrame, layout: DataFrame) -> DataFrame:
     field, kind, offset, width = (F.col(c) for c in ("field", "kind", "bit_offset", "bit_length"))
     joined = joined.withColumn("error", field_fault(F.col("packet"), field, kind, offset, width))
     readable = F.col("error").isNull()
-    parts = F.when(readable & (width <= MOST_BITS), bits.halves(F.col("packet"), offset, width))
-    value = F.when(readable, bits.typed_value(F.col("packet"), kind, offset, width, F.col("_parts")))
-    typed = joined.withColumn("_parts", parts).withColumn("value", value).drop("_parts")
+    typed = joined.withColumn("value", F.when(readable, bits.any_value(F.col("packet"), kind, offset, width)))
     return typed.withColumns({"raw_value": F.col("value.whole"), "status": F.when(readable, "decoded").otherwise("decode_failed")})
 
 
 def dictionary_fields(packet: Column, fields: Column) -> Column:
     """Typed values by name of the fields (field, kind, bit_offset, bit_length: array of structs) of a packet that holds them all."""
-    cut = F.transform(fields, lambda f: F.struct(f.alias("f"), F.when(f["bit_length"] <= MOST_BITS, bits.halves(packet, f["bit_offset"], f["bit_length"])).alias("parts")))
-    value = lambda x: bits.typed_value(packet, x["f"]["kind"], x["f"]["bit_offset"], x["f"]["bit_length"], x["parts"])
-    return F.map_from_entries(F.transform(cut, lambda x: F.struct(x["f"]["field"], value(x))))
+    value = lambda f: bits.any_value(packet, f["kind"], f["bit_offset"], f["bit_length"])
+    return F.map_from_entries(F.transform(fields, lambda f: F.struct(f["field"], value(f))))
 
 
 def decode_each(packets: DataFrame, layout: DataFrame, registered: dict[str, Callable[[bytes], dict[str, float]]]) -> DataFrame:
