@@ -189,17 +189,19 @@ def decode_summary(decoded: DataFrame) -> DataFrame:
 
 def packet_statistics(packets: DataFrame) -> DataFrame:
     """Per APID and in total (apid null): candidates, valid and failed packets and bytes, sizes, packets by algorithm."""
-    measured = packets.withColumn("n", F.octet_length("packet").cast("long"))
+    n = F.octet_length("packet").cast("long")
     valid = F.col("algorithm").isNotNull()
-    return measured.rollup("apid").agg(
+    of_apid = packets.groupBy("apid").agg(
         F.count("*").alias("candidates"),
-        F.sum("n").alias("candidate_bytes"),
+        F.sum(n).alias("candidate_bytes"),
         F.count_if(valid).alias("valid"),
-        F.sum(F.when(valid, F.col("n")).otherwise(0)).alias("valid_bytes"),
+        F.sum(F.when(valid, n).otherwise(0)).alias("valid_bytes"),
         F.count_if(~valid).alias("failed"),
-        F.min("n").alias("min_bytes"),
-        F.max("n").alias("max_bytes"),
+        F.min(n).alias("min_bytes"),
+        F.max(n).alias("max_bytes"),
     )
+    sums = [F.sum(c).alias(c) for c in ("candidates", "candidate_bytes", "valid", "valid_bytes", "failed")]
+    return of_apid.rollup("apid").agg(*sums, F.min("min_bytes").alias("min_bytes"), F.max("max_bytes").alias("max_bytes"))
 
 
 def algorithm_counts(packets: DataFrame) -> DataFrame:
@@ -212,23 +214,24 @@ def algorithm_counts(packets: DataFrame) -> DataFrame:
 def mark_duplicates(packets: DataFrame, packet_col: str = "packet") -> DataFrame:
     """packets with the size of their group of equal bytes, a flag, and a group id numbered in order of hash.
 
-    Groups are counted with map-side sums and joined back; only hashes that occur twice or more are numbered.
+    Groups are counted with map-side sums and joined back; only hashes that occur twice or more are numbered and joined,
+    by a broadcast if they are few, so that packets then aren't shuffled.
     """
     hashed = packets.withColumn("packet_sha256", F.sha2(packet_col, 256))
     groups = hashed.groupBy("packet_sha256").agg(F.count("*").alias("group_size")).filter("group_size > 1")
     numbered = number_rows(groups, ["packet_sha256"], "number", start=1)
     name = F.format_string("dup_%06d", "number").alias("duplicate_group")
-    joined = hashed.join(numbered.select("packet_sha256", "group_size", name), "packet_sha256", "left")
+    joined = hashed.join(small(numbered.select("packet_sha256", "group_size", name)), "packet_sha256", "left")
     return joined.withColumn("group_size", F.coalesce("group_size", F.lit(1)).cast("long")).withColumn("is_duplicate", F.col("group_size") > 1)
 
 
-def merge_sources(packets: DataFrame, tie: list[str]) -> DataFrame:
+def merge_sources(packets: DataFrame, tie: list[str], source: str = "source") -> DataFrame:
     """All sources in time order with packet_index: timed packets by (coarse, fine, source, …), untimed ones after them.
 
-    Needs time_key, a STRUCT(coarse, fine) or null, and source.
+    Needs time_key, a STRUCT(coarse, fine) or null, and the column that names the source.
     """
     keyed = packets.withColumns({"_untimed": F.col("time_key").isNull(), "_coarse": F.col("time_key.coarse"), "_fine": F.col("time_key.fine")})
-    return number_rows(keyed, ["_untimed", "_coarse", "_fine", "source", *tie]).drop("_untimed", "_coarse", "_fine")
+    return number_rows(keyed, ["_untimed", "_coarse", "_fine", source, *tie]).drop("_untimed", "_coarse", "_fine")
 
 
 def source_summary(packets: DataFrame, top: int = 12) -> DataFrame:
