@@ -257,17 +257,25 @@ def dimensions(roi_rows: Column, roi_cols: Column, config: Column, row_bin: Colu
     return F.struct(F.floor(roi_rows / down).alias("n_rows"), F.floor(roi_cols / across).alias("n_cols"), ((roi_rows % down != 0) | (roi_cols % across != 0)).alias("uneven"))
 
 
-def capture_summary(captures: DataFrame) -> DataFrame:
-    """Per image, its captures (sensor, integration_ms, right_shift, filtered, start) as inner and outer sets.
+def capture_sets(captures: DataFrame) -> DataFrame:
+    """captures (image_id, sensor, integration_ms) with set: inner, outer or null.
 
-    Sensor 0 is outer and 1 inner; where no capture says, the shortest integrations are inner and the longest outer.
-    Counts, normalisation (of the last arrival), filter (any), effective exposure, and time from the first start to
-    the end of the last.
+    Sensor 0 is outer and 1 inner; where no capture of an image says, the shortest integrations are inner and the
+    longest outer, if there are two lengths.
     """
     bounds = captures.groupBy("image_id").agg(F.count_if(F.col("sensor").isin(0, 1)).alias("explicit"), F.min("integration_ms").alias("short"), F.max("integration_ms").alias("long"))
     by_time = F.when(F.col("short") < F.col("long"), F.when(F.col("integration_ms") == F.col("short"), "inner").when(F.col("integration_ms") == F.col("long"), "outer"))
     by_sensor = F.when(F.col("sensor") == 0, "outer").when(F.col("sensor") == 1, "inner")
-    marked = captures.join(bounds, "image_id").withColumn("set", F.when(F.col("explicit") > 0, by_sensor).otherwise(by_time))
+    return captures.join(bounds, "image_id").withColumn("set", F.when(F.col("explicit") > 0, by_sensor).otherwise(by_time))
+
+
+def capture_summary(captures: DataFrame) -> DataFrame:
+    """Per image, its captures (sensor, integration_ms, right_shift, filtered, start) as inner and outer sets (see capture_sets).
+
+    Counts, normalisation (of the last arrival), filter (any), effective exposure, and time from the first start to
+    the end of the last.
+    """
+    marked = capture_sets(captures)
     out = []
     for name in ("inner", "outer"):
         own = F.col("set") == name

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perigee.plans import asof_queries, catalogue_queries, image_queries, ingest_queries, merge_queries, packet_queries, recovery_queries, science_queries, stream_queries, value_queries  # noqa: F401  they register themselves
+from perigee.plans import asof_queries, catalogue_queries, image_queries, ingest_queries, inventory_queries, merge_queries, packet_queries, recovery_queries, science_queries, stream_queries, value_queries  # noqa: F401  they register themselves
 from perigee.plans.base import ORACLES, QUERIES, Query
 
 
