@@ -5,6 +5,8 @@ Work on a pixel's own row stays in arrays; only outliers, which are few, become
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,10 +109,16 @@ def calibrate(images: DataFrame, frames: DataFrame) -> DataFrame:
 def find_outliers(images: DataFrame, threshold: float = 20.0) -> DataFrame:
     """Pixels (image_id, y, x, value, middle) that are far from the median of their 3 by 3 neighbours, itself included.
 
-    Edges repeat. A row is joined with the rows above and below it through a window over its image.
+    Edges repeat, and so do rows beside one that isn't there. A row is joined with the rows above and below it through a
+    window over its image.
     """
     along = Window.partitionBy("image_id").orderBy("y")
-    rows = images.select("*", F.coalesce(F.lag("pixels").over(along), "pixels").alias("up"), F.coalesce(F.lead("pixels").over(along), "pixels").alias("down"))
+
+    def beside(found: Callable, step: int) -> Column:
+        adjoins = found("y").over(along) == F.col("y") + step
+        return F.coalesce(F.when(adjoins, found("pixels").over(along)), "pixels")
+
+    rows = images.select("*", beside(F.lag, -1).alias("up"), beside(F.lead, 1).alias("down"))
     last = F.size("pixels")
 
     def near(i: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.functions import bits
+from perigee.operators.images import checksum_rank, merge_planes, rebin
 
 # The detector's size, and the parts of a row packet.
 MOST_ROWS, MOST_COLS = 2000, 1504
@@ -235,17 +236,26 @@ def deconvolve(images: DataFrame, psf: np.ndarray, height: int, width: int, padd
     transform has zeros gives numbers, though what it has wiped out stays lost. Rows that aren't there count as dark.
     One image meets in one task; images are spread over tasks.
     """
-    shape = (2 * height, 2 * width) if padded else (height, width)
-    inverse = inverse_transform(psf / psf.sum(), shape, least)
+    return filter_images(images, [(psf / psf.sum(), padded)], height, width, least)
+
+
+def filter_images(images: DataFrame, steps: list[tuple[np.ndarray, bool]], height: int, width: int, least: float = LEAST_TRANSFORM) -> DataFrame:
+    """Images through inverse filters one after another, each (function, whether to pad), in one pass over each image."""
+    inverses = []
+    for psf, padded in steps:
+        shape = (2 * height, 2 * width) if padded else (height, width)
+        inverses.append((inverse_transform(psf, shape, least), shape))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for lines in frame["rows"]:
-                image = np.zeros(shape)
+                image = np.zeros((height, width))
                 for line in lines:
-                    image[line["y"], :width] = line["pixels"]
-                out.append(np.fft.irfft2(np.fft.rfft2(image) * inverse, shape)[:height, :width].tolist())
+                    image[line["y"]] = line["pixels"]
+                for inverse, shape in inverses:
+                    image = np.fft.irfft2(np.fft.rfft2(image, shape) * inverse, shape)[:height, :width]
+                out.append(image.tolist())
             yield pd.DataFrame({"image_id": frame["image_id"], "rows": out})
 
     whole = images.groupBy("image_id").agg(F.collect_list(F.struct("y", "pixels")).alias("rows"))  # of one image
@@ -253,11 +263,50 @@ def deconvolve(images: DataFrame, psf: np.ndarray, height: int, width: int, padd
     return found.select("image_id", F.posexplode("rows").alias("y", "pixels"))
 
 
+def plane_of(rows: DataFrame, height: int, width: int) -> np.ndarray:
+    """One plane (y, pixels) as an array on the driver: its size is that of one image. Rows that aren't there are 0."""
+    plane = np.zeros((height, width))
+    for row in rows.select("y", "pixels").collect():
+        plane[row["y"]] = row["pixels"]
+    return plane
+
+
+def archive_deconvolution(
+    images: DataFrame,
+    planes: DataFrame,
+    weights: DataFrame,
+    plane_shape: tuple[int, int],
+    scatter: DataFrame,
+    scatter_shape: tuple[int, int],
+    height: int = 750,
+    width: int = 1000,
+    tall: int = 1000,
+    gain: float = 4.0,
+    factor: float = CORE_FACTOR,
+    least: float = LEAST_TRANSFORM,
+) -> DataFrame:
+    """Images (image_id, y, pixels) without diffraction and scatter.
+
+    The diffraction planes (bin, y, pixels) are merged by the weights (bin, weight) of their wavelengths, rebinned to
+    tall x width, cut above and below to the image's height, multiplied by the gain of rebinning, and undone with
+    padding. The scatter function (y, pixels) is rebinned to the image's size, its core is set (see scatter_kernel), and
+    it is undone around the edges. Both functions are made on Spark; only two planes of an image's size come to the
+    driver. Small transforms are bounded (see inverse_transform).
+    """
+    if (tall - height) % 2 or tall < height:
+        raise ValueError("the rebinned plane must be cut by as many rows above as below")
+    merged = merge_planes(planes, weights)
+    lines = merged.groupBy("y").agg(F.array_sort(F.collect_list(F.struct("x", "v"))).getField("v").alias("pixels"))  # of one plane
+    alone = lambda rows: rows.select(F.lit(0).cast("long").alias("image_id"), F.col("y").cast("int").alias("y"), "pixels")
+    cut = (tall - height) // 2
+    diffraction = plane_of(rebin(alone(lines), *plane_shape, tall, width), tall, width)[cut : tall - cut] * gain
+    spread = plane_of(rebin(alone(scatter), *scatter_shape, height, width), height, width)
+    return filter_images(images, [(diffraction, True), (scatter_kernel(spread, factor), False)], height, width, least)
+
+
 def compressed_streams(chunks: DataFrame) -> DataFrame:
     """Per image the stream of its chunks (image_id, sequence, checksum_status, arrival, payload): the best chunk of each
     sequence number, in order, with the bounds of the picture in it, and how many chunks are missing."""
-    from perigee.operators.images import checksum_rank
-
     best = Window.partitionBy("image_id", "sequence").orderBy(checksum_rank(F.col("checksum_status")).desc(), F.desc("arrival"))
     chosen = chunks.withColumn("nth", F.row_number().over(best)).filter("nth = 1")
     parts = F.array_sort(F.collect_list(F.struct("sequence", F.hex("payload").alias("h"))))  # of one image

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perigee.functions import bits
 from perigee.operators import packetizer
 from perigee.operators import recovery as ops
 from perigee.plans.base import query
 from perigee.plans.fixtures import PACKETS_SQL, packets
-from perigee.plans.packet_queries import PACKETS
+from perigee.plans.packet_queries import CHECKED_SQL, PACKETS
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,3 +186,104 @@ FROM filled WHERE capture_id % 3 <> 1 GROUP BY capture_id""",
 )
 def a12_frame_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.frame_statistics(ops.cut_frames(framed_captures(spark, sf_dir).filter("capture_id % 3 <> 1")))
+
+
+DATED = "WITH " + PACKETS_SQL.strip() + """,
+frames AS (
+    SELECT *, event_id * 7919 % 65536 AS w, event_id % 256 AS mc, event_id // 3 % 256 AS cc, event_id * 31 % 65536 AS s, event_id % 2 AS pad,
+           CASE event_id % 4 WHEN 0 THEN printf('%08x', fletcher_le) WHEN 2 THEN '55555555' WHEN 3 THEN '00000000'
+                ELSE substr(printf('%08x', fletcher_le), 7, 2) || substr(printf('%08x', fletcher_le), 5, 2) || substr(printf('%08x', fletcher_le), 3, 2) || substr(printf('%08x', fletcher_le), 1, 2) END AS tail
+    FROM packets)"""
+
+
+def dated_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame for each event: sync word, head, the packet's body, and a trailer of one of four kinds."""
+    n = F.col("event_id")
+    head = F.format_string("%04x%02x%02x%04x%04x", n * 7919 % 65536, n % 256, F.expr("event_id div 3 % 256"), n * 31 % 65536, n % 2)
+    body = F.substring("packet", 1, 16)
+    sums = F.unhex(F.format_string("%08x", bits.fletcher32(body)))
+    tail = F.when(n % 4 == 0, sums).when(n % 4 == 1, bits.reverse_words(sums, 4)).when(n % 4 == 2, F.unhex(F.lit("55555555"))).otherwise(F.unhex(F.lit("00000000")))
+    return packets(spark, sf_dir).select("event_id", F.concat(F.unhex(F.lit(ops.SYNC.hex())), F.unhex(head)).alias("head"), F.concat(body, tail).alias("data"))
+
+
+@query(
+    "f2_frame_header",
+    DATED + """
+SELECT event_id, (w >> 14)::INT AS frame_version, (w >> 4 & 1023)::INT AS spacecraft_id, (w >> 1 & 7)::INT AS virtual_channel, (w & 1)::INT AS ocf_flag, mc::INT AS master_count, cc::INT AS channel_count,
+       (s >> 15)::INT AS secondary_flag, (s >> 14 & 1)::INT AS sync_flag, (s >> 13 & 1)::INT AS packet_order, (s >> 11 & 3)::INT AS segment_length, (s & 2047)::INT AS first_header_pointer, pad::INT AS padding
+FROM frames""",
+)
+def f2_frame_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dated_frames(spark, sf_dir).select("event_id", *[c.alias(n) for n, c in bits.frame_header_fields(F.col("head")).items()])
+
+
+@query(
+    "f7_trailer_kind",
+    DATED + """
+SELECT event_id, CASE WHEN tail = printf('%08x', fletcher_le) THEN 'fletcher32_be' WHEN substr(tail, 7, 2) || substr(tail, 5, 2) || substr(tail, 3, 2) || substr(tail, 1, 2) = printf('%08x', fletcher_le) THEN 'fletcher32_le'
+                      WHEN tail = '55555555' THEN 'filler_55' END AS trailer FROM frames""",
+)
+def f7_trailer_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dated_frames(spark, sf_dir).select("event_id", bits.trailer_kind(F.col("data")).alias("trailer"))
+
+
+def split_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of packets that hold 40 events each: up to three copies of each segment, one of them spoilt at times; of
+    some packets the start, its flag or a segment is missing."""
+    rows = packets(spark, sf_dir).select(F.expr("event_id div 40").alias("sequence"), F.struct("event_id", F.hex("packet").alias("h")).alias("r"))
+    whole = rows.groupBy("sequence").agg(F.array_join(F.array_sort(F.collect_list("r"))["h"], "").alias("h"))  # of 40 packets
+    whole = whole.withColumn("h", F.concat(F.format_string("0848C000%04X", (F.length("h") / 2).cast("int") + 9), F.repeat(F.lit("11"), F.lit(10)), "h"))
+    last = F.floor((F.length("h") - 1) / 488).cast("int")
+    parts = whole.select("sequence", "h", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("segment_index")).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    i, n = F.col("segment_index"), F.col("sequence")
+    kept = parts.filter(~(((n % 11 == 5) & (i == 0)) | ((n % 5 == 3) & (i == 1))))
+    flag = F.when(i == 0, F.when(n % 7 == 4, 0).otherwise(1)).when(i == F.col("last"), 2).otherwise(0)
+    payload = F.when((F.col("copy") == 1) & ((n + i) % 4 == 0), "00").otherwise(F.substring(F.col("h"), i * 488 + 1, F.lit(488)))
+    return kept.select(F.lit(72).alias("apid"), "sequence", "segment_index", flag.alias("flag"), F.unhex(payload).alias("payload"), (n * 100 + i * 10 + F.col("copy")).alias("offset"))
+
+
+SPLIT = "WITH " + PACKETS_SQL.strip() + """,
+wholes AS (SELECT event_id // 40 AS sequence, string_agg(hex, '' ORDER BY event_id) AS h, (len(string_agg(hex, '')) + 32 - 1) // 488 AS last FROM packets GROUP BY ALL),
+parts AS (SELECT sequence, i, (sequence + i) % 4 = 0 AS spoilt FROM wholes, unnest(range(last + 1)) AS r(i) WHERE NOT (sequence % 11 = 5 AND i = 0 OR sequence % 5 = 3 AND i = 1)),
+joined AS (
+    SELECT sequence, CASE WHEN min(i) > 0 THEN 'orphan' WHEN sequence % 7 = 4 THEN 'bad_start' WHEN count(*) < last + 1 THEN 'missing_segments' ELSE 'complete' END AS status,
+           sequence * 100 + min(i) * 10 AS first_offset, 3 * count(*) AS copies, count(*) AS unique_segments, count(*) FILTER (spoilt) AS conflicting, h
+    FROM wholes JOIN parts USING (sequence) GROUP BY sequence, last, h)"""
+
+
+@query("b6_reassembled_packets", SPLIT + " SELECT sequence, status, first_offset, copies, unique_segments, conflicting, CASE WHEN status = 'complete' THEN md5(h) END AS digest FROM joined")
+def b6_reassembled_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ops.reassemble(split_packets(spark, sf_dir))
+    return found.select("sequence", "status", "first_offset", "copies", "unique_segments", "conflicting", F.md5(F.lower(F.hex("payload"))).alias("digest"))
+
+
+@query(
+    "a11_reassembly_statistics",
+    SPLIT + """
+SELECT count(*) AS groups, sum(unique_segments)::BIGINT AS unique_segments, sum(copies - unique_segments)::BIGINT AS duplicates, sum(conflicting)::BIGINT AS conflicting,
+       count(*) FILTER (status = 'complete') AS complete, count(*) FILTER (status <> 'complete') AS incomplete, count(*) FILTER (status = 'orphan') AS orphans FROM joined""",
+)
+def a11_reassembly_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.reassembly_statistics(ops.reassemble(split_packets(spark, sf_dir)))
+
+
+@query(
+    "b4_repaired_packets",
+    f"""{PACKETS}, {CHECKED_SQL},
+placed AS (SELECT *, apid = 536 AND event_id % 3 = 0 AS doubled, (sum(20 + CASE WHEN apid = 536 AND event_id % 3 = 0 THEN 4 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id)
+                     - 20 - CASE WHEN apid = 536 AND event_id % 3 = 0 THEN 4 ELSE 0 END)::BIGINT AS "offset" FROM checked)
+SELECT user_id AS capture_id, "offset", apid, hex AS packet, algorithm, row_number() OVER (PARTITION BY user_id ORDER BY "offset") - 1 AS packet_index FROM placed WHERE algorithm IS NOT NULL AND NOT (doubled AND algorithm = 'csie_additive_be')""",
+)
+def b4_repaired_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures that need checksums, in which every third row packet has a word that came twice.
+
+    A checksum that equals the word before it is taken for a repeated word too, so that such packets stay broken. No
+    wrappers are looked for, as bytes left of broken packets may look like one.
+    """
+    digits = F.hex("packet")
+    doubled = F.concat(F.substring(digits, 1, 20), F.substring(digits, 13, 8), F.substring(digits, 21, 20))
+    own = F.when((F.col("apid") == 536) & (F.col("event_id") % 3 == 0), doubled).otherwise(digits)
+    rows = packets(spark, sf_dir).select(F.col("user_id").alias("capture_id"), F.struct("event_id", own.alias("h")).alias("r"))
+    whole = rows.groupBy("capture_id").agg(F.unhex(F.array_join(F.array_sort(F.collect_list("r"))["h"], "")).alias("content"))  # one user's stream
+    found = packetizer.packetize(whole, APIDS, list(APIDS), need_checksum=True, repair_apid=536, piece_bytes=1_000, unwrap=False)
+    return found.select("capture_id", "offset", "apid", F.lower(F.hex("packet")).alias("packet"), "algorithm", F.col("packet_index").cast("long").alias("packet_index"))

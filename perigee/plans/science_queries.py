@@ -227,6 +227,31 @@ def i7_scatter_around(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("image_id", "y", F.posexplode("pixels").alias("x", "v")).withColumn("v", F.abs(F.round("v", 3)))
 
 
+@query("i7_archive_chain", IMAGES + " SELECT image_id, y, x, CASE WHEN x IN (0, 1, 62, 63) THEN 0 ELSE v::DOUBLE END AS v FROM cells")
+def i7_archive_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images with dark sides, scattered around their edges, then diffracted by two wavelengths, and brought back by the
+    whole chain from planes that are larger than the images."""
+    across, tall = F.sequence(F.lit(0), F.lit(SIDE - 1)), SIDE + 32
+    kernel = science.scatter_kernel(np.array([[0.0, 0.0, 0.0], [0.06, 0.5, 0.04], [0.0, 0.0, 0.0]]))
+    left, core, right = (float(x) for x in kernel[1])
+    dark = F.transform(across, lambda i: F.when(i.between(2, SIDE - 3), F.get("pixels", i)).otherwise(0))
+    around = F.transform(across, lambda i: left * F.get("d", F.pmod(i + 1, F.lit(SIDE))) + core * F.get("d", i) + right * F.get("d", F.pmod(i - 1, F.lit(SIDE))))
+    beside = lambda i: F.coalesce(F.when(i >= 0, F.get("s", i)), F.lit(0.0))
+    spread = F.transform(across, lambda i: 0.1 * beside(i + 1) + 0.75 * beside(i) + 0.15 * beside(i - 1))
+    rows = images(spark, sf_dir)
+    seen = rows.withColumn("d", dark).withColumn("s", around).select("image_id", "y", spread.alias("pixels"))
+
+    def plane(height: int, left: float, core: float, right: float) -> DataFrame:
+        middle = F.transform(across, lambda i: F.when(i == SIDE // 2 - 1, left).when(i == SIDE // 2, core).when(i == SIDE // 2 + 1, right).otherwise(0.0))
+        return spark.range(height).select(F.col("id").cast("int").alias("y"), F.when(F.col("id") == height // 2, middle).otherwise(F.array_repeat(F.lit(0.0), SIDE)).alias("pixels"))
+
+    planes = plane(tall, 0.0, 0.2, 0.05).withColumn("bin", F.lit(0)).unionByName(plane(tall, 0.1, 0.15, 0.0).withColumn("bin", F.lit(1)))
+    weights = spark.createDataFrame([(0, 3.0), (1, 1.0)], "bin int, weight double")
+    found = science.archive_deconvolution(seen, planes, weights, (tall, SIDE), plane(SIDE, 0.06, 0.5, 0.04), (SIDE, SIDE), SIDE, SIDE, tall)
+    held = found.join(rows.select("image_id", "y"), ["image_id", "y"], "left_semi")
+    return held.select("image_id", "y", F.posexplode("pixels").alias("x", "v")).withColumn("v", F.abs(F.round("v", 3)))
+
+
 @query(
     "b11_compressed_streams",
     "WITH " + PACKETS_SQL.strip() + """,

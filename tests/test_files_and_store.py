@@ -63,3 +63,33 @@ def test_inverse_filter_with_zeros_gives_numbers(spark):
         assert np.isfinite(found).all()
     kernel = science.scatter_kernel(np.array([[0.1, 0.3, 0.1]]))
     assert kernel.sum() == pytest.approx(1) and kernel[0, 1] == pytest.approx(0.2 / 0.4)
+
+
+def test_archive_deconvolution_equals_plain_filters(spark):
+    rng, height, width, tall = np.random.default_rng(5), 6, 8, 10
+    image, scatter = rng.random((height, width)), rng.random((height, width)) * 0.004
+    planes = rng.random((2, tall, width)) * 0.001
+    planes[:, tall // 2, width // 2] = 0.25
+    merged = (planes[0] * 2 + planes[1]) / 4  # the third wavelength has no plane
+    diffraction = merged[2:8] * 4
+    core = np.array(scatter)
+    core[height // 2, width // 2] = (1 - scatter.sum()) * 0.4
+    core /= core.sum()
+
+    def placed(a):
+        out = np.zeros((2 * height, 2 * width))
+        out[height // 2 : height // 2 + height, width // 2 : width // 2 + width] = a
+        return out
+
+    wide = np.roll(np.fft.ifft2(np.fft.fft2(placed(image)) / np.fft.fft2(placed(diffraction))).real, (height, width), (0, 1))
+    first = wide[height // 2 : height // 2 + height, width // 2 : width // 2 + width]
+    wanted = np.roll(np.fft.ifft2(np.fft.fft2(first) / np.fft.fft2(core)).real, (height // 2, width // 2), (0, 1))
+
+    lines = lambda a: [(y, row.tolist()) for y, row in enumerate(a)]
+    frame = spark.createDataFrame([(7, *x) for x in lines(image)], "image_id long, y int, pixels array<double>")
+    parts = spark.createDataFrame([(b, *x) for b in (0, 1) for x in lines(planes[b])], "bin int, y int, pixels array<double>")
+    weights = spark.createDataFrame([(0, 2.0), (1, 1.0), (2, 1.0)], "bin int, weight double")
+    spread = spark.createDataFrame(lines(scatter), "y int, pixels array<double>")
+    found = science.archive_deconvolution(frame, parts, weights, (tall, width), spread, (height, width), height, width, tall)
+    assert np.allclose(science.plane_of(found, height, width), wanted)
+    assert science.archive_deconvolution(frame.limit(0), parts, weights, (tall, width), spread, (height, width), height, width, tall).count() == 0

@@ -2,7 +2,7 @@
 
 import pytest
 
-from perigee.operators import inventory
+from perigee.operators import images, inventory
 
 ROWS = "image_id long, row_index int, length int, checksum_status string, status string, arrival long"
 META = "image_id long, meta_source string, sensor int, integration_ms int, right_shift int, start double, arrival long, n_rows int, n_cols int, uneven boolean, compressed boolean, bit_depth int, mode_warning string"
@@ -53,3 +53,9 @@ def test_chunks_have_gaps_and_a_start(spark):
 @pytest.mark.parametrize(("packets", "said"), [([packet(1, "capture", 0), packet(1, "capture", 1)], "told apart"), ([packet(1, "unknown")], "unknown source"), ([packet(1, "process")], "no capture has a time")])
 def test_warnings_of_metadata(spark, packets, said):
     assert said in made(spark, [], packets)[1].warnings
+
+
+def test_rows_two_apart_are_no_neighbours(spark):
+    rows = [(1, 0, [1.0] * 3), (1, 1, [1.0, 50.0, 1.0]), (1, 3, [1.0] * 3), (2, 0, [1.0] * 3), (2, 2, [50.0] * 3), (2, 4, [1.0] * 3)]
+    found = images.find_outliers(spark.createDataFrame(rows, "image_id long, y int, pixels array<double>"))
+    assert [(r.image_id, r.y, r.x) for r in found.collect()] == [(1, 1, 1)]  # row 2 of image 2 stands alone
