@@ -19,6 +19,21 @@ def test_wide_dictionaries_and_quoted_cells(spark, tmp_path):
     assert (other["c1"], other["c150"], other["c199"]) == ("only", None, None)
 
 
+def test_dictionaries_larger_than_a_block_are_read_in_blocks(spark, tmp_path):
+    rows = [(f'"n{i}\n""x"""' if i % 50 == 7 else f"n{i}", i) for i in range(3_000)]
+    for name, own in (("a.csv", rows[:1_000]), ("b.csv", rows[1_000:])):
+        (tmp_path / name).write_text("\ufeffName,APID\n" + "".join(f"{n},{i}\n" + "\n" * (i % 3 == 0) for n, i in own))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        read = files.ordered_csv(spark, str(tmp_path), ["APID", "Name"])
+        found = sorted((r["file"].rsplit("/", 1)[1], r["ordinal"], int(r["APID"]), r["Name"]) for r in read.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    name = lambda i: f'n{i}\n"x"' if i % 50 == 7 else f"n{i}"
+    assert found == [("a.csv", i + 1, i, name(i)) if i < 1_000 else ("b.csv", i - 999, i, name(i)) for i in range(3_000)]
+
+
 def test_store_settles_types_at_append(spark, tmp_path):
     store = TelemetryStore(spark, f"file://{tmp_path}/store")
     frame = lambda rows, schema: spark.createDataFrame(rows, schema)
