@@ -5,6 +5,7 @@ import struct
 import time
 import uuid
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +138,46 @@ def test_clearing_reaches_all_fields(spark, folder):
         history[i % 3] = [*history.get(i % 3, []), float(i)][-4:]
         expected[i] = (len(history[i % 3]), float(i))
     assert found == expected
+
+
+class Mapped(dict):
+    """A map state outside Spark that counts its calls."""
+
+    calls = 0
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self
+
+    def getValue(self, key):
+        self.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+
+def test_history_asks_the_state_once_a_field_and_batch():
+    keeper = framing.KeepHistory(4, framing.accept_all)
+    keeper.ring, keeper.counts = Mapped(), Mapped()
+    found = []
+    for lo in (0, 30_000):
+        rows = pd.DataFrame({"us": range(lo, lo + 30_000), "is_clear": [i == 40_000 for i in range(lo, lo + 30_000)], "field": [f"f{i % 3}" for i in range(lo, lo + 30_000)], "id": range(lo, lo + 30_000), "value": [float(i) for i in range(lo, lo + 30_000)]})
+        found += [r for out in keeper.handleInputRows((0,), iter([rows[::2], rows[1::2]]), None) for r in out.itertuples(index=False)]
+    assert [r.id for r in found] == [i for i in range(60_000) if i != 40_000] and all(r.latest == r.value for r in found)
+    assert [r.n_history for r in found[39_997:40_012]] == [4] * 3 + [1] * 3 + [2] * 3 + [3] * 3 + [4] * 3
+    assert keeper.ring.calls + keeper.counts.calls < 60
+    assert sorted(v for v, in keeper.ring.values()) == [float(i) for i in range(59_988, 60_000)]
+
+
+def test_many_small_chunks_are_cut_in_time_that_grows_with_them():
+    cutter = framing.FrameLinks(LINK, None)
+    cutter.held = Held()
+    data = packet(1, 5) * 90_000
+    chunks = [data[i : i + 4] for i in range(0, len(data), 4)]
+    rows = pd.DataFrame({"position": range(len(chunks)), "content": chunks})
+    begun = time.process_time()
+    found = list(cutter.handleInputRows(("a",), iter([rows[1::2], rows[::2]]), None))
+    assert sum(map(len, found)) == 90_000 and {type(f) for f in found} == {pd.DataFrame}
+    assert time.process_time() - begun < 20  # adding up all chunks anew for each took minutes
