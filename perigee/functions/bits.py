@@ -205,7 +205,7 @@ def typed_value(packet: Column, kind: Column, offset: Column, width: Column, par
     whole = (top.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + bottom.cast("decimal(20,0)")).cast("decimal(20,0)")
     raw = F.substring(packet, (offset / 8).cast("int") + 1, (width / 8).cast("int"))
     digits = F.lower(F.hex(raw))
-    text = F.when(digits.rlike("^([0-7][0-9a-f])*$"), F.regexp_replace(F.decode(raw, "US-ASCII"), "\\x00+$", "")).otherwise(digits)
+    text = F.when(digits.rlike("^([0-7][0-9a-f])*$"), F.regexp_replace(F.decode(raw, "US-ASCII"), r"\x00+\z", "")).otherwise(digits)
     return F.struct(
         F.when(~is_real & ~is_text, whole).alias("whole"),
         F.when(is_real, ieee_of(hi, lo, width)).alias("real"),

@@ -194,3 +194,11 @@ def test_typed_fields_of_all_kinds(spark):
     long = {(r["apid"], r["field"]): r for r in packets.decode_long(given.filter("octet_length(packet) > 20"), layout).collect()}
     assert long[1, "u64"]["raw_value"] == 2**64 - 3 and long[1, "f32"]["value"]["real"] == 1.5 and long[2, "wide"]["status"] == "decode_failed"
     assert long[2, "i5"]["raw_value"] == 7
+
+
+def test_nul_before_a_line_end_stays_in_a_text(spark):
+    rows = [(bytearray(b"ab\0\n"), "ab\0\n"), (bytearray(b"ab\0\0"), "ab"), (bytearray(b"a\0b\r"), "a\0b\r"), (bytearray(b"a\0\r\n"), "a\0\r\n")]
+    frame = spark.createDataFrame(rows, "p binary, wanted string")
+    by_row = bits.any_value(F.col("p"), F.lit("C"), F.lit(0), F.lit(32))["text"]
+    for r in frame.select("wanted", by_row.alias("a"), packets.field_value(F.col("p"), "C", 0, 32).alias("b")).collect():
+        assert r["a"] == r["b"] == r["wanted"]
