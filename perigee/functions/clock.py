@@ -30,6 +30,14 @@ def leap_seconds(seconds: Column) -> Column:
     return count
 
 
+def spacecraft_seconds(utc: Column) -> Column:
+    """Spacecraft seconds of UTC seconds since 1970, the inverse of adding leap_seconds."""
+    count = F.lit(0)
+    for day in LEAP_DAYS:
+        count = count + (utc >= F.unix_timestamp(F.lit(day), "yyyy-MM-dd")).cast("int")
+    return utc - F.lit(EPOCH_SECONDS) - count
+
+
 def utc_text(seconds: Column, with_leap_seconds: bool = True) -> Column:
     """ISO text of spacecraft seconds in UTC, with milliseconds only where there are any."""
     shifted = seconds + (leap_seconds(seconds) if with_leap_seconds else F.lit(0))

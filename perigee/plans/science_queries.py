@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.functions import bits, status
+from perigee.functions import bits, clock, status
 from perigee.operators import image_scan, packetizer, quality, recovery, science, series
 from perigee.plans.base import query
 from perigee.plans.fixtures import PACKETS_SQL, packets, table
@@ -382,7 +382,7 @@ def received(spark: SparkSession, sf_dir: str) -> DataFrame:
         fields.alias("fields"),
         F.array_repeat(F.lit("limit"), (at % 8).cast("int")).alias("filter_reasons"),
         F.col("us").alias("received_time"),
-        (F.col("us") / 1e6 - 946_684_800).alias("packet_time"),
+        clock.spacecraft_seconds(F.col("us") / 1e6).alias("packet_time"),
     )
 
 

@@ -202,3 +202,10 @@ def test_nul_before_a_line_end_stays_in_a_text(spark):
     by_row = bits.any_value(F.col("p"), F.lit("C"), F.lit(0), F.lit(32))["text"]
     for r in frame.select("wanted", by_row.alias("a"), packets.field_value(F.col("p"), "C", 0, 32).alias("b")).collect():
         assert r["a"] == r["b"] == r["wanted"]
+
+
+def test_spacecraft_seconds_of_utc_come_back_as_utc(spark):
+    moments = ["2005-12-31T23:59:59", "2006-01-01T00:00:01", "2016-12-31T23:59:59", "2017-01-01T00:00:01", "2024-01-30T23:59:59"]
+    frame = spark.createDataFrame([(m,) for m in moments], "m string")
+    seconds = clock.spacecraft_seconds(F.unix_timestamp("m", "yyyy-MM-dd'T'HH:mm:ss").cast("double"))
+    assert all(r["t"] == r["m"] + "Z" for r in frame.select("m", clock.utc_text(seconds).alias("t")).collect())
