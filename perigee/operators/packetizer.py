@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -26,32 +27,44 @@ OVERLAP = MOST_PACKET + MOST_EXTRA  # whole 32-bit words
 FILLERS = (0x00, 0x55, 0xFF)
 WRAPPER_APID, WRAPPER_HEAD = 68, 16
 
-PIECES = "capture_id long, piece int, start long, size int, content binary"
+#: Rows that a search holds before it gives them out.
+ROWS_OUT = 20_000
+
+PIECES = "capture_id long, piece int, start long, size int, left long, content binary"
 FOUND = "capture_id long, piece int, at long, offset long, apid int, packet_length int, taken int, wrapped boolean, packet binary, beyond binary"
 
 
-def pieces_of(captures: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """Captures (capture_id, content) in pieces: piece, start and size, and content with OVERLAP bytes more."""
+def overlap_of(expected: dict[int, int] | None) -> int:
+    """Bytes behind a piece that tell what starts in it: where lengths are expected, a wrapper's head, the longest packet and
+    the repair of it."""
+    longest = MOST_PACKET if expected is None else min(max(expected.values(), default=0) + 1 + WRAPPER_HEAD, MOST_PACKET)
+    return longest + MOST_EXTRA
+
+
+def pieces_of(captures: DataFrame, piece_bytes: int = PIECE_BYTES, overlap: int = OVERLAP) -> DataFrame:
+    """Captures (capture_id, content) in pieces: piece, start, size and the bytes left from start on, and content with
+    overlap bytes more (see overlap_of)."""
     size = F.octet_length("content")
     rows = captures.filter(size > 0).select("capture_id", "content", size.alias("total"), F.posexplode(F.sequence(F.lit(0), size - 1, F.lit(piece_bytes))).alias("piece", "start"))
     return rows.select(
         "capture_id", "piece", F.col("start").cast("long").alias("start"), F.least(F.col("total") - F.col("start"), F.lit(piece_bytes)).alias("size"),
-        F.substring(F.col("content"), F.col("start") + 1, F.lit(piece_bytes + OVERLAP)).alias("content"),
+        (F.col("total") - F.col("start")).cast("long").alias("left"), F.substring(F.col("content"), F.col("start") + 1, F.lit(piece_bytes + overlap)).alias("content"),
     )
 
 
-def join_pieces(parts: DataFrame, piece_bytes: int) -> DataFrame:
+def join_pieces(parts: DataFrame, piece_bytes: int, overlap: int = OVERLAP) -> DataFrame:
     """The same of captures that lie in many rows (capture_id, piece from 0, content of piece_bytes, the last one of fewer),
     so that a capture may have any size. Only the first bytes of a part are sent to the parts before it."""
-    reach = -(-OVERLAP // piece_bytes)
+    reach = -(-overlap // piece_bytes)
     ahead = F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("back")
-    heads = parts.select("capture_id", "piece", ahead, F.hex(F.substring("content", 1, OVERLAP)).alias("h")).filter("piece >= back")
+    heads = parts.select("capture_id", "piece", ahead, F.hex(F.substring("content", 1, overlap)).alias("h")).filter("piece >= back")
     heads = heads.select("capture_id", (F.col("piece") - F.col("back")).alias("piece"), F.struct("back", "h").alias("head"))
     after = heads.groupBy("capture_id", "piece").agg(F.array_sort(F.collect_list("head")).alias("heads"))  # reach of them
     joined = parts.join(after, ["capture_id", "piece"], "left")
-    more = F.substring(F.unhex(F.coalesce(F.array_join(F.col("heads.h"), ""), F.lit(""))), 1, OVERLAP)
-    size = F.octet_length("content")
-    return joined.select("capture_id", "piece", (F.col("piece").cast("long") * piece_bytes).alias("start"), size.alias("size"), F.concat("content", more).alias("content"))
+    more = F.substring(F.unhex(F.coalesce(F.array_join(F.col("heads.h"), ""), F.lit(""))), 1, overlap)
+    size, start = F.octet_length("content"), F.col("piece").cast("long") * piece_bytes
+    totals = parts.groupBy("capture_id").agg(F.sum(size.cast("long")).alias("total"))
+    return joined.join(totals, "capture_id").select("capture_id", "piece", start.alias("start"), size.alias("size"), (F.col("total") - start).alias("left"), F.concat("content", more).alias("content"))
 
 
 def possible_heads(apids: list[int], expected: dict[int, int] | None):
@@ -66,8 +79,8 @@ def possible_heads(apids: list[int], expected: dict[int, int] | None):
     for apid, length in (expected or {}).items():
         wanted[apid] = length
 
-    def find(data: bytes, places: int) -> Iterator[tuple[int, int, int]]:
-        first, length, apid, whole = heads_of(data, places)
+    def find(data: bytes, places: int, left: int | None = None) -> Iterator[tuple[int, int, int]]:
+        first, length, apid, whole = heads_of(data, places, len(data) if left is None else left)
         good = (first >> 11 == 1) & known[apid] & whole
         if expected is not None:
             good &= (length - wanted[apid]) >> 1 == 0
@@ -77,13 +90,14 @@ def possible_heads(apids: list[int], expected: dict[int, int] | None):
     return find
 
 
-def heads_of(data: bytes, places: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What a packet's head at each place would say: first word, length, APID, and whether all its bytes are there."""
+def heads_of(data: bytes, places: int, left: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What a packet's head at each place would say: first word, length, APID, and whether all its bytes are among the
+    `left` ones from the first place on, of which data are the first."""
     view = np.frombuffer(data, np.uint8).astype(np.int64)
     n = max(0, min(places, len(view) - 6))
     first = view[:n] << 8 | view[1 : n + 1]
     length = (view[4 : n + 4] << 8 | view[5 : n + 5]) + 7
-    return first, length, first & 0x7FF, np.arange(n) + length <= len(view)
+    return first, length, first & 0x7FF, np.arange(n) + length <= left
 
 
 def packet_candidates(pieces: DataFrame, expected: dict[int, int] | None, apids: list[int], unwrap: bool = True) -> DataFrame:
@@ -94,29 +108,32 @@ def packet_candidates(pieces: DataFrame, expected: dict[int, int] | None, apids:
     """
     heads = possible_heads(apids, expected)
 
-    def wrappers(data: bytes, size: int) -> dict[int, int]:
+    def wrappers(data: bytes, size: int, left: int) -> dict[int, int]:
         if not unwrap:
             return {}
-        first, length, apid, whole = heads_of(data, size)
+        first, length, apid, whole = heads_of(data, size, left)
         return {int(at): int(length[at]) for at in np.flatnonzero((first >> 12 == 0) & (apid == WRAPPER_APID) & (length >= WRAPPER_HEAD + 7) & whole)}
 
+    def places(capture: int, piece: int, start: int, size: int, left: int, data: bytes) -> Iterator[tuple]:
+        held = wrappers(data, size, left)
+        for at, apid, length in heads(data, size, left):
+            if at not in held:
+                end = at + length
+                yield capture, piece, start + at, start + at, apid, length, length, False, data[at:end], data[end : end + MOST_EXTRA]
+        for at, length in held.items():
+            own = length - WRAPPER_HEAD
+            fits = [apid for _, apid, n in heads(data[at + WRAPPER_HEAD :], 1, own) if n == own]
+            inner = data[at + WRAPPER_HEAD : at + length] if fits else None
+            yield capture, piece, start + at, start + at + WRAPPER_HEAD, fits[0] if fits else WRAPPER_APID, own, length, True, inner, b""
+
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = []
-            for capture, piece, start, size, data in zip(*[frame[c] for c in ("capture_id", "piece", "start", "size", "content")], strict=True):
-                held = wrappers(data, size)
-                for at, apid, length in heads(data, size):
-                    if at not in held:
-                        end = at + length
-                        found.append((capture, piece, start + at, start + at, apid, length, length, False, data[at:end], data[end : end + MOST_EXTRA]))
-                for at, length in held.items():
-                    inner = data[at + WRAPPER_HEAD : at + length]
-                    fits = [(apid, n) for place, apid, n in heads(inner, 1) if n == len(inner)]
-                    apid, own = fits[0] if fits else (WRAPPER_APID, len(inner))
-                    found.append((capture, piece, start + at, start + at + WRAPPER_HEAD, apid, own, length, True, inner if fits else None, b""))
-            yield pd.DataFrame(found, columns=[x.split()[0] for x in FOUND.split(", ")])
-
-    return pieces.select(*[x.split()[0] for x in PIECES.split(", ")]).mapInPandas(search, FOUND)
+            found = (x for row in zip(*[frame[c] for c in columns], strict=True) for x in places(*row))
+            while rows := list(islice(found, ROWS_OUT)):
+                yield pd.DataFrame(rows, columns=[x.split()[0] for x in FOUND.split(", ")])
+
+    columns = [x.split()[0] for x in PIECES.split(", ")]
+    return pieces.select(*columns).mapInPandas(search, FOUND)
 
 
 def judged(candidates: DataFrame, need_checksum: bool, repair_apid: int | None) -> DataFrame:
@@ -276,7 +293,7 @@ def numbered_packets(items: DataFrame) -> DataFrame:
 def packetize(captures: DataFrame, expected: dict[int, int] | None, apids: list[int], need_checksum: bool = False, repair_apid: int | None = None, piece_bytes: int = PIECE_BYTES, unwrap: bool = True) -> DataFrame:
     """The packets of captures (capture_id, content): see packet_candidates, walk and numbered_packets. Any size of piece
     gives the same packets; null and empty contents have none."""
-    pieces = pieces_of(captures, piece_bytes)
+    pieces = pieces_of(captures, piece_bytes, overlap_of(expected))
     return numbered_packets(walk(pieces, packet_candidates(pieces, expected, apids, unwrap), need_checksum, repair_apid)[0])
 
 

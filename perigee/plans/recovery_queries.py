@@ -96,7 +96,7 @@ def x2_packetize_function(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recovered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Captures in small pieces, what the walk takes of them, and where it enters the pieces."""
-    pieces = packetizer.pieces_of(captures(spark, sf_dir), 1_000)
+    pieces = packetizer.pieces_of(captures(spark, sf_dir), 1_000, packetizer.overlap_of(APIDS))
     return pieces, *packetizer.walk(pieces, packetizer.packet_candidates(pieces, APIDS, list(APIDS)))
 
 
@@ -130,7 +130,7 @@ placed AS (SELECT *, (sum(size) OVER (PARTITION BY capture_id ORDER BY event_id)
 
 
 def walked_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    pieces = packetizer.join_pieces(wrapped_parts(spark, sf_dir), 700)
+    pieces = packetizer.join_pieces(wrapped_parts(spark, sf_dir), 700, packetizer.overlap_of(APIDS))
     return pieces, *packetizer.walk(pieces, packetizer.packet_candidates(pieces, APIDS, list(APIDS)))
 
 

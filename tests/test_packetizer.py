@@ -131,3 +131,21 @@ def test_repair_inside_the_walk(spark):
         found = ops.packetize(frame, APIDS, list(APIDS), need_checksum=True, repair_apid=536, piece_bytes=size).orderBy("packet_index").collect()
         assert [(r["offset"], r["taken"]) for r in found] == [(1, 28), (29, 20), (49, 24)] and bytes(found[0]["packet"]) == right
         assert len(ops.packetize(frame, APIDS, list(APIDS), need_checksum=True, piece_bytes=size).collect()) == 2
+
+
+def test_pieces_hold_no_more_than_expected_packets_need(spark):
+    rng = random.Random(24)
+    data = {i: capture(rng) + wrapper(packet(1, rng) * 90) + packet(536, rng) for i in range(8)}
+    frame = spark.createDataFrame([(i, bytearray(d)) for i, d in data.items()], "capture_id long, content binary")
+    parts = spark.createDataFrame([(i, j, bytearray(d[j * 37 : j * 37 + 37])) for i, d in data.items() for j in range(-(-len(d) // 37))], "capture_id long, piece int, content binary")
+    reach = ops.overlap_of(APIDS)
+    assert reach < 200 and ops.overlap_of(None) == ops.OVERLAP
+    for pieces in (ops.pieces_of(frame, 37, reach), ops.join_pieces(parts, 37, reach)):
+        assert all(len(r["content"]) <= 37 + reach for r in pieces.collect())
+        items, entries = ops.walk(pieces, ops.packet_candidates(pieces, APIDS, list(APIDS)))
+        found = {}
+        for r in ops.numbered_packets(items).orderBy("capture_id", "packet_index").collect():
+            found.setdefault(r["capture_id"], []).append((r["offset"], bytes(r["packet"])))
+        assert found == {i: plain_walk(d, False)[0] for i, d in data.items()}
+        dropped = {r["capture_id"]: [r["filler_bytes"], r["other_bytes"]] for r in ops.dropped_bytes(pieces, items, entries).collect()}
+        assert dropped == {i: plain_walk(d, False)[1] for i, d in data.items() if sum(plain_walk(d, False)[1])}
