@@ -209,3 +209,11 @@ def test_spacecraft_seconds_of_utc_come_back_as_utc(spark):
     frame = spark.createDataFrame([(m,) for m in moments], "m string")
     seconds = clock.spacecraft_seconds(F.unix_timestamp("m", "yyyy-MM-dd'T'HH:mm:ss").cast("double"))
     assert all(r["t"] == r["m"] + "Z" for r in frame.select("m", clock.utc_text(seconds).alias("t")).collect())
+
+
+def test_buckets_of_asof_joins_hold_few_rows(spark):
+    sides = [spark.range(lo, lo + 1_000_000).select(F.col("id").alias("x")) for lo in (0, 500_000)]
+    cuts = asof.cuts_of(sides)
+    assert 6 <= len(cuts) <= 9  # of 16 MB
+    sizes = [r["count"] for r in sides[0].unionAll(sides[1]).groupBy(asof.bucket_of(F.col("x"), cuts)).count().collect()]
+    assert max(sizes) < 500_000
