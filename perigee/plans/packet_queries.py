@@ -10,6 +10,7 @@ from perigee.operators import packets as ops
 from perigee.operators import public
 from perigee.plans.base import query
 from perigee.plans.fixtures import PACKETS_SQL, packets, table
+from perigee.sources.scratch import dealt_by
 
 PACKETS = "WITH " + PACKETS_SQL.strip()
 
@@ -109,7 +110,7 @@ line_fields AS (
 def line_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = (F.col("l_quantity").cast("int") % 16 + 1) * F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(4)
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
-    return table(spark, sf_dir, "lineitem").select(
+    return dealt_by(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("apid"), place.alias("ordinal"), F.concat("l_returnflag", "l_linestatus").alias("name"), F.concat(F.lit("U"), width).alias("data_type")
     )
 
