@@ -59,6 +59,17 @@ class Tables:
         self.held.append((path, table))
         return table
 
+    def delete(self, *gone: DataFrame) -> None:
+        """Delete tables that nothing reads any more, and the shuffle files of steps that are over.
+
+        Spark deletes these when the driver's garbage is collected, which a driver with little to do puts off.
+        """
+        for path, table in self.held:
+            if any(table is x for x in gone):
+                delete_table(self.spark, path)
+        self.held = [x for x in self.held if not any(x[1] is y for y in gone)]
+        self.spark._jvm.System.gc()
+
     def drop(self, *but: DataFrame) -> None:
         """Delete the tables, but for those that are read later on."""
         for path, table in self.held:

@@ -350,7 +350,10 @@ class Join:
             sets = self.sets.join(small_or_shuffled(wanted, 2 * n, 16), "node", "left_semi")
             both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
             links = both.select("a", "b", "set_a", "set_b").mapInArrow(verify(self.percent), "a long, b long")
-            self.merge(self.tables.write(links, "jaccard-links"))
+            links = self.tables.write(links, "jaccard-links")
+            self.tables.delete()
+            self.merge(links)
+            self.tables.delete(links)
         return n
 
     def compare_components(self, lists: DataFrame) -> None:
@@ -413,7 +416,10 @@ class Join:
 
         left = dealt(members, "blocks", "slices").groupBy("big", "block", "slice")
         right = dealt(asked, "slices", "blocks").select("big", "block", "slice", "node", "set").toDF("of", "in", "by", "asked", "own_set").groupBy("of", "in", "by")
-        self.merge(self.tables.write(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links"))
+        found = self.tables.write(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links")
+        self.tables.delete(members, asked, grid)
+        self.merge(found)
+        self.tables.delete(found, sizes, pairs)
 
     def merge(self, links: DataFrame) -> bool:
         """Merge the components that links (a, b) join; returns whether there were any links."""
@@ -456,6 +462,7 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, perc
     levels = frequency_levels(texts, width)
     rows = prefixes(texts, levels, width, percent).withColumn("node", F.monotonically_increasing_id())
     rows = tables.write(rows, "jaccard-rows")
+    tables.delete()
 
     groups = rows.filter("sign is not null").groupBy("sign").agg(F.min("node").alias("first"), F.count("*").alias("rows"))
     groups = tables.write(groups.filter("rows > 1").select("sign", "first"), "jaccard-copies")
@@ -467,7 +474,9 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, perc
     first = rows.filter("keys is not null").join(small_or_shuffled(moved, moved.count(), 16), "node", "left_anti")
     postings = first.select("node", F.col("n_shingles").alias("n"), F.posexplode("keys").alias("pos", "key"))
     shared = tables.write(dealt_lists(postings), "jaccard-shared")
+    tables.delete()
     lists = tables.write(with_listed_before(shared), "jaccard-lists")
+    tables.delete(shared)
 
     listed = tables.write(lists.select("node").distinct(), "jaccard-listed")
     n = listed.count()
@@ -475,6 +484,7 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, perc
     wanted = tables.write(nodes.join(listed, "node", "left_semi").select("node", "doc_id", "text_key", "sign"), "jaccard-wanted")
     sets = tables.write(sets_of(texts, wanted, n, width), "jaccard-sets")
     probes = tables.write(first.join(listed, "node", "left_semi").select("node", "probes"), "jaccard-probes")
+    tables.delete(rows, moved, wanted)
 
     join = Join(tables, lists, probes, sets, percent)
     for number in range(PIVOT_ROUNDS):
