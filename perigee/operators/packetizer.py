@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.functions import bits
-from perigee.sources.scratch import written
+from perigee.sources.scratch import gathered, written
 
 #: Bytes of a piece. Behind it come the bytes that its last packet, and the repair of it, may reach.
 PIECE_BYTES = 1 << 20
@@ -206,7 +206,7 @@ def steps_of(at: np.ndarray, taken: np.ndarray, end: int, reach: int) -> tuple[l
 
 def in_pieces(rows: DataFrame) -> DataFrame:
     """Rows so that those of a piece follow each other in order of place, in one task."""
-    return rows.repartition("capture_id", "piece").sortWithinPartitions("capture_id", "piece", "at")
+    return gathered(rows, ["capture_id", "piece"], ["at"])
 
 
 def by_piece(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, pd.DataFrame]]:
@@ -250,7 +250,7 @@ def entries_of(pieces: DataFrame, candidates: DataFrame) -> DataFrame:
                 entry = int(exits[i]) if upto is not None and i < len(upto) else max(entry, start + size)
             yield frame[["capture_id", "piece", "start", "size"]].assign(entry=entries)
 
-    joined = about.join(functions, ["capture_id", "piece"], "left").repartition("capture_id").sortWithinPartitions("capture_id", "piece")
+    joined = gathered(about.join(functions, ["capture_id", "piece"], "left"), ["capture_id"], ["piece"])
     return joined.mapInPandas(fold, "capture_id long, piece int, start long, size int, entry long")
 
 

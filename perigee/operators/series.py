@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perigee.sources.scratch import FEW_ROWS, written
+from perigee.sources.scratch import FEW_ROWS, gathered, written
 
 
 def present(points: DataFrame, time_col: str, value_col: str) -> DataFrame:
@@ -142,7 +142,7 @@ def ordered_fold(rows: DataFrame, by: str, order: list[str], judge: Callable[[ob
             yield frame.assign(**{name: pd.Series(results, index=frame.index, dtype=object)})
 
     schema = f"{rows.schema.simpleString()[7:-1]},{added.replace(' ', ':')}"
-    return rows.repartition(by).sortWithinPartitions(by, *order).mapInPandas(run, schema)
+    return gathered(rows, [by], order).mapInPandas(run, schema)
 
 
 def reject_jumps(packets: DataFrame, by: str, max_jump: float, rate: float = 1.0, minimum: float = 0.0) -> DataFrame:

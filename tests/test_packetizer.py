@@ -133,6 +133,23 @@ def test_repair_inside_the_walk(spark):
         assert len(ops.packetize(frame, APIDS, list(APIDS), need_checksum=True, piece_bytes=size).collect()) == 2
 
 
+def test_pieces_stay_whole_when_a_join_becomes_a_broadcast(spark):
+    rng = random.Random(25)
+    parts = {i: [packet(rng.choice([1, 536]), rng) for _ in range(300)] for i in range(8)}
+    spoilt = {i: b"".join(p[:16] + p[12:] if len(p) == 24 else p for p in own) for i, own in parts.items()}  # one word comes twice
+    frame = spark.createDataFrame([(i, bytearray(d)) for i, d in spoilt.items()], "capture_id long, content binary").repartition(4)
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "20k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # known at run time only
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        rows = ops.packetize(frame, APIDS, list(APIDS), need_checksum=True, repair_apid=536, piece_bytes=500).orderBy("capture_id", "packet_index").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert [(r["capture_id"], bytes(r["packet"])) for r in rows] == [(i, p) for i, own in parts.items() for p in own]
+
+
 def test_pieces_hold_no_more_than_expected_packets_need(spark):
     rng = random.Random(24)
     data = {i: capture(rng) + wrapper(packet(1, rng) * 90) + packet(536, rng) for i in range(8)}
