@@ -7,7 +7,7 @@ compared with one of its members at a time, as long as the list still spans seve
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perigee.llm.common import Tables, arrow_rows, begin_task, materialize, remembers, small_or_shuffled, text_key, without
+from perigee.llm.common import BROADCAST_BYTES, Tables, arrow_rows, begin_task, marked, materialize, remembers, small_or_shuffled, text_key, without
 from perigee.llm.components import connected
 
 #: Shingle frequencies are counted in 2 ** CELL_BITS cells, which SLICES rows carry.
@@ -171,23 +171,34 @@ def prefixes(texts: DataFrame, levels: np.ndarray, width: int, percent: int) ->
 
 
 def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order of key, those whose key another row has. Holds one row back between batches."""
-    last, held, key = None, False, None  # the last row, whether it may be single, its key
+    """Of rows in order of key, those whose key another row has, with `two`: whether just one other has.
+
+    Holds the rows of the last key back between batches, two at most.
+    """
+
+    def flagged(batch: pa.RecordBatch, sizes: np.ndarray) -> pa.RecordBatch:
+        kept = batch.append_column("two", pa.array(sizes == 2)).filter(pa.array(sizes > 1))
+        return kept.select(["node", "n", "pos", "key", "two"])
+
+    held, many = None, None  # rows of the last key if it may have two at most, else that key
     for batch in batches:
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
         if not batch.num_rows:
             continue
         keys = batch["key"].to_numpy()
-        same = keys[1:] == keys[:-1]
-        more = np.zeros(len(keys), bool)
-        more[1:] |= same
-        more[:-1] |= same
-        if last is not None and keys[0] == key:
-            if held:
-                yield last
-            more[0] = True
-        last, held, key = batch.slice(len(keys) - 1, 1), not more[-1], keys[-1]
-        if more.any():
-            yield batch.filter(pa.array(more))
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        lengths = np.diff(np.r_[starts, len(keys)])
+        sizes = lengths + 3 * (keys[starts] == many) if many is not None else lengths
+        if sizes[-1] > 2:
+            held, many = None, keys[-1]
+        else:
+            held, many = batch.slice(starts[-1]), None
+            batch, sizes, lengths = batch.slice(0, starts[-1]), sizes[:-1], lengths[:-1]
+        if (sizes > 1).any():
+            yield flagged(batch, np.repeat(sizes, lengths))
+    if held is not None and held.num_rows == 2:
+        yield flagged(held, np.array([2, 2]))
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -214,7 +225,8 @@ def verify(percent: int):
 def sets_of(texts: DataFrame, wanted: DataFrame, rows: int, width: int) -> DataFrame:
     """node and set (sorted hashes) of the wanted nodes (node, doc_id, text_key, sign), whose texts are read again.
 
-    Repeated rows of a table may give a node's set more than once.
+    There are at most `rows` of them. If they are too many to broadcast, only texts whose text_key may be among theirs
+    are shuffled. Repeated rows of a table may give a node's set more than once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,12 +242,15 @@ def sets_of(texts: DataFrame, wanted: DataFrame, rows: int, width: int) -> DataF
 
     ids = wanted.select("node", "sign", F.col("doc_id").alias("wanted_id"), F.col("text_key").alias("wanted_key"))
     same = F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_key") == F.col("wanted_key"))
+    if rows * 72 > BROADCAST_BYTES:
+        texts = marked(texts, F.col("text_key"), ids.select(F.col("wanted_key").alias("key"))).filter("_maybe").drop("_maybe")
     found = texts.join(small_or_shuffled(ids, rows, 72), same)
     return found.select("node", "sign", "text").mapInArrow(run, "node long, set binary")
 
 
 def dealt_lists(postings: DataFrame) -> DataFrame:
-    """The postings whose key another node has, with `salt`: lists of very many nodes are dealt to several parts.
+    """The postings whose key another node has, with `two` (see shared_keys) and `salt`: lists of very many nodes are
+    dealt to several parts.
 
     A sample shows which lists are so long. They are kept unseen and dealt by node, so that no task gets a whole one;
     the sample decides on the dealing only, not on what is compared.
@@ -245,9 +260,9 @@ def dealt_lists(postings: DataFrame) -> DataFrame:
     hot = materialize(sampled.filter(F.col("size") > max(HOT_NODES, total // HOT_PARTS)), "jaccard-hot")
     held = F.broadcast(hot)  # HOT_PARTS rows at most
     cold = postings.join(held, "key", "left_anti").select("node", "n", "pos", "key").repartition("key").sortWithinPartitions("key")
-    cold = cold.mapInArrow(shared_keys, "node long, n long, pos int, key long").withColumn("salt", F.lit(0))
+    cold = cold.mapInArrow(shared_keys, "node long, n long, pos int, key long, two boolean").withColumn("salt", F.lit(0))
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / HOT_NODES)).cast("int")
-    return cold.unionByName(postings.join(held, "key").select("node", "n", "pos", "key", salt.alias("salt")))
+    return cold.unionByName(postings.join(held, "key").select("node", "n", "pos", "key", F.lit(False).alias("two"), salt.alias("salt")))
 
 
 def with_listed_before(lists: DataFrame) -> DataFrame:
@@ -291,10 +306,11 @@ def pivots(percent: int):
 class Join:
     """The lists of nodes that share a rare shingle, and the components found so far.
 
-    labels has only nodes of components of more than one.
+    labels has only nodes of components of more than one. sets gives node and set of some nodes, and of how many at most;
+    they are read for one comparison and deleted after it, as few of the listed nodes are ever compared in full.
     """
 
-    def __init__(self, tables: Tables, lists: DataFrame, probes: DataFrame, sets: DataFrame, percent: int):
+    def __init__(self, tables: Tables, lists: DataFrame, probes: DataFrame, sets: Callable[[DataFrame, int], DataFrame], percent: int):
         self.tables, self.lists, self.probes, self.sets, self.percent = tables, lists, probes, sets, percent
         self.labels: DataFrame | None = None
         self.checked: DataFrame | None = None
@@ -308,18 +324,22 @@ class Join:
         return joined.withColumns({"grouped": F.col("label").isNotNull(), "label": F.coalesce("label", "node")})
 
     def pivot_round(self, number: int) -> int:
-        """Compare the nodes of each list with its pivot, which a hash chooses anew; returns the number of pairs."""
-        ranked = self.labelled(self.lists).withColumn("rank", F.xxhash64(F.lit(number), "node"))
-        ranked = ranked.repartition("key", "salt").sortWithinPartitions("key", "salt", "rank", "node")
-        ranked = ranked.select("key", "salt", "node", "n", "pos", "before", "label")
-        return self.compare(ranked.mapInArrow(pivots(self.percent), "a long, b long, both long").distinct())
+        """Compare the nodes of each list with its pivot, which a hash chooses anew; returns the number of pairs.
+
+        A list of two is done with after that.
+        """
+        dealt = self.labelled(self.lists).select("key", "salt", "node", "n", "pos", "before", "label").repartition("key", "salt")
+        ranked = dealt.withColumn("rank", F.xxhash64(F.lit(number), "node")).sortWithinPartitions("key", "salt", "rank", "node").drop("rank")
+        found = self.compare(ranked.mapInArrow(pivots(self.percent), "a long, b long, both long").distinct())
+        self.lists = self.lists.filter("not two")
+        return found
 
     def last_rounds(self) -> None:
         """Compare all that lists still have in different components.
 
         Of two linked nodes that are in different components now, one is in a component of several nodes, and the
         components are compared as wholes; or both are alone, and they meet in every list of both, so that their
-        first shared shingle bounds what they share.
+        first shared shingle bounds what they share. Two that met in a list of two have been compared.
         """
         lists = self.tables.write(self.labelled(self.lists), "jaccard-open")
         if self.labels is not None:
@@ -347,11 +367,11 @@ class Join:
         if n:
             self.checked = pairs if self.checked is None else self.checked.union(pairs)
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            sets = self.sets.join(small_or_shuffled(wanted, 2 * n, 16), "node", "left_semi")
+            sets = self.tables.write(self.sets(wanted, 2 * n), "jaccard-sets")
             both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
             links = both.select("a", "b", "set_a", "set_b").mapInArrow(verify(self.percent), "a long, b long")
             links = self.tables.write(links, "jaccard-links")
-            self.tables.delete()
+            self.tables.delete(sets)
             self.merge(links)
             self.tables.delete(links)
         return n
@@ -380,6 +400,8 @@ class Join:
         asked = pairs.join(of_other, "other", "left").select("big", F.coalesce("node", "other").alias("node")).join(n_of, "node").join(span, "big")
         asked = asked.filter(F.expr(f"hi * 100 >= n * {self.percent} and n * 100 >= lo * {self.percent}"))
         asked = self.tables.write(asked.select("node", "big", "n"), "jaccard-asked")
+        wanted = members.select("node").union(asked.select("node")).distinct()
+        sets = self.tables.write(self.sets(wanted, members.count() + asked.count()), "jaccard-sets")
 
         def parts(side: DataFrame, name: str) -> DataFrame:
             most = F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") / BLOCK_SHINGLES)
@@ -391,7 +413,7 @@ class Join:
             """Each node in its own part, once for every part of the other side."""
             at = F.pmod(F.xxhash64("node"), F.col(own)).cast("int")
             every = F.explode(F.sequence(F.lit(0), F.col(across) - 1))
-            return side.join(grid, "big").select("node", "big", at.alias(own[:-1]), every.alias(across[:-1])).join(self.sets, "node")
+            return side.join(grid, "big").select("node", "big", at.alias(own[:-1]), every.alias(across[:-1])).join(sets, "node")
 
         percent = self.percent
 
@@ -417,7 +439,7 @@ class Join:
         left = dealt(members, "blocks", "slices").groupBy("big", "block", "slice")
         right = dealt(asked, "slices", "blocks").select("big", "block", "slice", "node", "set").toDF("of", "in", "by", "asked", "own_set").groupBy("of", "in", "by")
         found = self.tables.write(left.cogroup(right).applyInArrow(links, "a long, b long"), "jaccard-links")
-        self.tables.delete(members, asked, grid)
+        self.tables.delete(members, asked, grid, sets)
         self.merge(found)
         self.tables.delete(found, sizes, pairs)
 
@@ -481,10 +503,11 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, perc
     listed = tables.write(lists.select("node").distinct(), "jaccard-listed")
     n = listed.count()
     listed = small_or_shuffled(listed, n, 16)
-    wanted = tables.write(nodes.join(listed, "node", "left_semi").select("node", "doc_id", "text_key", "sign"), "jaccard-wanted")
-    sets = tables.write(sets_of(texts, wanted, n, width), "jaccard-sets")
     probes = tables.write(first.join(listed, "node", "left_semi").select("node", "probes"), "jaccard-probes")
-    tables.delete(rows, moved, wanted)
+    tables.delete(rows, moved)
+
+    def sets(wanted: DataFrame, at_most: int) -> DataFrame:
+        return sets_of(texts, nodes.join(small_or_shuffled(wanted, at_most, 16), "node", "left_semi"), at_most, width)
 
     join = Join(tables, lists, probes, sets, percent)
     for number in range(PIVOT_ROUNDS):
