@@ -80,6 +80,39 @@ def test_full_buffer_lets_the_oldest_go():
     assert [(r[1], r[-3]) for r in rows] == [("end", 154)]
 
 
+def run_batches(batches, link):
+    """Rows of chunks that come in batches, and the state behind them."""
+    cutter, rows, place = framing.FrameLinks(link, None), [], 0
+    cutter.held = Held()
+    for chunks in batches:
+        batch = pd.DataFrame({"position": range(place, place + len(chunks)), "content": chunks})
+        place += len(chunks)
+        rows += [r[1:] for out in cutter.handleInputRows(("a",), iter([batch]), None) for r in out.itertuples(index=False, name=None)]
+    return rows, cutter.held.value
+
+
+def test_a_batch_larger_than_the_buffer_loses_nothing():
+    link = Framing(frozenset({1, 16}), most_buffer_bytes=100)
+    data = b"".join(framing.SYNC + packet(16, n % 30 + 1) for n in range(500))
+    for size in (7, 30, 99, 250, len(data)):
+        chunks = [data[i : i + size] for i in range(0, len(data), size)]
+        for batches in ([chunks], [[c] for c in chunks]):
+            rows, rest = run_batches(batches, link)
+            assert [(r[0], len(r[3]), r[-3]) for r in rows] == [(n, n % 30 + 7, 0) for n in range(500)] and rest[0] == b""
+
+
+def test_rows_don_t_depend_on_how_chunks_fall_into_batches():
+    rng = random.Random(8)
+    for link in (LINK, Framing(frozenset({1, 16}), ax25_heads=LINK.ax25_heads, segments=True, most_buffer_bytes=60)):
+        data = b"".join(rng.choice([b"", b"U" * rng.randint(0, 50), framing.SYNC[:2], framing.SYNC + b"\xff" * 9]) + rng.choice([framing.SYNC, LINK.ax25_heads[0], b"", b""]) + packet(rng.choice([1, 16, 99]), rng.randint(1, 90)) for _ in range(200))
+        places = sorted(rng.sample(range(1, len(data)), 700))
+        chunks = [data[i:j] for i, j in zip([0, *places], [*places, len(data)], strict=True)]
+        alone = run_batches([[c] for c in chunks], link)
+        assert any(r[1] == "bare" for r in alone[0]) and any(r[1] == "sync" for r in alone[0])
+        assert run_batches([chunks], link) == alone
+        assert run_batches([chunks[i : i + 13] for i in range(0, len(chunks), 13)], link) == alone
+
+
 def segment(whole, index, flag, sequence=7):
     return struct.pack(">HHHHHBB", 21, sequence, len(whole), 1, 0, index, flag) + whole[index * 244 : index * 244 + 244]
 
